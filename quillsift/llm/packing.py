@@ -119,7 +119,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, piece: int, end_id: int = 2
     return docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, PIECES)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, piece: int = 2048, group: int = 128, end_id: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, piece: int = 512, group: int = 256, end_id: int = 2) -> DataFrame:
     """Packs whole documents into sequences of at most capacity ids; a row per piece."""
     spark = docs.sparkSession
     pieces = saved(document_pieces(docs, tokenizer, min(piece, capacity), end_id), "pieces")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from .op3_packing import op3_packing
+from .op4_simhash import op4_simhash
 from .op6_tokens import op6_tokens
 
-QUERIES = {f.__name__: f for f in (op3_packing, op6_tokens)}
+QUERIES = {f.__name__: f for f in (op3_packing, op4_simhash, op6_tokens)}
 
 SQL: dict[str, str] = {}
