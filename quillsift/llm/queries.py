@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .op1_warc import op1_warc
 from .op3_packing import op3_packing
 from .op4_simhash import op4_simhash
 from .op6_tokens import op6_tokens
+from .op7_media import op7_media
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_simhash, op6_tokens)}
+QUERIES = {f.__name__: f for f in (op1_warc, op3_packing, op4_simhash, op6_tokens, op7_media)}
 
 SQL: dict[str, str] = {}
