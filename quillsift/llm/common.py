@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import pathlib
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +43,22 @@ def saved(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors, once, where they may not have it installed."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_quillsift_shipped", False):
+        root, folder = pathlib.Path(__file__).resolve().parents[1], tempfile.mkdtemp(prefix="quillsift-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(f"{folder}/quillsift.zip", "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(f"{folder}/quillsift.zip")
+        sc._quillsift_shipped = True
+
+
 def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bounds the rows of the Arrow batches that this session sends to Python."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) != rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, open_fs, ranges, saved, scratch, shuffle_partitions, write_bytes
-from .tokens import encoder, with_end
+from .tokens import encoder, together, with_end
 
 MAGIC = b"QSHUF001"
 #: The longest code; a table of 2**LIMIT entries decodes it.
@@ -178,8 +178,8 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
         kind = "<u2" if e.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        for batch in batches:
-            ids, counts = with_end(*e.encode(batch.column("text").to_pylist()), end_id)
+        for batch in together(batches):
+            ids, counts = with_end(*e.encode(batch.column("text")), end_id)
             data = ids.astype(kind)
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int64) * data.itemsize
             blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.binary())

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, saved, shuffle_partitions
-from .tokens import encoder, with_end
+from .tokens import encoder, together, with_end
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
@@ -103,8 +103,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, piece: int, end_id: int = 2
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch in batches:
-            ids, counts = with_end(*encode(batch.column("text").to_pylist()), end_id)
+        for batch in together(batches):
+            ids, counts = with_end(*encode(batch.column("text")), end_id)
             data = memoryview(ids.astype("<u4").tobytes())
             doc_ids, rows, at = batch.column("doc_id").to_pylist(), [], 0
             for doc_id, n in zip(doc_ids, counts.tolist()):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from .op1_warc import op1_warc
+from .op2_quality import op2_quality
 from .op3_packing import op3_packing
 from .op4_simhash import op4_simhash
 from .op6_tokens import op6_tokens
 from .op7_media import op7_media
+from .op8_langid import op8_langid
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_packing, op4_simhash, op6_tokens, op7_media)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_quality, op3_packing, op4_simhash, op6_tokens, op7_media, op8_langid)}
 
 SQL: dict[str, str] = {}

@@ -2,42 +2,61 @@
 
 A text's ids are the ids of its pieces in a row, so a piece met before needs no second encoding. Pieces
 are cut only where no pre-token can span: at a lone space between two characters that are not white space
-(the space opens the next piece), and at a lone line break. Texts with other white space are cut at the
-safe places alone; what lies between is encoded as it is. Texts with U+0001, our mark, are encoded uncut.
+(the space opens the next piece), and at a lone line break. Texts with other white space, or with U+0001
+or U+0002, our marks, are cut at the safe places alone or not at all. A piece of letters is one pre-token
+and goes to the tokenizer's model at once; any other piece goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from .common import ranges
+from .common import ranges, utf8
 
 #: Pieces that a worker remembers; beyond, it starts again. About 150 MB.
 REMEMBERED = 1_000_000
-MARK = "\x01"
+#: Bytes of text that are encoded at once.
+AT_ONCE = 8 << 20
+#: Before a piece that no space precedes; alone, an uncut text.
+BARE, UNCUT = "\x02", "\x01"
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-#: White space besides blank and line break.
-RARE_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 PLAIN_STOPS = (".", ",")
-
-
-def crowded(text: str) -> bool:
-    """Whether white space is at an end, next to other white space, or neither blank nor line break."""
-    return (
-        text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
-        or any(c in text for c in RARE_SPACE)
-    )
-
-
-def is_latin1(text: str) -> bool:
-    try:
-        return text.isascii() or bool(text.encode("latin-1"))
-    except UnicodeEncodeError:
-        return False
+#: White space of one byte besides blank and line break, and the marks; white space of more bytes, by its first.
+RARE = np.zeros(256, bool)
+RARE[[1, 2, 9, 11, 12, 13, 28, 29, 30, 31]] = True
+WIDE = {lead: [c.encode() for c in map(chr, range(128, 0x3001)) if c.isspace() and c.encode()[0] == lead] for lead in (0xC2, 0xE1, 0xE2, 0xE3)}
+
+
+def crowded(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which texts have white space at an end, next to other white space, or neither blank nor line break; or a mark."""
+    out = np.zeros(len(offsets) - 1, bool)
+    if not len(data):
+        return out
+    space = (data == 32) | (data == 10)
+    at = [np.flatnonzero(space[1:] & space[:-1]), np.flatnonzero(RARE[data])]
+    for lead, spaces in WIDE.items():
+        for p in np.flatnonzero(data == lead):
+            if any(data[p : p + len(s)].tobytes() == s for s in spaces):
+                at.append([p])
+    full = np.flatnonzero(offsets[1:] > offsets[:-1])
+    ends = np.concatenate((offsets[full], offsets[full + 1] - 1))
+    at.append(ends[space[ends]])
+    out[np.searchsorted(offsets, np.concatenate(at).astype(np.int64), side="right") - 1] = True
+    return out
+
+
+def byte_level() -> dict[int, str]:
+    """The characters that byte-level tokenizers write for bytes: printable ones as they are, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class Known(dict):
@@ -62,8 +81,9 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.remembered = remembered
-        #: Latin-1 texts are lower-cased ahead where the tokenizer does so itself: fewer pieces are new.
+        #: Whether the tokenizer lower-cases and drops white space; else a space belongs to the word after it.
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
+        self.letters = byte_level()
         self._forget()
 
     def _forget(self) -> None:
@@ -83,58 +103,102 @@ class PieceEncoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
 
+    def _text(self, piece: str) -> str:
+        """What a piece stands for in the text."""
+        if piece == "\n" or piece == "":
+            return "" if self.lowers else piece
+        if piece[0] in (BARE, UNCUT):
+            return piece[1:]
+        return piece if self.lowers else " " + piece
+
     def _learn(self) -> None:
         """Encodes the pieces noted as new. A word before a final stop or comma is looked up by itself."""
-        known, words, stemmed, asked = self.known, [], [], 0
+        known, words, texts, stemmed, asked = self.known, [], [], [], 0
+        lone, lone_ids, model, letters = [], [], self.tokenizer.model.tokenize, self.letters
+        mark = "" if self.lowers else letters[32]
         while asked < len(known.new):
             p = known.new[asked]
             asked += 1
-            if len(p) > 2 and p[-1] in PLAIN_STOPS and p[-2].isalpha() and p[-2] < "\u0250":
-                stemmed.append((known[p], known[p[:-1]], known[p[-1]]))
+            if p.isalpha() and is_latin1(p) and (not self.lowers or p.islower()):
+                if p.isascii():
+                    lone_ids.append([t.id for t in model(mark + p)])
+                else:
+                    lone_ids.append([t.id for t in model(mark + "".join([letters[b] for b in p.encode()]))])
+                lone.append(known[p])
+            elif len(p) > 2 and p[-1] in PLAIN_STOPS and p[-2].isalpha() and p[-2] < "\u0100" and p[0] != UNCUT:
+                stemmed.append((known[p], known[p[:-1]], known[BARE + p[-1]]))
             else:
-                words.append(p)
+                words.append(known[p])
+                texts.append(self._text(p))
         known.new = []
-        if words:
-            ids = [e.ids for e in self.tokenizer.encode_batch([p.replace(MARK, " ") for p in words], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int32, len(ids))
-            self._put(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), lengths, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())))
+        if texts:
+            lone_ids += [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        if lone_ids:
+            lengths = np.fromiter(map(len, lone_ids), np.int32, len(lone_ids))
+            self._put(np.array(lone + words), lengths, np.fromiter(chain.from_iterable(lone_ids), np.int32, int(lengths.sum())))
         if stemmed:
             number, stem, stop = np.array(stemmed).T
             pairs = np.stack((stem, stop), 1).ravel()
             sizes = self.lengths[pairs]
             self._put(number, sizes.reshape(-1, 2).sum(1), self.flat[ranges(self.starts[pairs], sizes)])
 
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        if not text or MARK in text:
-            return []
-        if crowded(text):
-            first, *rest = SAFE.split(text)
-            return [first, *(MARK + x for x in rest)]
-        return text.replace(" ", " " + MARK).replace("\n", " \n ").split(" ")
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in a row, and how many each has. None counts as empty."""
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+
+    def _cut(self, text: str) -> list[str]:
+        """The pieces of a text with crowded white space."""
+        if UNCUT in text or BARE in text:
+            return [UNCUT + text]
+        first, *rest = SAFE.split(text)
+        return [BARE + first, *((x if x.isalpha() or self.lowers else UNCUT + " " + x) for x in rest)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has. Null counts as empty."""
         if len(self.known) > self.remembered:
             self._forget()
-        texts = [t or "" for t in texts]
+        texts = pc.fill_null(texts, "")
+        data, offsets = utf8(texts)
+        odd = crowded(data, offsets)
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         if self.lowers:
-            texts = [t.lower() if is_latin1(t) else t for t in texts]
-        cut = [self._cut(t) for t in texts]
-        pieces = list(chain.from_iterable(cut))
-        found = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            narrow = np.zeros(len(texts), bool)
+            narrow[np.searchsorted(offsets, np.flatnonzero(data > 0xC3), side="right") - 1] = True
+            plain = pc.utf8_lower(plain) if not narrow.any() else pc.if_else(pa.array(narrow), plain, pc.utf8_lower(plain))
+        cut = pc.split_pattern(pc.replace_substring(plain, "\n", " " if self.lowers else f" \n {BARE}"), " ")
+        coded = cut.flatten().dictionary_encode()
+        found = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        firsts = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
+        if not self.lowers:
+            found[firsts[:-1]] = self._numbers([BARE + x if x else "" for x in pc.list_element(cut, 0).to_pylist()])
+        others = {i: self._numbers(self._cut(texts[i].as_py())) for i in np.flatnonzero(odd)}
         if self.known.new:
             self._learn()
+        if others:
+            parts = [others.get(i, found[a:b]) for i, (a, b) in enumerate(zip(firsts, firsts[1:]))]
+            found, firsts = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
         lengths = self.lengths[found]
         ids = self.flat[ranges(self.starts[found], lengths)]
-        ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))[np.cumsum([0, *map(len, cut)])]
-        counts = np.diff(ends)
-        if uncut := [i for i, t in enumerate(texts) if t and not cut[i]]:
-            parts = [ids[ends[i] : ends[i + 1]] for i in range(len(texts))]
-            for i in uncut:
-                parts[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
-            ids, counts = np.concatenate(parts), np.array([len(p) for p in parts])
-        return ids, counts
+        return ids, np.diff(np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))[firsts])
+
+
+def is_latin1(text: str) -> bool:
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
+def together(batches: Iterator[pa.RecordBatch], column: str = "text", least: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least so many bytes of the column, but for the last."""
+    waiting, n = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        n += batch.column(column).nbytes
+        if n >= least:
+            yield pa.concat_batches(waiting)
+            waiting, n = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
 
 
 _encoders: dict[str, PieceEncoder] = {}
