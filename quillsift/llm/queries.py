@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op1_warc import op1_warc
+from .op10_html import op10_html
 from .op2_quality import op2_quality
 from .op3_packing import op3_packing
 from .op4_simhash import op4_simhash
@@ -10,6 +11,6 @@ from .op6_tokens import op6_tokens
 from .op7_media import op7_media
 from .op8_langid import op8_langid
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_quality, op3_packing, op4_simhash, op6_tokens, op7_media, op8_langid)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_quality, op3_packing, op4_simhash, op6_tokens, op7_media, op8_langid, op10_html)}
 
 SQL: dict[str, str] = {}
