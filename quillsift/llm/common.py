@@ -99,7 +99,10 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of each range, one after another."""
+    """The numbers start, start + 1, ... of each range, one after another, in the type of starts."""
     ends = np.cumsum(lengths, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
+    kind = starts.dtype if total < 1 << 31 else np.dtype(np.int64)
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out

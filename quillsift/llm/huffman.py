@@ -26,9 +26,9 @@ from .tokens import encoder, together, with_end
 
 MAGIC = b"QSHUF001"
 #: The longest code; a table of 2**LIMIT entries decodes it.
-LIMIT = 20
+LIMIT = 18
 #: Ids of a block, and of a run of blocks that is coded at once.
-BLOCK, RUN = 512, 1 << 21
+BLOCK, RUN = 512, 1 << 18
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -78,44 +78,44 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Big-endian 32-bit words of the codes in a row, and the bit offset of each code."""
-    size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
+    upper = codes << (64 - lengths.astype(np.uint64))  # each code at the top of 64 bits
+    size = lengths[ids]
+    ends = np.cumsum(size, dtype=np.int64)
     at = ends - size
-    value = codes[ids] << (64 - size - (at & 31)).astype(np.uint64)
+    value = upper[ids] >> (at & 31).astype(np.uint64)
     word = at >> 5
-    first = np.flatnonzero(np.diff(word, prepend=-1))
+    first = np.flatnonzero(np.diff(word, prepend=-1))  # codes are shorter than a word: one begins in each
     words = np.zeros(int(word[-1]) + 2, np.uint64)
     words[:-1] = np.add.reduceat(value >> np.uint64(32), first)
     words[1:] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
     return words[: -(-int(ends[-1]) // 32)].astype(">u4"), at
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Symbol and code length for each prefix of the longest code's length."""
+def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each prefix of the longest code's length: symbol times 32, plus the code's length."""
     used = np.flatnonzero(lengths)
     longest = int(lengths[used].max())
     by = used[np.argsort(lengths[used], kind="stable")]
     span = np.left_shift(1, longest - lengths[by].astype(np.int64))
-    symbol, size = np.zeros(1 << longest, np.uint32), np.ones(1 << longest, np.uint8)
-    total = int(span.sum())
-    symbol[:total] = np.repeat(by.astype(np.uint32), span)
-    size[:total] = np.repeat(lengths[by], span)
-    return symbol, size, longest
+    table = np.ones(1 << longest, np.uint32)
+    table[: int(span.sum())] = np.repeat((by * 32 + lengths[by]).astype(np.uint32), span)
+    return table, longest
 
 
-def decode_blocks(words: np.ndarray, offsets: np.ndarray, counts: np.ndarray, table: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+def decode_blocks(words: np.ndarray, offsets: np.ndarray, counts: np.ndarray, table: tuple[np.ndarray, int]) -> np.ndarray:
     """The ids of blocks, each decoded from its own bit offset; all blocks advance together."""
-    symbol, size, longest = table
+    entries, longest = table
     padded = np.concatenate((words.astype(np.uint64), np.zeros(2, np.uint64)))
     pair = (padded[:-1] << np.uint64(32)) | padded[1:]
     most = int(counts.max())
-    out, at, last = np.empty((len(counts), most), np.uint32), offsets.astype(np.int64), len(pair) - 1
+    out, at = np.empty((most, len(counts)), np.uint32), offsets.astype(np.int64)
     drop = np.uint64(64 - longest)
     for k in range(most):
-        peek = (pair[np.minimum(at >> 5, last)] << (at & 31).astype(np.uint64)) >> drop
-        out[:, k] = symbol[peek]
-        at += size[peek]
-    return out.ravel()[ranges(np.arange(len(counts)) * most, counts.astype(np.int64))]
+        peek = (pair.take(at >> 5, mode="clip") << (at & 31).astype(np.uint64)) >> drop
+        entry = entries.take(peek.view(np.int64))
+        out[k] = entry >> 5
+        at += entry & 31
+    return out.T.ravel()[ranges(np.arange(len(counts)) * most, counts.astype(np.int64))]
 
 
 def file_bytes(runs: Iterator[np.ndarray], lengths: np.ndarray, doc_ids: list[pa.Array], doc_counts: list[np.ndarray]) -> Iterator[bytes]:

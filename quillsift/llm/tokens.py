@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 
 from .common import ranges, utf8
 
-#: Pieces that a worker remembers; beyond, it starts again. About 150 MB.
-REMEMBERED = 1_000_000
+#: Pieces that a worker remembers; beyond, it starts again. About 130 MB.
+REMEMBERED = 900_000
 #: Bytes of text that are encoded at once.
-AT_ONCE = 8 << 20
+AT_ONCE = 6 << 20
 #: Before a piece that no space precedes; alone, an uncut text.
 BARE, UNCUT = "\x02", "\x01"
 SAFE = re.compile(r"(?<=\S) (?=\S)")
