@@ -213,18 +213,24 @@ class Index:
         return sorted(out)
 
 
-def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, item_id, edits and item_bytes of each benchmark item in each document. Items are held in blocks of bounded size."""
-    schema = "doc_id bigint, item_id bigint, edits bigint, item_bytes bigint"
+def indexes(items: DataFrame, similarity: float) -> Iterator[Index]:
+    """The items, in blocks of bounded size."""
     items = items.select(F.col("item_id").cast("bigint"), "text").filter("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // ITEMS_AT_ONCE))
+    for block in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").toArrow()
+        yield Index(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), similarity)
+
+
+def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, item_id, edits and item_bytes of each benchmark item in each document."""
+    schema = "doc_id bigint, item_id bigint, edits bigint, item_bytes bigint"
     docs = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
     arrow_batches(docs.sparkSession)
     out = None
-    for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").toArrow()
-        shared = docs.sparkSession.sparkContext.broadcast(Index(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), similarity))
+    for index in indexes(items, similarity):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in together(batches, least=4 << 20):
@@ -235,3 +241,19 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
         part = docs.mapInArrow(find, schema)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no benchmark item."""
+    arrow_batches(docs.sparkSession)
+    for index in indexes(items, similarity):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in together(batches, least=4 << 20):
+                stay = np.ones(batch.num_rows, bool)
+                stay[[r for r, _, _ in shared.value.matches(batch.column("text"))]] = False
+                yield batch.filter(pa.array(stay))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

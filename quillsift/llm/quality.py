@@ -165,15 +165,15 @@ def learn(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0) -> M
     return fit(p, u) if len(p) and len(u) else None
 
 
-def scored(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
-    """score of each document's text, beside the columns to keep."""
-    schema = docs.select(*keep).schema.add("score", "double")
+def scored(docs: DataFrame, model: Model | None, *keep: str, score: str = "score") -> DataFrame:
+    """The score of each document's text, in a column of that name, beside the columns to keep."""
+    schema = docs.select(*keep).schema.add(score, "double")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")
             scores = model.score(features(texts)) if model and batch.num_rows else np.full(batch.num_rows, 0.5)
-            yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), pa.array(scores.astype(np.float64))], names=[*keep, "score"])
+            yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), pa.array(scores.astype(np.float64))], names=[*keep, score])
 
     arrow_batches(docs.sparkSession)
     return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(each, schema)

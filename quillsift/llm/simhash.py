@@ -243,3 +243,18 @@ def components(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     linked = saved(rooted.join(least, "root").select("fp", "least"), "linked")
     labels = saved(distinct.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
+
+
+def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:
+    """The rows of docs without those that are linked to a smaller doc_id: one document of each component stays.
+
+    Rows that repeat the doc_id that stays are reduced to one. Rows with a null doc_id go if their component
+    has another doc_id, and stay if not.
+    """
+    found = components(docs, words)
+    gone = saved(found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select("doc_id").distinct(), "copies")
+    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    if not found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        named = out.filter("doc_id is not null").dropDuplicates(["doc_id"])
+        out = named.unionByName(out.filter("doc_id is null"))
+    return out

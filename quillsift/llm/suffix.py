@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from .common import arrow_batches, open_fs, ranges, saved, scratch, shuffle_partitions, utf8
 
-LEAST, ANCHOR = 50, 24
+LEAST, ANCHOR = 50, 32
 #: Bytes of a block, and bytes that are hashed at once.
 BLOCK, STEP = 4 << 20, 1 << 18
 #: The most strings of a stretch.
@@ -192,9 +192,20 @@ def unbits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
+def short(keys: np.ndarray) -> bytes:
+    """The low 40 bits of each hash: a rare false match costs a comparison, no more."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def unshort(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 def occurrences(rows: list[dict]) -> list[tuple[bytes, bytes]]:
     """For each block's anchors in a bucket: which occur in two documents, and which in many blocks, as bits."""
-    keys = [np.frombuffer(r["keys"], "<u8") for r in rows]
+    keys = [unshort(r["keys"]) for r in rows]
     several = np.concatenate([unbits(r["flags"], len(k)) for r, k in zip(rows, keys)])
     every = np.concatenate(keys)
     if not len(every):
@@ -210,15 +221,23 @@ def occurrences(rows: list[dict]) -> list[tuple[bytes, bytes]]:
     return [(bits(y), bits(m)) for y, m in zip(np.split(yes, cuts), np.split(many, cuts))]
 
 
+def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of each string, from sums over all bytes up to a place: (S(end) - S(start)) / BASE**start modulo 2**64."""
+    n = len(data) + 1
+    power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, BASE, np.uint64))))
+    sums = np.concatenate(([np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])))
+    total = sums[start + length] - sums[start]
+    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+    power[1:] = inverse
+    total *= np.cumprod(power)[start]
+    total ^= total >> np.uint64(32)
+    return total * BASE
+
+
 def first_of_equal(data: np.ndarray, start: np.ndarray, length: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorts strings so that equal ones are neighbours, the smallest document first; and which begin a group. Bytes decide, not hashes."""
-    at = ranges(np.zeros(len(start), np.int64), length)
     with np.errstate(over="ignore"):
-        weights = np.cumprod(np.full(256, BASE, np.uint64))
-        values = (data[ranges(start, length)].astype(np.uint64) + np.uint64(1)) * weights[at]
-        total = np.add.reduceat(values, np.cumsum(length) - length)
-        total ^= total >> np.uint64(32)
-        total *= BASE
+        total = string_hashes(data, start, length)
     by = np.lexsort((doc, length, total))
     new = np.ones(len(by), bool)
     alike = np.flatnonzero((total[by][1:] == total[by][:-1]) & (length[by][1:] == length[by][:-1]))
@@ -291,7 +310,7 @@ class Removal:
                 used = np.union1d(np.flatnonzero(np.diff(cuts)), [base % buckets])
                 rows = {
                     "bucket": pa.array(used, pa.int32()), "block": pa.array([base] * len(used), pa.int64()), "path": pa.array([file.path] * len(used)), "at": pa.array([offset] * len(used), pa.int64()), "size": pa.array([length] * len(used), pa.int64()),
-                    "keys": pa.array([key[cuts[k] : cuts[k + 1]].astype("<u8").tobytes() for k in used], pa.binary()), "flags": pa.array([bits(several[cuts[k] : cuts[k + 1]]) for k in used], pa.binary()),
+                    "keys": pa.array([short(key[cuts[k] : cuts[k + 1]]) for k in used], pa.binary()), "flags": pa.array([bits(several[cuts[k] : cuts[k + 1]]) for k in used], pa.binary()),
                 }
                 base += 1
                 return pa.record_batch(list(rows.values()), names=list(rows))
@@ -357,7 +376,7 @@ class Removal:
                     low = d[by][np.flatnonzero(new)][group]
                     again = by[d[by] > low]  # a smaller document of this block has the same
                     one = by[new]
-                    out.append((-1, pack(s[again].astype("<u4"), c[again].astype("<u2"))))
+                    out.append((-1 - rows[0]["block"] % buckets, pack(s[again].astype("<u4"), c[again].astype("<u2"))))
                     one = one[np.lexsort((s[one], to[one]))]
                     edge = dealt(to[one], buckets)
                     for k in np.flatnonzero(np.diff(edge)):
@@ -365,16 +384,22 @@ class Removal:
                         n = c[own_rows] + LEAST - 1
                         out.append((int(k), pack(c[own_rows].astype("<u1"), d[own_rows].astype("<i8"), s[own_rows].astype("<u4"), data[ranges(s[own_rows], n)])))
                 else:
-                    out.append((-1, pack(np.zeros(0, "<u4"), np.zeros(0, "<u2"))))
+                    out.append((-1 - rows[0]["block"] % buckets, pack(np.zeros(0, "<u4"), np.zeros(0, "<u2"))))
                 head = [pa.array([rows[0][c]] * len(out), t) for c, t in (("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
                 yield pa.record_batch([pa.array([k for k, _ in out], pa.int32()), *head, pa.array([x for _, x in out], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
 
         by_block = answers.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
-        return saved(by_block.mapInArrow(send, "bucket int, block bigint, path string, at bigint, size bigint, data binary"), "stretches", "none")
+        return by_block.mapInArrow(send, "bucket int, block bigint, path string, at bigint, size bigint, data binary")
 
     def found(self, stretches: DataFrame) -> DataFrame:
+        """Runs of strings to remove, by block. Rows with a negative bucket are such already."""
+
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in runs_by(batches, "bucket"):
+                if rows[0]["bucket"] < 0:
+                    kinds = (pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
+                    yield pa.record_batch([pa.array([r[c] for r in rows], t) for c, t in zip(rows[0], kinds)], names=list(rows[0]))
+                    continue
                 parts = [unpack(r["data"], "<u1", "<i8", "<u4", "<u1") for r in rows]
                 count, doc, place = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in range(3))
                 data = np.concatenate([p[3] for p in parts])
@@ -409,13 +434,12 @@ class Removal:
                     columns = [pa.array([rows[k][n] for k in used], t) for n, t in (("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
                     yield pa.record_batch([pa.array([rows[k]["bucket"] for k in used], pa.int32()), *columns, pa.array([pack(s[cuts[k] : cuts[k + 1]].astype("<u4"), c[cuts[k] : cuts[k + 1]].astype("<u2")) for k in used], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
 
-        dealt_rows = stretches.filter("bucket >= 0").repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
+        dealt_rows = stretches.repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
         return saved(dealt_rows.mapInArrow(match, stretches.schema), "removed", "none")
 
     def kept(self) -> DataFrame:
         """The carried columns with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
-        stretches = self.stretches(self.answers())
-        removed = stretches.filter("bucket < 0").unionByName(self.found(stretches))
+        removed = self.found(self.stretches(self.answers()))
         schema = StructType([self.rows.schema[c] for c in self.carry] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())])
         carry = self.carry
 
@@ -467,3 +491,24 @@ def string_runs(removed: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.nda
 def removal(docs: DataFrame, carry: list[str]) -> DataFrame:
     """For each row: the carried columns, n_bytes, n_removed, n_spans, and kept, the bytes that stay."""
     return Removal(docs, carry).kept()
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of docs with what an earlier document has cut out of text; n_chars, if there is one, follows.
+
+    A character that is cut into goes too. Rows of which nothing is left but white space are dropped; rows
+    that were empty before stay, with an empty text for null.
+    """
+    carry = [c for c in docs.columns if c != "text"]
+    found = removal(docs, carry)
+    schema = StructType([docs.schema[c] for c in carry] + [StructField("text", StringType()), StructField("__removed", LongType())])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
+            yield pa.record_batch([*(batch.column(c) for c in carry), pa.array(text, pa.string()), batch.column("n_removed")], names=schema.names)
+
+    out = found.mapInArrow(decode, schema).filter("`__removed` = 0 or length(trim(text)) > 0")
+    if "n_chars" in carry:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
