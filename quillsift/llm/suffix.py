@@ -6,16 +6,18 @@ first of several. Equal strings have equal anchors, so they meet wherever the an
 1. Texts are put into blocks, kept in files in the shared folder. Each block sends its anchors' hashes,
    once each, to buckets.
 2. A bucket answers which anchors occur in two documents at least, and which of them in many blocks.
-3. A block sends, for each such anchor, the stretch of text whose strings have that anchor, once for equal
-   stretches; for anchors of many blocks it sends the strings one by one, dealt by their own hash, so that
-   a common anchor with ever different surroundings never meets in one bucket.
-4. A bucket finds the equal strings. Its intervals (strings with a common prefix, in suffix order) begin
+3. A block sends, for each such anchor, the digest of the stretch of text whose strings have that anchor,
+   once for equal stretches; for anchors of many blocks it sends the strings one by one, dealt by their own
+   hash, so that a common anchor with ever different surroundings never meets in one bucket. A bucket
+   answers which stretches a smaller document has too (anchor and digest together have 88 bits), and which
+   anchors have different stretches. Only of those the bytes are sent.
+4. A bucket finds their equal strings. Its intervals (strings with a common prefix, in suffix order) begin
    with the empty prefix; each round puts the preceding byte, the Burrows-Wheeler column, before the prefix
    and splits the intervals by it: breadth first, common prefixes grow by one, and intervals within one
    document are left. At LEAST it stops; a string is removed if its interval has a smaller doc_id.
 5. A block covers what was found and cuts it out.
 
-Only hashes, stretches that may repeat, and results are shuffled. Null counts as an empty text. Rows with a
+Only hashes, digests, stretches that may repeat in part, and results are shuffled. Null counts as an empty text. Rows with a
 null doc_id come after all others, and repeated doc_ids are one document: no smaller doc_id, no removal.
 An empty table gives an empty result. Other columns are carried along only when asked for.
 """
@@ -89,6 +91,9 @@ def anchored(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if not out:
         return np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3
     key, start, count = (np.concatenate(x) for x in zip(*out))
+    with np.errstate(over="ignore"):
+        key = (key ^ (key >> np.uint64(32))) * BASE  # least hashes are small: spread them again
+        key ^= key >> np.uint64(32)
     # Runs are cut where a document ends: its last starts lie LEAST - 1 bytes before.
     sizes = np.diff(offsets)
     docs = np.flatnonzero(sizes >= LEAST)
@@ -106,7 +111,8 @@ def anchored(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def buckets_of(key: np.ndarray, buckets: int) -> np.ndarray:
-    return ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    """Bucket numbers; they ascend with the hash."""
+    return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
 def dealt(order_by: np.ndarray, buckets: int) -> np.ndarray:
@@ -114,16 +120,17 @@ def dealt(order_by: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(order_by, np.arange(buckets + 1))
 
 
-def distinct_anchors(key: np.ndarray, doc_ids: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct anchors by bucket, then hash; whether two documents have it; where each bucket begins."""
-    by = np.lexsort((key, buckets_of(key, buckets)))
-    key, ids = key[by], doc_ids[by]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+def distinct_anchors(key: np.ndarray, doc_ids: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct anchors, ascending; whether two documents have it; where each bucket begins; each run's anchor."""
     if not len(key):
-        return key, np.zeros(0, bool), np.zeros(buckets + 1, np.int64)
+        return key, np.zeros(0, bool), np.zeros(buckets + 1, np.int64), np.zeros(0, np.int64)
+    by = np.argsort(key, kind="stable")
+    key, ids = key[by], doc_ids[by]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    first, of = np.flatnonzero(new), np.empty(len(key), np.int64)
+    of[by] = np.cumsum(new) - 1
     several = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first)
-    key = key[first]
-    return key, several, dealt(buckets_of(key, buckets), buckets)
+    return key[first], several, dealt(buckets_of(key[first], buckets), buckets), of
 
 
 class BlockFile:
@@ -140,10 +147,12 @@ class BlockFile:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, block.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_batch(block)
-        data = sink.getvalue()
+        return self.add_bytes(sink.getvalue().to_pybytes())
+
+    def add_bytes(self, data: bytes) -> tuple[int, int]:
         self.stream.write(data)
-        self.at += data.size
-        return self.at - data.size, data.size
+        self.at += len(data)
+        return self.at - len(data), len(data)
 
 
 def load(path: str, offset: int, length: int) -> pa.RecordBatch:
@@ -192,18 +201,34 @@ def unbits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
-def short(keys: np.ndarray) -> bytes:
-    """The low 40 bits of each hash: a rare false match costs a comparison, no more."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+def short(keys: np.ndarray, size: int = 5) -> bytes:
+    """The low bytes of each hash: where an anchor is matched falsely, that costs a comparison, no more."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
 
 
-def unshort(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+def unshort(data: bytes, size: int = 5) -> np.ndarray:
+    out = np.zeros((len(data) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8).reshape(-1, size)
     return out.view("<u8").ravel()
 
 
-def occurrences(rows: list[dict]) -> list[tuple[bytes, bytes]]:
+def judged(key: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which stretches a smaller document has too; and which others have an anchor with different stretches."""
+    if not len(key):
+        return np.zeros(0, bool), np.zeros(0, bool)
+    by = np.lexsort((digest, key))
+    k, g, d = key[by], digest[by], doc[by]
+    new_key = np.concatenate(([True], k[1:] != k[:-1]))
+    new = new_key | np.concatenate(([True], g[1:] != g[:-1]))
+    first = np.flatnonzero(new)
+    low = np.minimum.reduceat(d, first)[np.cumsum(new) - 1]
+    kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
+    whole, asked = np.empty(len(key), bool), np.empty(len(key), bool)
+    whole[by], asked[by] = d > low, (d == low) & (kinds > 1)
+    return whole, asked
+
+
+def occurrences(rows: list[dict], many_blocks: int) -> list[tuple[bytes, bytes]]:
     """For each block's anchors in a bucket: which occur in two documents, and which in many blocks, as bits."""
     keys = [unshort(r["keys"]) for r in rows]
     several = np.concatenate([unbits(r["flags"], len(k)) for r, k in zip(rows, keys)])
@@ -216,7 +241,7 @@ def occurrences(rows: list[dict]) -> list[tuple[bytes, bytes]]:
     n = np.diff(np.concatenate((first, [len(ordered)])))
     shared = (n > 1) | np.bitwise_or.reduceat(several[by], first)
     yes, many = np.empty(len(every), bool), np.empty(len(every), bool)
-    yes[by], many[by] = np.repeat(shared, n), np.repeat(n > MANY, n)
+    yes[by], many[by] = np.repeat(shared, n), np.repeat(n > many_blocks, n)
     cuts = np.cumsum([len(k) for k in keys])[:-1]
     return [(bits(y), bits(m)) for y, m in zip(np.split(yes, cuts), np.split(many, cuts))]
 
@@ -230,8 +255,9 @@ def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
     power[1:] = inverse
     total *= np.cumprod(power)[start]
-    total ^= total >> np.uint64(32)
-    return total * BASE
+    total ^= (total >> np.uint64(32)) ^ (length.astype(np.uint64) << np.uint64(48))
+    total *= BASE
+    return total ^ (total >> np.uint64(29))
 
 
 def first_of_equal(data: np.ndarray, start: np.ndarray, length: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -280,11 +306,15 @@ def cover(starts: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray
     return a[new], b[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(a) - 1]))]
 
 
+PLACES = "bucket int, block bigint, path string, at bigint, size bigint, places string, places_at bigint, places_size bigint, data binary"
+PLACES_ARROW = pa.schema([(c.split()[0], {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[c.split()[1]]) for c in PLACES.split(", ")])
+
+
 class Removal:
     """The steps over one table."""
 
-    def __init__(self, docs: DataFrame, carry: list[str]):
-        self.spark, self.carry = docs.sparkSession, carry
+    def __init__(self, docs: DataFrame, carry: list[str], block: int, many: int):
+        self.spark, self.carry, self.block, self.many = docs.sparkSession, carry, block, many
         self.rows = docs.select(*[F.col(c) for c in carry], F.col("doc_id").cast("bigint").alias("__order"), F.coalesce("text", F.lit("")).cast("binary").alias("__text"))
         self.folder = scratch(self.spark, "blocks")
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -293,7 +323,7 @@ class Removal:
         arrow_batches(self.spark)
 
     def anchors(self) -> DataFrame:
-        folder, buckets = self.folder, self.buckets
+        folder, buckets, block_bytes = self.folder, self.buckets, self.block
 
         def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base, file, waiting, n = TaskContext.get().partitionId() << 24, None, [], 0
@@ -304,7 +334,7 @@ class Removal:
                 block = pa.concat_batches(waiting)
                 data, offsets = utf8(block.column("__text"))
                 key, _, _, doc = anchored(data, offsets)
-                key, several, cuts = distinct_anchors(key, order_of(block, "__order")[doc], buckets)
+                key, several, cuts, _ = distinct_anchors(key, order_of(block, "__order")[doc], buckets)
                 offset, length = file.add(block)
                 # A bucket without anchors of this block gets no row; the first bucket always does.
                 used = np.union1d(np.flatnonzero(np.diff(cuts)), [base % buckets])
@@ -320,7 +350,7 @@ class Removal:
                     part = batch.slice(at, 64)
                     n += part.column("__text").nbytes
                     waiting.append(part)
-                    if n >= BLOCK:
+                    if n >= block_bytes:
                         yield done()
                         waiting, n = [], 0
             if waiting:
@@ -331,9 +361,11 @@ class Removal:
         return self.rows.mapInArrow(blocks, "bucket int, block bigint, path string, at bigint, size bigint, keys binary, flags binary")
 
     def answers(self) -> DataFrame:
+        many_blocks = self.many
+
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in runs_by(batches, "bucket"):
-                found = occurrences(rows)
+                found = occurrences(rows, many_blocks)
                 columns = [pa.array([r[c] for r in rows], t) for c, t in (("bucket", pa.int32()), ("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
                 yield pa.record_batch([*columns, pa.array([y for y, _ in found], pa.binary()), pa.array([m for _, m in found], pa.binary())], names=["bucket", "block", "path", "at", "size", "shared", "many"])
 
@@ -343,52 +375,103 @@ class Removal:
     def buckets_in(self) -> int:
         return min(self.buckets, 2 * self.parts)
 
-    def stretches(self, answers: DataFrame) -> DataFrame:
-        buckets = self.buckets
+    def digests(self, answers: DataFrame) -> DataFrame:
+        """For each block and bucket: anchor, digest and document of each stretch. The stretches' places are kept in files."""
+        buckets, folder = self.buckets, self.folder + "-stretches"
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            file = None
             for rows in runs_by(batches, "block"):
                 block = load(rows[0]["path"], rows[0]["at"], rows[0]["size"])
                 data, offsets = utf8(block.column("__text"))
                 key, start, count, doc = anchored(data, offsets)
                 ids = order_of(block, "__order")[doc]
-                own, _, cuts = distinct_anchors(key, ids, buckets)
+                own, _, cuts, place = distinct_anchors(key, ids, buckets)
                 shared, many = np.zeros(len(own), bool), np.zeros(len(own), bool)
                 for r in rows:
                     a, b = cuts[r["bucket"]], cuts[r["bucket"] + 1]
                     shared[a:b], many[a:b] = unbits(r["shared"], b - a), unbits(r["many"], b - a)
-                by_key = np.argsort(own)
-                place = by_key[np.searchsorted(own, key, sorter=by_key)] if len(own) else np.zeros(0, np.int64)
                 yes, single = shared[place], shared[place] & many[place]
                 # Stretches, and the strings of common anchors one by one, dealt by their own hash.
-                each = np.flatnonzero(single)
+                each, rest = np.flatnonzero(single), np.flatnonzero(yes & ~single)
                 lone = ranges(start[each], count[each])
-                rest = np.flatnonzero(yes & ~single)
                 s = np.concatenate((start[rest], lone))
                 c = np.concatenate((count[rest], np.ones(len(lone), np.int64)))
                 d = np.concatenate((ids[rest], np.repeat(ids[each], count[each])))
-                lone_hash = hashes_at(data, lone)
-                to = np.concatenate((buckets_of(key[rest], buckets), buckets_of(lone_hash, buckets)))
-                out: list[tuple] = []
-                if len(s):
-                    by, new = first_of_equal(data, s, c + LEAST - 1, d)
-                    group = np.cumsum(new) - 1
-                    low = d[by][np.flatnonzero(new)][group]
-                    again = by[d[by] > low]  # a smaller document of this block has the same
-                    one = by[new]
-                    out.append((-1 - rows[0]["block"] % buckets, pack(s[again].astype("<u4"), c[again].astype("<u2"))))
-                    one = one[np.lexsort((s[one], to[one]))]
-                    edge = dealt(to[one], buckets)
-                    for k in np.flatnonzero(np.diff(edge)):
-                        own_rows = one[edge[k] : edge[k + 1]]
-                        n = c[own_rows] + LEAST - 1
-                        out.append((int(k), pack(c[own_rows].astype("<u1"), d[own_rows].astype("<i8"), s[own_rows].astype("<u4"), data[ranges(s[own_rows], n)])))
-                else:
-                    out.append((-1 - rows[0]["block"] % buckets, pack(np.zeros(0, "<u4"), np.zeros(0, "<u2"))))
-                head = [pa.array([rows[0][c]] * len(out), t) for c, t in (("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
-                yield pa.record_batch([pa.array([k for k, _ in out], pa.int32()), *head, pa.array([x for _, x in out], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
+                digest = string_hashes(data, s, c + LEAST - 1) if len(s) else np.zeros(0, np.uint64)
+                to = np.concatenate((key[rest], digest[len(rest) :]))
+                by = np.lexsort((d, digest))
+                new = np.concatenate(([True], np.diff(digest[by]) != 0)) if len(by) else np.zeros(0, bool)
+                low = d[by][new][np.cumsum(new) - 1]
+                again = by[d[by] > low]  # a smaller document of this block has the same
+                one = by[d[by] == low]  # a document may have it twice
+                one = one[np.argsort(to[one], kind="stable")]
+                file = file or BlockFile(folder)
+                places = pack(s[one].astype("<u4"), c[one].astype("<u1"), d[one].astype("<i8"), s[again].astype("<u4"), c[again].astype("<u2"))
+                at, size = file.add_bytes(places)
+                edge = dealt(buckets_of(to[one], buckets), buckets)
+                used = np.union1d(np.flatnonzero(np.diff(edge)), [rows[0]["block"] % buckets])  # at least one row
+                blobs = [pack(np.frombuffer(short(to[one[edge[k] : edge[k + 1]]]), np.uint8), np.frombuffer(short(digest[one[edge[k] : edge[k + 1]]], 6), np.uint8), d[one[edge[k] : edge[k + 1]]].astype("<i8")) for k in used]
+                n = len(used)
+                out = {
+                    "bucket": pa.array(used, pa.int32()), "block": pa.array([rows[0]["block"]] * n, pa.int64()), "path": pa.array([rows[0]["path"]] * n), "at": pa.array([rows[0]["at"]] * n, pa.int64()), "size": pa.array([rows[0]["size"]] * n, pa.int64()),
+                    "places": pa.array([file.path] * n), "places_at": pa.array([at] * n, pa.int64()), "places_size": pa.array([size] * n, pa.int64()), "data": pa.array(blobs, pa.binary()),
+                }
+                yield pa.record_batch(list(out.values()), names=list(out))
+            if file:
+                file.stream.close()
 
         by_block = answers.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
+        return by_block.mapInArrow(send, PLACES)
+
+    def verdicts(self, digests: DataFrame) -> DataFrame:
+        """For each stretch, as bits: whether a smaller document has the same, and whether its bytes are asked for."""
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in runs_by(batches, "bucket"):
+                parts = [unpack(r["data"], "<u1", "<u1", "<i8") for r in rows]
+                key = unshort(b"".join(p[0].tobytes() for p in parts))
+                digest = unshort(b"".join(p[1].tobytes() for p in parts), 6)
+                doc = np.concatenate([p[2] for p in parts])
+                whole, asked = judged(key, digest, doc)
+                cuts = np.cumsum([len(p[2]) for p in parts])[:-1]
+                for r, w, a in zip(rows, np.split(whole, cuts), np.split(asked, cuts)):
+                    r["data"] = len(w).to_bytes(4, "little") + bits(w) + bits(a)
+                yield pa.RecordBatch.from_pylist(rows, schema=PLACES_ARROW)
+
+        dealt_rows = digests.repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
+        return saved(dealt_rows.mapInArrow(judge, PLACES), "verdicts")
+
+    def stretches(self, verdicts: DataFrame) -> DataFrame:
+        """The bytes that are asked for, by bucket; what is removed already goes under negative buckets."""
+        buckets = self.buckets
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in runs_by(batches, "block"):
+                first = rows[0]
+                fs, name = open_fs(first["places"])
+                with fs.open_input_file(name) as f:
+                    s, c, d, s_gone, c_gone = (x.astype(np.int64) for x in unpack(f.read_at(first["places_size"], first["places_at"]), "<u4", "<u1", "<i8", "<u4", "<u2"))
+                whole, asked, bucket = [np.zeros(0, bool)], [np.zeros(0, bool)], []
+                for r in rows:
+                    n = int.from_bytes(r["data"][:4], "little")
+                    half = (n + 7) // 8
+                    whole.append(unbits(r["data"][4 : 4 + half], n))
+                    asked.append(unbits(r["data"][4 + half :], n))
+                    bucket.append(np.full(n, r["bucket"]))
+                whole, asked, bucket = np.concatenate(whole), np.concatenate(asked), np.concatenate(bucket)
+                out = [(-1 - first["block"] % buckets, pack(np.concatenate((s_gone, s[whole])).astype("<u4"), np.concatenate((c_gone, c[whole])).astype("<u2")))]
+                if asked.any():
+                    data, _ = utf8(load(first["path"], first["at"], first["size"]).column("__text"))
+                    for k in np.unique(bucket[asked]):
+                        mine = np.arange(*np.searchsorted(bucket, [k, k + 1]))
+                        mine = mine[asked[mine]]
+                        n = c[mine] + LEAST - 1
+                        out.append((int(k), pack(c[mine].astype("<u1"), d[mine].astype("<i8"), s[mine].astype("<u4"), data[ranges(s[mine], n)])))
+                head = [pa.array([first[x]] * len(out), t) for x, t in (("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
+                yield pa.record_batch([pa.array([k for k, _ in out], pa.int32()), *head, pa.array([x for _, x in out], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
+
+        by_block = verdicts.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
         return by_block.mapInArrow(send, "bucket int, block bigint, path string, at bigint, size bigint, data binary")
 
     def found(self, stretches: DataFrame) -> DataFrame:
@@ -439,7 +522,7 @@ class Removal:
 
     def kept(self) -> DataFrame:
         """The carried columns with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
-        removed = self.found(self.stretches(self.answers()))
+        removed = self.found(self.stretches(self.verdicts(self.digests(self.answers()))))
         schema = StructType([self.rows.schema[c] for c in self.carry] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())])
         carry = self.carry
 
@@ -468,16 +551,6 @@ class Removal:
         return by_block.mapInArrow(cut, schema)
 
 
-def hashes_at(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A hash of the string of LEAST bytes at each start."""
-    out = np.zeros(len(starts), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(LEAST):
-            out = out * BASE + data[starts + k] + np.uint64(1)
-        out ^= out >> np.uint64(31)
-        return out * np.uint64(0xBF58476D1CE4E5B9)
-
-
 def string_runs(removed: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of removed strings within a stretch: first string, number of strings, stretch."""
     at = np.flatnonzero(removed)
@@ -488,9 +561,9 @@ def string_runs(removed: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.nda
     return at[first], np.diff(np.concatenate((first, [len(at)]))), of[at[first]]
 
 
-def removal(docs: DataFrame, carry: list[str]) -> DataFrame:
+def removal(docs: DataFrame, carry: list[str], block: int = BLOCK, many: int = MANY) -> DataFrame:
     """For each row: the carried columns, n_bytes, n_removed, n_spans, and kept, the bytes that stay."""
-    return Removal(docs, carry).kept()
+    return Removal(docs, carry, block, many).kept()
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
