@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import pathlib
 import shutil
@@ -63,6 +64,45 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """What a worker keeps between tasks under a name: one thing at a time, so that operators do not add up."""
+    if name not in _kept:
+        _kept.clear()
+        trim()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def trim() -> None:
+    """Gives memory that is free back to the system: a worker lives on beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(function, keeps: bool = False):
+    """A function for mapInArrow whose worker holds little before and after it; keeps: what is kept stays."""
+
+    def run(batches):
+        begin(keeps)
+        yield from function(batches)
+        trim()
+
+    return run
+
+
+def begin(keeps: bool) -> None:
+    if not keeps:
+        _kept.clear()
+    pa.set_memory_pool(pa.system_memory_pool())
+    trim()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, utf8
+from .common import arrow_batches, lean, utf8
 from .tokens import together
 
 SIMILARITY = 0.85
@@ -238,7 +238,7 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
                 rows = [(ids[r], index.ids[k], d, len(index.items[k])) for r, k, d in index.matches(batch.column("text"))]
                 yield pa.record_batch([pa.array([x[i] for x in rows], pa.int64()) for i in range(4)], names=["doc_id", "item_id", "edits", "item_bytes"])
 
-        part = docs.mapInArrow(find, schema)
+        part = docs.mapInArrow(lean(find), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -255,5 +255,5 @@ def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) ->
                 stay[[r for r, _, _ in shared.value.matches(batch.column("text"))]] = False
                 yield batch.filter(pa.array(stay))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(lean(keep), docs.schema)
     return docs

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, lean
 
 DEPTH = 200
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -415,4 +415,4 @@ def extracted(pages: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column("page_id"), pa.array([visible_text(h) for h in batch.column("html").to_pylist()], pa.string())], names=["page_id", "text"])
 
     arrow_batches(pages.sparkSession)
-    return pages.select(F.col("page_id").cast("bigint"), "html").mapInArrow(each, "page_id bigint, text string")
+    return pages.select(F.col("page_id").cast("bigint"), "html").mapInArrow(lean(each), "page_id bigint, text string")

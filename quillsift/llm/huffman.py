@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, open_fs, ranges, saved, scratch, shuffle_partitions, write_bytes
+from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, write_bytes
 from .tokens import encoder, together, with_end
 
 MAGIC = b"QSHUF001"
@@ -187,7 +187,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
 
     arrow_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(encode, "doc_id bigint, n_tokens bigint, ids binary, width int")
+    return rows.mapInArrow(lean(encode, True), "doc_id bigint, n_tokens bigint, ids binary, width int")
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
@@ -210,7 +210,7 @@ def global_counts(ids: DataFrame) -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "n"])
 
-    rows = ids.select("ids", "width").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = ids.select("ids", "width").mapInArrow(lean(count), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(int(max(rows.column("id").to_pylist(), default=-1)) + 1, np.int64)
     counts[rows.column("id").to_numpy()] = rows.column("n").to_numpy()
     return counts
@@ -252,7 +252,7 @@ def write_files(ids: DataFrame, lengths: np.ndarray, folder: str, files: int) ->
         yield pa.record_batch([pa.array([task.partitionId()], pa.int64()), pa.array([path]), pa.array([stored[0]], pa.int64())], names=["part", "path", "n"])
 
     arrow_batches(ids.sparkSession)
-    return ids.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids").mapInArrow(write, "part bigint, path string, n bigint")
+    return ids.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids").mapInArrow(lean(write), "part bigint, path string, n bigint")
 
 
 def read_files(spark, files: list[tuple[str, int]]) -> DataFrame:
@@ -272,7 +272,7 @@ def read_files(spark, files: list[tuple[str, int]]) -> DataFrame:
                     yield pa.record_batch([documents.column("doc_id"), pa.array(start + ends - counts), documents.column("n_tokens"), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
                     start += len(ids)
 
-    return spark.range(0, len(files), 1, len(files)).mapInArrow(read, schema)
+    return spark.range(0, len(files), 1, len(files)).mapInArrow(lean(read), schema)
 
 
 def store(docs: DataFrame, tokenizer: str, end_id: int = 2, file_tokens: int = 1 << 23) -> tuple[list[tuple[str, int]], np.ndarray]:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, lean
 
 UND = "und"
 #: Bounds of the model: documents learned from in each language, words and n-grams kept of each language.
@@ -123,7 +123,7 @@ def learn(docs: DataFrame, learned, per_language: int = DOCUMENTS) -> Model:
         yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
     arrow_batches(docs.sparkSession)
-    counted = sample.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+    counted = sample.mapInArrow(lean(count), "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
     words, parts = {l: Counter() for l in languages}, {l: Counter() for l in languages}
     for lang, word, n in zip(*(counted.column(c).to_pylist() for c in ("lang", "word", "n"))):
         words[lang][word] = n
@@ -146,4 +146,4 @@ def predicted(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
             yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
 
     arrow_batches(docs.sparkSession)
-    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(each, schema)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(lean(each), schema)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, open_fs, saved, scratch, shuffle_partitions, write_bytes
+from .common import arrow_batches, lean, open_fs, saved, scratch, shuffle_partitions, write_bytes
 from .warc import requests
 
 #: Samples of an image row; a payload is a whole number of rows, filled up with FILL.
@@ -125,7 +125,7 @@ def store(docs: DataFrame) -> DataFrame:
 
     arrow_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return saved(texts.mapInArrow(write, PLACES), "media-rows")
+    return saved(texts.mapInArrow(lean(write), PLACES), "media-rows")
 
 
 def catalogue(rows: DataFrame) -> DataFrame:
@@ -166,7 +166,7 @@ def _reader(schema: str, length: int | None, columns):
 def metadata(places: DataFrame) -> DataFrame:
     """Per digest: width, height, bits and colour type of the image, from its header alone."""
     schema = "digest string, width int, height int, bits int, colour int"
-    return places.mapInArrow(_reader(schema, HEADER_BYTES, png_header), schema)
+    return places.mapInArrow(lean(_reader(schema, HEADER_BYTES, png_header)), schema)
 
 
 def features(places: DataFrame) -> DataFrame:
@@ -177,4 +177,4 @@ def features(places: DataFrame) -> DataFrame:
         payload = png_payload(image)
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(image), hashlib.sha256(image).hexdigest(), feature(payload)
 
-    return places.mapInArrow(_reader(schema, None, columns), schema)
+    return places.mapInArrow(lean(_reader(schema, None, columns)), schema)

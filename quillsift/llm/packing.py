@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, saved, shuffle_partitions
+from .common import arrow_batches, lean, saved, shuffle_partitions
 from .tokens import encoder, together, with_end
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -116,7 +116,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, piece: int, end_id: int = 2
             yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * 5, names=names)
 
     arrow_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(cut, True), PIECES)
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, piece: int = 512, group: int = 256, end_id: int = 2) -> DataFrame:
@@ -153,4 +153,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, piece: int = 512
         if rows := [w for w in waiting if w.num_rows]:
             yield emit(pa.concat_batches(rows))
 
-    return pieces.repartition(int(tasks), F.xxhash64("doc_id", "start", "ids_crc32")).sortWithinPartitions("doc_id", "start", "ids_crc32").mapInArrow(packed, PACKED)
+    return pieces.repartition(int(tasks), F.xxhash64("doc_id", "start", "ids_crc32")).sortWithinPartitions("doc_id", "start", "ids_crc32").mapInArrow(lean(packed), PACKED)

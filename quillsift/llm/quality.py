@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, utf8
+from .common import arrow_batches, lean, utf8
 
 #: Bounds of the samples that are learned from: trusted positives, and unlabelled texts.
 POSITIVES, UNLABELLED = 8_000, 16_000
@@ -149,7 +149,7 @@ def sampled(rows: DataFrame) -> np.ndarray:
                 x = features(batch.column("text"))
                 yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary())], names=["x"])
 
-    found = rows.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(each, "x binary").toArrow().column("x").to_pylist()
+    found = rows.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(each), "x binary").toArrow().column("x").to_pylist()
     return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), -1)
 
 
@@ -176,4 +176,4 @@ def scored(docs: DataFrame, model: Model | None, *keep: str, score: str = "score
             yield pa.record_batch([*(batch.column(i) for i in range(len(keep))), pa.array(scores.astype(np.float64))], names=[*keep, score])
 
     arrow_batches(docs.sparkSession)
-    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(each, schema)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(lean(each), schema)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, saved
+from .common import arrow_batches, lean, saved
 
 DISTANCE = 3
 #: Shingles that are counted at once; 255 is the most that a byte counts.
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     arrow_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(each, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(each), "doc_id bigint, fp bigint")
 
 
 def masks(bits: list[int], blocks: int, agree: int) -> list[int]:
@@ -206,7 +206,7 @@ def links(distinct: DataFrame, large: int = 1 << 14, held: int = 1 << 18) -> Dat
     spark = distinct.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrow_batches(spark, 1 << 14)
-    return routed(distinct, large).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(find, "a bigint, b bigint")
+    return routed(distinct, large).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
 
 
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import arrow_batches, open_fs, ranges, saved, scratch, shuffle_partitions, utf8
+from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, utf8
 
 LEAST, ANCHOR = 50, 32
 #: Bytes of a block, and bytes that are hashed at once.
@@ -246,24 +246,30 @@ def occurrences(rows: list[dict], many_blocks: int) -> list[tuple[bytes, bytes]]
     return [(bits(y), bits(m)) for y, m in zip(np.split(yes, cuts), np.split(many, cuts))]
 
 
-def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray, part: int = 1 << 20) -> np.ndarray:
     """A hash of each string, from sums over all bytes up to a place: (S(end) - S(start)) / BASE**start modulo 2**64."""
-    n = len(data) + 1
-    power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, BASE, np.uint64))))
-    sums = np.concatenate(([np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])))
-    total = sums[start + length] - sums[start]
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    power[1:] = inverse
-    total *= np.cumprod(power)[start]
-    total ^= (total >> np.uint64(32)) ^ (length.astype(np.uint64) << np.uint64(48))
-    total *= BASE
-    return total ^ (total >> np.uint64(29))
+    out, longest = np.empty(len(start), np.uint64), int(length.max(initial=0))
+    n = min(len(data), part + longest)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, BASE, np.uint64))))
+        back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(pow(int(BASE), -1, 1 << 64)), np.uint64))))
+        where = start // part
+        for k in np.unique(where):
+            own = np.flatnonzero(where == k)
+            piece = data[k * part : (k + 1) * part + longest]
+            sums = np.zeros(len(piece) + 1, np.uint64)
+            np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * power[: len(piece)], out=sums[1:])
+            a, size = start[own] - k * part, length[own]
+            total = (sums[a + size] - sums[a]) * back[a]
+            total ^= (total >> np.uint64(32)) ^ (size.astype(np.uint64) << np.uint64(48))
+            total *= BASE
+            out[own] = total ^ (total >> np.uint64(29))
+    return out
 
 
 def first_of_equal(data: np.ndarray, start: np.ndarray, length: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorts strings so that equal ones are neighbours, the smallest document first; and which begin a group. Bytes decide, not hashes."""
-    with np.errstate(over="ignore"):
-        total = string_hashes(data, start, length)
+    total = string_hashes(data, start, length)
     by = np.lexsort((doc, length, total))
     new = np.ones(len(by), bool)
     alike = np.flatnonzero((total[by][1:] == total[by][:-1]) & (length[by][1:] == length[by][:-1]))
@@ -358,7 +364,7 @@ class Removal:
             if file:
                 file.stream.close()
 
-        return self.rows.mapInArrow(blocks, "bucket int, block bigint, path string, at bigint, size bigint, keys binary, flags binary")
+        return self.rows.mapInArrow(lean(blocks), "bucket int, block bigint, path string, at bigint, size bigint, keys binary, flags binary")
 
     def answers(self) -> DataFrame:
         many_blocks = self.many
@@ -370,7 +376,7 @@ class Removal:
                 yield pa.record_batch([*columns, pa.array([y for y, _ in found], pa.binary()), pa.array([m for _, m in found], pa.binary())], names=["bucket", "block", "path", "at", "size", "shared", "many"])
 
         dealt_rows = self.anchors().repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
-        return saved(dealt_rows.mapInArrow(answer, "bucket int, block bigint, path string, at bigint, size bigint, shared binary, many binary"), "anchors")
+        return saved(dealt_rows.mapInArrow(lean(answer), "bucket int, block bigint, path string, at bigint, size bigint, shared binary, many binary"), "anchors")
 
     def buckets_in(self) -> int:
         return min(self.buckets, 2 * self.parts)
@@ -422,7 +428,7 @@ class Removal:
                 file.stream.close()
 
         by_block = answers.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
-        return by_block.mapInArrow(send, PLACES)
+        return by_block.mapInArrow(lean(send), PLACES)
 
     def verdicts(self, digests: DataFrame) -> DataFrame:
         """For each stretch, as bits: whether a smaller document has the same, and whether its bytes are asked for."""
@@ -440,7 +446,7 @@ class Removal:
                 yield pa.RecordBatch.from_pylist(rows, schema=PLACES_ARROW)
 
         dealt_rows = digests.repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
-        return saved(dealt_rows.mapInArrow(judge, PLACES), "verdicts")
+        return saved(dealt_rows.mapInArrow(lean(judge), PLACES), "verdicts")
 
     def stretches(self, verdicts: DataFrame) -> DataFrame:
         """The bytes that are asked for, by bucket; what is removed already goes under negative buckets."""
@@ -472,7 +478,7 @@ class Removal:
                 yield pa.record_batch([pa.array([k for k, _ in out], pa.int32()), *head, pa.array([x for _, x in out], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
 
         by_block = verdicts.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
-        return by_block.mapInArrow(send, "bucket int, block bigint, path string, at bigint, size bigint, data binary")
+        return by_block.mapInArrow(lean(send), "bucket int, block bigint, path string, at bigint, size bigint, data binary")
 
     def found(self, stretches: DataFrame) -> DataFrame:
         """Runs of strings to remove, by block. Rows with a negative bucket are such already."""
@@ -518,7 +524,7 @@ class Removal:
                     yield pa.record_batch([pa.array([rows[k]["bucket"] for k in used], pa.int32()), *columns, pa.array([pack(s[cuts[k] : cuts[k + 1]].astype("<u4"), c[cuts[k] : cuts[k + 1]].astype("<u2")) for k in used], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
 
         dealt_rows = stretches.repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
-        return saved(dealt_rows.mapInArrow(match, stretches.schema), "removed", "none")
+        return saved(dealt_rows.mapInArrow(lean(match), stretches.schema), "removed", "none")
 
     def kept(self) -> DataFrame:
         """The carried columns with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
@@ -548,7 +554,7 @@ class Removal:
                 yield pa.record_batch([*(block.column(c) for c in carry), *(pa.array(out[:, k]) for k in range(3)), whole], names=[*carry, "n_bytes", "n_removed", "n_spans", "kept"])
 
         by_block = removed.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
-        return by_block.mapInArrow(cut, schema)
+        return by_block.mapInArrow(lean(cut), schema)
 
 
 def string_runs(removed: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -581,7 +587,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             text = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
             yield pa.record_batch([*(batch.column(c) for c in carry), pa.array(text, pa.string()), batch.column("n_removed")], names=schema.names)
 
-    out = found.mapInArrow(decode, schema).filter("`__removed` = 0 or length(trim(text)) > 0")
+    out = found.mapInArrow(lean(decode), schema).filter("`__removed` = 0 or length(trim(text)) > 0")
     if "n_chars" in carry:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -9,6 +9,7 @@ and goes to the tokenizer's model at once; any other piece goes through the whol
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterator
@@ -18,12 +19,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import ranges, utf8
+from .common import kept, ranges, utf8
 
-#: Pieces that a worker remembers; beyond, it starts again. About 130 MB.
-REMEMBERED = 900_000
+#: Pieces that a worker remembers; beyond, it starts again. About 140 MB.
+REMEMBERED = 1_000_000
 #: Bytes of text that are encoded at once.
-AT_ONCE = 6 << 20
+AT_ONCE = 8 << 20
 #: Before a piece that no space precedes; alone, an uncut text.
 BARE, UNCUT = "\x02", "\x01"
 SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -114,28 +115,29 @@ class PieceEncoder:
     def _learn(self) -> None:
         """Encodes the pieces noted as new. A word before a final stop or comma is looked up by itself."""
         known, words, texts, stemmed, asked = self.known, [], [], [], 0
-        lone, lone_ids, model, letters = [], [], self.tokenizer.model.tokenize, self.letters
-        mark = "" if self.lowers else letters[32]
+        numbers, lengths, ids, model, letters = [], [], [], self.tokenizer.model.tokenize, self.letters
+        mark, stops = "" if self.lowers else letters[32], {stop: known[BARE + stop] for stop in PLAIN_STOPS}
         while asked < len(known.new):
             p = known.new[asked]
             asked += 1
             if p.isalpha() and is_latin1(p) and (not self.lowers or p.islower()):
-                if p.isascii():
-                    lone_ids.append([t.id for t in model(mark + p)])
-                else:
-                    lone_ids.append([t.id for t in model(mark + "".join([letters[b] for b in p.encode()]))])
-                lone.append(known[p])
-            elif len(p) > 2 and p[-1] in PLAIN_STOPS and p[-2].isalpha() and p[-2] < "\u0100" and p[0] != UNCUT:
-                stemmed.append((known[p], known[p[:-1]], known[BARE + p[-1]]))
+                tokens = model(mark + p if p.isascii() else mark + "".join([letters[b] for b in p.encode()]))
+                ids += [t.id for t in tokens]
+                lengths.append(len(tokens))
+                numbers.append(known[p])
+            elif len(p) > 2 and p[-1] in stops and p[-2].isalpha() and p[-2] < "\u0100" and p[0] != UNCUT:
+                stemmed.append((known[p], known[p[:-1]], stops[p[-1]]))
             else:
                 words.append(known[p])
                 texts.append(self._text(p))
         known.new = []
         if texts:
-            lone_ids += [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        if lone_ids:
-            lengths = np.fromiter(map(len, lone_ids), np.int32, len(lone_ids))
-            self._put(np.array(lone + words), lengths, np.fromiter(chain.from_iterable(lone_ids), np.int32, int(lengths.sum())))
+            own = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            numbers += words
+            lengths += map(len, own)
+            ids += chain.from_iterable(own)
+        if numbers:
+            self._put(np.array(numbers), np.array(lengths, np.int32), np.array(ids, np.int32))
         if stemmed:
             number, stem, stop = np.array(stemmed).T
             pairs = np.stack((stem, stop), 1).ravel()
@@ -143,7 +145,7 @@ class PieceEncoder:
             self._put(number, sizes.reshape(-1, 2).sum(1), self.flat[ranges(self.starts[pairs], sizes)])
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))
 
     def _cut(self, text: str) -> list[str]:
         """The pieces of a text with crowded white space."""
@@ -172,7 +174,9 @@ class PieceEncoder:
             found[firsts[:-1]] = self._numbers([BARE + x if x else "" for x in pc.list_element(cut, 0).to_pylist()])
         others = {i: self._numbers(self._cut(texts[i].as_py())) for i in np.flatnonzero(odd)}
         if self.known.new:
+            gc.disable()  # many small lists, none in a cycle
             self._learn()
+            gc.enable()
         if others:
             parts = [others.get(i, found[a:b]) for i, (a, b) in enumerate(zip(firsts, firsts[1:]))]
             found, firsts = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
@@ -201,15 +205,9 @@ def together(batches: Iterator[pa.RecordBatch], column: str = "text", least: int
         yield pa.concat_batches(waiting)
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder of a file; tasks of one worker share what it remembers."""
-    if path not in _encoders:
-        _encoders.clear()
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return kept(f"encoder {path}", lambda: PieceEncoder(path))
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

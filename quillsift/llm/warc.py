@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, open_fs, saved, scratch, shuffle_partitions, write_bytes
+from .common import arrow_batches, lean, open_fs, saved, scratch, shuffle_partitions, write_bytes
 
 INDEX = "file string, offset bigint, length bigint, url string, digest string, page_id bigint, record_type string"
 RECORD = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string"
@@ -95,7 +95,7 @@ def write(pages: DataFrame, least: int = 100) -> DataFrame:
         yield pa.record_batch([pa.array(c, pa.string() if t == "string" else pa.int64()) for c, t in zip(zip(*index), types)], names=list(names))
 
     arrow_batches(pages.sparkSession)
-    return saved(with_referred(pages, least).mapInArrow(archive, INDEX), "warc-index")
+    return saved(with_referred(pages, least).mapInArrow(lean(archive), INDEX), "warc-index")
 
 
 def requests(rows: list[tuple[int, int]]) -> Iterator[tuple[int, int, int, int]]:
@@ -141,4 +141,4 @@ def read(index: DataFrame) -> DataFrame:
     spark = index.sparkSession
     arrow_batches(spark)
     rows = index.select("file", "offset", "length").repartitionByRange(shuffle_partitions(spark), "file", "offset").sortWithinPartitions("file", "offset")
-    return rows.mapInArrow(fetch, RECORD)
+    return rows.mapInArrow(lean(fetch), RECORD)
