@@ -9,7 +9,7 @@ first of several. Equal strings have equal anchors, so they meet wherever the an
 3. A block sends, for each such anchor, the digest of the stretch of text whose strings have that anchor,
    once for equal stretches; for anchors of many blocks it sends the strings one by one, dealt by their own
    hash, so that a common anchor with ever different surroundings never meets in one bucket. A bucket
-   answers which stretches a smaller document has too (anchor and digest together have 88 bits), and which
+   answers which stretches a smaller document has too (anchor and digest together have 80 bits), and which
    anchors have different stretches. Only of those the bytes are sent.
 4. A bucket finds their equal strings. Its intervals (strings with a common prefix, in suffix order) begin
    with the empty prefix; each round puts the preceding byte, the Burrows-Wheeler column, before the prefix
@@ -180,6 +180,22 @@ def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def narrow(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents' numbers as the least one and the differences, in two bytes each where they fit."""
+    base = doc.min(initial=NEVER)
+    apart = (doc.astype("<i8") - base).view("<u8")
+    return np.array([base], "<i8"), apart.astype("<u2") if apart.max(initial=np.uint64(0)) < 1 << 16 else apart
+
+
+def as_bytes(pair: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return pair[0], pair[1].view(np.uint8)
+
+
+def wide(base: np.ndarray, apart: np.ndarray, n: int) -> np.ndarray:
+    apart = apart.view("<u2" if len(apart) == 2 * n else "<u8").astype("<u8")
+    return (apart + base.astype("<u8")[0]).astype("<i8")
+
+
 def runs_by(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[dict]]:
     """Rows with the same value of a column, as sorted batches bring them."""
     held: list[dict] = []
@@ -417,7 +433,7 @@ class Removal:
                 at, size = file.add_bytes(places)
                 edge = dealt(buckets_of(to[one], buckets), buckets)
                 used = np.union1d(np.flatnonzero(np.diff(edge)), [rows[0]["block"] % buckets])  # at least one row
-                blobs = [pack(np.frombuffer(short(to[one[edge[k] : edge[k + 1]]]), np.uint8), np.frombuffer(short(digest[one[edge[k] : edge[k + 1]]], 6), np.uint8), d[one[edge[k] : edge[k + 1]]].astype("<i8")) for k in used]
+                blobs = [pack(np.frombuffer(short(to[one[edge[k] : edge[k + 1]]]), np.uint8), np.frombuffer(short(digest[one[edge[k] : edge[k + 1]]]), np.uint8), *as_bytes(narrow(d[one[edge[k] : edge[k + 1]]]))) for k in used]
                 n = len(used)
                 out = {
                     "bucket": pa.array(used, pa.int32()), "block": pa.array([rows[0]["block"]] * n, pa.int64()), "path": pa.array([rows[0]["path"]] * n), "at": pa.array([rows[0]["at"]] * n, pa.int64()), "size": pa.array([rows[0]["size"]] * n, pa.int64()),
@@ -435,12 +451,13 @@ class Removal:
 
         def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in runs_by(batches, "bucket"):
-                parts = [unpack(r["data"], "<u1", "<u1", "<i8") for r in rows]
+                parts = [unpack(r["data"], "<u1", "<u1", "<i8", "<u1") for r in rows]
                 key = unshort(b"".join(p[0].tobytes() for p in parts))
-                digest = unshort(b"".join(p[1].tobytes() for p in parts), 6)
-                doc = np.concatenate([p[2] for p in parts])
+                digest = unshort(b"".join(p[1].tobytes() for p in parts))
+                sizes = [len(p[0]) // 5 for p in parts]
+                doc = np.concatenate([wide(p[2], p[3], n) for p, n in zip(parts, sizes)])
                 whole, asked = judged(key, digest, doc)
-                cuts = np.cumsum([len(p[2]) for p in parts])[:-1]
+                cuts = np.cumsum(sizes)[:-1]
                 for r, w, a in zip(rows, np.split(whole, cuts), np.split(asked, cuts)):
                     r["data"] = len(w).to_bytes(4, "little") + bits(w) + bits(a)
                 yield pa.RecordBatch.from_pylist(rows, schema=PLACES_ARROW)
