@@ -144,11 +144,16 @@ def hits(values: Column, allowed) -> Column:
 
 
 def patterns_hit(canon: Column, patterns, skip: Column | None = None) -> Column:
-    """How many distinct patterns match the start of some segment."""
+    """How many distinct patterns match the start of some segment that is not to be skipped."""
+
+    def found(pattern: str) -> Column:
+        if skip is None:
+            return F.exists(canon, lambda s: s.rlike(f"^(?:{pattern})"))
+        return F.exists(F.arrays_zip(canon.alias("s"), skip.alias("k")), lambda z: ~z["k"] & z["s"].rlike(f"^(?:{pattern})"))
+
     out = F.lit(0)
     for p in patterns:
-        found = F.exists(canon, lambda s, p=p: s.rlike(f"^(?:{p})")) if skip is None else F.exists(F.arrays_zip(canon.alias("s"), skip.alias("k")), lambda z, p=p: ~z["k"] & z["s"].rlike(f"^(?:{p})"))
-        out = out + F.when(found, 1).otherwise(0)
+        out = out + F.when(found(p), 1).otherwise(0)
     return out
 
 

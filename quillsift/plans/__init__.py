@@ -1,4 +1,4 @@
 """Queries over the driver's tables, each beside its SQL."""
 
-from . import identity  # noqa: F401
+from . import decisions, identity, pages, web  # noqa: F401
 from .base import QUERIES, SQL  # noqa: F401
