@@ -48,7 +48,7 @@ def png(payload: bytes) -> bytes:
     lines = np.zeros((len(rows), WIDTH + 1), np.uint8)
     lines[:, 1:] = rows
     head = struct.pack(">IIBBBBB", WIDTH, len(rows), 8, 0, 0, 0, 0)
-    return SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines, 3)) + chunk(b"IEND", b"")
+    return SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines, 6)) + chunk(b"IEND", b"")
 
 
 def png_header(data: bytes) -> tuple[int, int, int, int]:
@@ -129,9 +129,14 @@ def store(docs: DataFrame) -> DataFrame:
 
 
 def catalogue(rows: DataFrame) -> DataFrame:
-    """One place for each digest, dealt by ranges of places and sorted."""
+    """One place for each digest."""
     one = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
-    return one.repartitionByRange(shuffle_partitions(rows.sparkSession), "shard", "offset").sortWithinPartitions("shard", "offset")
+    return saved(one, "media-catalogue")
+
+
+def sorted_by_place(places: DataFrame) -> DataFrame:
+    """Dealt by ranges of places and sorted, so that neighbours in a shard are read together."""
+    return places.repartitionByRange(shuffle_partitions(places.sparkSession), "shard", "offset").sortWithinPartitions("shard", "offset")
 
 
 def _reader(schema: str, length: int | None, columns):
@@ -166,7 +171,7 @@ def _reader(schema: str, length: int | None, columns):
 def metadata(places: DataFrame) -> DataFrame:
     """Per digest: width, height, bits and colour type of the image, from its header alone."""
     schema = "digest string, width int, height int, bits int, colour int"
-    return places.mapInArrow(lean(_reader(schema, HEADER_BYTES, png_header)), schema)
+    return sorted_by_place(places).mapInArrow(lean(_reader(schema, HEADER_BYTES, png_header)), schema)
 
 
 def features(places: DataFrame) -> DataFrame:
@@ -177,4 +182,4 @@ def features(places: DataFrame) -> DataFrame:
         payload = png_payload(image)
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(image), hashlib.sha256(image).hexdigest(), feature(payload)
 
-    return places.mapInArrow(lean(_reader(schema, None, columns)), schema)
+    return sorted_by_place(places).mapInArrow(lean(_reader(schema, None, columns)), schema)

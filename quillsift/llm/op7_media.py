@@ -10,7 +10,6 @@ from .common import saved
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = media.store(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    places = saved(media.catalogue(rows), "media-catalogue")
-    places = places.repartitionByRange(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard", "offset").sortWithinPartitions("shard", "offset")
-    known = saved(media.features(places), "media-features").join(saved(media.metadata(places), "media-metadata"), "digest")
-    return rows.select("doc_id", "n_bytes", "digest").join(saved(known, "media-known"), "digest").drop("digest")
+    places = media.catalogue(rows)
+    known = saved(media.features(places).join(media.metadata(places), "digest"), "media-known")
+    return rows.select("doc_id", "n_bytes", "digest").join(known, "digest").drop("digest")

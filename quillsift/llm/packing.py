@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, lean, saved, shuffle_partitions
 from .tokens import encoder, together, with_end
 
+#: Bytes of text encoded at once, and pieces that a worker remembers: in a pipeline the executor's heap is full already.
+AT_ONCE, PIECES_KNOWN = 3 << 20, 400_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
 
@@ -102,8 +104,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, piece: int, end_id: int = 2
     """The pieces of every document, with the CRC of their ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for batch in together(batches):
+        encode = encoder(tokenizer, PIECES_KNOWN).encode
+        for batch in together(batches, least=AT_ONCE):
             ids, counts = with_end(*encode(batch.column("text")), end_id)
             data = memoryview(ids.astype("<u4").tobytes())
             doc_ids, rows, at = batch.column("doc_id").to_pylist(), [], 0

@@ -1,7 +1,7 @@
 """Quality classifier, learned from trusted positives and unlabelled web text by non-negative risk.
 
 With p the trusted positives, u the unlabelled texts and c the share of positives in u, the risk of a
-scorer g is  c E_p l(g) + max(0, E_u l(-g) - c E_p l(-g)),  l the logistic loss: the second part is an
+scorer g is  c E_p l(g) + max(0, E_u l(-g) - c E_p l(-g)),  l the sigmoid loss: the second part is an
 unbiased estimate of the risk on negatives, and as that cannot be negative it is held at zero. When it
 falls below, a step is taken to raise it. The class prior c is estimated from the lowest ratio of u to p
 among the sets of texts that a first scorer of p against u ranks above a threshold.
@@ -29,13 +29,15 @@ from .common import arrow_batches, lean, utf8
 POSITIVES, UNLABELLED = 8_000, 16_000
 #: Bytes that are compressed at once, over the whole text: repetition within a window.
 WINDOW = 1 << 15
+#: Shares of the 256 bytes, and sizes and repetition.
+FEATURES = 256 + 16
 
 
 def features(texts: pa.Array) -> np.ndarray:
     """A row of features of each text: shares of bytes, sizes of words, and how much repeats."""
     data, offsets = utf8(texts)
     texts = pc.fill_null(texts, "")
-    out = np.zeros((len(texts), 256 + 16), np.float32)
+    out = np.zeros((len(texts), FEATURES), np.float32)
     cut = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
     words = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
     flat = cut.flatten()
@@ -125,11 +127,11 @@ def fit(p: np.ndarray, u: np.ndarray, hidden: int = 16, steps: int = 900) -> Mod
     prior = class_prior(*(forward(first, x[half[1]])[0] for x in (p, u)))
 
     def slopes(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        negative = np.mean(np.logaddexp(0, zu)) - prior * np.mean(np.logaddexp(0, zp))
-        dp, du = -prior * sigmoid(zp) / len(zp), sigmoid(zu) / len(zu)
-        if negative < 0:  # held at zero: undo what went too far
-            return -dp, -du
-        return -prior * sigmoid(-zp) / len(zp) + dp, du
+        sp, su = sigmoid(zp), sigmoid(zu)
+        dp, du = prior * sp * (1 - sp) / len(zp), su * (1 - su) / len(zu)
+        if np.mean(su) < prior * np.mean(sp):  # held at zero: undo what went too far
+            return dp, -du
+        return -2 * dp, du
 
     return Model(centre, scale, descend(p, u, slopes, hidden, steps, 1e-3), prior)
 
@@ -150,7 +152,7 @@ def sampled(rows: DataFrame) -> np.ndarray:
                 yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary())], names=["x"])
 
     found = rows.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(each), "x binary").toArrow().column("x").to_pylist()
-    return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), -1)
+    return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), FEATURES)
 
 
 def learn(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0) -> Model | None:

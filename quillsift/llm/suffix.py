@@ -336,8 +336,8 @@ class Removal:
     """The steps over one table."""
 
     def __init__(self, docs: DataFrame, carry: list[str], block: int, many: int):
-        self.spark, self.carry, self.block, self.many = docs.sparkSession, carry, block, many
-        self.rows = docs.select(*[F.col(c) for c in carry], F.col("doc_id").cast("bigint").alias("__order"), F.coalesce("text", F.lit("")).cast("binary").alias("__text"))
+        self.spark, self.block, self.many = docs.sparkSession, block, many
+        self.rows = docs.select(F.struct(*[docs[c] for c in carry]).alias("carry"), F.col("doc_id").cast("bigint").alias("__order"), F.coalesce("text", F.lit("")).cast("binary").alias("__text"))
         self.folder = scratch(self.spark, "blocks")
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.parts = shuffle_partitions(self.spark)
@@ -544,10 +544,9 @@ class Removal:
         return saved(dealt_rows.mapInArrow(lean(match), stretches.schema), "removed", "none")
 
     def kept(self) -> DataFrame:
-        """The carried columns with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
+        """carry, a struct of the carried columns, with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
         removed = self.found(self.stretches(self.verdicts(self.digests(self.answers()))))
-        schema = StructType([self.rows.schema[c] for c in self.carry] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())])
-        carry = self.carry
+        schema = StructType([self.rows.schema["carry"]] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", BinaryType())])
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in runs_by(batches, "block"):
@@ -568,7 +567,7 @@ class Removal:
                 ends = np.concatenate(([0], np.cumsum(out[:, 0] - out[:, 1])))
                 left = data[stay]
                 whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(out), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(left)]).cast(pa.binary())
-                yield pa.record_batch([*(block.column(c) for c in carry), *(pa.array(out[:, k]) for k in range(3)), whole], names=[*carry, "n_bytes", "n_removed", "n_spans", "kept"])
+                yield pa.record_batch([block.column("carry"), *(pa.array(out[:, k]) for k in range(3)), whole], names=["carry", "n_bytes", "n_removed", "n_spans", "kept"])
 
         by_block = removed.repartition(4 * self.parts, "block").sortWithinPartitions("block", "bucket")
         return by_block.mapInArrow(lean(cut), schema)
@@ -586,7 +585,7 @@ def string_runs(removed: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def removal(docs: DataFrame, carry: list[str], block: int = BLOCK, many: int = MANY) -> DataFrame:
     """For each row: the carried columns, n_bytes, n_removed, n_spans, and kept, the bytes that stay."""
-    return Removal(docs, carry, block, many).kept()
+    return Removal(docs, carry, block, many).kept().select("carry.*", "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -596,15 +595,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     that were empty before stay, with an empty text for null.
     """
     carry = [c for c in docs.columns if c != "text"]
-    found = removal(docs, carry)
-    schema = StructType([docs.schema[c] for c in carry] + [StructField("text", StringType()), StructField("__removed", LongType())])
+    found = Removal(docs, carry, BLOCK, MANY).kept()
+    schema = StructType([found.schema["carry"], StructField("text", StringType()), StructField("n_removed", LongType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.record_batch([*(batch.column(c) for c in carry), pa.array(text, pa.string()), batch.column("n_removed")], names=schema.names)
+            yield pa.record_batch([batch.column("carry"), pa.array(text, pa.string()), batch.column("n_removed")], names=schema.names)
 
-    out = found.mapInArrow(lean(decode), schema).filter("`__removed` = 0 or length(trim(text)) > 0")
+    out = found.mapInArrow(lean(decode), schema).filter("n_removed = 0 or length(trim(text)) > 0")
+    out = out.select(*[F.col("text") if c == "text" else F.col("carry").getField(c).alias(c) for c in docs.columns])
     if "n_chars" in carry:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

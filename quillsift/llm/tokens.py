@@ -205,9 +205,9 @@ def together(batches: Iterator[pa.RecordBatch], column: str = "text", least: int
         yield pa.concat_batches(waiting)
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """The worker's encoder of a file; tasks of one worker share what it remembers."""
-    return kept(f"encoder {path}", lambda: PieceEncoder(path))
+    return kept(f"encoder {path} {remembered}", lambda: PieceEncoder(path, remembered))
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
