@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import UrlRules
@@ -157,10 +157,10 @@ def patterns_hit(canon: Column, patterns, skip: Column | None = None) -> Column:
     return out
 
 
-def score(url: Column, seed: Column, priority: Column, modified: Column, stale_before: Column, rules: UrlRules) -> dict[str, Column]:
-    """Score, reasons, depth and section of a candidate page, by its URL alone."""
-    canon, n = canonicals(url, rules), depth(url)
-    every = F.array_distinct(F.flatten(F.transform(canon, tokens)))
+def score(url: Column, seed: Column, priority: Column, modified: Column, stale_before: Column, rules: UrlRules, canon: Column | None = None, every: Column | None = None) -> dict[str, Column]:
+    """Score, reasons, depth and section of a candidate page, by its URL alone. canon and every: its segments and tokens, if there are columns of them."""
+    canon, n = canonicals(url, rules) if canon is None else canon, depth(url)
+    every = F.array_distinct(F.flatten(F.transform(canon, tokens))) if every is None else every
     first = F.try_element_at(canon, F.lit(1))
     favor, penal = hits(every, rules.favor), hits(every, rules.penalize)
     generic = F.transform(canon, lambda s, i: s.isin(*rules.generic) & (i > 0))
@@ -191,12 +191,39 @@ def score(url: Column, seed: Column, priority: Column, modified: Column, stale_b
     return {"score": total, "reasons": reasons, "depth": n, "section": section(canon, rules)}
 
 
+def with_score(df: DataFrame, url: str, seed: Column, priority: Column, modified: Column, stale_before: Column, rules: UrlRules) -> DataFrame:
+    """The table with the columns of score(); what several of them need is computed once."""
+    df = df.withColumn("__canon", canonicals(F.col(url), rules))
+    df = df.withColumn("__every", F.array_distinct(F.flatten(F.transform("__canon", tokens))))
+    return df.withColumns(score(F.col(url), seed, priority, modified, stale_before, rules, F.col("__canon"), F.col("__every"))).drop("__canon", "__every")
+
+
+def boundary_of(segs: Column, rules: UrlRules) -> Column:
+    """The place from 0 of the first segment that names a boundary, -1 for none."""
+    return F.array_position(F.transform(segs, lambda s: F.arrays_overlap(tokens(canonical(s, rules)), strings(rules.boundary))), F.lit(True)) - 1
+
+
+def with_scope(df: DataFrame, url: str, rules: UrlRules) -> DataFrame:
+    """The table with the columns of scope(), step by step: each step reads columns, not the steps before it again."""
+    df = df.withColumn("__n", normalize(F.col(url)))
+    df = df.withColumn("__segs", segments(F.col("__n")))
+    df = df.withColumn("__boundary", boundary_of(F.col("__segs"), rules))
+    prefix, reason = prefix_and_reason(F.col("__segs"), F.col("__boundary"), rules)
+    df = df.withColumns({"__prefix": prefix, "__reason": reason})
+    df = df.withColumn("__scaffold", scaffold_only(F.col("__prefix"), rules))
+    return df.withColumns(scoped(F.col("__n"), F.col("__prefix"), F.col("__reason"), F.col("__scaffold"))).drop("__n", "__segs", "__boundary", "__prefix", "__reason", "__scaffold")
+
+
 def scope(c: Column, rules: UrlRules) -> dict[str, Column]:
     """The part of a site that a seed URL stands for: its URL, mode, path prefix, and why."""
     n = normalize(c)
     segs = segments(n)
+    prefix, reason = prefix_and_reason(segs, boundary_of(segs, rules), rules)
+    return scoped(n, prefix, reason, scaffold_only(prefix, rules))
+
+
+def prefix_and_reason(segs: Column, boundary: Column, rules: UrlRules) -> tuple[Column, Column]:
     count = F.size(segs)
-    boundary = F.array_position(F.transform(segs, lambda s: F.arrays_overlap(tokens(canonical(s, rules)), strings(rules.boundary))), F.lit(True)) - 1
     at_boundary = (boundary >= 0) & ~((boundary == 0) & (count > 1))
     parents = F.slice(segs, F.lit(1), F.greatest(boundary, F.lit(0)).cast("int"))
     named = decoded(F.try_element_at(segs, (boundary + 1).cast("int")))
@@ -221,8 +248,16 @@ def scope(c: Column, rules: UrlRules) -> dict[str, Column]:
         .when(F.contains(last, F.lit(".")), "file_leaf_promoted_to_parent")
         .otherwise("kept_path_prefix")
     )
+    return prefix, reason
+
+
+def scaffold_only(prefix: Column, rules: UrlRules) -> Column:
+    """Whether a path is made of scaffold and language segments alone."""
     left = F.filter(F.split(prefix, "/"), lambda x: x != "")
-    scaffold = (prefix != "/") & F.forall(left, lambda s: canonical(s, rules).isin(*rules.scaffold, *rules.languages))
+    return (prefix != "/") & F.forall(left, lambda s: canonical(s, rules).isin(*rules.scaffold, *rules.languages))
+
+
+def scoped(n: Column, prefix: Column, reason: Column, scaffold: Column) -> dict[str, Column]:
     reason = F.when(scaffold, F.concat(F.lit("scaffold_promoted_to_host_root:"), reason)).otherwise(reason)
     prefix = F.when(scaffold, "/").otherwise(prefix)
     some = n != ""

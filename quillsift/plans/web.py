@@ -42,8 +42,7 @@ def link_rows(table):
 def scored(table):
     """Each site's distinct links with score, depth and section."""
     rows = link_rows(table).groupBy("site", "url").agg(F.min(F.struct("page_id", "ord")).alias("first"))
-    found = U.score(F.col("url"), F.lit(""), F.lit(None).cast("double"), F.lit(""), F.lit("2024-01-01").cast("timestamp"), RULES)
-    return rows.withColumns({k: v for k, v in found.items()})
+    return U.with_score(rows, "url", F.lit(""), F.lit(None).cast("double"), F.lit(""), F.lit("2024-01-01").cast("timestamp"), RULES)
 
 
 @query(f"SELECT page_id, {NORMAL('url')} AS normal, {IDENTITY('url')} AS identity FROM pages")
@@ -71,7 +70,7 @@ CASE WHEN len(s) = 0 THEN 'root_seed' WHEN len(s) = 1 AND s[1] IN ({Q(RULES.lang
 q AS (SELECT *, pre <> '/' AND len(list_filter(string_split(pre, '/'), lambda x: x <> '' AND x NOT IN ({Q(RULES.languages + RULES.scaffold)}))) = 0 AS bare FROM p)
 SELECT page_id, regexp_extract(n, '^(https?://[^/]*)', 1) || CASE WHEN bare THEN '/' ELSE pre END AS seed_url, CASE WHEN bare OR pre = '/' THEN 'host' ELSE 'path_prefix' END AS scope_mode, CASE WHEN bare THEN '/' ELSE pre END AS path_prefix, CASE WHEN bare THEN 'scaffold_promoted_to_host_root:' || why ELSE why END AS scope_reason FROM q""")
 def url_scope(table):
-    return table("pages").select("page_id", *[c.alias(k) for k, c in U.scope(F.col("url"), RULES).items()])
+    return U.with_scope(table("pages").select("page_id", "url"), "url", RULES).drop("url")
 
 
 @query(f"SELECT page_id, {NORMAL('url')} AS seed_url, 'path_prefix' AS scope_mode, {PATH('url')} AS path_prefix, 'final_url_path_prefix' AS scope_reason FROM pages")
@@ -101,7 +100,7 @@ SELECT page_id, CASE c3 WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END A
 @query(CONFIDENCE)
 def url_norm_confidence(table):
     u = F.col("url")
-    rows = table("pages").select("page_id", U.scope(u, RULES)["scope_reason"].alias("why"), F.lower(F.try_element_at(U.segments(u), F.lit(1))).alias("seg"), U.depth(u).alias("depth"))
+    rows = U.with_scope(table("pages").select("page_id", "url"), "url", RULES).select("page_id", F.col("scope_reason").alias("why"), F.lower(F.try_element_at(U.segments(u), F.lit(1))).alias("seg"), U.depth(u).alias("depth"))
     limit = F.when(F.col("seg") == "en", 2).when(F.col("seg") == "de", 10).otherwise(5)
     rows = rows.withColumn("yes", (F.col("page_id") % 10) < limit)
     stats = lambda k, a: rows.groupBy(k).agg(F.count_if("yes").alias(f"{a}_yes"), F.count("*").alias(f"{a}_total"))

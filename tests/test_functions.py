@@ -52,31 +52,33 @@ def test_normal_urls(spark):
     assert texts(spark, ["/a%20b", "/a+b", "/%zz"], U.decoded) == ["/a b", "/a b", "/%zz"]
 
 
-@pytest.mark.parametrize(
-    "url, mode, prefix, reason",
-    [
-        ("https://x.org", "host", "/", "root_seed"),
-        ("https://x.org/de/", "host", "/", "scaffold_promoted_to_host_root:language_root_seed"),
-        ("https://x.org/leaf", "host", "/", "single_leaf_promoted_to_host_root"),
-        ("https://x.org/about", "host", "/", "promoted_to_host_root:about"),
-        ("https://x.org/club/kontakt", "path_prefix", "/club/", "promoted_before_boundary:kontakt"),
-        ("https://x.org/about/club", "path_prefix", "/about/club/", "kept_path_prefix"),
-        ("https://x.org/club/page.html", "path_prefix", "/club/", "file_leaf_promoted_to_parent"),
-        ("https://x.org/cms/page.html", "host", "/", "scaffold_promoted_to_host_root:file_leaf_promoted_to_parent"),
-        ("mailto:x", "", "", "invalid_or_unsupported_url"),
-    ],
-)
-def test_scope(spark, url, mode, prefix, reason):
-    got = one(spark, *[c.alias(k) for k, c in U.scope(F.lit(url), UrlRules()).items()])
-    assert (got.scope_mode, got.path_prefix, got.scope_reason) == (mode, prefix, reason)
+SCOPES = [
+    ("https://x.org", "host", "/", "root_seed"),
+    ("https://x.org/de/", "host", "/", "scaffold_promoted_to_host_root:language_root_seed"),
+    ("https://x.org/leaf", "host", "/", "single_leaf_promoted_to_host_root"),
+    ("https://x.org/about", "host", "/", "promoted_to_host_root:about"),
+    ("https://x.org/club/kontakt", "path_prefix", "/club/", "promoted_before_boundary:kontakt"),
+    ("https://x.org/about/club", "path_prefix", "/about/club/", "kept_path_prefix"),
+    ("https://x.org/club/page.html", "path_prefix", "/club/", "file_leaf_promoted_to_parent"),
+    ("https://x.org/cms/page.html", "host", "/", "scaffold_promoted_to_host_root:file_leaf_promoted_to_parent"),
+    ("mailto:x", "", "", "invalid_or_unsupported_url"),
+]
+
+
+def test_scope(spark):
+    rows = U.with_scope(spark.createDataFrame([(u,) for u, *_ in SCOPES], "url string"), "url", UrlRules()).collect()
+    assert {(r.url, r.scope_mode, r.path_prefix, r.scope_reason) for r in rows} == set(SCOPES)
 
 
 def test_exclusions_and_score(spark):
     reasons = texts(spark, ["https://x.org/a.pdf", "https://x.org/www.y.org/", "https://x.org/my-login", "https://x.org/wp-admin", "https://x.org/api/v1", "https://x.org/fine"], lambda c: U.technical_reason(c, UrlRules()))
     assert reasons == ["non_html_extension:.pdf", "embedded_hostname:www.y.org", "exclude_tokens:login", "exclude_regex:wp-admin", "technical_root:api", ""]
-    score = lambda u, p=None, m="": one(spark, *[c.alias(k) for k, c in U.score(F.lit(u), F.lit("https://x.org/seed"), F.lit(p).cast("double"), F.lit(m), F.lit("2024-01-01").cast("timestamp"), UrlRules()).items()])
+    urls = [("https://x.org/seed", None, ""), ("https://x.org/", None, ""), ("https://x.org/de", None, ""), ("https://x.org/about/team/2020/x/y/z", 1.0, "2020-01-01")]
+    df = spark.createDataFrame(urls, "url string, p double, m string")
+    rows = U.with_score(df, "url", F.lit("https://x.org/seed"), F.col("p"), F.col("m"), F.lit("2024-01-01").cast("timestamp"), UrlRules()).collect()
+    score = {r.url: r for r in rows}.get
     assert score("https://x.org/seed").score == 20 and score("https://x.org/").score == 18 and score("https://x.org/de").score == 10
-    got = score("https://x.org/about/team/2020/x/y/z", 1.0, "2020-01-01")
+    got = score("https://x.org/about/team/2020/x/y/z")
     assert got.score == 12 + 6 - 5 - 14 + 3 - 2 and got.reasons[:2] == ["favor_tokens:about|team", "favor_regex"] and got.reasons[-1] == "lastmod_stale"
 
 
