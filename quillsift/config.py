@@ -7,13 +7,22 @@ from dataclasses import dataclass, field, fields, replace
 from pathlib import Path
 
 
+# Registries, directories and networks that list entities; path words near a site's entrance; page suffixes.
+AGGREGATORS = (
+    "zefix.ch", "moneyhouse.ch", "uid.admin.ch", "shabex.ch", "help.ch", "search.ch", "local.ch", "linkedin.com", "facebook.com", "instagram.com", "twitter.com", "x.com", "youtube.com",
+    "wikipedia.org", "wikidata.org", "dnb.com", "northdata.com", "northdata.de", "stiftungschweiz.ch", "lixt.ch", "fundraiso.ch", "zhwin.ch",
+)
+NEAR_ROOT = ("about", "ueber-uns", "about-us", "portrait", "kontakt", "contact", "home")
+PAGE_SUFFIXES = (".html", ".htm", ".php", ".aspx", ".asp", ".jsp")
+
+
 @dataclass(frozen=True)
 class UrlRules:
     """Lexicons for URLs. Patterns match from the start of a segment."""
 
-    languages: tuple[str, ...] = ("de", "en", "fr", "it", "es")
-    generic: tuple[str, ...] = ("home", "index", "start", "startseite", "welcome")
-    page_suffixes: tuple[str, ...] = (".html", ".htm", ".php", ".aspx", ".asp", ".jsp")
+    languages: tuple[str, ...] = ("de", "en", "fr", "it")
+    generic: tuple[str, ...] = ("home", "homepage", "index", "start", "startseite")
+    page_suffixes: tuple[str, ...] = PAGE_SUFFIXES
     favor: tuple[str, ...] = ("about", "mission", "team", "contact", "projects", "the", "of", "and")
     favor_patterns: tuple[str, ...] = ("about", "who-we", "th[aeo]")
     penalize: tuple[str, ...] = ("news", "blog", "archive", "tag", "reouha")
@@ -25,8 +34,8 @@ class UrlRules:
     technical_pairs: tuple[tuple[str, str], ...] = (("wp", "json"), ("api", "v1"))
     extensions: tuple[str, ...] = (".pdf", ".jpg", ".png", ".zip", ".xml", ".css", ".js")
     boundary: tuple[str, ...] = ("about", "contact", "kontakt", "impressum", "news", "team")
-    near_root: tuple[str, ...] = ("about", "contact", "home", "kontakt", "portrait", "team")
-    aggregators: tuple[str, ...] = ("example.org",)
+    near_root: tuple[str, ...] = NEAR_ROOT
+    aggregators: tuple[str, ...] = AGGREGATORS
     high_segments: tuple[str, ...] = ("de", "en", "fr", "it", "home", "start", "about", "contact")
 
 

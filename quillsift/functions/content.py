@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from .text import collapse, strip, text
 
-BOILERPLATE = ("cookie", "cookies", "privacy", "datenschutz", "impressum", "login", "menu", "navigation", "newsletter", "copyright", "agb", "terms", "footer", "header")
+# Words of page furniture; keywords of page names that say who an entity is, and that do not; signs that rendering failed for want of a browser.
+BOILERPLATE = ("home", "menu", "navigation", "kontakt", "contact", "impressum", "datenschutz", "privacy", "cookie", "login", "newsletter", "footer", "header", "sitemap")
+IDENTITY = ("impressum", "kontakt", "contact", "ueber", "uber", "about", "verein", "who-we-are", "team", "vorstand")
+OTHER_PAGES = ("projekt", "projekte", "news", "blog", "event", "veranstaltung", "newsletter")
+NO_BROWSER = ("playwright_not_installed", "browser_type.launch", "executable doesn't exist", "please run the following command to download new browsers", "failed to launch")
 ACCEPTED = 35
 
 
@@ -112,10 +116,22 @@ def plain_text(html: Column | str) -> Column:
     return collapse(F.regexp_replace(h, "(?s)<[^>]*>", " "))
 
 
-def failure(message: Column) -> Column:
-    """The kind of a fetch's failure."""
-    m = F.lower(text(message))
-    return F.when(m.rlike("timeout|timed out"), "timeout").when(m.rlike("ssl|tls|certificate"), "tls_error").when(m.rlike("name or service|getaddrinfo|dns|resolve"), "dns_error").otherwise("unexpected_error")
+def failure(kind: Column, message: Column) -> Column:
+    """The code of a fetch's failure, by the kind of error (timeout, connect, other) and its message."""
+    return F.when(kind == "timeout", "network_timeout").when(kind == "connect", F.when(F.lower(text(message)).rlike("ssl|certificate"), "tls_error").otherwise("network_dns_failure")).otherwise("unexpected_exception")
+
+
+def no_browser(message: Column) -> Column:
+    out = F.lit(False)
+    for sign in NO_BROWSER:
+        out = out | F.contains(F.lower(text(message)), F.lit(sign))
+    return out
+
+
+def page_tier(name: Column) -> Column:
+    """The order in which pages are read: those that say who an entity is, the first page, others, news and projects."""
+    n = F.lower(text(name))
+    return F.when(n.rlike("|".join(IDENTITY)), 0).when(n.startswith("001-"), 1).when(n.rlike("|".join(OTHER_PAGES)), 3).otherwise(2)
 
 
 def stub(title: Column, description: Column, url: Column) -> Column:

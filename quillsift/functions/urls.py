@@ -55,6 +55,7 @@ def identity(c: Column) -> Column:
     return F.when(n == "", "").otherwise(F.concat(host(n), path(n)))
 
 
+# Suffixes of two labels.
 MULTI = ("co.uk", "org.uk", "gov.uk", "ac.uk", "com.au", "org.au", "net.au", "co.jp", "co.nz")
 
 

@@ -53,10 +53,14 @@ def listed(host: Column, domains: tuple[str, ...]) -> Column:
     return out
 
 
+# Words of paths that are seldom an entity's entrance.
+SIDE_PAGES = ("spenden", "donate", "news", "blog", "events", "event")
+
+
 def page_priority(url: Column, rules: UrlRules) -> Column:
     p = F.regexp_replace(F.lower(urls.path(url)), "^/+|/+$", "")
     has = lambda words: p.rlike("|".join(words))
-    return F.when(p == "", 100).when(has(rules.near_root), 80).when(has(("spenden", "donate", "news", "blog", "events", "event")), 30).otherwise(60)
+    return F.when(p == "", 100).when(has(rules.near_root), 80).when(has(SIDE_PAGES), 30).otherwise(60)
 
 
 def by_domain(pages: DataFrame, entity: str, rules: UrlRules) -> DataFrame:

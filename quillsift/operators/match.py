@@ -111,6 +111,40 @@ def registry_match(entities: DataFrame, registry: DataFrame, key: str, name: str
     ).drop("__first", *[f"__{c}" for c in extra])
 
 
+# The registry's legal forms, as uid, name and short name.
+LEGAL_FORMS = (
+    ("0000", "(unbekannt)", "-"),
+    ("0101", "Einzelunternehmen", "EIU"),
+    ("0103", "Kollektivgesellschaft", "KlG"),
+    ("0106", "Aktiengesellschaft", "AG"),
+    ("0107", "Gesellschaft mit beschränkter Haftung", "GmbH"),
+    ("0108", "Genossenschaft", "Gen"),
+    ("0109", "Verein", "Verein"),
+    ("0110", "Stiftung", "Stift"),
+    ("0151", "Zweigniederlassung", "ZN"),
+    ("0104", "Kommanditgesellschaft", "KmG"),
+    ("0111", "Zweigniederlassung einer ausl. Gesellschaft", "ZNA"),
+    ("0118", "Nichtkaufmännische Prokura", "NKP"),
+    ("0117", "Institut des öffentlichen Rechts", "IOR"),
+    ("0105", "Kommanditaktiengesellschaft", "KmAG"),
+    ("0113", "Besondere Rechtsform", "BES"),
+    ("0119", "Gemeinderschaft", "GEM"),
+    ("0116", "Investmentgesellschaft mit festem Kapital", "SICAF"),
+    ("0115", "Investmentgesellschaft mit variablem Kapital", "SICAV"),
+    ("0114", "Kommanditgesellschaft für kollektive Kapitalanlagen", "KmGK"),
+)
+#: Words of names and the form that they stand for.
+FORM_WORDS = {"Verein": "Verein", "GmbH": "Gesellschaft mit beschränkter Haftung", "Stiftung": "Stiftung"}
+
+
+def legal_form_name(uid: Column) -> Column:
+    """The name of a legal form by its uid."""
+    out = F.lit(None).cast("string")
+    for code, name, _ in LEGAL_FORMS:
+        out = F.when(uid == code, name).otherwise(out)
+    return out
+
+
 def first_keyword(c: Column, keywords: dict[str, str]) -> Column:
     """The label of the keyword that comes first in the text; of two at one place, the first listed."""
     places = [F.nullif(F.regexp_instr(text(c), F.lit(rf"(?iU)(?<!\w)\Q{k}\E(?!\w)")), F.lit(0)) for k in keywords]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.text import ascii_key, blank, name_variants, parts, strip, text
 from ..functions.urls import bare_host
 
-CODES = ("IRRELEVANT_PURPOSE", "NO_INFORMATION", "NOT_IN_REGION", "DUPLICATE", "OTHER")
+# The codes of an exclusion.
+CODES = ("NO_INFORMATION", "IN_LIQUIDATION", "NOT_EXIST", "IRRELEVANT_PURPOSE", "OTHER")
 
 
 def valid_code(c: Column | str, codes: tuple[str, ...] = CODES) -> Column:
@@ -46,7 +47,7 @@ def phase_counts(df: DataFrame, auto: str, review: str, reason: str, eligible: C
     return df.agg(*[F.count_if(found[n]).alias(n) for n in names or found])
 
 
-def conclude(df: DataFrame, question: str, auto: str, review: str, reason: str, note: str, eligible: Column, review_code: str, review_note: str, fallback: str = CODES[0]) -> DataFrame:
+def conclude(df: DataFrame, question: str, auto: str, review: str, reason: str, note: str, eligible: Column, review_code: str, review_note: str, fallback: str = "IRRELEVANT_PURPOSE") -> DataFrame:
     """Reason and note of the rows that a question excludes: by itself, or by a reviewer, who may name a code."""
     m = masks(auto, review, reason, eligible)
     by_review, by_auto = m["review_excluded"], m["auto_excluded"] & ~m["review_excluded"]
@@ -153,6 +154,7 @@ def confidence(raw: Column, scope_reason: Column, segment: Column, depth: Column
     return F.when(depth == 0, "very_high").when(now == 3, "high").when(now == 2, "medium").otherwise("low")
 
 
+# What services write when a quota is used up, a rate is exceeded, or a plan forbids a call.
 QUOTA = ("insufficient_quota", "out of credits", "credit balance", "exceeded your current quota", "quota exceeded", "usage limit reached", "billing hard limit")
 RATE = ("rate limit", "too many requests", "requests per minute", "requests per day", "rate_limited", "rate_limit_exceeded")
 BILLING = ("quota", "credit", "billing", "payment", "subscription", "plan", "insufficient_quota")
@@ -167,7 +169,7 @@ def mentions(c: Column, words: tuple[str, ...]) -> Column:
 
 
 def access_error(provider: Column, status: Column, body: Column, code: Column, remaining: Column) -> Column:
-    """Why a response of a service ends all further calls to it; null if it does not. (The markers are fixed values.)"""
+    """Why a response of a service ends all further calls to it; null if it does not."""
     p, k = low(provider), F.upper(text(code))
     denied, quota, rate = status.isin(401, 403), mentions(body, QUOTA), mentions(body, RATE) & ~mentions(body, BILLING)
     none_left = F.coalesce(strip(text(remaining)).try_cast("double") == 0, F.lit(False))

@@ -57,7 +57,7 @@ def policy_route(table):
 
 STATE = """SELECT d.doc_id, d.source, CASE WHEN d.doc_id % 17 = 0 THEN 'OTHER' ELSE '' END AS reason, CASE WHEN d.doc_id % 5 = 0 THEN 'seen' ELSE '' END AS note, quality IS NOT NULL AS eligible,
 CASE WHEN quality = 0 THEN 'auto_excluded' WHEN toxic = 1 THEN 'needs_review' WHEN d.doc_id % 13 = 0 THEN '' WHEN d.doc_id % 11 = 0 THEN 'waiting_for_clean_text' ELSE 'auto_accepted' END AS auto,
-CASE WHEN toxic = 1 AND d.doc_id % 3 = 0 THEN 'excluded' WHEN toxic = 1 AND d.doc_id % 3 = 1 THEN 'accepted' ELSE '' END AS review, CASE WHEN d.doc_id % 2 = 0 THEN ' duplicate ' ELSE 'nonsense' END AS review_code, CASE WHEN d.doc_id % 4 = 0 THEN 'by hand' ELSE '' END AS review_note FROM documents d LEFT JOIN labels l USING (doc_id)"""
+CASE WHEN toxic = 1 AND d.doc_id % 3 = 0 THEN 'excluded' WHEN toxic = 1 AND d.doc_id % 3 = 1 THEN 'accepted' ELSE '' END AS review, CASE WHEN d.doc_id % 2 = 0 THEN ' not_exist ' ELSE 'nonsense' END AS review_code, CASE WHEN d.doc_id % 4 = 0 THEN 'by hand' ELSE '' END AS review_note FROM documents d LEFT JOIN labels l USING (doc_id)"""
 
 
 def state(table):
@@ -72,7 +72,7 @@ def state(table):
         F.col("quality").isNotNull().alias("eligible"),
         F.when(F.col("quality") == 0, "auto_excluded").when(toxic, "needs_review").when(i % 13 == 0, "").when(i % 11 == 0, "waiting_for_clean_text").otherwise("auto_accepted").alias("auto"),
         F.when(toxic & (i % 3 == 0), "excluded").when(toxic & (i % 3 == 1), "accepted").otherwise("").alias("review"),
-        F.when(i % 2 == 0, " duplicate ").otherwise("nonsense").alias("review_code"),
+        F.when(i % 2 == 0, " not_exist ").otherwise("nonsense").alias("review_code"),
         F.when(i % 4 == 0, "by hand").otherwise("").alias("review_note"),
     )
 

@@ -12,7 +12,7 @@ from ..operators import screening
 from ..sources.files import links
 from .base import query
 
-RULES = UrlRules()
+RULES = UrlRules(languages=("de", "en", "fr", "it", "es"), aggregators=("example.org",))
 Q = lambda words: ", ".join(f"'{w}'" for w in words)
 SCHEME = lambda u: f"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"
 AUTHORITY = lambda u: f"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
