@@ -22,31 +22,43 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, lean, saved
+from .common import arrow_batches, lean, ranges, saved
 
 DISTANCE = 3
 #: Shingles that are counted at once; 255 is the most that a byte counts.
 COUNTED = 255 * 128
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """The fingerprint of a text; no words: 0."""
+def shingle_digests(text: str | None, words: int, digest) -> bytes:
+    """The digests of a text's shingles in a row: lower case, words joined by blanks; fewer words are one shingle."""
     w = (text or "").encode().lower().split()
     if not w:
-        return 0
+        return b""
+    joined = b" ".join(w)
     if len(w) <= words:
-        digests = xxhash.xxh64_digest(b" ".join(w), seed)
-    else:
-        joined = b" ".join(w)
-        ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1)
-        starts = np.concatenate(([0], ends[:-words])).tolist()
-        digest = xxhash.xxh64_digest
-        digests = b"".join([digest(joined[a:b], seed) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())])
-    n, counts = len(digests) // 8, np.zeros(64, np.int64)
+        return digest(joined)
+    ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1)
+    starts = np.concatenate(([0], ends[:-words])).tolist()
+    return b"".join([digest(joined[a:b]) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())])
+
+
+def majority(digests: bytes, size: int) -> bytes:
+    """The bits that are set in over half of the digests of that many bytes; none: zero."""
+    n, counts = len(digests) // size, np.zeros(8 * size, np.int64)
     for at in range(0, n, COUNTED):
-        bits = np.unpackbits(np.frombuffer(digests, np.uint8, 8 * min(COUNTED, n - at), 8 * at)).view(np.uint64).reshape(-1, 8)
-        counts += np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0).view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+        bits = np.unpackbits(np.frombuffer(digests, np.uint8, size * min(COUNTED, n - at), size * at)).view(np.uint64).reshape(-1, size)
+        counts += np.add.reduceat(bits, np.arange(0, len(bits), 255), axis=0).view(np.uint8).reshape(-1, 8 * size).sum(0, dtype=np.int64)
+    return np.packbits(2 * counts > n).tobytes()
+
+
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """The fingerprint of a text; no words: 0."""
+    return int.from_bytes(majority(shingle_digests(text, words, lambda x: xxhash.xxh64_digest(x, seed)), 8), "big")
+
+
+def wide_fingerprint(text: str | None, words: int, seed: int = 42) -> bytes:
+    """A fingerprint of WIDE bits."""
+    return majority(shingle_digests(text, words, lambda x: xxhash.xxh3_128_digest(x, seed) + xxhash.xxh3_128_digest(x, seed + 1)), WIDE // 8)
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
@@ -85,31 +97,33 @@ def gray_rank(fps: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """A hierarchical index of fingerprints in Gray order. `ones` holds the shared bits of a node, `own` which of them its parent lacks."""
+    """A hierarchical index of fingerprints (rows of 64-bit words) in Gray order. `ones` holds the shared bits of a node, `own` which of them its parent lacks."""
 
     FAN = 8
 
     def __init__(self, fps: np.ndarray):
-        ones, known = [fps], [np.full(len(fps), ~np.uint64(0))]
+        fps = fps.reshape(len(fps), -1)
+        ones, known = [fps], [np.full(fps.shape, ~np.uint64(0))]
         while len(ones[-1]) > self.FAN:
             first = np.arange(0, len(ones[-1]), self.FAN)
-            all_one = np.bitwise_and.reduceat(ones[-1] & known[-1], first)
-            all_zero = np.bitwise_and.reduceat(~ones[-1] & known[-1], first)
+            all_one = np.bitwise_and.reduceat(ones[-1] & known[-1], first, axis=0)
+            all_zero = np.bitwise_and.reduceat(~ones[-1] & known[-1], first, axis=0)
             ones.append(all_one)
             known.append(all_one | all_zero)
         self.ones = ones
-        self.own = [k & ~np.repeat(up, self.FAN)[: len(k)] for k, up in zip(known, known[1:])] + [known[-1]]
+        self.own = [k & ~np.repeat(up, self.FAN, axis=0)[: len(k)] for k, up in zip(known, known[1:])] + [known[-1]]
 
     def links(self, distance: int, queries: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (i, j), i < j, at no more than this distance; groups are left as soon as their differences exceed it."""
         fps, top = self.ones[0], len(self.ones) - 1
+        queries = max(16, min(queries, (1 << 21) // len(fps)))
         for at in range(0, len(fps), queries):
             q = np.arange(at, min(at + queries, len(fps)))
             node = np.tile(np.arange(len(self.ones[top])), len(q))
             q = np.repeat(q, len(self.ones[top]))
-            differ = np.zeros(len(q), np.uint8)
+            differ = np.zeros(len(q), np.uint16)
             for level in range(top, -1, -1):
-                differ = differ + np.bitwise_count((fps[q] ^ self.ones[level][node]) & self.own[level][node])
+                differ = differ + differing(fps[q] ^ self.ones[level][node], self.own[level][node])
                 keep = np.flatnonzero((differ <= distance) & ((node + 1) * self.FAN**level > q))
                 q, node, differ = q[keep], node[keep], differ[keep]
                 if level:
@@ -122,6 +136,11 @@ class GrayIndex:
             yield q[later], node[later]
 
 
+def differing(x: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+    """How many bits of each row are set, within a mask."""
+    return np.bitwise_count(x if mask is None else x & mask).sum(1, dtype=np.uint16)
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of the links (a, b): along each component, each value to the next, so that no value has many."""
     values, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
@@ -143,23 +162,24 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[by[same]], values[by[same + 1]]
 
 
-def group_links(group: np.ndarray, fps: np.ndarray, distance: int = DISTANCE, small: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between fingerprints of the same group."""
-    by = np.lexsort((gray_rank(fps), group))
-    group, fps = group[by], fps[by]
+def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest, by id, of the links between fingerprints of the same group. Without fps the ids are the fingerprints."""
+    fps = (ids if fps is None else fps).reshape(len(ids), -1)
+    by = np.lexsort((gray_rank(fps[:, 0]), group))
+    group, ids, fps = group[by], ids[by], fps[by]
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(group)])))
-    ordinal = np.repeat(np.arange(len(starts)), sizes)
-    few = (sizes <= small)[ordinal]
-    found = []
+    left = np.repeat(sizes, sizes) - ranges(np.zeros(len(sizes), np.int64), sizes)  # rows of the group from this one on
+    few = np.flatnonzero((np.repeat(sizes, sizes) <= small) & (left > 1))
+    found = [(ids[:0], ids[:0])]
     for step in range(1, small):
-        i = np.flatnonzero(few[:-step] & (ordinal[step:] == ordinal[:-step]))
-        i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= distance]
-        found.append((fps[i], fps[i + step]))
+        few = few[left[few] > step]
+        near = few[differing(fps[few] ^ fps[few + step]) <= distance]
+        found.append((ids[near], ids[near + step]))
     for k in np.flatnonzero(sizes > small):
-        own = fps[starts[k] : starts[k] + sizes[k]]
+        own, name = fps[starts[k] : starts[k] + sizes[k]], ids[starts[k] : starts[k] + sizes[k]]
         for i, j in GrayIndex(own).links(distance):
-            found.append(forest(own[i], own[j]))
+            found.append(forest(name[i], name[j]))
     return forest(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
 
 
@@ -178,18 +198,24 @@ def routed(distinct: DataFrame, large: int) -> DataFrame:
 
 def links(distinct: DataFrame, large: int = 1 << 14, held: int = 1 << 18) -> DataFrame:
     """Edges (a, b) that connect all fingerprints at a distance of 3 or less, as far as they are reachable."""
+    return linked(routed(distinct, large), [], DISTANCE, 12, held)
+
+
+def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: int) -> DataFrame:
+    """Forests of the links within the groups of (route, key): fp names a row, the words are its bits (without any, fp itself)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
 
         def done(rows: list[np.ndarray]) -> pa.RecordBatch:
             all_rows = np.concatenate(rows, 1)
-            ids = np.cumsum(np.concatenate(([0], np.any(all_rows[:2, 1:] != all_rows[:2, :-1], axis=0))))
-            a, b = group_links(ids, all_rows[2].view(np.uint64))
+            groups = np.cumsum(np.concatenate(([0], np.any(all_rows[:2, 1:] != all_rows[:2, :-1], axis=0))))
+            bits = np.ascontiguousarray(all_rows[3:].T).view(np.uint64) if words else None
+            a, b = group_links(groups, all_rows[2].view(np.uint64), bits, distance, small)
             return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "fp")])
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "fp", *words)])
             if n + rows.shape[1] > held and waiting:  # what has ended is linked; the last group goes on
                 both = np.concatenate([*waiting, rows], 1)
                 last = np.flatnonzero(np.any(both[:2] != both[:2, -1:], axis=0))
@@ -203,10 +229,10 @@ def links(distinct: DataFrame, large: int = 1 << 14, held: int = 1 << 18) -> Dat
         if n:
             yield done(waiting)
 
-    spark = distinct.sparkSession
+    spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrow_batches(spark, 1 << 14)
-    return routed(distinct, large).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
+    return rows.select("route", "key", "fp", *words).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
 
 
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -236,22 +262,73 @@ def components(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
     component. An empty table gives an empty result. Other columns are not read.
     """
     fps = saved(fingerprints(docs, words, seed), "fingerprints")
-    distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = saved(connected(links(distinct)), "roots")
-    rooted = distinct.join(roots.withColumnRenamed("v", "fp"), "fp")
+    return labelled(fps, lambda distinct: links(distinct)).select("doc_id", "fp", "component_id")
+
+
+def labelled(fps: DataFrame, find) -> DataFrame:
+    """fps (doc_id, fp, ...) with component_id, over the links that find() gives for the distinct rows of fp."""
+    bits = [c for c in fps.columns if c not in ("doc_id", "fp")]
+    distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in bits]), "distinct")
+    roots = saved(connected(find(distinct)), "roots")
+    rooted = distinct.select("fp", "first").join(roots.withColumnRenamed("v", "fp"), "fp")
     least = saved(rooted.groupBy("root").agg(F.min("first").alias("least")), "least")
-    linked = saved(rooted.join(least, "root").select("fp", "least"), "linked")
-    labels = saved(distinct.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
-    return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
+    grouped = saved(rooted.join(least, "root").select("fp", "least"), "linked")
+    labels = saved(distinct.select("fp", "first").join(grouped, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
+    return fps.join(labels, "fp")
+
+
+#: Bits of a wide fingerprint. Of two texts whose shingles have a similarity of 0.8, a share of APART differ
+#: on average (0.5 for unlike texts); LINKED of them at most make a link: of pairs at 0.8 about nine in ten,
+#: at 0.9 all, at 0.7 three in ten, at 0.5 none.
+WIDE, APART, LINKED = 256, 0.152, 46
+WORDS = [f"w{i}" for i in range(WIDE // 64)]
+
+
+def sampled_masks(rows: int, recall: float = 0.985, seed: int = 4) -> list[list[int]]:
+    """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability; more bits for more rows."""
+    bits = int(np.clip(np.ceil(np.log2(max(2, rows))) - 4, 8, 24))
+    times = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - APART) ** bits)))
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(times):
+        chosen = rng.choice(WIDE, bits, replace=False)
+        out.append([sum(1 << int(b) % 64 for b in chosen if b // 64 == w) for w in range(WIDE // 64)])
+    return out
+
+
+def similar_links(distinct: DataFrame) -> DataFrame:
+    """Edges between wide fingerprints that differ in at most LINKED bits: groups that agree in a sample of bits, each indexed in Gray order."""
+    masks_ = sampled_masks(distinct.count())
+    keyed = F.array(*[F.struct(F.lit(r).alias("route"), F.xxhash64(*[F.col(w).bitwiseAND(F.lit(signed(m))) for w, m in zip(WORDS, ms) if m]).alias("key")) for r, ms in enumerate(masks_)])
+    rows = distinct.select("fp", *WORDS, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS)
+    return linked(rows, WORDS, LINKED, 48, 1 << 17)
+
+
+def similar(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
+    """doc_id, fp (a hash of the wide fingerprint) and component_id: components of texts whose shingles have a similarity of about 0.8 or more.
+
+    Nulls, empty texts, repeats and empty tables as for components().
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wide = b"".join([wide_fingerprint(t, words, seed) for t in batch.column("text").to_pylist()])
+            bits = np.frombuffer(wide, ">u8").reshape(-1, len(WORDS)).astype(np.uint64).view(np.int64)
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(WORDS)))], names=["doc_id", *WORDS])
+
+    arrow_batches(docs.sparkSession)
+    schema = "doc_id bigint, " + ", ".join(f"{w} bigint" for w in WORDS)
+    fps = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(each), schema).withColumn("fp", F.xxhash64(*WORDS))
+    return labelled(saved(fps, "wide-fingerprints"), similar_links).select("doc_id", "fp", "component_id")
 
 
 def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:
-    """The rows of docs without those that are linked to a smaller doc_id: one document of each component stays.
+    """The rows of docs without those that are similar to a smaller doc_id: one document of each component stays.
 
     Rows that repeat the doc_id that stays are reduced to one. Rows with a null doc_id go if their component
     has another doc_id, and stay if not.
     """
-    found = components(docs, words)
+    found = saved(similar(docs, words), "similar")
     gone = saved(found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select("doc_id").distinct(), "copies")
     out = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
     if not found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():

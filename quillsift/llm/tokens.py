@@ -14,6 +14,7 @@ import os
 import re
 from collections.abc import Iterator
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,6 @@ AT_ONCE = 8 << 20
 #: Before a piece that no space precedes; alone, an uncut text.
 BARE, UNCUT = "\x02", "\x01"
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-PLAIN_STOPS = (".", ",")
 #: White space of one byte besides blank and line break, and the marks; white space of more bytes, by its first.
 RARE = np.zeros(256, bool)
 RARE[[1, 2, 9, 11, 12, 13, 28, 29, 30, 31]] = True
@@ -113,10 +113,10 @@ class PieceEncoder:
         return piece if self.lowers else " " + piece
 
     def _learn(self) -> None:
-        """Encodes the pieces noted as new. A word before a final stop or comma is looked up by itself."""
+        """Encodes the pieces noted as new. Letters and the punctuation after them are pre-tokens of their own, looked up apart."""
         known, words, texts, stemmed, asked = self.known, [], [], [], 0
         numbers, lengths, ids, model, letters = [], [], [], self.tokenizer.model.tokenize, self.letters
-        mark, stops = "" if self.lowers else letters[32], {stop: known[BARE + stop] for stop in PLAIN_STOPS}
+        mark = "" if self.lowers else letters[32]
         while asked < len(known.new):
             p = known.new[asked]
             asked += 1
@@ -125,8 +125,8 @@ class PieceEncoder:
                 ids += [t.id for t in tokens]
                 lengths.append(len(tokens))
                 numbers.append(known[p])
-            elif len(p) > 2 and p[-1] in stops and p[-2].isalpha() and p[-2] < "\u0100" and p[0] != UNCUT:
-                stemmed.append((known[p], known[p[:-1]], stops[p[-1]]))
+            elif (stem := p.rstrip(punctuation)) and len(stem) < len(p) and stem[-1].isalpha() and stem[-1] < "\u0100" and p[0] != UNCUT:
+                stemmed.append((known[p], known[stem], known[BARE + p[len(stem) :]]))
             else:
                 words.append(known[p])
                 texts.append(self._text(p))

@@ -197,10 +197,10 @@ def test_gray_index_by_brute_force():
     found = {(int(i), int(j)) for a, b in simhash.GrayIndex(fps).links(3, queries=64) for i, j in zip(a, b)}
     assert found == {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 3}
     a, b = simhash.group_links(np.zeros(len(fps), np.int64), fps)
-    assert joined([int(x) for x in fps], range(len(fps))) == linked(fps, a, b) and len(a) < len(fps)
+    assert joined([int(x) for x in fps], range(len(fps))) == connect(fps, a, b) and len(a) < len(fps)
 
 
-def linked(fps, a, b):
+def connect(fps, a, b):
     group = {int(f): i for i, f in enumerate(fps)}
     changed = True
     while changed:
@@ -254,6 +254,24 @@ def test_suffix_keeps_columns(docs, empty):
     assert suffix.removal(empty, ["doc_id"]).count() == 0
 
 
+def edited(text, n):
+    words = text.split()
+    for k in RNG.sample(range(len(words)), n):
+        words[k] = "changed" + str(k)
+    return " ".join(words)
+
+
+def test_similar(spark, docs, empty):
+    texts = [prose(300) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, edited(t, 4)) for i, t in enumerate(texts)] + [(200 + i, edited(t, 60)) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == i for i in range(40)) and all(found[200 + i] == 200 + i for i in range(40))
+    assert sum(found[100 + i] == i for i in range(40)) >= 38  # a similarity of about 0.88
+    own = {r.doc_id: r.component_id for r in simhash.similar(docs).collect()}
+    assert own[20] == 0 and own[21] == 0 and own[22] == 8 and own[3] == 3
+    assert simhash.similar(empty).count() == 0
+
+
 def test_without_copies(docs, empty):
     out = simhash.without_copies(docs)
     ids = sorted(r.doc_id for r in out.filter("doc_id is not null").collect())
