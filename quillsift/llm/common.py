@@ -7,6 +7,7 @@ import ctypes
 import os
 import pathlib
 import shutil
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -64,6 +65,7 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+LIBC = ctypes.CDLL(None) if sys.platform == "linux" and hasattr(ctypes.CDLL(None), "malloc_trim") else None
 _kept: dict[str, object] = {}
 
 
@@ -79,10 +81,8 @@ def kept(name: str, make):
 def trim() -> None:
     """Gives memory that is free back to the system: a worker lives on beside the executor's heap."""
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # another C library
-        pass
+    if LIBC is not None:
+        LIBC.malloc_trim(0)
 
 
 def lean(function, keeps: bool = False):

@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, utf8
+from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, trim, utf8
 
 LEAST, ANCHOR = 50, 32
 #: Bytes of a block, and bytes that are hashed at once.
-BLOCK, STEP = 4 << 20, 1 << 18
+BLOCK, STEP = 2 << 20, 1 << 18
 #: The most strings of a stretch.
 LONGEST = 128
 #: An anchor in more blocks than this sends its strings one by one.
@@ -197,13 +197,15 @@ def wide(base: np.ndarray, apart: np.ndarray, n: int) -> np.ndarray:
 
 
 def runs_by(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[dict]]:
-    """Rows with the same value of a column, as sorted batches bring them."""
+    """Rows with the same value of a column, as sorted batches bring them. After a block memory goes back to the system."""
     held: list[dict] = []
     for batch in batches:
         for row in batch.to_pylist():
             if held and held[-1][column] != row[column]:
                 yield held
                 held = []
+                if column == "block":
+                    trim()
             held.append(row)
     if held:
         yield held
@@ -375,6 +377,7 @@ class Removal:
                     if n >= block_bytes:
                         yield done()
                         waiting, n = [], 0
+                        trim()
             if waiting:
                 yield done()
             if file:
@@ -416,12 +419,14 @@ class Removal:
                 yes, single = shared[place], shared[place] & many[place]
                 # Stretches, and the strings of common anchors one by one, dealt by their own hash.
                 each, rest = np.flatnonzero(single), np.flatnonzero(yes & ~single)
-                lone = ranges(start[each], count[each])
-                s = np.concatenate((start[rest], lone))
-                c = np.concatenate((count[rest], np.ones(len(lone), np.int64)))
+                lone = ranges(start[each].astype(np.int32), count[each])
+                s = np.concatenate((start[rest].astype(np.int32), lone))
+                c = np.concatenate((count[rest].astype(np.int32), np.ones(len(lone), np.int32)))
                 d = np.concatenate((ids[rest], np.repeat(ids[each], count[each])))
+                del lone, start, count, doc, place, ids
                 digest = string_hashes(data, s, c + LEAST - 1) if len(s) else np.zeros(0, np.uint64)
                 to = np.concatenate((key[rest], digest[len(rest) :]))
+                del key, data
                 by = np.lexsort((d, digest))
                 new = np.concatenate(([True], np.diff(digest[by]) != 0)) if len(by) else np.zeros(0, bool)
                 low = d[by][new][np.cumsum(new) - 1]
