@@ -285,8 +285,8 @@ WORDS = [f"w{i}" for i in range(WIDE // 64)]
 
 
 def sampled_masks(rows: int, recall: float = 0.985, seed: int = 4) -> list[list[int]]:
-    """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability; more bits for more rows."""
-    bits = int(np.clip(np.ceil(np.log2(max(2, rows))) - 4, 8, 24))
+    """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability; more bits beyond a million rows."""
+    bits = int(np.clip(np.ceil(np.log2(max(2, rows))) - 6, 14, 24))
     times = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - APART) ** bits)))
     rng = np.random.default_rng(seed)
     out = []
