@@ -103,7 +103,7 @@ def contains_token(c: Column, term: str | Column) -> Column:
     """Whether the term occurs between anything but word characters."""
     if isinstance(term, str):
         return c.rlike(rf"(?U)(?<!\w)\Q{term}\E(?!\w)")
-    return F.expr("true") & c.rlike(F.concat(F.lit(r"(?U)(?<!\w)\Q"), term, F.lit(r"\E(?!\w)")))
+    return F.rlike(c, F.concat(F.lit(r"(?U)(?<!\w)\Q"), term, F.lit(r"\E(?!\w)")))
 
 
 def slug(c: Column | str, otherwise: str = "unnamed") -> Column:
