@@ -5,12 +5,15 @@ The CGK walk reads a string with a pointer: at step j it writes the byte under t
 again after each edit, so their walks differ in few coordinates: edit distance becomes Hamming distance. A
 repetition has its own walk and its own sample of coordinates; the bytes there are the key.
 
-Windows as long as an item are anchored at each word of the documents; the item's windows at each of its
-words. A document's window is a candidate for an item if their keys are equal in one repetition. Keys are
-read coordinate by coordinate: a window whose first coordinates occur in no item's key is left at once,
-which decides as the whole key would. A candidate gives the place where the item would lie. Where windows
-of two words of an item, or more, point to nearly the same place, the exact edit distance of the item to
-the best string there, by Myers' bit vectors, decides.
+A window is 30 steps, about 15 bytes, whatever the item's length: over a window as long as an item at the
+bound of edits, hardly a sample of the walk would stay equal. Windows are anchored at each word of documents
+and items, and at each character that has no word's begin in the FAR bytes before it: long words, scripts
+without spaces. Walks that would leave the item are not kept. A document's window is a candidate for an item
+if their keys are equal in one repetition. Keys are read coordinate by coordinate: a window whose first
+coordinates occur in no item's key is left at once, which decides as the whole key would. A candidate gives
+the place where the item would lie. Where two windows of an item, or more, point to nearly the same place,
+one window for items with fewer than FEW, the exact edit distance of the item to the best string there, by
+Myers' bit vectors, decides. Items with fewer than FEW windows are looked up as whole texts, too.
 
 Texts are compared in lower case with runs of anything but letters and digits as one space. An item matches
 at no more than (1 - similarity) of its length in edits. Items under SHORT bytes match as whole words only.
@@ -29,14 +32,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, lean, utf8
+from .common import arrow_batches, lean, ranges, utf8
+from .suffix import hashes
 from .tokens import together
 
 SIMILARITY = 0.85
 #: Repetitions; steps of a walk; coordinates of a key from the first EARLY steps, and from the rest.
 REPETITIONS, STEPS, EARLY, EARLY_KEYS, LATE_KEYS = 3, 30, 14, 8, 10
-#: Items under this many bytes have no window that a walk stays in.
-SHORT = 32
+#: Items under this many bytes have no window that a walk stays in. Items with fewer windows than FEW need one hit, and are looked up whole.
+SHORT, FEW = 32, 8
+#: Bytes after a word's begin from which on each character is an anchor.
+FAR = 12
 #: Windows that are walked at once, bits of the table of early keys, bytes of items held at once.
 AT_ONCE, EARLY_BITS, ITEMS_AT_ONCE = 1 << 15, 20, 8 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -59,6 +65,16 @@ def folded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((out[keep], np.zeros(2 * STEPS, np.uint8))), starts
 
 
+def anchors(data: np.ndarray, end: int) -> np.ndarray:
+    """Where windows begin in folded texts that end there: at words, and at each character over FAR bytes into a word."""
+    words = np.flatnonzero(data[:end] == 32) + 1
+    length = np.diff(np.append(words, end + 1)) - 1
+    far = np.flatnonzero(length > FAR)
+    inner = ranges(words[far] + FAR, length[far] - FAR)
+    inner = inner[data[inner] & 0xC0 != 0x80]
+    return np.sort(np.concatenate((words, inner))) if len(inner) else words
+
+
 @dataclass
 class Walk:
     """A repetition: its moves by step and byte, the sampled steps, and the keys of the items' windows."""
@@ -85,16 +101,16 @@ class Walk:
         with np.errstate(over="ignore"):
             return ((key ^ (key >> np.uint64(29))) * SPREAD) >> np.uint64(64 - EARLY_BITS)
 
-    def full(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, early = self.steps(data, at, 0, EARLY, self.early, np.zeros(len(at), np.uint64))
-        return early, self.steps(data, at, EARLY, STEPS, self.late, early)[1]
-
-    def index(self, data: np.ndarray, at: np.ndarray) -> None:
-        early, key = self.full(data, at)
+    def index(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Keeps the windows whose walk ends within the item; gives their numbers."""
+        on, early = self.steps(data, at, 0, EARLY, self.early, np.zeros(len(at), np.uint64))
+        on, key = self.steps(data, on, EARLY, STEPS, self.late, early)
+        inside = np.flatnonzero(on < ends)
         self.seen = np.zeros(1 << EARLY_BITS, bool)
-        self.seen[self.early_slot(early)] = True
-        self.windows = np.argsort(key, kind="stable")
+        self.seen[self.early_slot(early[inside])] = True
+        self.windows = inside[np.argsort(key[inside], kind="stable")]
         self.keys = key[self.windows]
+        return inside
 
     def hits(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window of the documents, window of the items) with equal keys."""
@@ -155,21 +171,25 @@ class Index:
         self.items = [every[a:b].strip(b" ") for a, b in zip(starts, starts[1:])]
         self.most = [int((1 - similarity) * len(x) + 1e-9) for x in self.items]
         self.short = [k for k, x in enumerate(self.items) if 0 < len(x) < SHORT]
-        at, item = [], []
-        for k, (a, x) in enumerate(zip(starts.tolist(), self.items)):
-            if len(x) >= SHORT:
-                own = a + np.flatnonzero(data[a : a + len(x) + 1 - STEPS] == 32) + 1
-                at.append(own)
-                item.append(np.full(len(own), k))
-        self.at = np.concatenate(at) if at else np.zeros(0, np.int64)
-        self.item = np.concatenate(item) if item else np.zeros(0, np.int64)
+        sizes = np.array([len(x) for x in self.items], np.int64)
+        self.at = anchors(data, int(starts[-1]))
+        self.item = np.searchsorted(starts, self.at, side="left") - 1
+        own = np.flatnonzero((sizes[self.item] >= SHORT) & (self.at - starts[self.item] - 1 < sizes[self.item]))
+        self.at, self.item = self.at[own], self.item[own]
         self.within = self.at - starts[self.item] - 1
-        self.walks = walks()
+        self.walks, kept = walks(), np.zeros(len(self.at), bool)
         for w in self.walks:
-            w.index(data, self.at)
+            kept[w.index(data, self.at, starts[self.item] + 1 + sizes[self.item])] = True
+        windows = np.bincount(self.item[kept], minlength=len(self.items))
+        self.needed = np.where(windows < FEW, 1, 2)
+        # Items with few windows, by the hash of their first bytes.
+        few = np.flatnonzero((sizes >= SHORT) & (windows < FEW))
+        heads = np.array([hashes(np.frombuffer(self.items[k][:SHORT], np.uint8), SHORT)[0] for k in few], np.uint64)
+        by = np.argsort(heads, kind="stable")
+        self.heads, self.few = heads[by], few[by]
 
     def places(self, at: np.ndarray, window: np.ndarray, starts: np.ndarray) -> list[list[int]]:
-        """(row, item, first, last place): stretches no longer than the edits allowed to which two windows of the item point, at least."""
+        """(row, item, first, last place): stretches no longer than the edits allowed to which as many windows of the item point as it needs, at least."""
         row, item = np.searchsorted(starts, at, side="left") - 1, self.item[window]
         place, most = at - self.within[window], np.array(self.most)
         row, item, place, window = np.unique(np.stack((row, item, place, window)), axis=1)
@@ -181,15 +201,28 @@ class Index:
         cut = np.cumsum(new) - 1
         begin = np.flatnonzero(new)
         pairs = np.unique(np.stack((group, window)), axis=1)[0]
-        several = np.bincount(pairs, minlength=group[-1] + 1)[group[begin]] >= 2
+        several = np.bincount(pairs, minlength=group[-1] + 1)[group[begin]] >= self.needed[item[begin]]
         end = np.concatenate((begin[1:], [len(cut)])) - 1
         return np.stack((row[begin], item[begin], place[begin], place[end]))[:, several].T.tolist()
 
+    def whole(self, data: np.ndarray, starts: np.ndarray, found: dict[tuple[int, int], int]) -> None:
+        """Adds the items with few windows that are in a text as they are."""
+        key = hashes(data, SHORT)
+        a, b = np.searchsorted(self.heads, key, side="left"), np.searchsorted(self.heads, key, side="right")
+        for p in np.flatnonzero(b > a).tolist():
+            r = int(np.searchsorted(starts, p, side="left")) - 1
+            for k in self.few[a[p] : b[p]].tolist():
+                end = p + len(self.items[k])
+                if end <= starts[r + 1] and data[p:end].tobytes() == self.items[k]:
+                    found[r, k] = 0
+
     def matches(self, texts: pa.Array) -> list[tuple[int, int, int]]:
         """(row, item, edits) of each item in each text."""
         data, starts = folded(texts)
         found: dict[tuple[int, int], int] = {}
-        words = np.flatnonzero(data[: starts[-1]] == 32) + 1
+        words = anchors(data, int(starts[-1]))
+        if len(self.few):
+            self.whole(data, starts, found)
         doc_at, item_at = [], []
         if len(self.at):
             for k in range(0, len(words), AT_ONCE):

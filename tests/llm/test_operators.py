@@ -326,6 +326,18 @@ def test_recall_of_edited_items():
     assert found >= 0.9 * total
 
 
+def test_items_with_few_windows():
+    items = [re.sub("[.,]", "", x)[:n].strip() for n in (32, 34, 36, 40, 48) for x in ("counterrevolutionaries assembled quietly", prose(40), prose(40))]
+    items = [x for x in items if len(x) >= decontam.SHORT] + ["日本語の文章には空白がありませんので単語で始まらない", "漢字仮名交じり文" * 9, "ภาษาไทยเขียนติดกันโดยไม่เว้นวรรค", "x" * 20 + "y" * 20]
+    index = decontam.Index(list(range(len(items))), items, 0.85)
+    texts = [prose(20) + " " + x + " " + prose(20) for x in items] + ["前の文" + x + "後の文" for x in items] + [prose(200), "日本語テキスト" * 50]
+    found = {(r, k) for r, k, d in index.matches(pa.array(texts)) if d == 0}
+    assert {(r, r % len(items)) for r in range(2 * len(items))} <= found
+    assert not any(r >= 2 * len(items) for r, _ in found)
+    long = "漢字仮名交じり文は空白なしで書かれ、単語の境目が見えない。それでも一部が変わった項目を見つける必要がある"
+    assert decontam.Index([1], [long], 0.85).matches(pa.array(["前置き" + long.replace("境目", "境界") + "後書き"]))
+
+
 def test_media(docs, empty):
     rows = media.store(docs)
     places = media.catalogue(rows)
