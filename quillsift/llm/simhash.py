@@ -56,9 +56,17 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int.from_bytes(majority(shingle_digests(text, words, lambda x: xxhash.xxh64_digest(x, seed)), 8), "big")
 
 
-def wide_fingerprint(text: str | None, words: int, seed: int = 42) -> bytes:
-    """A fingerprint of WIDE bits."""
-    return majority(shingle_digests(text, words, lambda x: xxhash.xxh3_128_digest(x, seed) + xxhash.xxh3_128_digest(x, seed + 1)), WIDE // 8)
+def wide_fingerprint(text: str | None, words: int, seed: int = 42) -> tuple[int, bytes]:
+    """A hash of a text's distinct shingles, and a fingerprint of WIDE bits that counts each of them once."""
+    digests = shingle_digests(text, words, lambda x: xxhash.xxh3_128_digest(x, seed) + xxhash.xxh3_128_digest(x, seed + 1))
+    rows = np.frombuffer(digests, "<u8").reshape(-1, len(WORDS))
+    distinct = rows[np.unique(rows[:, 0], return_index=True)[1]].tobytes()
+    return xxhash.xxh64_intdigest(distinct), majority(distinct, WIDE // 8)
+
+
+def shingle_set(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """64-bit hashes of a text's distinct shingles, ascending."""
+    return np.unique(np.frombuffer(shingle_digests(text, words, lambda x: xxhash.xxh3_64_digest(x, seed)), "<u8"))
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
@@ -162,8 +170,31 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[by[same]], values[by[same + 1]]
 
 
-def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, by id, of the links between fingerprints of the same group. Without fps the ids are the fingerprints."""
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the links (a, b) that make a spanning forest, the least first, by Boruvka's rounds: unlike in forest(), each edge is a link."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    by = np.lexsort((b, a))
+    a, b = a[by], b[by]
+    values, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    label, taken = np.arange(len(values)), np.zeros(len(a), bool)
+    while len(cross := np.flatnonzero(label[x] != label[y])):
+        best = np.full(len(values), len(a))
+        np.minimum.at(best, label[x[cross]], cross)
+        np.minimum.at(best, label[y[cross]], cross)
+        chosen = np.unique(best[best < len(a)])
+        taken[chosen] = True
+        while np.any((u := label[x[chosen]]) != (v := label[y[chosen]])):
+            to = np.arange(len(values))
+            np.minimum.at(to, np.maximum(u, v), np.minimum(u, v))
+            while not np.array_equal(to, to[to]):
+                to = to[to]
+            label = to[label]
+    return a[taken], b[taken]
+
+
+def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12, pick=forest) -> tuple[np.ndarray, np.ndarray]:
+    """What pick() makes, by id, of the links between fingerprints of the same group. Without fps the ids are the fingerprints."""
     fps = (ids if fps is None else fps).reshape(len(ids), -1)
     by = np.lexsort((gray_rank(fps[:, 0]), group))
     group, ids, fps = group[by], ids[by], fps[by]
@@ -179,8 +210,8 @@ def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = Non
     for k in np.flatnonzero(sizes > small):
         own, name = fps[starts[k] : starts[k] + sizes[k]], ids[starts[k] : starts[k] + sizes[k]]
         for i, j in GrayIndex(own).links(distance):
-            found.append(forest(name[i], name[j]))
-    return forest(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
+            found.append(pick(name[i], name[j]))
+    return pick(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
 
 
 def routed(distinct: DataFrame, large: int) -> DataFrame:
@@ -201,8 +232,22 @@ def links(distinct: DataFrame, large: int = 1 << 14, held: int = 1 << 18) -> Dat
     return linked(routed(distinct, large), [], DISTANCE, 12, held)
 
 
-def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: int) -> DataFrame:
-    """Forests of the links within the groups of (route, key): fp names a row, the words are its bits (without any, fp itself)."""
+def across(ids: np.ndarray, parts: np.ndarray):
+    """A pick() of all links between ids of different parts, once each."""
+    own, first = np.unique(ids, return_index=True)
+    part = parts[first]
+
+    def pick(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        apart = part[np.searchsorted(own, a)] != part[np.searchsorted(own, b)]
+        pairs = np.unique(np.stack((np.minimum(a, b)[apart], np.maximum(a, b)[apart])), axis=1)
+        return pairs[0], pairs[1]
+
+    return pick
+
+
+def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: int, pick=forest) -> DataFrame:
+    """What pick() makes of the links within the groups of (route, key): fp names a row, the words are its bits (without any, fp itself). Rows with a part give all links between parts."""
+    part = [c for c in rows.columns if c == "part"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
@@ -210,12 +255,13 @@ def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: i
         def done(rows: list[np.ndarray]) -> pa.RecordBatch:
             all_rows = np.concatenate(rows, 1)
             groups = np.cumsum(np.concatenate(([0], np.any(all_rows[:2, 1:] != all_rows[:2, :-1], axis=0))))
-            bits = np.ascontiguousarray(all_rows[3:].T).view(np.uint64) if words else None
-            a, b = group_links(groups, all_rows[2].view(np.uint64), bits, distance, small)
+            bits = np.ascontiguousarray(all_rows[3 : 3 + len(words)].T).view(np.uint64) if words else None
+            ids = all_rows[2].view(np.uint64)
+            a, b = group_links(groups, ids, bits, distance, small, across(ids, all_rows[-1]) if part else pick)
             return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "fp", *words)])
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "fp", *words, *part)])
             if n + rows.shape[1] > held and waiting:  # what has ended is linked; the last group goes on
                 both = np.concatenate([*waiting, rows], 1)
                 last = np.flatnonzero(np.any(both[:2] != both[:2, -1:], axis=0))
@@ -232,7 +278,7 @@ def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: i
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrow_batches(spark, 1 << 14)
-    return rows.select("route", "key", "fp", *words).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
+    return rows.select("route", "key", "fp", *words, *part).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
 
 
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -277,14 +323,15 @@ def labelled(fps: DataFrame, find) -> DataFrame:
     return fps.join(labels, "fp")
 
 
-#: Bits of a wide fingerprint. Of two texts whose shingles have a similarity of 0.8, a share of APART differ
-#: on average (0.5 for unlike texts); LINKED of them at most make a link: of pairs at 0.8 about nine in ten,
-#: at 0.9 all, at 0.7 three in ten, at 0.5 none.
-WIDE, APART, LINKED = 256, 0.152, 46
+#: Texts are near-duplicates where their sets of shingles have this similarity, by Jaccard.
+SIMILAR = 0.8
+#: Bits of a wide fingerprint. Of two texts at SIMILAR a share of APART differ on average (0.5 for unlike
+#: texts); pairs that differ in LINKED of them at most are candidates, which is 3.6 deviations more.
+WIDE, APART, LINKED = 256, 0.152, 60
 WORDS = [f"w{i}" for i in range(WIDE // 64)]
 
 
-def sampled_masks(rows: int, recall: float = 0.985, seed: int = 4) -> list[list[int]]:
+def sampled_masks(rows: int, recall: float = 0.999, seed: int = 4) -> list[list[int]]:
     """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability; more bits beyond a million rows."""
     bits = int(np.clip(np.ceil(np.log2(max(2, rows))) - 6, 14, 24))
     times = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - APART) ** bits)))
@@ -296,30 +343,84 @@ def sampled_masks(rows: int, recall: float = 0.985, seed: int = 4) -> list[list[
     return out
 
 
-def similar_links(distinct: DataFrame) -> DataFrame:
-    """Edges between wide fingerprints that differ in at most LINKED bits: groups that agree in a sample of bits, each indexed in Gray order."""
-    masks_ = sampled_masks(distinct.count())
+def candidates(distinct: DataFrame, masks_: list[list[int]]) -> DataFrame:
+    """Pairs of fp whose wide fingerprints differ in at most LINKED bits, from groups that agree in a sample of bits, each indexed in Gray order.
+
+    Of each group a spanning forest of its pairs; with a column part, all pairs of different parts.
+    """
     keyed = F.array(*[F.struct(F.lit(r).alias("route"), F.xxhash64(*[F.col(w).bitwiseAND(F.lit(signed(m))) for w, m in zip(WORDS, ms) if m]).alias("key")) for r, ms in enumerate(masks_)])
-    rows = distinct.select("fp", *WORDS, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS)
-    return linked(rows, WORDS, LINKED, 48, 1 << 17)
+    part = [c for c in distinct.columns if c == "part"]
+    rows = distinct.select("fp", *WORDS, *part, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS, *part)
+    return linked(rows, WORDS, LINKED, 48, 1 << 17, spanning).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have a similarity of SIMILAR or more, exactly."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stay = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                small, large = min(len(x), len(y)), max(len(x), len(y))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if small >= SIMILAR * large else 0
+                stay.append(both >= SIMILAR * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
+
+    of = lambda fp, name: sets.select(F.col("fp").alias(fp), F.col("shingles").alias(name))
+    arrow_batches(pairs.sparkSession)
+    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(lean(check), "a bigint, b bigint")
+
+
+def similar_links(distinct: DataFrame, texts: DataFrame, words: int, seed: int) -> DataFrame:
+    """Links between texts at SIMILAR, by candidates that are all verified or already connected by verified ones.
+
+    First a spanning forest of each group's candidates is verified. Then, among the texts that have a
+    candidate, all candidates that this has not connected: a group of copies costs as many pairs as texts.
+    texts has __key and text; distinct has the __key of one text of each fp.
+    """
+    masks_ = sampled_masks(distinct.count())
+    pairs = saved(candidates(distinct, masks_), "candidates")
+    nodes = saved(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "nodes")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column("fp"), pa.array([shingle_set(t, words, seed).tobytes() for t in batch.column("text").to_pylist()], pa.binary())], names=["fp", "shingles"])
+
+    chosen = distinct.join(nodes, "fp", "left_semi").select("fp", "__key")
+    arrow_batches(texts.sparkSession)
+    sets = texts.join(chosen, "__key").select("fp", "text").mapInArrow(lean(each), "fp bigint, shingles binary")
+    sets = saved(sets.dropDuplicates(["fp"]), "shingles")
+    first = saved(verified(pairs, sets), "links")
+    roots = saved(connected(first), "parts")
+    again = distinct.join(nodes, "fp", "left_semi").join(roots.select(F.col("v").alias("fp"), F.col("root").alias("part")), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
+    rest = saved(candidates(again, masks_).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    return first.unionByName(verified(rest, sets))
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """docs with __key, a digest of the text; of null, an empty one."""
+    return docs.withColumn("__key", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
 
 
 def similar(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
-    """doc_id, fp (a hash of the wide fingerprint) and component_id: components of texts whose shingles have a similarity of about 0.8 or more.
+    """doc_id, fp (a hash of the distinct shingles), component_id and __key (a digest of the text): components of texts whose sets of shingles have a similarity of 0.8 or more.
 
     Nulls, empty texts, repeats and empty tables as for components().
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wide = b"".join([wide_fingerprint(t, words, seed) for t in batch.column("text").to_pylist()])
-            bits = np.frombuffer(wide, ">u8").reshape(-1, len(WORDS)).astype(np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(WORDS)))], names=["doc_id", *WORDS])
+            found = [wide_fingerprint(t, words, seed) for t in batch.column("text").to_pylist()]
+            bits = np.frombuffer(b"".join([w for _, w in found]), ">u8").reshape(-1, len(WORDS)).astype(np.uint64).view(np.int64)
+            fps = pa.array(np.array([f for f, _ in found], np.uint64).view(np.int64))
+            yield pa.record_batch([batch.column("doc_id"), batch.column("__key"), fps, *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(WORDS)))], names=["doc_id", "__key", "fp", *WORDS])
 
     arrow_batches(docs.sparkSession)
-    schema = "doc_id bigint, " + ", ".join(f"{w} bigint" for w in WORDS)
-    fps = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(lean(each), schema).withColumn("fp", F.xxhash64(*WORDS))
-    return labelled(saved(fps, "wide-fingerprints"), similar_links).select("doc_id", "fp", "component_id")
+    schema = "doc_id bigint, __key string, fp bigint, " + ", ".join(f"{w} bigint" for w in WORDS)
+    texts = keyed_texts(docs.select(F.col("doc_id").cast("bigint"), "text"))
+    fps = saved(texts.mapInArrow(lean(each), schema), "wide-fingerprints")
+    return labelled(fps, lambda distinct: similar_links(distinct, texts.select("__key", "text"), words, seed)).select("doc_id", "fp", "component_id", "__key")
 
 
 def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:

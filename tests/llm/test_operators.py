@@ -272,6 +272,45 @@ def test_similar(spark, docs, empty):
     assert simhash.similar(empty).count() == 0
 
 
+def test_similar_is_verified(spark):
+    lines = [prose(8) for _ in range(4)]  # repeated lines of two texts that have little else in common
+    rows = [(i, " ".join(lines * 12) + " " + prose(300)) for i in range(6)]
+    base = prose(304).split()
+    near = [base[:k] + ["other%d" % k] * 3 + base[k + 3 :] for k in range(0, 290, 10)]  # 0.95 of the base, 0.91 of each other
+    apart = " ".join(prose(1) if k % 22 == 0 else w for k, w in enumerate(base))  # each change costs 5 of 300 shingles
+    sets = [set(simhash.shingle_set(" ".join(base), 5).tolist()), set(simhash.shingle_set(apart, 5).tolist())]
+    assert 0.55 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.75
+    rows += [(10, " ".join(base)), (11, apart)] + [(20 + i, " ".join(w)) for i, w in enumerate(near)]
+    # A chain: each is near the next alone.
+    chain = prose(340).split()
+    rows += [(100 + i, " ".join(chain[6 * i : 6 * i + 300])) for i in range(6)]
+    for i in range(40):  # pairs just above the bound
+        w = prose(304).split()
+        rows += [(200 + 2 * i, " ".join(w)), (201 + 2 * i, " ".join("zz%d" % k if k in (30, 80, 130, 180, 230, 280) else x for k, x in enumerate(w)))]
+    found = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
+    least = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i in sets:
+            for j in sets:
+                if least[i] != least[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    least[i] = least[j] = min(least[i], least[j])
+                    changed = True
+    assert found == least and found[11] == 11 and found[5] == 5 and found[105] == 100 and found[201] == 200
+
+
+def test_spanning_edges_are_links():
+    a = np.array([RNG.randrange(60) for _ in range(90)])
+    b = np.array([RNG.randrange(60) for _ in range(90)])
+    x, y = simhash.spanning(a, b)
+    pairs = {(min(i, j), max(i, j)) for i, j in zip(a.tolist(), b.tolist())}
+    values = sorted({*a.tolist(), *b.tolist()})
+    assert set(zip(x.tolist(), y.tolist())) <= pairs and connect(values, x, y) == connect(values, a, b)
+    assert len(x) == len(values) - len(set(connect(values, a, b)))
+
+
 def test_without_copies(docs, empty):
     out = simhash.without_copies(docs)
     ids = sorted(r.doc_id for r in out.filter("doc_id is not null").collect())
