@@ -426,13 +426,15 @@ def similar(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
 def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:
     """The rows of docs without those that are similar to a smaller doc_id: one document of each component stays.
 
-    Rows that repeat the doc_id that stays are reduced to one. Rows with a null doc_id go if their component
-    has another doc_id, and stay if not.
+    Each text of a doc_id is judged by itself. Rows with the doc_id that stays and the same text are reduced
+    to one. Rows with a null doc_id go if their component has another doc_id, and stay if not.
     """
     found = saved(similar(docs, words), "similar")
-    gone = saved(found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)").select("doc_id").distinct(), "copies")
-    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    if not found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        named = out.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    gone = found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)")
+    gone = saved(gone.select(F.col("doc_id").alias("__gone"), F.col("__key").alias("__copy")).distinct(), "copies")
+    out = keyed_texts(docs)
+    out = out.join(gone, (out["__key"] == gone["__copy"]) & out["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    if not found.filter("doc_id is not null").groupBy("doc_id", "__key").count().filter("count > 1").isEmpty():
+        named = out.filter("doc_id is not null").dropDuplicates(["doc_id", "__key"])
         out = named.unionByName(out.filter("doc_id is null"))
-    return out
+    return out.drop("__key")

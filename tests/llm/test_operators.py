@@ -318,6 +318,13 @@ def test_without_copies(docs, empty):
     assert simhash.without_copies(empty).count() == 0
 
 
+def test_without_copies_by_row(spark):
+    a, b, c, d, e = (prose(60) for _ in range(5))
+    rows = [(1, a), (None, a), (None, b), (5, c), (7, a), (7, d), (7, d), (8, e), (8, prose(60))]
+    out = simhash.without_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted([(r.doc_id, r.text) for r in out.collect()], key=repr) == sorted([(1, a), (None, b), (5, c), (7, d), *rows[7:]], key=repr)
+
+
 ITEMS = [(1, PASSAGE), (2, prose(40)), (3, None), (4, ""), (5, "short item"), (6, prose(35))]
 
 
