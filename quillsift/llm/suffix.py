@@ -9,7 +9,8 @@ first of several. Equal strings have equal anchors, so they meet wherever the an
 3. A block sends, for each such anchor, the digest of the stretch of text whose strings have that anchor,
    once for equal stretches; for anchors of many blocks it sends the strings one by one, dealt by their own
    hash, so that a common anchor with ever different surroundings never meets in one bucket. A bucket
-   answers which stretches a smaller document has too (anchor and digest together have 80 bits), and which
+   answers which stretches a smaller document has too (anchor and digest, or a string's two hashes, together
+   have 80 bits), and which
    anchors have different stretches. Only of those the bytes are sent.
 4. A bucket finds their equal strings. Its intervals (strings with a common prefix, in suffix order) begin
    with the empty prefix; each round puts the preceding byte, the Burrows-Wheeler column, before the prefix
@@ -45,6 +46,8 @@ LONGEST = 128
 MANY = 64
 NEVER = np.iinfo(np.int64).max
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Of the second hash of a string that is sent by its own hash.
+OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
 def hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -264,13 +267,13 @@ def occurrences(rows: list[dict], many_blocks: int) -> list[tuple[bytes, bytes]]
     return [(bits(y), bits(m)) for y, m in zip(np.split(yes, cuts), np.split(many, cuts))]
 
 
-def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray, part: int = 1 << 20) -> np.ndarray:
-    """A hash of each string, from sums over all bytes up to a place: (S(end) - S(start)) / BASE**start modulo 2**64."""
+def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray, part: int = 1 << 20, base: np.uint64 = BASE) -> np.ndarray:
+    """A hash of each string, from sums over all bytes up to a place: (S(end) - S(start)) / base**start modulo 2**64."""
     out, longest = np.empty(len(start), np.uint64), int(length.max(initial=0))
     n = min(len(data), part + longest)
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, BASE, np.uint64))))
-        back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(pow(int(BASE), -1, 1 << 64)), np.uint64))))
+        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, base, np.uint64))))
+        back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n, np.uint64(pow(int(base), -1, 1 << 64)), np.uint64))))
         where = start // part
         for k in np.unique(where):
             own = np.flatnonzero(where == k)
@@ -280,7 +283,7 @@ def string_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray, part:
             a, size = start[own] - k * part, length[own]
             total = (sums[a + size] - sums[a]) * back[a]
             total ^= (total >> np.uint64(32)) ^ (size.astype(np.uint64) << np.uint64(48))
-            total *= BASE
+            total *= base
             out[own] = total ^ (total >> np.uint64(29))
     return out
 
@@ -426,6 +429,8 @@ class Removal:
                 del lone, start, count, doc, place, ids
                 digest = string_hashes(data, s, c + LEAST - 1) if len(s) else np.zeros(0, np.uint64)
                 to = np.concatenate((key[rest], digest[len(rest) :]))
+                # A string that is dealt by its hash is told apart by another one.
+                told = np.concatenate((digest[: len(rest)], string_hashes(data, s[len(rest) :], c[len(rest) :] + LEAST - 1, base=OTHER))) if len(each) else digest
                 del key, data
                 by = np.lexsort((d, digest))
                 new = np.concatenate(([True], np.diff(digest[by]) != 0)) if len(by) else np.zeros(0, bool)
@@ -438,7 +443,7 @@ class Removal:
                 at, size = file.add_bytes(places)
                 edge = dealt(buckets_of(to[one], buckets), buckets)
                 used = np.union1d(np.flatnonzero(np.diff(edge)), [rows[0]["block"] % buckets])  # at least one row
-                blobs = [pack(np.frombuffer(short(to[one[edge[k] : edge[k + 1]]]), np.uint8), np.frombuffer(short(digest[one[edge[k] : edge[k + 1]]]), np.uint8), *as_bytes(narrow(d[one[edge[k] : edge[k + 1]]]))) for k in used]
+                blobs = [pack(np.frombuffer(short(to[one[edge[k] : edge[k + 1]]]), np.uint8), np.frombuffer(short(told[one[edge[k] : edge[k + 1]]]), np.uint8), *as_bytes(narrow(d[one[edge[k] : edge[k + 1]]]))) for k in used]
                 n = len(used)
                 out = {
                     "bucket": pa.array(used, pa.int32()), "block": pa.array([rows[0]["block"]] * n, pa.int64()), "path": pa.array([rows[0]["path"]] * n), "at": pa.array([rows[0]["at"]] * n, pa.int64()), "size": pa.array([rows[0]["size"]] * n, pa.int64()),

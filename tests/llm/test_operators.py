@@ -248,6 +248,16 @@ def test_suffix(docs, block, many):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.h) for r in found.collect()), key=repr) == removed(ROWS)
 
 
+def test_strings_whose_hashes_agree_in_part(spark):
+    # Different strings around one anchor, whose hashes agree in the low 40 bits and in the bucket.
+    texts = ["fdyhnuoynslvviilvsmqablzfswduxfhhuifusifkdevlqrgqi", "zeytnqvhrslvviilvsmqablzfswduxfhhuifusifkxsoeypevb"]
+    h = [int(suffix.string_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0]), np.array([50]))[0]) for t in texts]
+    assert h[0] != h[1] and (h[0] ^ h[1]) % (1 << 40) == 0
+    rows = [(1, texts[0]), (2, texts[1]), (3, texts[0])]
+    found = suffix.removal(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], many=0)
+    assert {r.doc_id: r.n_removed for r in found.collect()} == {1: 0, 2: 0, 3: 50}
+
+
 def test_suffix_keeps_columns(docs, empty):
     out = suffix.without_repeats(docs)
     assert out.columns == docs.columns and out.filter("doc_id = 11").count() == 0 and out.filter("doc_id = 2").count() == 1
