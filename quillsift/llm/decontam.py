@@ -3,28 +3,31 @@
 The CGK walk reads a string with a pointer: at step j it writes the byte under the pointer and moves on by
 0 or 1, as a random function of j and the byte says. Two strings at a small edit distance fall in step
 again after each edit, so their walks differ in few coordinates: edit distance becomes Hamming distance. A
-repetition has its own walk and its own sample of coordinates; the bytes there are the key.
-
-A window is 30 steps, about 15 bytes, whatever the item's length: over a window as long as an item at the
-bound of edits, hardly a sample of the walk would stay equal. Windows are anchored at each word of documents
-and items, and at each character that has no word's begin in the FAR bytes before it: long words, scripts
-without spaces. Walks that would leave the item are not kept. A document's window is a candidate for an item
-if their keys are equal in one repetition. Keys are read coordinate by coordinate: a window whose first
-coordinates occur in no item's key is left at once, which decides as the whole key would. A candidate gives
-the place where the item would lie. Where two windows of an item, or more, point to nearly the same place,
-one window for items with fewer than FEW, the exact edit distance of the item to the best string there, by
-Myers' bit vectors, decides. Items with fewer than FEW windows are looked up as whole texts, too.
+repetition has its own walk and its own sample of coordinates; the bytes there, hashed, are the key.
+
+At 15 % of edits one walk over a whole window of an item's size differs in about half of its coordinates,
+so that no sample of a useful size stays equal in a payable number of repetitions. Therefore the walk
+begins anew at each byte of an item-sized window, and a key samples the first steps of one of these walks.
+How many steps, and in how many repetitions, follows from the item's size, the edits allowed and TARGET:
+the longest walk with which a simulation on edited texts of that size meets at least once with that
+probability (`plan`). Documents have a walk from every byte too, so nothing depends on words or spaces.
+
+A meeting tells the place where the item would lie. Places are counted once for each stretch as long as the
+edits allowed; what shares too few 3-byte strings with the item to be within them is left; the rest is
+decided by the exact edit distance of the item to the best string there, by Myers' bit vectors.
 
 Texts are compared in lower case with runs of anything but letters and digits as one space. An item matches
-at no more than (1 - similarity) of its length in edits. Items under SHORT bytes match as whole words only.
-Null and empty texts and items match nothing. Repeated and null ids are kept apart by their text's rows:
-each matching row gives its doc_id and the item's item_id, once each. Empty tables give an empty result.
+at no more than (1 - similarity) of its length in edits. Items under SHORT bytes match as whole words only:
+so short a string is within its edits of much that is no copy. Null and empty texts and items match
+nothing. Repeated and null ids are kept apart by their text's rows: each matching row gives its doc_id and
+the item's item_id, once each. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +36,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, lean, ranges, utf8
-from .suffix import hashes
 from .tokens import together
 
-SIMILARITY = 0.85
-#: Repetitions; steps of a walk; coordinates of a key from the first EARLY steps, and from the rest.
-REPETITIONS, STEPS, EARLY, EARLY_KEYS, LATE_KEYS = 3, 30, 14, 8, 10
-#: Items under this many bytes have no window that a walk stays in. Items with fewer windows than FEW need one hit, and are looked up whole.
-SHORT, FEW = 32, 8
-#: Bytes after a word's begin from which on each character is an anchor.
-FAR = 12
-#: Windows that are walked at once, bits of the table of early keys, bytes of items held at once.
-AT_ONCE, EARLY_BITS, ITEMS_AT_ONCE = 1 << 15, 20, 8 << 20
-SPREAD = np.uint64(0x9E3779B97F4A7C15)
+SIMILARITY, TARGET = 0.85, 0.95
+#: Steps that a key can sample from, the share of them that it does, and the most repetitions.
+LEVELS, SAMPLED, REPETITIONS = (16, 18, 20, 22, 24, 28, 32, 38, 44), 0.7, 3
+#: Items under this many bytes have no walk.
+SHORT = 32
+#: Windows that are walked at once, most bits of the table of first keys, bytes of items held at once.
+AT_ONCE, SLOT_BITS, ITEMS_AT_ONCE = 1 << 14, 24, 2 << 20
+#: Bits of the table of 3-byte strings, and places that are looked at at once.
+GRAM_BITS, GRAMS_AT_ONCE = 12, 1 << 21
+PADDING = LEVELS[-1]
 
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[:128] = [c if chr(c).isalnum() else 32 for c in range(128)]
@@ -62,77 +64,89 @@ def folded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != 32) | (out[:-1] != 32)
     starts = np.cumsum(keep)[offsets + np.arange(len(offsets))] - 1  # the space before each text
-    return np.concatenate((out[keep], np.zeros(2 * STEPS, np.uint8))), starts
-
+    return np.concatenate((out[keep], np.zeros(PADDING, np.uint8))), starts
 
-def anchors(data: np.ndarray, end: int) -> np.ndarray:
-    """Where windows begin in folded texts that end there: at words, and at each character over FAR bytes into a word."""
-    words = np.flatnonzero(data[:end] == 32) + 1
-    length = np.diff(np.append(words, end + 1)) - 1
-    far = np.flatnonzero(length > FAR)
-    inner = ranges(words[far] + FAR, length[far] - FAR)
-    inner = inner[data[inner] & 0xC0 != 0x80]
-    return np.sort(np.concatenate((words, inner))) if len(inner) else words
 
-
-@dataclass
 class Walk:
-    """A repetition: its moves by step and byte, the sampled steps, and the keys of the items' windows."""
-
-    moves: np.ndarray
-    early: list[int]
-    late: list[int]
-    seen: np.ndarray | None = None
-    keys: np.ndarray | None = None
-    windows: np.ndarray | None = None
-
-    def steps(self, data: np.ndarray, at: np.ndarray, first: int, last: int, sampled: list[int], key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Walks from step `first` to before `last`; gives the pointers and the keys so far."""
-        at = at.copy()
+    """The walk and the sample of a repetition. Byte by byte: what a byte adds to the key, and the step after it."""
+
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.moves = rng.integers(0, 2, (LEVELS[-1], 256)).astype(bool)
+        self.weights = rng.integers(1, 1 << 63, LEVELS[-1], dtype=np.uint64) | np.uint64(1)
+        self.weights[rng.random(LEVELS[-1]) >= SAMPLED] = 0
+        self.weights[0] |= np.uint64(1)
+        self.tables = {steps: self.table(steps) for steps in LEVELS}
+
+    def table(self, steps: int) -> tuple[np.ndarray, np.ndarray]:
+        after, adds = np.full((steps + 1, 256), steps << 8, np.int64), np.zeros((steps + 1, 256), np.uint64)
         with np.errstate(over="ignore"):
-            for j in range(first, last):
-                byte = data.take(at)
-                if j in sampled:
-                    key = key * SPREAD + byte
-                at += self.moves[j].take(byte)
-        return at, key
-
-    def early_slot(self, key: np.ndarray) -> np.ndarray:
+            for j in range(steps - 1, -1, -1):
+                after[j] = np.where(self.moves[j], (j + 1) << 8, after[j + 1])
+                adds[j] = self.weights[j] * np.arange(1, 257, dtype=np.uint64) + np.where(self.moves[j], np.uint64(0), adds[j + 1])
+        return after.ravel(), adds.ravel()
+
+    def keys(self, steps: int, byte, n: int, sizes: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+        """Keys of n walks whose byte number i is byte(i), and with `sizes` how many bytes each read. A walk ends after its steps or reach(steps) bytes."""
+        after, adds = self.tables[steps]
+        at, key, read = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.int64) if sizes else None
+        here, add = np.empty(n, np.int64), np.empty(n, np.uint64)
         with np.errstate(over="ignore"):
-            return ((key ^ (key >> np.uint64(29))) * SPREAD) >> np.uint64(64 - EARLY_BITS)
-
-    def index(self, data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Keeps the windows whose walk ends within the item; gives their numbers."""
-        on, early = self.steps(data, at, 0, EARLY, self.early, np.zeros(len(at), np.uint64))
-        on, key = self.steps(data, on, EARLY, STEPS, self.late, early)
-        inside = np.flatnonzero(on < ends)
-        self.seen = np.zeros(1 << EARLY_BITS, bool)
-        self.seen[self.early_slot(early[inside])] = True
-        self.windows = inside[np.argsort(key[inside], kind="stable")]
-        self.keys = key[self.windows]
-        return inside
-
-    def hits(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window of the documents, window of the items) with equal keys."""
-        on, early = self.steps(data, at, 0, EARLY, self.early, np.zeros(len(at), np.uint64))
-        left = np.flatnonzero(self.seen.take(self.early_slot(early).view(np.int64)))
-        key = self.steps(data, on[left], EARLY, STEPS, self.late, early[left])[1]
-        a, b = np.searchsorted(self.keys, key, side="left"), np.searchsorted(self.keys, key, side="right")
-        some = np.flatnonzero(b > a)
-        n = (b - a)[some]
-        each = np.repeat(a[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return at[np.repeat(left[some], n)], self.windows[each]
-
-
-def walks(seed: int = 5) -> list[Walk]:
-    rng = np.random.default_rng(seed)
-    out = []
-    for _ in range(REPETITIONS):
-        moves = rng.integers(0, 2, (STEPS, 256)).astype(np.int64)
-        early = sorted(rng.choice(EARLY, EARLY_KEYS, replace=False).tolist())
-        late = sorted((EARLY + rng.choice(STEPS - EARLY, LATE_KEYS, replace=False)).tolist())
-        out.append(Walk(moves, early, late))
-    return out
+            for i in range(reach(steps)):
+                if sizes:
+                    read += at < steps << 8
+                np.bitwise_or(at, byte(i), out=here)
+                key += adds.take(here, out=add, mode="clip")  # always within; clip is the fast mode
+                after.take(here, out=at, mode="clip")
+            return (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9), read
+
+
+def reach(steps: int) -> int:
+    """The most bytes that a walk reads; half of its steps on average."""
+    return 5 * steps // 8
+
+
+@lru_cache(1)
+def walks() -> list[Walk]:
+    return [Walk(5 + r) for r in range(REPETITIONS)]
+
+
+@lru_cache(256)
+def plan(size: int, edits: int, target: float = TARGET) -> tuple[int, int]:
+    """Steps and repetitions for items of a size: the most steps with which at most two repetitions reach the target on texts with that many edits; else the fewest steps, in all repetitions."""
+    trials, rng = 300, np.random.default_rng(size)
+    letters = np.frombuffer(b"etaoinshrdlucmfwypvbgk      ", np.uint8)
+    own, other = letters[rng.integers(0, len(letters), (trials, size))], []
+    for text in own:
+        changed = text.tolist()
+        for kind, c in zip(rng.integers(0, 3, edits), letters[rng.integers(0, len(letters), edits)]):
+            p = int(rng.integers(0, len(changed)))
+            changed[p : p + (kind != 0)] = [c] if kind < 2 else []
+        other.append(np.array(changed, np.uint8))
+    a, b = np.concatenate([own.ravel(), np.zeros(PADDING, np.uint8)]), np.concatenate([*other, np.zeros(PADDING, np.uint8)])
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    of_a, of_b = np.repeat(np.arange(trials), size), np.repeat(np.arange(trials), [len(x) for x in other])
+    left = np.tile(size - np.arange(size), trials)
+    for steps in reversed(LEVELS):
+        met = np.zeros(trials, bool)
+        for r, w in enumerate(walks()):
+            ka, read = w.keys(steps, lambda i: a[i : i + len(of_a)], len(of_a), True)
+            kb, _ = w.keys(steps, lambda i: b[i : i + len(of_b)], len(of_b))
+            mine = np.flatnonzero(read <= left)
+            with np.errstate(over="ignore"):
+                ka, kb = (k + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for k, of in ((ka[mine], of_a[mine]), (kb, of_b)))
+            met[of_a[mine][np.isin(ka, kb)]] = True
+            if met.mean() >= target and (r < 2 or steps == LEVELS[0]):
+                return steps, r + 1
+    return LEVELS[0], REPETITIONS
+
+
+def planned(size: int, similarity: float) -> tuple[int, int]:
+    """The plan of the largest of a row of sizes, each a tenth over the one before, that is no larger: longer items meet more often."""
+    at = SHORT
+    while at + at // 10 <= min(size, 1000):
+        at += at // 10
+    return plan(at, int((1 - similarity) * at + 1e-9))
 
 
 def best_distance(pattern: bytes, text: bytes, most: int) -> int:
@@ -161,6 +175,17 @@ def best_distance(pattern: bytes, text: bytes, most: int) -> int:
     return best
 
 
+@dataclass
+class Level:
+    """Walks of a length in a repetition: a table of the first bits of the keys of all windows with so many steps at least; and the windows with just as many, by key, with item and place in it."""
+
+    steps: int
+    slots: np.ndarray
+    keys: np.ndarray
+    item: np.ndarray
+    within: np.ndarray
+
+
 class Index:
     """Items with the keys of their windows."""
 
@@ -169,75 +194,105 @@ class Index:
         every = data.tobytes()
         self.ids = ids
         self.items = [every[a:b].strip(b" ") for a, b in zip(starts, starts[1:])]
-        self.most = [int((1 - similarity) * len(x) + 1e-9) for x in self.items]
+        self.sizes = np.array([len(x) for x in self.items], np.int64)
+        self.most = ((1 - similarity) * self.sizes + 1e-9).astype(np.int64)
+        #: Places within as many bytes are one.
+        self.bound = np.maximum(2, self.most)
         self.short = [k for k, x in enumerate(self.items) if 0 < len(x) < SHORT]
-        sizes = np.array([len(x) for x in self.items], np.int64)
-        self.at = anchors(data, int(starts[-1]))
-        self.item = np.searchsorted(starts, self.at, side="left") - 1
-        own = np.flatnonzero((sizes[self.item] >= SHORT) & (self.at - starts[self.item] - 1 < sizes[self.item]))
-        self.at, self.item = self.at[own], self.item[own]
-        self.within = self.at - starts[self.item] - 1
-        self.walks, kept = walks(), np.zeros(len(self.at), bool)
-        for w in self.walks:
-            kept[w.index(data, self.at, starts[self.item] + 1 + sizes[self.item])] = True
-        windows = np.bincount(self.item[kept], minlength=len(self.items))
-        self.needed = np.where(windows < FEW, 1, 2)
-        # Items with few windows, by the hash of their first bytes.
-        few = np.flatnonzero((sizes >= SHORT) & (windows < FEW))
-        heads = np.array([hashes(np.frombuffer(self.items[k][:SHORT], np.uint8), SHORT)[0] for k in few], np.uint64)
-        by = np.argsort(heads, kind="stable")
-        self.heads, self.few = heads[by], few[by]
-
-    def places(self, at: np.ndarray, window: np.ndarray, starts: np.ndarray) -> list[list[int]]:
-        """(row, item, first, last place): stretches no longer than the edits allowed to which as many windows of the item point as it needs, at least."""
-        row, item = np.searchsorted(starts, at, side="left") - 1, self.item[window]
-        place, most = at - self.within[window], np.array(self.most)
-        row, item, place, window = np.unique(np.stack((row, item, place, window)), axis=1)
-        bound = np.maximum(2, most[item])
-        group = np.cumsum(np.concatenate(([0], (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(place) > bound[1:]))))
-        first = np.flatnonzero(np.concatenate(([True], np.diff(group) > 0)))
-        stretch = np.stack((group, (place - place[first][group]) // bound))  # long groups are cut
-        new = np.concatenate(([True], np.any(np.diff(stretch, axis=1) != 0, axis=0)))
-        cut = np.cumsum(new) - 1
-        begin = np.flatnonzero(new)
-        pairs = np.unique(np.stack((group, window)), axis=1)[0]
-        several = np.bincount(pairs, minlength=group[-1] + 1)[group[begin]] >= self.needed[item[begin]]
-        end = np.concatenate((begin[1:], [len(cut)])) - 1
-        return np.stack((row[begin], item[begin], place[begin], place[end]))[:, several].T.tolist()
-
-    def whole(self, data: np.ndarray, starts: np.ndarray, found: dict[tuple[int, int], int]) -> None:
-        """Adds the items with few windows that are in a text as they are."""
-        key = hashes(data, SHORT)
-        a, b = np.searchsorted(self.heads, key, side="left"), np.searchsorted(self.heads, key, side="right")
-        for p in np.flatnonzero(b > a).tolist():
-            r = int(np.searchsorted(starts, p, side="left")) - 1
-            for k in self.few[a[p] : b[p]].tolist():
-                end = p + len(self.items[k])
-                if end <= starts[r + 1] and data[p:end].tobytes() == self.items[k]:
-                    found[r, k] = 0
+        long = np.flatnonzero(self.sizes >= SHORT)
+        plans = np.array([planned(int(n), similarity) for n in self.sizes[long]], np.int64).reshape(-1, 2)
+        self.bits = int(np.clip(np.ceil(np.log2(16 * max(1, self.sizes[long].sum()))), 12, SLOT_BITS))
+        wide = data.astype(np.int64)
+        self.levels: list[list[Level]] = []
+        for r in range(int(plans[:, 1].max(initial=0))):
+            walk, levels, rest = walks()[r], [], np.zeros(0, np.int64)
+            for steps in np.unique(plans[plans[:, 1] > r, 0])[::-1].tolist():
+                own = long[(plans[:, 0] == steps) & (plans[:, 1] > r)]
+                at, item = ranges(starts[own] + 1, self.sizes[own]), np.repeat(own, self.sizes[own])
+                within = ranges(np.zeros(len(own), np.int64), self.sizes[own])
+                key, read = walk.keys(steps, lambda i, at=at: wide[at + i], len(at), True)
+                inside = np.flatnonzero(within + read <= self.sizes[item])
+                key, item, within, rest = key[inside], item[inside], within[inside], np.concatenate((rest, at[inside]))
+                slots = np.zeros(1 << self.bits, bool)
+                slots[self.slot(walk.keys(steps, lambda i, at=rest: wide[at + i], len(rest))[0])] = True
+                # Of a key that an item has again and again, one in each stretch of its bound.
+                by = np.lexsort((within, item, key))
+                key, item, within = key[by], item[by], within[by]
+                part = within // self.bound[item]
+                new = np.concatenate(([True], (key[1:] != key[:-1]) | (item[1:] != item[:-1]) | (part[1:] != part[:-1])))
+                levels.append(Level(steps, slots, key[new], item[new], within[new]))
+            self.levels.append(levels[::-1])
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return (key >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def hits(self, data: np.ndarray, first: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in the texts, item, place in the item) where walks from `first` on meet."""
+        for walk, levels in zip(walks(), self.levels):
+            at = None
+            for level in levels:
+                if at is None:
+                    key, at = walk.keys(level.steps, lambda i: data[first + i : first + i + n], n)[0], np.arange(n)
+                else:
+                    key = walk.keys(level.steps, lambda i: data.take(at + (first + i)), len(at))[0]  # noqa: B023
+                left = np.flatnonzero(level.slots.take(self.slot(key)))
+                at, key = at[left], key[left]
+                a, b = np.searchsorted(level.keys, key, side="left"), np.searchsorted(level.keys, key, side="right")
+                some = np.flatnonzero(b > a)
+                if len(some):
+                    each = ranges(a[some], (b - a)[some])
+                    yield np.repeat(at[some] + first, (b - a)[some]), level.item[each], level.within[each]
+
+    def places(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Columns: row, item, number of the stretch of the item's bound (from its size before the text on) that was pointed to; each once."""
+        end, found = int(starts[-1]), [np.zeros((3, 0), np.int64)]
+        for first in range(0, end, AT_ONCE):
+            for at, item, within in self.hits(data, first, min(AT_ONCE, end - first)):
+                row = np.searchsorted(starts, at, side="right") - 1
+                found.append(np.unique(np.stack((row, item, (at - within - starts[row] + self.sizes[item]) // self.bound[item])), axis=1))
+        return np.unique(np.concatenate(found, axis=1), axis=1)
+
+    def regions(self, places: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes that hold all strings within the edits whose walks point to these places."""
+        row, item, stretch = places
+        bound, most, size = self.bound[item], self.most[item], self.sizes[item]
+        low = starts[row] - size + stretch * bound
+        return np.maximum(starts[row], low - bound - most), np.minimum(starts[row + 1] + 1, low + bound + size + most)
+
+    def likely(self, data: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Which regions have as many 3-byte strings of the item as one within its edits has at least."""
+        item = places[1]
+        gram = gram_codes(data)
+        out = np.zeros(len(item), bool)
+        many = np.maximum(0, high - low - 2)
+        cuts = np.searchsorted(np.cumsum(many), np.arange(GRAMS_AT_ONCE, int(many.sum()) + GRAMS_AT_ONCE, GRAMS_AT_ONCE), side="right")
+        for a, b in zip(np.concatenate(([0], cuts)), np.append(cuts, len(item))):
+            if a == b:
+                continue
+            own, which = np.unique(item[a:b], return_inverse=True)
+            table = np.zeros((len(own), 1 << GRAM_BITS), bool)
+            for k, i in enumerate(own):
+                table[k, gram_codes(np.frombuffer(self.items[i], np.uint8).astype(np.int64))[:-2]] = True
+            n = many[a:b]
+            has = table[np.repeat(which, n), gram[ranges(low[a:b], n)]]
+            total = np.concatenate(([0], np.cumsum(has)))
+            ends = np.cumsum(n)
+            out[a:b] = total[ends] - total[ends - n] >= self.sizes[item[a:b]] - 2 - 3 * self.most[item[a:b]]
+        return out
 
     def matches(self, texts: pa.Array) -> list[tuple[int, int, int]]:
         """(row, item, edits) of each item in each text."""
         data, starts = folded(texts)
         found: dict[tuple[int, int], int] = {}
-        words = anchors(data, int(starts[-1]))
-        if len(self.few):
-            self.whole(data, starts, found)
-        doc_at, item_at = [], []
-        if len(self.at):
-            for k in range(0, len(words), AT_ONCE):
-                part = words[k : k + AT_ONCE]
-                for w in self.walks:
-                    a, b = w.hits(data, part)
-                    doc_at.append(a)
-                    item_at.append(b)
-        if doc_at and sum(map(len, doc_at)):
-            for r, k, low, high in self.places(np.concatenate(doc_at), np.concatenate(item_at), starts):
-                most, n = self.most[k], len(self.items[k])
-                now = found.get((r, k), most + 1)
-                if now:
-                    region = data[max(int(starts[r]), low - most) : min(int(starts[r + 1]), high + n + most)].tobytes()
-                    found[r, k] = min(now, best_distance(self.items[k], region, most))
+        wide = data.astype(np.int64)
+        places = self.places(wide, starts)
+        low, high = self.regions(places, starts)
+        yes = self.likely(wide, places, low, high)
+        for r, k, a, b in zip(places[0][yes].tolist(), places[1][yes].tolist(), low[yes].tolist(), high[yes].tolist()):
+            most = int(self.most[k])
+            now = found.get((r, k), most + 1)
+            if now:
+                found[r, k] = min(now, best_distance(self.items[k], data[a:b].tobytes(), most))
         out = [(r, k, d) for (r, k), d in found.items() if d <= self.most[k]]
         if self.short:
             every = data.tobytes()
@@ -246,6 +301,14 @@ class Index:
         return sorted(out)
 
 
+def gram_codes(data: np.ndarray) -> np.ndarray:
+    """A hash of the 3 bytes from each place on."""
+    out = data * 1031
+    out[:-1] += data[1:] * 37
+    out[:-2] += data[2:]
+    return out & ((1 << GRAM_BITS) - 1)
+
+
 def indexes(items: DataFrame, similarity: float) -> Iterator[Index]:
     """The items, in blocks of bounded size."""
     items = items.select(F.col("item_id").cast("bigint"), "text").filter("text is not null")

@@ -368,18 +368,36 @@ def test_edit_distance_by_brute_force():
         assert decontam.best_distance(p, t, len(p)) == distance(p, t)
 
 
-def test_recall_of_edited_items():
-    items = [prose(40) for _ in range(60)]
+def with_edits(text, n):
+    chars = list(text)
+    for _ in range(n):
+        p, kind, c = RNG.randrange(len(chars)), RNG.randrange(3), RNG.choice("abcdefghijklmnop")
+        chars[p : p + (kind != 0)] = [c] if kind < 2 else []
+    return "".join(chars)
+
+
+@pytest.mark.parametrize("low, high", [(32, 40), (40, 50), (50, 60), (60, 80), (80, 120), (120, 240)])
+def test_recall_by_length(low, high):
+    items = []
+    while len(items) < 60:
+        text = " ".join(re.sub("[.,]", "", prose(60)).split())[: RNG.randrange(low, high)].strip()
+        items += [text] if len(text) >= low else []
     index = decontam.Index(list(range(60)), items, 0.85)
-    found = total = 0
-    for k, item in enumerate(items):
-        chars = list(item)
-        for _ in range(len(chars) // 10):
-            chars[RNG.randrange(len(chars))] = RNG.choice("abcdefgh")
-        text = prose(30) + " " + "".join(chars) + " " + prose(30)
-        total += 1
-        found += any(i == k for _, i, _ in index.matches(pa.array([text])))
-    assert found >= 0.9 * total
+    for share, least in ((0, 1.0), (0.05, 0.99), (0.1, 0.97), (0.15, 0.9)):
+        texts = [prose(20) + " " + with_edits(t, int(share * len(t))) + " " + prose(20) for t in items]
+        # Brute force: every item against every text.
+        plain = [decontam.folded(pa.array([t]))[0].tobytes() for t in texts]
+        near = {(r, k): d for r in range(60) for k in ([r] if share else range(60)) if (d := decontam.best_distance(items[k].encode(), plain[r], 999)) <= index.most[k]}
+        found = {(r, k): d for r, k, d in index.matches(pa.array(texts))}
+        assert len(set(near) & set(found)) >= least * len(near)
+        assert all(near[x] == found[x] for x in set(near) & set(found)) and (share or set(found) == set(near))
+
+
+def test_texts_that_repeat_themselves():
+    items = ["x" * 100, "ab " * 40, "the same words again " * 6]
+    index = decontam.Index([0, 1, 2], items, 0.85)
+    texts = ["x" * 200_000, "ab " * 50_000, "the same words again " * 10_000, "y" * 100_000, prose(100)]
+    assert {(r, k) for r, k, _ in index.matches(pa.array(texts))} == {(0, 0), (1, 1), (2, 2)}
 
 
 def test_items_with_few_windows():
