@@ -6,7 +6,8 @@ code follows from the lengths alone. A block is decoded from its bit offset with
 all blocks of a file are decoded in step, a table look-up for each id.
 
 Nulls and empty texts have the end id alone. Rows with a null doc_id come first; rows that repeat a doc_id
-follow each other in the order of their ids. An empty table writes nothing and gives an empty result.
+follow each other by their number of ids, then by a hash of them, and may be cut into several files. An
+empty table writes nothing and gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, write_bytes
@@ -29,6 +30,8 @@ MAGIC = b"QSHUF001"
 LIMIT = 18
 #: Ids of a block, and of a run of blocks that is coded at once.
 BLOCK, RUN = 512, 1 << 18
+#: Files that share a sum on the driver; the most tasks that read files.
+GROUP, MOST_TASKS = 1000, 1 << 16
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -252,19 +255,26 @@ def write_files(ids: DataFrame, lengths: np.ndarray, folder: str, files: int) ->
         yield pa.record_batch([pa.array([task.partitionId()], pa.int64()), pa.array([path]), pa.array([stored[0]], pa.int64())], names=["part", "path", "n"])
 
     arrow_batches(ids.sparkSession)
-    return ids.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids").mapInArrow(lean(write), "part bigint, path string, n bigint")
+    order = ("doc_id", "n_tokens", "__hash")
+    rows = ids.withColumn("__hash", F.xxhash64("ids")).repartitionByRange(files, *order).sortWithinPartitions(*order)
+    return rows.drop("__hash").mapInArrow(lean(write), "part bigint, path string, n bigint")
 
 
-def read_files(spark, files: list[tuple[str, int]]) -> DataFrame:
-    """Per document of files (path and ids before it): doc_id, start, n_tokens and the CRC of its ids as 32-bit integers."""
-    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    if not files:
-        return spark.createDataFrame([], schema)
+def placed(files: DataFrame) -> DataFrame:
+    """Files (part, path, n) with start, the ids of all files before. The driver holds a sum for each GROUP of files."""
+    group = F.floor(F.col("part") / GROUP)
+    sums = {r["g"]: r["n"] for r in files.groupBy(group.alias("g")).agg(F.sum("n").alias("n")).collect()}
+    before = files.sparkSession.createDataFrame([(g, sum(n for h, n in sums.items() if h < g)) for g in sums], "g bigint, before bigint")
+    own = F.coalesce(F.sum("n").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return files.withColumn("g", group).join(F.broadcast(before), "g").select("part", "path", "n", (own + F.col("before")).alias("start"))
+
+
+def read_files(files: DataFrame) -> DataFrame:
+    """Per document of files (part, path and start, the ids before it): doc_id, start, n_tokens and the CRC of its ids as 32-bit integers."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in batch.column("id").to_pylist():
-                path, start = files[k]
+            for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
                 for ids, documents in read_file(path):
                     data, counts = memoryview(ids.astype("<u4").tobytes()), documents.column("n_tokens").to_numpy()
                     ends = np.cumsum(counts)
@@ -272,21 +282,16 @@ def read_files(spark, files: list[tuple[str, int]]) -> DataFrame:
                     yield pa.record_batch([documents.column("doc_id"), pa.array(start + ends - counts), documents.column("n_tokens"), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
                     start += len(ids)
 
-    return spark.range(0, len(files), 1, len(files)).mapInArrow(lean(read), schema)
+    arrow_batches(files.sparkSession)
+    dealt = files.repartitionByRange(min(max(1, files.count()), MOST_TASKS), "part")
+    return dealt.select("path", "start").mapInArrow(lean(read), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
-def store(docs: DataFrame, tokenizer: str, end_id: int = 2, file_tokens: int = 1 << 23) -> tuple[list[tuple[str, int]], np.ndarray]:
-    """Encodes and writes all documents. Gives the files in order, each with the ids before it, and the global counts."""
+def store(docs: DataFrame, tokenizer: str, end_id: int = 2, file_tokens: int = 1 << 23) -> tuple[DataFrame, np.ndarray]:
+    """Encodes and writes all documents. Gives the table of files (part: their order, path, n: their ids, start: the ids before) and the global counts."""
     spark = docs.sparkSession
     ids = saved(encoded(docs, tokenizer, end_id), "ids")
     counts = global_counts(ids)
     total = int(counts.sum())
-    if not total:
-        return [], counts
     files = max(1, -(-total // file_tokens), min(shuffle_partitions(spark), -(-total // RUN)))
-    written = saved(write_files(ids, code_lengths(counts), scratch(spark, "tokens"), files), "token-files")
-    out, before = [], 0
-    for row in written.orderBy("part").collect():  # a row for each file
-        out.append((row["path"], before))
-        before += row["n"]
-    return out, counts
+    return placed(saved(write_files(ids, code_lengths(counts), scratch(spark, "tokens"), files), "token-files")), counts

@@ -11,4 +11,4 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     files, _ = huffman.store(spark.read.parquet(f"{sf_dir}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"))
-    return huffman.read_files(spark, files)
+    return huffman.read_files(files)

@@ -2,9 +2,10 @@
 
 A text's ids are the ids of its pieces in a row, so a piece met before needs no second encoding. Pieces
 are cut only where no pre-token can span: at a lone space between two characters that are not white space
-(the space opens the next piece), and at a lone line break. Texts with other white space, or with U+0001
-or U+0002, our marks, are cut at the safe places alone or not at all. A piece of letters is one pre-token
-and goes to the tokenizer's model at once; any other piece goes through the whole tokenizer.
+(the space opens the next piece), and at a lone line break. Texts with other white space are cut at the
+safe places alone; texts with U+0001 or U+0002, our marks, or with a string of the tokenizer's special
+tokens, which the library takes for the token itself, not at all. A piece of letters is one pre-token and
+goes to the tokenizer's model at once; any other piece goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -80,8 +81,9 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.remembered = remembered
+        #: The strings that the library looks for before it cuts a text into words.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Whether the tokenizer lower-cases and drops white space; else a space belongs to the word after it.
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
         self.letters = byte_level()
@@ -149,7 +151,7 @@ class PieceEncoder:
 
     def _cut(self, text: str) -> list[str]:
         """The pieces of a text with crowded white space."""
-        if UNCUT in text or BARE in text:
+        if UNCUT in text or BARE in text or any(s in text for s in self.special):
             return [UNCUT + text]
         first, *rest = SAFE.split(text)
         return [BARE + first, *((x if x.isalpha() or self.lowers else UNCUT + " " + x) for x in rest)]
@@ -161,6 +163,8 @@ class PieceEncoder:
         texts = pc.fill_null(texts, "")
         data, offsets = utf8(texts)
         odd = crowded(data, offsets)
+        for own in self.special:
+            odd |= pc.match_substring(texts, own).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         if self.lowers:
             narrow = np.zeros(len(texts), bool)

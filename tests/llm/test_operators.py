@@ -44,13 +44,12 @@ def reference(path):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path(path))
-    t.encode_special_tokens = True
     return lambda x: [*t.encode(x or "", add_special_tokens=False).ids, 2]
 
 
 @pytest.mark.parametrize("path", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_encode_like_whole_texts(path):
-    odd = ["  two  ", "a\tb\nc\r\nd", "x\x01y", "\x02ab cd", "É ́x", "a.b, c. 'tis it's  don't\n\nnew", " nb sp", "ΑΣ ΣΑ. ΑΣ", "<|endoftext|> x", "w.\n", "\n l", "İstanbul Ünter", "x, ,y . ..", "a\u0085b"]
+    odd = ["  two  ", "a\tb\nc\r\nd", "x\x01y", "\x02ab cd", "É ́x", "a.b, c. 'tis it's  don't\n\nnew", " nb sp", "ΑΣ ΣΑ. ΑΣ", "<|endoftext|> x", "w.\n", "\n l", "İstanbul Ünter", "x, ,y . ..", "a\u0085b", "<|startoftext|>one two<|endoftext|>", "[x] <|endoftext|>. A <|ENDOFTEXT|>", "a<|endoftext|><|endoftext|> b <|endoftext|"]
     texts = [t for _, t in ROWS] + odd + ["".join(RNG.choice(" \n\tab.,é'1ÀΣß") for _ in range(RNG.randint(1, 40))) for _ in range(2000)]
     e, want = tokens.PieceEncoder(P.path(path), remembered=500), reference(path)
     for k in range(0, len(texts), 700):
@@ -119,8 +118,8 @@ def test_code_lengths_are_optimal():
 def test_token_files(spark, docs, empty):
     path, want = P.path("byte_bpe_50k.json"), reference("byte_bpe_50k.json")
     files, counts = huffman.store(docs, path, file_tokens=3000)
-    rows = huffman.read_files(spark, files).collect()
-    assert len(files) > 1 and counts.sum() == sum(len(want(t)) for _, t in ROWS)
+    rows = huffman.read_files(files).collect()
+    assert files.count() > 1 and counts.sum() == sum(len(want(t)) for _, t in ROWS)
     crcs = lambda t: zlib.crc32(np.array(want(t), "<u4").tobytes())
     assert sorted(r.ids_crc32 for r in rows) == sorted(crcs(t) for _, t in ROWS)
     rows.sort(key=lambda r: r.start)
@@ -131,7 +130,14 @@ def test_token_files(spark, docs, empty):
     ids = [r.doc_id for r in rows]
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
     files, _ = huffman.store(empty, path)
-    assert files == [] and huffman.read_files(spark, files).count() == 0
+    assert files.count() == 0 and huffman.read_files(files).count() == 0
+
+
+def test_files_by_groups(spark, docs, monkeypatch):
+    monkeypatch.setattr(huffman, "GROUP", 2)
+    files, counts = huffman.store(docs.unionByName(docs.withColumn("doc_id", F.lit(None).cast("long"))), P.path("byte_bpe_50k.json"), file_tokens=1500)
+    rows = sorted(files.collect(), key=lambda r: r.part)
+    assert len(rows) > 4 and [r.start for r in rows] == [sum(x.n for x in rows[:k]) for k in range(len(rows))] and sum(r.n for r in rows) == counts.sum()
 
 
 PAGES = [(1, "http://a/", "<p>" + "x" * 200), (2, "http://b/\r\nEvil: 1", "<p>" + "x" * 200), (3, "http://c/", "short"), (4, "http://d/", "short"), (5, None, None), (6, "http://e/", ""), (None, "http://f/", "<p>" + "x" * 200), (1, "http://a/", "<p>" + "x" * 200), (7, "http://g/", "é" * 100)]
