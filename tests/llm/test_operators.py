@@ -451,7 +451,67 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.predicted(docs.select("doc_id", "text"), nothing, "doc_id").collect()} == {"und"}
     assert langid.predicted(docs.select("doc_id", "text").limit(0), model, "doc_id").count() == 0
     # A word not seen is scored by its longest n-grams that are.
-    assert model.word("traxx").argmax() == 0 and model.word("grommm").argmax() == 1
+    assert model.predict(pa.array(["traxx", "grommm"]))[0] == ["aa", "bb"]
+
+
+def naive_backoff(rows, text, languages, words=10**6, most=10**6):
+    """Scores of a text, word by word in dictionaries."""
+    from collections import Counter
+
+    counts = {l: Counter(w for t, x in rows if x == l for w in langid.WORD.findall((t or "").lower())) for l in languages}
+    parts = {l: Counter() for l in languages}
+    for l in languages:
+        for w, n in counts[l].items():
+            for o in langid.ORDERS:
+                for g in langid.grams(w, o):
+                    parts[l][o, g] += n
+
+    def logs(c, k):
+        every = {e for x in c.values() for e in x}
+        return np.array([np.log((c[l][k] + 0.5) / (sum(c[l].values()) + 0.5 * len(every))) for l in languages])
+
+    total, found = np.zeros(len(languages)), langid.WORD.findall(text.lower())
+    for w in found:
+        if any(w in c for c in counts.values()):
+            total += logs(counts, w)
+            continue
+        for o in langid.ORDERS:
+            known = [(o, g) for g in langid.grams(w, o) if any((o, g) in c for c in parts.values())]
+            if known:
+                total += np.mean([logs(parts, g) for g in known], axis=0)
+                break
+    mean = total / max(1, len(found)) * min(12, len(found))
+    return total, np.exp(mean[total.argmax()]) / np.exp(mean).sum()
+
+
+def test_language_by_brute_force(spark):
+    texts = ["tra la lo mi", "la la fa", "zuk gromvor katt", "stein vor zuk é", "lo\u0301fa mi"]
+    rows = list(zip(texts, ["aa", "aa", "bb", "bb", "aa"]))
+    docs = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.learn(docs, F.lit(True))
+    asked = ["tra zuk", "tralo grom", "xyz", "a b c tr", "\u0301tra \u0301\u0301 zuk\u0301x", "LA Stein,vor-fa", "1 tra2la 3", "日本 la", "é É", "f", "ŉzuk ÀLA", "la" * 30 + " zuk"]
+    langs, scores = model.predict(pa.array(asked))
+    for t, l, s in zip(asked, langs, scores):
+        total, share = naive_backoff(rows, t, ["aa", "bb"])
+        assert abs(s - share) < 1e-5 and (abs(total[0] - total[1]) < 1e-5 or l == ["aa", "bb"][total.argmax()]), t
+
+
+def test_long_texts_are_added_up(spark, monkeypatch):
+    texts = [None, "tra la " * 50, "", "zuk grom " * 3000 + "tra", "é" * 999 + " la", "x"]
+    docs = spark.createDataFrame([(0, "tra la lo", "aa"), (1, "zuk grom", "bb")], "doc_id long, text string, lang string")
+    model = langid.learn(docs, F.lit(True))
+    whole = model.predict(pa.array(texts))
+    monkeypatch.setattr(langid.parts, "__defaults__", (100,))
+    cut = model.predict(pa.array(texts))
+    assert whole[0] == cut[0] and np.allclose(whole[1][:4], cut[1][:4]) and whole[0][3] == "bb"
+
+
+def test_words_like_the_pattern():
+    texts = ["a b", "\u0301a\u0301 ", "", "x1y", "\u0301", "日本語 テ", "z"]
+    joined = "".join(texts)
+    begins = np.cumsum([0] + [len(t) for t in texts])[:-1]
+    starts, lengths = langid.words_of(np.frombuffer(joined.encode("utf-32-le"), "<u4"), begins)
+    assert [joined[a : a + n] for a, n in zip(starts, lengths)] == [w for t in texts for w in langid.WORD.findall(t)]
 
 
 def test_quality(spark, docs):
