@@ -19,7 +19,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, lean, ranges, saved
@@ -105,34 +105,46 @@ def gray_rank(fps: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """A hierarchical index of fingerprints (rows of 64-bit words) in Gray order. `ones` holds the shared bits of a node, `own` which of them its parent lacks."""
+    """A hierarchical index of fingerprints (rows of 64-bit words) in Gray order. `ones` holds the shared bits of a node, `own` which of them its parent lacks.
 
-    FAN = 8
+    With parts, `part` holds the part that all rows of a node are of, or MIXED: what is of the query's own part is left with the node.
+    """
+
+    FAN, MIXED = 8, np.iinfo(np.int64).min
 
-    def __init__(self, fps: np.ndarray):
+    def __init__(self, fps: np.ndarray, part: np.ndarray | None = None):
         fps = fps.reshape(len(fps), -1)
-        ones, known = [fps], [np.full(fps.shape, ~np.uint64(0))]
+        ones, known, parts = [fps], [np.full(fps.shape, ~np.uint64(0))], [part]
         while len(ones[-1]) > self.FAN:
             first = np.arange(0, len(ones[-1]), self.FAN)
             all_one = np.bitwise_and.reduceat(ones[-1] & known[-1], first, axis=0)
             all_zero = np.bitwise_and.reduceat(~ones[-1] & known[-1], first, axis=0)
             ones.append(all_one)
             known.append(all_one | all_zero)
-        self.ones = ones
+            if part is not None:
+                low, high = np.minimum.reduceat(parts[-1], first), np.maximum.reduceat(parts[-1], first)
+                parts.append(np.where(low == high, low, self.MIXED))
+        self.ones, self.part = ones, parts
         self.own = [k & ~np.repeat(up, self.FAN, axis=0)[: len(k)] for k, up in zip(known, known[1:])] + [known[-1]]
 
-    def links(self, distance: int, queries: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (i, j), i < j, at no more than this distance; groups are left as soon as their differences exceed it."""
-        fps, top = self.ones[0], len(self.ones) - 1
-        queries = max(16, min(queries, (1 << 21) // len(fps)))
+    def near(self, fps: np.ndarray, distance: int, part: np.ndarray | None = None, after: np.ndarray | None = None, queries: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (query, row) at no more than this distance, of different parts, the row after the given one: groups are left as soon as their differences exceed it."""
+        top = len(self.ones) - 1
+        queries = max(16, min(queries, (1 << 21) // len(self.ones[0])))
         for at in range(0, len(fps), queries):
             q = np.arange(at, min(at + queries, len(fps)))
             node = np.tile(np.arange(len(self.ones[top])), len(q))
             q = np.repeat(q, len(self.ones[top]))
             differ = np.zeros(len(q), np.uint16)
             for level in range(top, -1, -1):
+                if part is not None:
+                    other = np.flatnonzero(self.part[level][node] != part[q])
+                    q, node, differ = q[other], node[other], differ[other]
                 differ = differ + differing(fps[q] ^ self.ones[level][node], self.own[level][node])
-                keep = np.flatnonzero((differ <= distance) & ((node + 1) * self.FAN**level > q))
+                keep = differ <= distance
+                if after is not None:
+                    keep &= (node + 1) * self.FAN**level > after[q] + 1
+                keep = np.flatnonzero(keep)
                 q, node, differ = q[keep], node[keep], differ[keep]
                 if level:
                     n = len(self.ones[level - 1])
@@ -140,8 +152,23 @@ class GrayIndex:
                     node = (node[:, None] * self.FAN + np.arange(self.FAN)).ravel()
                     inside = np.flatnonzero(node < n)
                     q, node, differ = q[inside], node[inside], differ[inside]
-            later = np.flatnonzero(node > q)
-            yield q[later], node[later]
+            yield q, node
+
+    def links(self, distance: int, queries: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (i, j), i < j, of its own rows."""
+        yield from self.near(self.ones[0], distance, self.part[0], np.arange(len(self.ones[0])), queries)
+
+
+def led(fps: np.ndarray, distance: int) -> np.ndarray:
+    """A leader's number for each row, within the distance, or its own: each leader takes what no one before it took. So many leaders as make the work a small share of all pairs."""
+    out, left = np.arange(len(fps)), np.arange(len(fps))
+    for _ in range(min(64, len(fps) // 64 + 1)):
+        near = differing(fps[left] ^ fps[left[0]]) <= distance
+        out[left[near]] = left[0]
+        left = left[~near]
+        if not len(left):
+            break
+    return out
 
 
 def differing(x: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
@@ -193,11 +220,17 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[taken], b[taken]
 
 
-def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12, pick=forest) -> tuple[np.ndarray, np.ndarray]:
-    """What pick() makes, by id, of the links between fingerprints of the same group. Without fps the ids are the fingerprints."""
+def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12, pick=forest, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """What pick() makes, by id, of the links between fingerprints of the same group; with parts, of different parts. Without fps the ids are the fingerprints.
+
+    A group of at most `small` is a leaf of the index, whose rows are compared one by one. In a larger one
+    leaders take the rows near them first, and the index is asked for links between what they took: a group
+    of near copies costs as much as it has rows.
+    """
     fps = (ids if fps is None else fps).reshape(len(ids), -1)
-    by = np.lexsort((gray_rank(fps[:, 0]), group))
-    group, ids, fps = group[by], ids[by], fps[by]
+    rank = gray_rank(fps[:, 0])
+    by = np.lexsort((rank, group) if part is None else (rank, part, group))
+    group, ids, fps, part = group[by], ids[by], fps[by], None if part is None else part[by]
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(group)])))
     left = np.repeat(sizes, sizes) - ranges(np.zeros(len(sizes), np.int64), sizes)  # rows of the group from this one on
@@ -206,11 +239,21 @@ def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = Non
     for step in range(1, small):
         few = few[left[few] > step]
         near = few[differing(fps[few] ^ fps[few + step]) <= distance]
+        near = near if part is None else near[part[near] != part[near + step]]
         found.append((ids[near], ids[near + step]))
     for k in np.flatnonzero(sizes > small):
         own, name = fps[starts[k] : starts[k] + sizes[k]], ids[starts[k] : starts[k] + sizes[k]]
-        for i, j in GrayIndex(own).links(distance):
-            found.append(pick(name[i], name[j]))
+        if part is None:
+            label = led(own, distance)
+            taken = np.flatnonzero(label != np.arange(len(label)))
+            found.append((name[label[taken]], name[taken]))
+            order = np.argsort(label, kind="stable")
+            own, name, label = own[order], name[order], label[order]
+        else:
+            label = part[starts[k] : starts[k] + sizes[k]]
+        if label[0] != label[-1]:
+            for i, j in GrayIndex(own, label).links(distance):
+                found.append(pick(name[i], name[j]))
     return pick(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
 
 
@@ -232,17 +275,10 @@ def links(distinct: DataFrame, large: int = 1 << 14, held: int = 1 << 18) -> Dat
     return linked(routed(distinct, large), [], DISTANCE, 12, held)
 
 
-def across(ids: np.ndarray, parts: np.ndarray):
-    """A pick() of all links between ids of different parts, once each."""
-    own, first = np.unique(ids, return_index=True)
-    part = parts[first]
-
-    def pick(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        apart = part[np.searchsorted(own, a)] != part[np.searchsorted(own, b)]
-        pairs = np.unique(np.stack((np.minimum(a, b)[apart], np.maximum(a, b)[apart])), axis=1)
-        return pairs[0], pairs[1]
-
-    return pick
+def all_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A pick() of all links, once each."""
+    pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
+    return pairs[0], pairs[1]
 
 
 def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: int, pick=forest) -> DataFrame:
@@ -257,7 +293,7 @@ def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: i
             groups = np.cumsum(np.concatenate(([0], np.any(all_rows[:2, 1:] != all_rows[:2, :-1], axis=0))))
             bits = np.ascontiguousarray(all_rows[3 : 3 + len(words)].T).view(np.uint64) if words else None
             ids = all_rows[2].view(np.uint64)
-            a, b = group_links(groups, ids, bits, distance, small, across(ids, all_rows[-1]) if part else pick)
+            a, b = group_links(groups, ids, bits, distance, small, all_pairs, all_rows[-1]) if part else group_links(groups, ids, bits, distance, small, pick)
             return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
@@ -329,10 +365,12 @@ SIMILAR = 0.8
 #: texts); pairs that differ in LINKED of them at most are candidates, which is 3.6 deviations more.
 WIDE, APART, LINKED = 256, 0.152, 60
 WORDS = [f"w{i}" for i in range(WIDE // 64)]
+#: Rows of a crowded group that all its others meet first.
+LEADERS = 32
 
 
 def sampled_masks(rows: int, recall: float = 0.999, seed: int = 4) -> list[list[int]]:
-    """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability; more bits beyond a million rows."""
+    """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability, whatever the number of rows; more rows have more bits in a sample, so that groups stay small, and more groupings."""
     bits = int(np.clip(np.ceil(np.log2(max(2, rows))) - 6, 14, 24))
     times = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - APART) ** bits)))
     rng = np.random.default_rng(seed)
@@ -343,15 +381,78 @@ def sampled_masks(rows: int, recall: float = 0.999, seed: int = 4) -> list[list[
     return out
 
 
-def candidates(distinct: DataFrame, masks_: list[list[int]]) -> DataFrame:
+def keyed_rows(distinct: DataFrame, masks_: list[list[int]]) -> DataFrame:
+    """Each row under the hash of its sampled bits in each grouping."""
+    keyed = F.array(*[F.struct(F.lit(r).alias("route"), F.xxhash64(*[F.col(w).bitwiseAND(F.lit(signed(m))) for w, m in zip(WORDS, ms) if m]).alias("key")) for r, ms in enumerate(masks_)])
+    part = [c for c in distinct.columns if c == "part"]
+    return distinct.select("fp", *WORDS, *part, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS, *part)
+
+
+def crowded_groups(rows: DataFrame, most: int) -> DataFrame | None:
+    """The groups of over `most` rows, about, and in how many blocks they are dealt. Counted by every 16th fp: it decides the way alone, not the result."""
+    seen = rows.filter(F.pmod(F.xxhash64("fp"), F.lit(16)) == 0).groupBy("route", "key").agg((16 * F.count("*")).alias("n"))
+    found = saved(seen.filter(F.col("n") > most).select("route", "key", F.ceil(F.col("n") / most).cast("int").alias("blocks")), "crowded")
+    return None if found.isEmpty() else found
+
+
+def met(residents: DataFrame, queries: DataFrame, first: bool) -> DataFrame:
+    """Pairs of residents and queries (route, key, salt, fp, words, part) of one block, of different parts and at most LINKED bits apart. The queries stream past; first: one pair of each."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, index, ids = None, [], None, None
+        for batch in batches:
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "salt", "role", "fp", "part", *WORDS)])
+            cuts = np.flatnonzero(np.any(rows[:4, 1:] != rows[:4, :-1], axis=0)) + 1 if rows.shape[1] else []
+            for own in np.split(rows, cuts, axis=1):
+                if not own.shape[1]:
+                    continue
+                if block != (block := tuple(own[:3, 0])):
+                    held, index = [], None
+                if not own[3, 0]:
+                    held.append(own)
+                    continue
+                if not held:
+                    continue
+                if index is None:
+                    every = np.concatenate(held, axis=1)
+                    fps = np.ascontiguousarray(every[6:].T).view(np.uint64)
+                    by = np.lexsort((gray_rank(fps[:, 0]), every[5]))
+                    index, ids = GrayIndex(fps[by], every[5][by]), every[4][by]
+                for q, row in index.near(np.ascontiguousarray(own[6:].T).view(np.uint64), LINKED, own[5]):
+                    if first:
+                        q, one = np.unique(q, return_index=True)
+                        row = row[one]
+                    a, b = own[4][q], ids[row]
+                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    spark = residents.sparkSession
+    arrow_batches(spark, 1 << 12)
+    place = ["route", "key", "salt", "role"]
+    rows = residents.withColumn("role", F.lit(0)).unionByName(queries.withColumn("role", F.lit(1))).select(*place, "fp", "part", *WORDS)
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *place[:3]).sortWithinPartitions(*place).mapInArrow(lean(find), "a bigint, b bigint")
+
+
+def candidates(distinct: DataFrame, masks_: list[list[int]], busy: DataFrame | None = None) -> DataFrame:
     """Pairs of fp whose wide fingerprints differ in at most LINKED bits, from groups that agree in a sample of bits, each indexed in Gray order.
 
-    Of each group a spanning forest of its pairs; with a column part, all pairs of different parts.
+    Of each group a spanning forest of its pairs; with a column part, all pairs of different parts. Busy
+    groups are dealt in blocks. At first each of their rows meets the group's LEADERS; with parts, rows that
+    are not of the group's main part meet all its blocks.
     """
-    keyed = F.array(*[F.struct(F.lit(r).alias("route"), F.xxhash64(*[F.col(w).bitwiseAND(F.lit(signed(m))) for w, m in zip(WORDS, ms) if m]).alias("key")) for r, ms in enumerate(masks_)])
-    part = [c for c in distinct.columns if c == "part"]
-    rows = distinct.select("fp", *WORDS, *part, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS, *part)
-    return linked(rows, WORDS, LINKED, 48, 1 << 17, spanning).distinct()
+    rows = keyed_rows(distinct, masks_)
+    if busy is None:
+        return linked(rows, WORDS, LINKED, 48, 1 << 17, spanning).distinct()
+    hot, calm = rows.join(busy, ["route", "key"]), rows.join(busy, ["route", "key"], "left_anti")
+    salted = lambda df: df.withColumn("salt", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("blocks")).cast("int"))
+    everywhere = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    if "part" in distinct.columns:
+        main = hot.groupBy("route", "key", "part").agg(F.count("*").alias("n")).groupBy("route", "key").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+        pairs = met(salted(hot), everywhere(hot.join(main, ["route", "key"]).filter("part <> main").drop("main")), False)
+    else:
+        hot = hot.withColumn("part", F.col("fp"))
+        rank = F.row_number().over(Window.partitionBy("route", "key").orderBy(F.xxhash64("fp"), "fp"))
+        pairs = met(everywhere(hot.withColumn("r", rank).filter(F.col("r") <= LEADERS).drop("r")), salted(hot), True)
+    return linked(calm, WORDS, LINKED, 48, 1 << 17, spanning).unionByName(pairs).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -372,16 +473,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(lean(check), "a bigint, b bigint")
 
 
-def similar_links(distinct: DataFrame, texts: DataFrame, words: int, seed: int) -> DataFrame:
+def similar_links(distinct: DataFrame, texts: DataFrame, words: int, seed: int, most: int) -> DataFrame:
     """Links between texts at SIMILAR, by candidates that are all verified or already connected by verified ones.
 
     First a spanning forest of each group's candidates is verified. Then, among the texts that have a
     candidate, all candidates that this has not connected: a group of copies costs as many pairs as texts.
-    texts has __key and text; distinct has the __key of one text of each fp.
+    Groups of over `most` texts are dealt in blocks, and their texts count as having a candidate. texts has
+    __key and text; distinct has the __key of one text of each fp.
     """
     masks_ = sampled_masks(distinct.count())
-    pairs = saved(candidates(distinct, masks_), "candidates")
-    nodes = saved(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "nodes")
+    busy = crowded_groups(keyed_rows(distinct, masks_), most)
+    pairs = saved(candidates(distinct, masks_, busy), "candidates")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("fp"))
+    if busy is not None:
+        nodes = nodes.unionByName(keyed_rows(distinct, masks_).join(busy, ["route", "key"], "left_semi").select("fp"))
+    nodes = saved(nodes.distinct(), "nodes")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,7 +500,8 @@ def similar_links(distinct: DataFrame, texts: DataFrame, words: int, seed: int)
     first = saved(verified(pairs, sets), "links")
     roots = saved(connected(first), "parts")
     again = distinct.join(nodes, "fp", "left_semi").join(roots.select(F.col("v").alias("fp"), F.col("root").alias("part")), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-    rest = saved(candidates(again, masks_).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    again = saved(again, "again")
+    rest = saved(candidates(again, masks_, busy).join(pairs, ["a", "b"], "left_anti"), "candidates")
     return first.unionByName(verified(rest, sets))
 
 
@@ -403,7 +510,7 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__key", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
 
 
-def similar(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
+def similar(docs: DataFrame, words: int = 5, seed: int = 42, crowded: int = 1 << 14) -> DataFrame:
     """doc_id, fp (a hash of the distinct shingles), component_id and __key (a digest of the text): components of texts whose sets of shingles have a similarity of 0.8 or more.
 
     Nulls, empty texts, repeats and empty tables as for components().
@@ -420,7 +527,7 @@ def similar(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
     schema = "doc_id bigint, __key string, fp bigint, " + ", ".join(f"{w} bigint" for w in WORDS)
     texts = keyed_texts(docs.select(F.col("doc_id").cast("bigint"), "text"))
     fps = saved(texts.mapInArrow(lean(each), schema), "wide-fingerprints")
-    return labelled(fps, lambda distinct: similar_links(distinct, texts.select("__key", "text"), words, seed)).select("doc_id", "fp", "component_id", "__key")
+    return labelled(fps, lambda distinct: similar_links(distinct, texts.select("__key", "text"), words, seed, crowded)).select("doc_id", "fp", "component_id", "__key")
 
 
 def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:

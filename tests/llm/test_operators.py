@@ -304,17 +304,59 @@ def test_similar_is_verified(spark):
         w = prose(304).split()
         rows += [(200 + 2 * i, " ".join(w)), (201 + 2 * i, " ".join("zz%d" % k if k in (30, 80, 130, 180, 230, 280) else x for k, x in enumerate(w)))]
     found = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    least = least_similar(rows)
+    assert found == least and found[11] == 11 and found[5] == 5 and found[105] == 100 and found[201] == 200
+
+
+def test_crowded_near_copies(spark):
+    base = prose(200).split()
+    rows, chain = [], prose(400).split()
+    for i in range(120):  # near copies of one page, each with words of its own
+        w = list(base)
+        for k in RNG.sample(range(200), 1):
+            w[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, " ".join(w if k % 25 else f"far{i}" for k, w in enumerate(base))) for i in range(6)]  # like the page, but under the bound
+    rows += [(300 + i, " ".join(chain[4 * i : 4 * i + 220])) for i in range(30)] + [(400 + i, prose(100)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = least_similar(rows)
+    for crowded in (1 << 14, 20):
+        assert {r.doc_id: r.component_id for r in simhash.similar(docs, crowded=crowded).collect()} == want
+    assert want[119] == 0 and want[205] == 205 and want[329] == 300
+
+
+def least_similar(rows):
+    """Brute force: the least id that is reachable over pairs at a similarity of 0.8."""
     sets = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in rows}
     least = {i: i for i in sets}
+    near = [(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     changed = True
     while changed:
         changed = False
-        for i in sets:
-            for j in sets:
-                if least[i] != least[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                    least[i] = least[j] = min(least[i], least[j])
-                    changed = True
-    assert found == least and found[11] == 11 and found[5] == 5 and found[105] == 100 and found[201] == 200
+        for i, j in near:
+            if least[i] != least[j]:
+                least[i] = least[j] = min(least[i], least[j])
+                changed = True
+    return least
+
+
+def test_leaders_leave_no_link_out():
+    base = [np.array([RNG.getrandbits(64) for _ in range(4)], np.uint64) for _ in range(12)]
+    fps = []
+    for _ in range(600):
+        x = RNG.choice(base).copy()
+        for b in RNG.sample(range(256), RNG.randint(0, 45)):
+            x[b // 64] ^= np.uint64(1 << b % 64)
+        fps.append(x)
+    fps = np.unique(np.stack(fps), axis=0)
+    n = len(fps)
+    near = [(i, j) for i in range(n) for j in range(i) if int(np.bitwise_count(fps[i] ^ fps[j]).sum()) <= 60]
+    ids = np.arange(n).astype(np.uint64)
+    a, b = simhash.group_links(np.zeros(n, np.int64), ids, fps, 60, 48, simhash.spanning)
+    assert connect(ids, a, b) == connect(ids, *(np.array(x) for x in zip(*near))) and {(max(x, y), min(x, y)) for x, y in zip(a.tolist(), b.tolist())} <= set(near)
+    part = np.array([RNG.randrange(5) for _ in range(n)])
+    a, b = simhash.group_links(np.zeros(n, np.int64), ids, fps, 60, 48, simhash.all_pairs, part)
+    assert {(max(x, y), min(x, y)) for x, y in zip(a.tolist(), b.tolist())} == {(i, j) for i, j in near if part[i] != part[j]}
 
 
 def test_spanning_edges_are_links():
