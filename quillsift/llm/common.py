@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import os
 import pathlib
@@ -32,19 +33,44 @@ def shared_dir(spark: SparkSession) -> str:
     return found if ":" in found.split("/")[0] else f"file://{os.path.abspath(found)}"
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new folder name in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/quillsift/{tag}-{uuid.uuid4().hex[:12]}"
+#: Names that scratch() gave within each temporary() that is open.
+_open: list[list[str]] = []
 
 
-def saved(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
+def scratch(spark: SparkSession, tag: str, lasting: bool = False) -> str:
+    """A new folder name in the shared folder. Within temporary(), what is not lasting is deleted at its end."""
+    path = f"{shared_dir(spark).rstrip('/')}/quillsift/{tag}-{uuid.uuid4().hex[:12]}"
+    if _open and not lasting:
+        _open[-1].append(path)
+    elif len(_open) > 1:
+        _open[-2].append(path)  # it lasts as long as what is around
+    return path
+
+
+def saved(df: DataFrame, tag: str, codec: str = "zstd", lasting: bool = False) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts the lineage, and a lost executor costs no earlier stage."""
     spark = df.sparkSession
-    path = scratch(spark, tag)
+    path = scratch(spark, tag, lasting)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def temporary(spark: SparkSession):
+    """Deletes, at its end, the folders that were named within it and do not last: results that are read later must be saved as lasting."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends the package to the executors, once, where they may not have it installed."""
     sc = spark.sparkContext

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, write_bytes
+from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffle_partitions, temporary, write_bytes
 from .tokens import encoder, together, with_end
 
 MAGIC = b"QSHUF001"
@@ -290,8 +290,10 @@ def read_files(files: DataFrame) -> DataFrame:
 def store(docs: DataFrame, tokenizer: str, end_id: int = 2, file_tokens: int = 1 << 23) -> tuple[DataFrame, np.ndarray]:
     """Encodes and writes all documents. Gives the table of files (part: their order, path, n: their ids, start: the ids before) and the global counts."""
     spark = docs.sparkSession
-    ids = saved(encoded(docs, tokenizer, end_id), "ids")
-    counts = global_counts(ids)
-    total = int(counts.sum())
-    files = max(1, -(-total // file_tokens), min(shuffle_partitions(spark), -(-total // RUN)))
-    return placed(saved(write_files(ids, code_lengths(counts), scratch(spark, "tokens"), files), "token-files")), counts
+    with temporary(spark):
+        ids = saved(encoded(docs, tokenizer, end_id), "ids")
+        counts = global_counts(ids)
+        total = int(counts.sum())
+        files = max(1, -(-total // file_tokens), min(shuffle_partitions(spark), -(-total // RUN)))
+        written = saved(write_files(ids, code_lengths(counts), scratch(spark, "tokens", True), files), "token-files", lasting=True)
+    return placed(written), counts

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, lean, ranges, saved
+from .common import arrow_batches, lean, ranges, saved, temporary
 
 DISTANCE = 3
 #: Shingles that are counted at once; 255 is the most that a byte counts.
@@ -318,17 +318,19 @@ def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: i
 
 
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:
-    """v and root, the smallest value that v is connected to, for each value in edges (a, b), by large and small stars."""
+    """v and root, the smallest value that v is connected to, for each value in edges (a, b), by large and small stars. Rounds leave nothing behind but their result."""
+    spark = edges.sparkSession
     now = saved(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     state = None
     for _ in range(most):
-        both = now.union(now.select("b", "a"))
-        least = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "stars")
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = saved(large, "large")
-        low = saved(large.groupBy("a").agg(F.min("b").alias("m")), "low")
-        small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
-        now = saved(small, "edges")
+        with temporary(spark):
+            both = now.union(now.select("b", "a"))
+            least = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "stars")
+            large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            large = saved(large, "large")
+            low = saved(large.groupBy("a").agg(F.min("b").alias("m")), "low")
+            small = large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+            now = saved(small, "edges", lasting=True)
         new = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == state:
             return now.select(F.col("a").alias("v"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("v"), F.col("b").alias("root")).distinct())
@@ -350,12 +352,13 @@ def components(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
 def labelled(fps: DataFrame, find) -> DataFrame:
     """fps (doc_id, fp, ...) with component_id, over the links that find() gives for the distinct rows of fp."""
     bits = [c for c in fps.columns if c not in ("doc_id", "fp")]
-    distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in bits]), "distinct")
-    roots = saved(connected(find(distinct)), "roots")
-    rooted = distinct.select("fp", "first").join(roots.withColumnRenamed("v", "fp"), "fp")
-    least = saved(rooted.groupBy("root").agg(F.min("first").alias("least")), "least")
-    grouped = saved(rooted.join(least, "root").select("fp", "least"), "linked")
-    labels = saved(distinct.select("fp", "first").join(grouped, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
+    with temporary(fps.sparkSession):
+        distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in bits]), "distinct")
+        roots = saved(connected(find(distinct)), "roots")
+        rooted = distinct.select("fp", "first").join(roots.withColumnRenamed("v", "fp"), "fp")
+        least = saved(rooted.groupBy("root").agg(F.min("first").alias("least")), "least")
+        grouped = saved(rooted.join(least, "root").select("fp", "least"), "linked")
+        labels = saved(distinct.select("fp", "first").join(grouped, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")), "labels", lasting=True)
     return fps.join(labels, "fp")
 
 
@@ -536,7 +539,8 @@ def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:
     Each text of a doc_id is judged by itself. Rows with the doc_id that stays and the same text are reduced
     to one. Rows with a null doc_id go if their component has another doc_id, and stay if not.
     """
-    found = saved(similar(docs, words), "similar")
+    with temporary(docs.sparkSession):
+        found = saved(similar(docs, words), "similar", lasting=True)
     gone = found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)")
     gone = saved(gone.select(F.col("doc_id").alias("__gone"), F.col("__key").alias("__copy")).distinct(), "copies")
     out = keyed_texts(docs)

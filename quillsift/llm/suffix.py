@@ -9,9 +9,9 @@ first of several. Equal strings have equal anchors, so they meet wherever the an
 3. A block sends, for each such anchor, the digest of the stretch of text whose strings have that anchor,
    once for equal stretches; for anchors of many blocks it sends the strings one by one, dealt by their own
    hash, so that a common anchor with ever different surroundings never meets in one bucket. A bucket
-   answers which stretches a smaller document has too (anchor and digest, or a string's two hashes, together
-   have 80 bits), and which
-   anchors have different stretches. Only of those the bytes are sent.
+   answers which stretches a smaller document has too, and which anchors have different stretches. Only of
+   those the bytes are sent. Equal stretches are told by 128 bits: 40 of the anchor's hash or, for strings
+   sent one by one, of their own, 24 more of their own, and 64 of a hash to another base.
 4. A bucket finds their equal strings. Its intervals (strings with a common prefix, in suffix order) begin
    with the empty prefix; each round puts the preceding byte, the Burrows-Wheeler column, before the prefix
    and splits the intervals by it: breadth first, common prefixes grow by one, and intervals within one
@@ -46,7 +46,7 @@ LONGEST = 128
 MANY = 64
 NEVER = np.iinfo(np.int64).max
 BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Of the second hash of a string that is sent by its own hash.
+#: Of the second hash of a stretch.
 OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -233,14 +233,14 @@ def unshort(data: bytes, size: int = 5) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def judged(key: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def judged(key: np.ndarray, other: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which stretches a smaller document has too; and which others have an anchor with different stretches."""
     if not len(key):
         return np.zeros(0, bool), np.zeros(0, bool)
-    by = np.lexsort((digest, key))
-    k, g, d = key[by], digest[by], doc[by]
+    by = np.lexsort((digest, other, key))
+    k, o, g, d = key[by], other[by], digest[by], doc[by]
     new_key = np.concatenate(([True], k[1:] != k[:-1]))
-    new = new_key | np.concatenate(([True], g[1:] != g[:-1]))
+    new = new_key | np.concatenate(([True], (o[1:] != o[:-1]) | (g[1:] != g[:-1])))
     first = np.flatnonzero(new)
     low = np.minimum.reduceat(d, first)[np.cumsum(new) - 1]
     kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
@@ -397,15 +397,17 @@ class Removal:
                 columns = [pa.array([r[c] for r in rows], t) for c, t in (("bucket", pa.int32()), ("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
                 yield pa.record_batch([*columns, pa.array([y for y, _ in found], pa.binary()), pa.array([m for _, m in found], pa.binary())], names=["bucket", "block", "path", "at", "size", "shared", "many"])
 
-        dealt_rows = self.anchors().repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
+        dealt_rows = self.by_bucket(self.anchors()).sortWithinPartitions("bucket", "block")
         return saved(dealt_rows.mapInArrow(lean(answer), "bucket int, block bigint, path string, at bigint, size bigint, shared binary, many binary"), "anchors")
 
-    def buckets_in(self) -> int:
-        return min(self.buckets, 2 * self.parts)
+    def by_bucket(self, rows: DataFrame) -> DataFrame:
+        """Deals buckets in turn: as many to each task, not as a hash has it."""
+        n = min(self.buckets, 2 * self.parts)
+        return rows.repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int"))
 
     def digests(self, answers: DataFrame) -> DataFrame:
         """For each block and bucket: anchor, digest and document of each stretch. The stretches' places are kept in files."""
-        buckets, folder = self.buckets, self.folder + "-stretches"
+        buckets, folder = self.buckets, self.folder + "/stretches"
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             file = None
@@ -429,11 +431,10 @@ class Removal:
                 del lone, start, count, doc, place, ids
                 digest = string_hashes(data, s, c + LEAST - 1) if len(s) else np.zeros(0, np.uint64)
                 to = np.concatenate((key[rest], digest[len(rest) :]))
-                # A string that is dealt by its hash is told apart by another one.
-                told = np.concatenate((digest[: len(rest)], string_hashes(data, s[len(rest) :], c[len(rest) :] + LEAST - 1, base=OTHER))) if len(each) else digest
+                other = string_hashes(data, s, c + LEAST - 1, base=OTHER) if len(s) else digest
                 del key, data
-                by = np.lexsort((d, digest))
-                new = np.concatenate(([True], np.diff(digest[by]) != 0)) if len(by) else np.zeros(0, bool)
+                by = np.lexsort((d, other, digest))
+                new = np.concatenate(([True], (np.diff(digest[by]) != 0) | (np.diff(other[by]) != 0))) if len(by) else np.zeros(0, bool)
                 low = d[by][new][np.cumsum(new) - 1]
                 again = by[d[by] > low]  # a smaller document of this block has the same
                 one = by[d[by] == low]  # a document may have it twice
@@ -443,7 +444,9 @@ class Removal:
                 at, size = file.add_bytes(places)
                 edge = dealt(buckets_of(to[one], buckets), buckets)
                 used = np.union1d(np.flatnonzero(np.diff(edge)), [rows[0]["block"] % buckets])  # at least one row
-                blobs = [pack(np.frombuffer(short(to[one[edge[k] : edge[k + 1]]]), np.uint8), np.frombuffer(short(told[one[edge[k] : edge[k + 1]]]), np.uint8), *as_bytes(narrow(d[one[edge[k] : edge[k + 1]]]))) for k in used]
+                digest >>= np.uint64(64 - 24)
+                own = [one[edge[k] : edge[k + 1]] for k in used]
+                blobs = [pack(*(np.frombuffer(short(x[o], size), np.uint8) for x, size in ((to, 5), (other, 8), (digest, 3))), *as_bytes(narrow(d[o]))) for o in own]
                 n = len(used)
                 out = {
                     "bucket": pa.array(used, pa.int32()), "block": pa.array([rows[0]["block"]] * n, pa.int64()), "path": pa.array([rows[0]["path"]] * n), "at": pa.array([rows[0]["at"]] * n, pa.int64()), "size": pa.array([rows[0]["size"]] * n, pa.int64()),
@@ -461,18 +464,17 @@ class Removal:
 
         def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for rows in runs_by(batches, "bucket"):
-                parts = [unpack(r["data"], "<u1", "<u1", "<i8", "<u1") for r in rows]
-                key = unshort(b"".join(p[0].tobytes() for p in parts))
-                digest = unshort(b"".join(p[1].tobytes() for p in parts))
+                parts = [unpack(r["data"], "<u1", "<u1", "<u1", "<i8", "<u1") for r in rows]
+                key, other, digest = (unshort(b"".join(p[k].tobytes() for p in parts), size) for k, size in enumerate((5, 8, 3)))
                 sizes = [len(p[0]) // 5 for p in parts]
-                doc = np.concatenate([wide(p[2], p[3], n) for p, n in zip(parts, sizes)])
-                whole, asked = judged(key, digest, doc)
+                doc = np.concatenate([wide(p[3], p[4], n) for p, n in zip(parts, sizes)])
+                whole, asked = judged(key, other, digest, doc)
                 cuts = np.cumsum(sizes)[:-1]
                 for r, w, a in zip(rows, np.split(whole, cuts), np.split(asked, cuts)):
                     r["data"] = len(w).to_bytes(4, "little") + bits(w) + bits(a)
                 yield pa.RecordBatch.from_pylist(rows, schema=PLACES_ARROW)
 
-        dealt_rows = digests.repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
+        dealt_rows = self.by_bucket(digests).sortWithinPartitions("bucket", "block")
         return saved(dealt_rows.mapInArrow(lean(judge), PLACES), "verdicts")
 
     def stretches(self, verdicts: DataFrame) -> DataFrame:
@@ -550,7 +552,7 @@ class Removal:
                     columns = [pa.array([rows[k][n] for k in used], t) for n, t in (("block", pa.int64()), ("path", pa.string()), ("at", pa.int64()), ("size", pa.int64()))]
                     yield pa.record_batch([pa.array([rows[k]["bucket"] for k in used], pa.int32()), *columns, pa.array([pack(s[cuts[k] : cuts[k + 1]].astype("<u4"), c[cuts[k] : cuts[k + 1]].astype("<u2")) for k in used], pa.binary())], names=["bucket", "block", "path", "at", "size", "data"])
 
-        dealt_rows = stretches.repartition(self.buckets_in(), "bucket").sortWithinPartitions("bucket", "block")
+        dealt_rows = self.by_bucket(stretches).sortWithinPartitions("bucket", "block")
         return saved(dealt_rows.mapInArrow(lean(match), stretches.schema), "removed", "none")
 
     def kept(self) -> DataFrame:

@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 
 from quillsift.llm import decontam, html, huffman, langid, media, packing, quality, simhash, suffix, tokens, warc
 
-P = pytest.importorskip("public_tokenizers")
+try:
+    import public_tokenizers as P
+except ImportError:
+    P = None
+needs_tokenizers = pytest.mark.skipif(P is None, reason="no tokenizer files")
 RNG = random.Random(11)
 SYLLABLES = "the of and on er ing ti re ha en st ou ly ble nd".split()
 
@@ -47,6 +51,7 @@ def reference(path):
     return lambda x: [*t.encode(x or "", add_special_tokens=False).ids, 2]
 
 
+@needs_tokenizers
 @pytest.mark.parametrize("path", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_encode_like_whole_texts(path):
     odd = ["  two  ", "a\tb\nc\r\nd", "x\x01y", "\x02ab cd", "É ́x", "a.b, c. 'tis it's  don't\n\nnew", " nb sp", "ΑΣ ΣΑ. ΑΣ", "<|endoftext|> x", "w.\n", "\n l", "İstanbul Ünter", "x, ,y . ..", "a\u0085b", "<|startoftext|>one two<|endoftext|>", "[x] <|endoftext|>. A <|ENDOFTEXT|>", "a<|endoftext|><|endoftext|> b <|endoftext|"]
@@ -59,6 +64,7 @@ def test_pieces_encode_like_whole_texts(path):
         assert counts.tolist() == [len(x) for x in lists] and ids.tolist() == [i for x in lists for i in x]
 
 
+@needs_tokenizers
 def test_packing(docs, empty):
     path, want = P.path("word_bpe_49k.json"), reference("word_bpe_49k.json")
     rows = packing.pack(docs, path, capacity=128, piece=32, group=8).collect()
@@ -115,6 +121,7 @@ def test_code_lengths_are_optimal():
     assert huffman.code_lengths(np.array([0, 5, 0])).tolist() == [0, 1, 0]
 
 
+@needs_tokenizers
 def test_token_files(spark, docs, empty):
     path, want = P.path("byte_bpe_50k.json"), reference("byte_bpe_50k.json")
     files, counts = huffman.store(docs, path, file_tokens=3000)
@@ -133,6 +140,7 @@ def test_token_files(spark, docs, empty):
     assert files.count() == 0 and huffman.read_files(files).count() == 0
 
 
+@needs_tokenizers
 def test_files_by_groups(spark, docs, monkeypatch):
     monkeypatch.setattr(huffman, "GROUP", 2)
     files, counts = huffman.store(docs.unionByName(docs.withColumn("doc_id", F.lit(None).cast("long"))), P.path("byte_bpe_50k.json"), file_tokens=1500)
@@ -264,6 +272,16 @@ def test_strings_whose_hashes_agree_in_part(spark):
     assert {r.doc_id: r.n_removed for r in found.collect()} == {1: 0, 2: 0, 3: 50}
 
 
+def test_texts_longer_than_a_step(spark):
+    assert suffix.STEP < 300_000
+    letters = "".join(RNG.choices("abcdefgh ", k=640_000))
+    first, second = letters[:320_000], letters[320_000:]
+    mixed = second[:100] + first[200_000:320_000] + second[100:150_000] + first[suffix.STEP - 60 : suffix.STEP + 60] + second[150_000:]
+    rows = [(1, first), (2, mixed), (3, second[-70:] + "x" + second[:60])]
+    found = suffix.removal(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).withColumn("h", F.sha2("kept", 256))
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.h) for r in found.collect()) == removed(rows)
+
+
 def test_suffix_keeps_columns(docs, empty):
     out = suffix.without_repeats(docs)
     assert out.columns == docs.columns and out.filter("doc_id = 11").count() == 0 and out.filter("doc_id = 2").count() == 1
