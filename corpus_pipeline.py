@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillsift.llm import decontam, packing, quality, simhash, suffix
-from quillsift.llm.common import saved
+from quillsift.llm.common import saved, temporary
 from quillsift.llm.op2_quality import KEPT
 
 
@@ -47,5 +47,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents; each is written and read again as the next one's documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        with temporary(spark):
+            docs = saved(stage(spark, docs, sf_dir), f"stage-{name}", lasting=True)
     return STAGES[-1][1](spark, docs, sf_dir)
