@@ -13,7 +13,7 @@ the longest walk with which a simulation on edited texts of that size meets at l
 probability (`plan`). Documents have a walk from every byte too, so nothing depends on words or spaces.
 
 A meeting tells the place where the item would lie. Places are counted once for each stretch as long as the
-edits allowed; what shares too few 3-byte strings with the item to be within them is left; the rest is
+edits allowed; what shares too few 5-byte strings with the item to be within them is left; the rest is
 decided by the exact edit distance of the item to the best string there, by Myers' bit vectors.
 
 Texts are compared in lower case with runs of anything but letters and digits as one space. An item matches
@@ -45,8 +45,8 @@ LEVELS, SAMPLED, REPETITIONS = (16, 18, 20, 22, 24, 28, 32, 38, 44), 0.7, 3
 SHORT = 32
 #: Windows that are walked at once, most bits of the table of first keys, bytes of items held at once.
 AT_ONCE, SLOT_BITS, ITEMS_AT_ONCE = 1 << 14, 24, 2 << 20
-#: Bits of the table of 3-byte strings, and places that are looked at at once.
-GRAM_BITS, GRAMS_AT_ONCE = 12, 1 << 21
+#: Bytes of the strings that are counted, bits of their table, and places that are looked at at once.
+GRAM, GRAM_BITS, GRAMS_AT_ONCE, ROWS_AT_ONCE = 5, 14, 1 << 21, 1 << 11
 PADDING = LEVELS[-1]
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -113,7 +113,7 @@ def walks() -> list[Walk]:
 
 @lru_cache(256)
 def plan(size: int, edits: int, target: float = TARGET) -> tuple[int, int]:
-    """Steps and repetitions for items of a size: the most steps with which at most two repetitions reach the target on texts with that many edits; else the fewest steps, in all repetitions."""
+    """Steps and repetitions for items of a size: the most steps with which one repetition reaches the target on texts with that many edits; else the fewest steps, in as many repetitions as do."""
     trials, rng = 300, np.random.default_rng(size)
     letters = np.frombuffer(b"etaoinshrdlucmfwypvbgk      ", np.uint8)
     own, other = letters[rng.integers(0, len(letters), (trials, size))], []
@@ -136,8 +136,10 @@ def plan(size: int, edits: int, target: float = TARGET) -> tuple[int, int]:
             with np.errstate(over="ignore"):
                 ka, kb = (k + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for k, of in ((ka[mine], of_a[mine]), (kb, of_b)))
             met[of_a[mine][np.isin(ka, kb)]] = True
-            if met.mean() >= target and (r < 2 or steps == LEVELS[0]):
+            if met.mean() >= target:
                 return steps, r + 1
+            if steps > LEVELS[0]:
+                break
     return LEVELS[0], REPETITIONS
 
 
@@ -260,25 +262,40 @@ class Index:
         return np.maximum(starts[row], low - bound - most), np.minimum(starts[row + 1] + 1, low + bound + size + most)
 
     def likely(self, data: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Which regions have as many 3-byte strings of the item as one within its edits has at least."""
-        item = places[1]
-        gram = gram_codes(data)
-        out = np.zeros(len(item), bool)
-        many = np.maximum(0, high - low - 2)
-        cuts = np.searchsorted(np.cumsum(many), np.arange(GRAMS_AT_ONCE, int(many.sum()) + GRAMS_AT_ONCE, GRAMS_AT_ONCE), side="right")
-        for a, b in zip(np.concatenate(([0], cuts)), np.append(cuts, len(item))):
-            if a == b:
-                continue
-            own, which = np.unique(item[a:b], return_inverse=True)
-            table = np.zeros((len(own), 1 << GRAM_BITS), bool)
-            for k, i in enumerate(own):
-                table[k, gram_codes(np.frombuffer(self.items[i], np.uint8).astype(np.int64))[:-2]] = True
-            n = many[a:b]
-            has = table[np.repeat(which, n), gram[ranges(low[a:b], n)]]
-            total = np.concatenate(([0], np.cumsum(has)))
+        """Which regions share as many strings of GRAM bytes with the item as one within its edits does at least (an edit takes GRAM of them), counted in the region and in the item."""
+        item, gram = places[1], gram_codes(data)
+        need = self.sizes[item] + 1 - GRAM - GRAM * self.most[item]
+        many = np.maximum(0, high - low - GRAM + 1)
+        own = self.sizes[item] - GRAM + 1
+        out = np.arange(len(item))
+
+        def shared(of: np.ndarray, known_at: np.ndarray, known: np.ndarray, at: np.ndarray, n: np.ndarray, codes: np.ndarray, grams: np.ndarray) -> np.ndarray:
+            """How many of each row's grams (n of codes from `at` on) are among those marked in its line (known of grams from known_at on) of a table."""
+            table = np.zeros((len(known), 1 << GRAM_BITS), bool)
+            table[np.repeat(np.arange(len(known)), known), grams[ranges(known_at, known)]] = True
+            has = np.concatenate(([0], np.cumsum(table[np.repeat(of, n), codes[ranges(at, n)]])))
             ends = np.cumsum(n)
-            out[a:b] = total[ends] - total[ends - n] >= self.sizes[item[a:b]] - 2 - 3 * self.most[item[a:b]]
-        return out
+            return has[ends] - has[ends - n]
+
+        texts, which = np.unique(item, return_inverse=True)
+        grams = [gram_codes(np.frombuffer(self.items[i], np.uint8).astype(np.int64))[: 1 - GRAM] for i in texts]
+        starts = np.concatenate(([0], np.cumsum([len(g) for g in grams]))).astype(np.int64)
+        grams = np.concatenate([*grams, np.zeros(0, np.int64)])
+        for side in (0, 1):
+            stay = []
+            cuts = np.searchsorted(np.cumsum(many[out]), np.arange(GRAMS_AT_ONCE, int(many[out].sum()) + GRAMS_AT_ONCE, GRAMS_AT_ONCE), side="right")
+            for k in np.split(out, cuts):
+                for c in np.split(k, np.arange(ROWS_AT_ONCE, len(k), ROWS_AT_ONCE)):
+                    if side:
+                        found = shared(np.arange(len(c)), low[c], many[c], starts[which[c]], own[c], grams, gram)
+                    else:
+                        one, of = np.unique(which[c], return_inverse=True)
+                        found = shared(of, starts[one], starts[one + 1] - starts[one], low[c], many[c], gram, grams)
+                    stay.append(c[found >= need[c]])
+            out = np.concatenate(stay) if stay else out
+        yes = np.zeros(len(item), bool)
+        yes[out] = True
+        return yes
 
     def matches(self, texts: pa.Array) -> list[tuple[int, int, int]]:
         """(row, item, edits) of each item in each text."""
@@ -302,11 +319,12 @@ class Index:
 
 
 def gram_codes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 3 bytes from each place on."""
-    out = data * 1031
-    out[:-1] += data[1:] * 37
-    out[:-2] += data[2:]
-    return out & ((1 << GRAM_BITS) - 1)
+    """A hash of the GRAM bytes from each place on."""
+    out = data.copy()
+    for k in range(1, GRAM):
+        out *= 131
+        out[:-k] += data[k:]
+    return (out >> 3 ^ out) & ((1 << GRAM_BITS) - 1)
 
 
 def indexes(items: DataFrame, similarity: float) -> Iterator[Index]:
