@@ -4,10 +4,14 @@ The tree builder opens what HTML implies (table bodies, rows) and closes what it
 a block, an item before an item, a cell before a cell). An element is left out with all below it if it is
 never shown (head, script, style, template, ...), has `hidden`, or is styled display:none; visibility:hidden
 leaves text out until it is set visible again. The rest is rendered: blocks on lines of their own, blank
-lines where browsers have margins, bullets and numbers, preformatted text as it is, tables as columns.
-
-A null or empty page gives an empty text. Elements deeper than DEPTH are flattened, as browsers do; their
-text stays. Rows with a null or repeated page_id are pages of their own; other columns are not read.
+lines where browsers have margins, bullets and numbers, preformatted text as it is, tables as columns. Of
+formulas all text is shown, of drawings that of their text elements. What has no text of its own on the
+page, and so is not shown: media, form inputs, the inside of closed details and dialogs.
+
+A null or empty page gives an empty text. Elements deeper than DEPTH are flattened, as browsers do at the
+same depth; their text stays. A cell spans at most 1000 columns, as HTML has it. A cell wider than WIDEST
+does not widen its column, so that a long cell costs its row alone: what follows it there stands two blanks
+after it. Rows with a null or repeated page_id are pages of their own; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,10 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_batches, lean
 
-DEPTH = 200
+DEPTH, WIDEST = 512, 100
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head title script style template noscript meta link base datalist iframe noembed noframes object audio video canvas svg math param source track area map".split())
+UNSEEN = frozenset("head title script style template noscript meta link base datalist iframe noembed noframes object audio video canvas param source track area desc defs metadata".split())
 #: Blocks with the blank lines around them; other blocks have none.
 MARGINS = dict.fromkeys("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table fieldset hr menu".split(), 1)
 BLOCKS = frozenset(MARGINS) | frozenset("address article aside body center details dd dialog dir div dt figcaption footer form header hgroup html legend li main nav optgroup option search section summary caption tr tbody thead tfoot td th select".split())
@@ -231,9 +235,13 @@ class Canvas:
         return "\n".join(self.lines).strip("\n")
 
 
-def hidden(node: Node, seen: bool) -> tuple[bool, bool]:
-    """Whether a node is left out with all below it, and whether its own text is seen."""
+def hidden(node: Node, seen: bool | None) -> tuple[bool, bool | None]:
+    """Whether a node is left out with all below it, and whether its own text is seen: None within a drawing, outside its text elements."""
     a = node.attributes
+    if node.tag == "svg":
+        seen = None if seen else seen
+    elif seen is None and node.tag in ("text", "foreignobject"):
+        seen = True
     if node.tag in UNSEEN or "hidden" in a or node.tag == "input" or node.tag == "dialog" and "open" not in a:
         return True, seen
     if "style" in a:
@@ -241,7 +249,7 @@ def hidden(node: Node, seen: bool) -> tuple[bool, bool]:
             if name.lower() == "display" and value.lower() == "none":
                 return True, seen
             if name.lower() == "visibility":
-                seen = value.lower() not in ("hidden", "collapse")
+                seen = False if value.lower() in ("hidden", "collapse") else None if seen is None else True
     return False, seen
 
 
@@ -312,7 +320,10 @@ def render(node: Node, out: Canvas, seen: bool, pre: bool, depth: int = 0) -> No
             if name == "q" and visible:
                 out.words('"')
                 out.space = False
+            drawn = name == "text" and visible and not seen
+            out.space = out.space or drawn and bool(out.parts)
             render(child, out, visible, pre or name == "textarea", depth)
+            out.space = out.space or drawn and bool(out.parts)
             if name == "q" and visible:
                 out.parts.append('"')
 
@@ -369,7 +380,7 @@ def table(node: Node, seen: bool, depth: int) -> list[str]:
         for cells in grid:
             for at, (lines, across) in cells.items():
                 need = max(map(wide, lines), default=0)
-                if (across > 1) != spanning:
+                if (across > 1) != spanning or need > WIDEST * across:
                     continue
                 have = sum(sizes.get(c, 0) for c in range(at, at + across)) + 2 * (across - 1)
                 sizes[at + across - 1] = sizes.get(at + across - 1, 0) + max(0, need - have)
@@ -383,8 +394,9 @@ def table(node: Node, seen: bool, depth: int) -> list[str]:
             line, used = "", 0
             for at, (lines, _) in sorted(cells.items()):
                 if k < len(lines) and lines[k]:
-                    line += " " * (starts[at] - used) + lines[k]
-                    used = starts[at] + wide(lines[k])
+                    before_it = max(starts.get(at, x) - used, 2 if line else 0)
+                    line += " " * before_it + lines[k]
+                    used += before_it + wide(lines[k])
             out.append(line)
     return out
 

@@ -617,6 +617,12 @@ def test_class_prior():
         ("<p>x</p><unclosed attr='", "x"),
         ("<details><summary>s</summary>no</details><details open>yes</details>", "s\nyes"),
         ("<!--never closed <p>x", ""),
+        ("a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"),
+        ("a<svg><title>t</title><path d=''/><g>no<text>one</text><text>two <tspan>three</tspan></text></g></svg>b", "a one two three b"),
+        ("<div style='visibility:hidden'><svg><text>no</text></svg></div>", ""),
+        ("<map name=m><area href=x><a href=y>yes</a></map>", "yes"),
+        ("<table><tr><td>" + "x" * 300 + "<td>b<tr><td>c<td>d</table>", "x" * 300 + "  b\nc  d"),
+        ("<table><tr><td>a<td>" + "x" * 300 + "<td>b<tr><td>cc<td>d<td>e</table>", "a   " + "x" * 300 + "  b\ncc  d  e"),
     ],
 )
 def test_html(page, text):
