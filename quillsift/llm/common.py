@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import hashlib
 import os
 import pathlib
 import shutil
@@ -15,8 +16,10 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch handed to Python: documents are long, so batches are short.
 BATCH_ROWS = 512
@@ -172,3 +175,78 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
     out += np.arange(total, dtype=kind)
     return out
+
+
+def located(df: DataFrame) -> DataFrame:
+    """df with __path and __row, where each of its rows is stored. What is no plain scan of files is saved first."""
+    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        df = saved(df, "located")
+    return df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+
+
+def noted(rows: DataFrame, columns: list[str]) -> str:
+    """Notes whole numbers about stored rows (__path, __row and the columns) in a file for each path; gives the folder.
+
+    Tasks that scan the rows look their notes up there, so that no text is shuffled to join them.
+    """
+    folder = scratch(rows.sparkSession, "notes")
+
+    def write(batches):
+        held: list[pa.RecordBatch] = []
+
+        def done() -> pa.RecordBatch:
+            path, sink = held[0].column("__path")[0].as_py(), pa.BufferOutputStream()
+            table = pa.concat_batches(held).select(["__row", *columns])
+            with pa.ipc.new_stream(sink, table.schema) as out:
+                out.write_batch(table)
+            return pa.record_batch([pa.array([write_bytes(folder, note_name(path), [sink.getvalue().to_pybytes()])])], names=["file"])
+
+        for batch in batches:
+            for path in dict.fromkeys(batch.column("__path").to_pylist()):
+                if held and held[0].column("__path")[0].as_py() != path:
+                    yield done()
+                    held.clear()
+                held.append(batch.filter(pc.equal(batch.column("__path"), path)))
+        if held:
+            yield done()
+
+    arrow_batches(rows.sparkSession, 1 << 14)
+    dealt = rows.select("__path", F.col("__row").cast("bigint"), *[F.col(c).cast("bigint") for c in columns]).repartition("__path").sortWithinPartitions("__path", "__row")
+    saved(dealt.mapInArrow(lean(write), "file string"), "note-files")
+    return folder
+
+
+def note_name(path: str) -> str:
+    return hashlib.sha1(path.encode()).hexdigest() + ".arrow"
+
+
+class Notes:
+    """The notes of a folder, path by path."""
+
+    def __init__(self, folder: str):
+        self.folder, self.path, self.table = folder, None, None
+
+    def of(self, path: str) -> pa.RecordBatch | None:
+        if path != self.path:
+            fs, name = open_fs(f"{self.folder}/{note_name(path)}")
+            self.path, self.table = path, None
+            if fs.get_file_info(name).type != pafs.FileType.NotFound:
+                with fs.open_input_file(name) as f:
+                    self.table = pa.ipc.open_stream(f.read()).read_all().combine_chunks().to_batches()[0]
+        return self.table
+
+    def find(self, batch: pa.RecordBatch) -> tuple[np.ndarray, pa.RecordBatch | None]:
+        """The numbers of a batch's rows (with __path and __row) that have notes, and those."""
+        paths, rows, at, notes = batch.column("__path").to_pylist(), batch.column("__row").to_numpy(), [], []
+        cuts = [0, *(k for k in range(1, len(paths)) if paths[k] != paths[k - 1]), len(paths)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b or (table := self.of(paths[a])) is None:
+                continue
+            known = table.column("__row").to_numpy()
+            place = np.minimum(np.searchsorted(known, rows[a:b]), len(known) - 1)
+            hit = np.flatnonzero(known[place] == rows[a:b])
+            at.append(a + hit)
+            notes.append(table.take(pa.array(place[hit])))
+        if not at:
+            return np.zeros(0, np.int64), None
+        return np.concatenate(at), pa.concat_batches(notes)

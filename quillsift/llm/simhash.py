@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, lean, ranges, saved, temporary
+from .common import Notes, arrow_batches, lean, located, noted, ranges, saved, shuffle_partitions, temporary
 
 DISTANCE = 3
 #: Shingles that are counted at once; 255 is the most that a byte counts.
@@ -159,11 +159,13 @@ class GrayIndex:
         yield from self.near(self.ones[0], distance, self.part[0], np.arange(len(self.ones[0])), queries)
 
 
-def led(fps: np.ndarray, distance: int) -> np.ndarray:
-    """A leader's number for each row, within the distance, or its own: each leader takes what no one before it took. So many leaders as make the work a small share of all pairs."""
+def led(fps: np.ndarray, distance: int, sure=None) -> np.ndarray:
+    """A leader's number for each row, within the distance, or its own: each leader takes what no one before it took. So many leaders as make the work a small share of all pairs. sure(leader, rows) decides what is near."""
     out, left = np.arange(len(fps)), np.arange(len(fps))
     for _ in range(min(64, len(fps) // 64 + 1)):
         near = differing(fps[left] ^ fps[left[0]]) <= distance
+        if sure is not None:
+            near[near] = sure(np.full(np.count_nonzero(near), left[0]), left[near])
         out[left[near]] = left[0]
         left = left[~near]
         if not len(left):
@@ -220,17 +222,16 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[taken], b[taken]
 
 
-def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12, pick=forest, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """What pick() makes, by id, of the links between fingerprints of the same group; with parts, of different parts. Without fps the ids are the fingerprints.
+def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = None, distance: int = DISTANCE, small: int = 12, pick=forest) -> tuple[np.ndarray, np.ndarray]:
+    """What pick() makes, by id, of the links between fingerprints of the same group. Without fps the ids are the fingerprints.
 
     A group of at most `small` is a leaf of the index, whose rows are compared one by one. In a larger one
     leaders take the rows near them first, and the index is asked for links between what they took: a group
     of near copies costs as much as it has rows.
     """
     fps = (ids if fps is None else fps).reshape(len(ids), -1)
-    rank = gray_rank(fps[:, 0])
-    by = np.lexsort((rank, group) if part is None else (rank, part, group))
-    group, ids, fps, part = group[by], ids[by], fps[by], None if part is None else part[by]
+    by = np.lexsort((gray_rank(fps[:, 0]), group))
+    group, ids, fps = group[by], ids[by], fps[by]
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(group)])))
     left = np.repeat(sizes, sizes) - ranges(np.zeros(len(sizes), np.int64), sizes)  # rows of the group from this one on
@@ -239,18 +240,14 @@ def group_links(group: np.ndarray, ids: np.ndarray, fps: np.ndarray | None = Non
     for step in range(1, small):
         few = few[left[few] > step]
         near = few[differing(fps[few] ^ fps[few + step]) <= distance]
-        near = near if part is None else near[part[near] != part[near + step]]
         found.append((ids[near], ids[near + step]))
     for k in np.flatnonzero(sizes > small):
         own, name = fps[starts[k] : starts[k] + sizes[k]], ids[starts[k] : starts[k] + sizes[k]]
-        if part is None:
-            label = led(own, distance)
-            taken = np.flatnonzero(label != np.arange(len(label)))
-            found.append((name[label[taken]], name[taken]))
-            order = np.argsort(label, kind="stable")
-            own, name, label = own[order], name[order], label[order]
-        else:
-            label = part[starts[k] : starts[k] + sizes[k]]
+        label = led(own, distance)
+        taken = np.flatnonzero(label != np.arange(len(label)))
+        found.append((name[label[taken]], name[taken]))
+        order = np.argsort(label, kind="stable")
+        own, name, label = own[order], name[order], label[order]
         if label[0] != label[-1]:
             for i, j in GrayIndex(own, label).links(distance):
                 found.append(pick(name[i], name[j]))
@@ -275,15 +272,8 @@ def links(distinct: DataFrame, large: int = 1 << 14, held: int = 1 << 18) -> Dat
     return linked(routed(distinct, large), [], DISTANCE, 12, held)
 
 
-def all_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A pick() of all links, once each."""
-    pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-    return pairs[0], pairs[1]
-
-
 def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: int, pick=forest) -> DataFrame:
-    """What pick() makes of the links within the groups of (route, key): fp names a row, the words are its bits (without any, fp itself). Rows with a part give all links between parts."""
-    part = [c for c in rows.columns if c == "part"]
+    """What pick() makes of the links within the groups of (route, key): fp names a row, the words are its bits (without any, fp itself)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, n = [], 0
@@ -291,13 +281,12 @@ def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: i
         def done(rows: list[np.ndarray]) -> pa.RecordBatch:
             all_rows = np.concatenate(rows, 1)
             groups = np.cumsum(np.concatenate(([0], np.any(all_rows[:2, 1:] != all_rows[:2, :-1], axis=0))))
-            bits = np.ascontiguousarray(all_rows[3 : 3 + len(words)].T).view(np.uint64) if words else None
-            ids = all_rows[2].view(np.uint64)
-            a, b = group_links(groups, ids, bits, distance, small, all_pairs, all_rows[-1]) if part else group_links(groups, ids, bits, distance, small, pick)
+            bits = np.ascontiguousarray(all_rows[3:].T).view(np.uint64) if words else None
+            a, b = group_links(groups, all_rows[2].view(np.uint64), bits, distance, small, pick)
             return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "fp", *words, *part)])
+            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "fp", *words)])
             if n + rows.shape[1] > held and waiting:  # what has ended is linked; the last group goes on
                 both = np.concatenate([*waiting, rows], 1)
                 last = np.flatnonzero(np.any(both[:2] != both[:2, -1:], axis=0))
@@ -312,9 +301,8 @@ def linked(rows: DataFrame, words: list[str], distance: int, small: int, held: i
             yield done(waiting)
 
     spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrow_batches(spark, 1 << 14)
-    return rows.select("route", "key", "fp", *words, *part).repartition(parts, "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
+    return rows.select("route", "key", "fp", *words).repartition(shuffle_partitions(spark), "route", "key").sortWithinPartitions("route", "key").mapInArrow(lean(find), "a bigint, b bigint")
 
 
 def connected(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -351,9 +339,9 @@ def components(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
 
 def labelled(fps: DataFrame, find) -> DataFrame:
     """fps (doc_id, fp, ...) with component_id, over the links that find() gives for the distinct rows of fp."""
-    bits = [c for c in fps.columns if c not in ("doc_id", "fp")]
+    bits = [F.first(c).alias(c) for c in fps.columns if c in WORDS] + [F.min(F.struct(*PLACE)).alias("at") for _ in [0] if set(PLACE) <= set(fps.columns)]
     with temporary(fps.sparkSession):
-        distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in bits]), "distinct")
+        distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), *bits), "distinct")
         roots = saved(connected(find(distinct)), "roots")
         rooted = distinct.select("fp", "first").join(roots.withColumnRenamed("v", "fp"), "fp")
         least = saved(rooted.groupBy("root").agg(F.min("first").alias("least")), "least")
@@ -368,11 +356,12 @@ SIMILAR = 0.8
 #: texts); pairs that differ in LINKED of them at most are candidates, which is 3.6 deviations more.
 WIDE, APART, LINKED = 256, 0.152, 60
 WORDS = [f"w{i}" for i in range(WIDE // 64)]
-#: Rows of a crowded group that all its others meet first.
-LEADERS = 32
+#: Rows of a crowded group that all its others meet first; shingles that are compared as bits at once.
+LEADERS, SHINGLES_AT_ONCE = 32, 1 << 14
+PLACE = ["__path", "__row"]
 
 
-def sampled_masks(rows: int, recall: float = 0.999, seed: int = 4) -> list[list[int]]:
+def sampled_masks(rows: int, recall: float = 0.99, seed: int = 4) -> list[list[int]]:
     """Samples of bits for as many groupings that a pair at APART agrees in one of them with that probability, whatever the number of rows; more rows have more bits in a sample, so that groups stay small, and more groupings."""
     bits = int(np.clip(np.ceil(np.log2(max(2, rows))) - 6, 14, 24))
     times = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - APART) ** bits)))
@@ -387,165 +376,251 @@ def sampled_masks(rows: int, recall: float = 0.999, seed: int = 4) -> list[list[
 def keyed_rows(distinct: DataFrame, masks_: list[list[int]]) -> DataFrame:
     """Each row under the hash of its sampled bits in each grouping."""
     keyed = F.array(*[F.struct(F.lit(r).alias("route"), F.xxhash64(*[F.col(w).bitwiseAND(F.lit(signed(m))) for w, m in zip(WORDS, ms) if m]).alias("key")) for r, ms in enumerate(masks_)])
-    part = [c for c in distinct.columns if c == "part"]
-    return distinct.select("fp", *WORDS, *part, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS, *part)
+    return distinct.select("fp", *WORDS, F.explode(keyed).alias("k")).select("k.route", "k.key", "fp", *WORDS)
 
 
-def crowded_groups(rows: DataFrame, most: int) -> DataFrame | None:
-    """The groups of over `most` rows, about, and in how many blocks they are dealt. Counted by every 16th fp: it decides the way alone, not the result."""
+def candidates(distinct: DataFrame, most: int) -> DataFrame:
+    """Edges (a, b) that connect all fp whose wide fingerprints agree in a sample of bits and differ in at most LINKED, by an index in Gray order.
+
+    The rows of a group of over `most` rows, about, all count as connected, so that none is held at once. Such
+    groups are found by every 16th fp.
+    """
+    rows = keyed_rows(distinct, sampled_masks(distinct.count()))
     seen = rows.filter(F.pmod(F.xxhash64("fp"), F.lit(16)) == 0).groupBy("route", "key").agg((16 * F.count("*")).alias("n"))
-    found = saved(seen.filter(F.col("n") > most).select("route", "key", F.ceil(F.col("n") / most).cast("int").alias("blocks")), "crowded")
-    return None if found.isEmpty() else found
+    crowded = saved(seen.filter(F.col("n") > most).select("route", "key"), "crowded")
+    if crowded.isEmpty():
+        return linked(rows, WORDS, LINKED, 48, 1 << 17, spanning).distinct()
+    hot = rows.join(crowded, ["route", "key"], "left_semi").select("route", "key", "fp")
+    first = hot.groupBy("route", "key").agg(F.min("fp").alias("b"))
+    edges = hot.join(first, ["route", "key"]).select(F.col("fp").alias("a"), "b")
+    return linked(rows.join(crowded, ["route", "key"], "left_anti"), WORDS, LINKED, 48, 1 << 17, spanning).unionByName(edges).distinct()
+
+
+class Members:
+    """Rows of a group of candidates: names, wide fingerprints, and sets of shingles as numbers of their own."""
+
+    def __init__(self, names: np.ndarray, fps: np.ndarray, sets: list[np.ndarray]):
+        by = np.argsort(gray_rank(fps[:, 0]), kind="stable")
+        self.names, self.fps, self.sets = names[by], fps[by], [sets[k] for k in by]
+        self.sizes = np.array([len(x) for x in self.sets], np.int64)
+
+    def alike(self, x: np.ndarray, other: Members, y: np.ndarray) -> np.ndarray:
+        """Whether the sets of rows x of these and y of others have the similarity SIMILAR, exactly."""
+        small, large = np.minimum(self.sizes[x], other.sizes[y]), np.maximum(self.sizes[x], other.sizes[y])
+        out = small >= SIMILAR * large - 1e-9
+        left = np.flatnonzero(out)
+        if not len(left):
+            return out
+        own, of_own = np.unique(x[left], return_inverse=True)
+        its, of_its = np.unique(y[left], return_inverse=True)
+        entries = int(self.sizes[own].sum() + other.sizes[its].sum())
+        if 150 * len(left) < entries:  # few pairs
+            both = np.array([len(np.intersect1d(self.sets[a], other.sets[b], assume_unique=True)) for a, b in zip(x[left], y[left])], np.int64)
+        else:  # many pairs of few rows: bits of the shingles that occur on both sides
+            shared = np.intersect1d(np.concatenate([self.sets[k] for k in own]), np.concatenate([other.sets[k] for k in its]))
+            both = np.zeros(len(left), np.int64)
+            for at in range(0, len(shared), SHINGLES_AT_ONCE):
+                part = shared[at : at + SHINGLES_AT_ONCE]
+                p, q = (marked([m.sets[k] for k in rows], part) for m, rows in ((self, own), (other, its)))
+                for k in range(0, len(left), step := max(1, (1 << 22) // p.shape[1])):
+                    both[k : k + step] += np.bitwise_count(p[of_own[k : k + step]] & q[of_its[k : k + step]]).sum(1, dtype=np.int64)
+        total = self.sizes[x[left]] + other.sizes[y[left]]
+        out[left] = both >= SIMILAR * (total - both) - 1e-9
+        return out
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Edges that connect all rows at SIMILAR: leaders take what is like them, the index gives the pairs between what they took."""
+        label = led(self.fps, LINKED, lambda x, y: self.alike(x, self, y))
+        taken = np.flatnonzero(label != np.arange(len(label)))
+        found = [(self.names[label[taken]], self.names[taken])]
+        order = np.argsort(label, kind="stable")
+        if len(order) and label[order[0]] != label[order[-1]]:
+            for i, j in GrayIndex(self.fps[order], label[order]).links(LINKED):
+                i, j = order[i], order[j]
+                yes = self.alike(i, self, j)
+                found.append(spanning(self.names[i[yes]], self.names[j[yes]]))
+        return spanning(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
+
+
+def marked(sets: list[np.ndarray], shingles: np.ndarray) -> np.ndarray:
+    """A row of bits for each set: which of the shingles (ascending) it has."""
+    sizes, every = [len(x) for x in sets], np.concatenate(sets)
+    place = np.minimum(np.searchsorted(shingles, every), len(shingles) - 1)
+    row, hit = np.repeat(np.arange(len(sets)), sizes), shingles[place] == every
+    out = np.zeros((len(sets), -(-len(shingles) // 64)), np.uint64)
+    np.bitwise_or.at(out, (row[hit], place[hit] // 64), np.uint64(1) << (place[hit] % 64).astype(np.uint64))
+    return out
+
+
+def members_of(rows: list[pa.RecordBatch]) -> Members:
+    every = pa.concat_batches(rows)
+    fps = np.stack([every.column(w).to_numpy() for w in WORDS], 1).view(np.uint64)
+    return Members(every.column("fp").to_numpy(), np.ascontiguousarray(fps), [np.frombuffer(x.as_buffer(), "<u8") for x in every.column("shingles")])
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Slices of sorted batches with the same values of the columns."""
+    for batch in batches:
+        if batch.num_rows:
+            keys = np.stack([batch.column(c).to_numpy() for c in columns])
+            cuts = [0, *(np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                yield tuple(keys[:, a].tolist()), batch.slice(a, b - a)
 
 
-def met(residents: DataFrame, queries: DataFrame, first: bool) -> DataFrame:
-    """Pairs of residents and queries (route, key, salt, fp, words, part) of one block, of different parts and at most LINKED bits apart. The queries stream past; first: one pair of each."""
+def edges_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def within(members: DataFrame) -> DataFrame:
+    """Edges between the members (root, fp, words, shingles) of each root, which are few, that connect all at SIMILAR."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, index, ids = None, [], None, None
-        for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("route", "key", "salt", "role", "fp", "part", *WORDS)])
-            cuts = np.flatnonzero(np.any(rows[:4, 1:] != rows[:4, :-1], axis=0)) + 1 if rows.shape[1] else []
-            for own in np.split(rows, cuts, axis=1):
-                if not own.shape[1]:
-                    continue
-                if block != (block := tuple(own[:3, 0])):
-                    held, index = [], None
-                if not own[3, 0]:
-                    held.append(own)
-                    continue
-                if not held:
-                    continue
-                if index is None:
-                    every = np.concatenate(held, axis=1)
-                    fps = np.ascontiguousarray(every[6:].T).view(np.uint64)
-                    by = np.lexsort((gray_rank(fps[:, 0]), every[5]))
-                    index, ids = GrayIndex(fps[by], every[5][by]), every[4][by]
-                for q, row in index.near(np.ascontiguousarray(own[6:].T).view(np.uint64), LINKED, own[5]):
-                    if first:
-                        q, one = np.unique(q, return_index=True)
-                        row = row[one]
-                    a, b = own[4][q], ids[row]
-                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    spark = residents.sparkSession
-    arrow_batches(spark, 1 << 12)
-    place = ["route", "key", "salt", "role"]
-    rows = residents.withColumn("role", F.lit(0)).unionByName(queries.withColumn("role", F.lit(1))).select(*place, "fp", "part", *WORDS)
-    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *place[:3]).sortWithinPartitions(*place).mapInArrow(lean(find), "a bigint, b bigint")
-
-
-def candidates(distinct: DataFrame, masks_: list[list[int]], busy: DataFrame | None = None) -> DataFrame:
-    """Pairs of fp whose wide fingerprints differ in at most LINKED bits, from groups that agree in a sample of bits, each indexed in Gray order.
-
-    Of each group a spanning forest of its pairs; with a column part, all pairs of different parts. Busy
-    groups are dealt in blocks. At first each of their rows meets the group's LEADERS; with parts, rows that
-    are not of the group's main part meet all its blocks.
-    """
-    rows = keyed_rows(distinct, masks_)
-    if busy is None:
-        return linked(rows, WORDS, LINKED, 48, 1 << 17, spanning).distinct()
-    hot, calm = rows.join(busy, ["route", "key"]), rows.join(busy, ["route", "key"], "left_anti")
-    salted = lambda df: df.withColumn("salt", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("blocks")).cast("int"))
-    everywhere = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    if "part" in distinct.columns:
-        main = hot.groupBy("route", "key", "part").agg(F.count("*").alias("n")).groupBy("route", "key").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
-        pairs = met(salted(hot), everywhere(hot.join(main, ["route", "key"]).filter("part <> main").drop("main")), False)
-    else:
-        hot = hot.withColumn("part", F.col("fp"))
-        rank = F.row_number().over(Window.partitionBy("route", "key").orderBy(F.xxhash64("fp"), "fp"))
-        pairs = met(everywhere(hot.withColumn("r", rank).filter(F.col("r") <= LEADERS).drop("r")), salted(hot), True)
-    return linked(calm, WORDS, LINKED, 48, 1 << 17, spanning).unionByName(pairs).distinct()
+        root, held = None, []
+        for key, part in runs_of(batches, ["root"]):
+            if key != root and held:
+                yield edges_of(*members_of(held).links())
+                held = []
+            root = key
+            held.append(part)
+        if held:
+            yield edges_of(*members_of(held).links())
 
+    arrow_batches(members.sparkSession)
+    dealt = members.repartition(shuffle_partitions(members.sparkSession), "root").sortWithinPartitions("root")
+    return dealt.mapInArrow(lean(find), "a bigint, b bigint")
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles have a similarity of SIMILAR or more, exactly."""
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            stay = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                small, large = min(len(x), len(y)), max(len(x), len(y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if small >= SIMILAR * large else 0
-                stay.append(both >= SIMILAR * (len(x) + len(y) - both) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
+def met(residents: DataFrame, queries: DataFrame) -> DataFrame:
+    """Edges between queries and residents (root, salt, part, fp, words, shingles) of one block and different parts at SIMILAR. Residents are bounded, queries stream past."""
 
-    of = lambda fp, name: sets.select(F.col("fp").alias(fp), F.col("shingles").alias(name))
-    arrow_batches(pairs.sparkSession)
-    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(lean(check), "a bigint, b bigint")
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, index = None, [], None
+        for key, part in runs_of(batches, ["root", "salt", "role"]):
+            if key[:2] != block:
+                block, held, index = key[:2], [], None
+            if not key[2]:
+                held.append(part)
+                continue
+            if not held:
+                continue
+            if index is None:
+                own = pa.concat_batches(held)
+                own = own.take(pa.array(np.argsort(own.column("part").to_numpy(), kind="stable")))
+                there = members_of([own])
+                parts = own.column("part").to_numpy()[np.argsort(gray_rank(np.ascontiguousarray(own.column(WORDS[0]).to_numpy()).view(np.uint64)), kind="stable")]
+                order = np.argsort(parts, kind="stable")
+                index = GrayIndex(there.fps[order], parts[order])
+            asked = members_of([part])
+            own_part = part.column("part").to_numpy()[np.argsort(gray_rank(np.ascontiguousarray(part.column(WORDS[0]).to_numpy()).view(np.uint64)), kind="stable")]
+            for q, row in index.near(asked.fps, LINKED, own_part):
+                yes = asked.alike(q, there, order[row])
+                yield edges_of(*spanning(asked.names[q[yes]], there.names[order[row[yes]]]))
+
+    arrow_batches(residents.sparkSession)
+    place = ["root", "salt", "role"]
+    rows = residents.withColumn("role", F.lit(0)).unionByName(queries.withColumn("role", F.lit(1))).select(*place, "part", "fp", *WORDS, "shingles")
+    return rows.repartition(shuffle_partitions(rows.sparkSession), *place[:2]).sortWithinPartitions(*place).mapInArrow(lean(find), "a bigint, b bigint")
+
+
+def across(members: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """Edges between the members of roots that have many (sizes: root, n), in blocks of about `most`.
+
+    First all meet the LEADERS of their root. Then what is not of the root's main part by that meets all blocks.
+    """
+    hot = saved(members.join(sizes.withColumn("blocks", F.ceil(F.col("n") / most).cast("int")).drop("n"), "root"), "hot")
+    salted = lambda df: df.withColumn("salt", F.pmod(F.xxhash64("fp", F.lit(5)), F.col("blocks")).cast("int"))
+    everywhere = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rank = F.row_number().over(Window.partitionBy("root").orderBy(F.xxhash64("fp"), "fp"))
+    leaders = hot.select("root", "fp").withColumn("r", rank).filter(F.col("r") <= LEADERS).select("root", "fp")
+    own = hot.withColumn("part", F.col("fp"))
+    first = saved(met(everywhere(own.join(leaders, ["root", "fp"], "left_semi")), salted(own)), "first")
+    parts = connected(first).select(F.col("v").alias("fp"), F.col("root").alias("p"))
+    own = saved(hot.join(parts, "fp", "left").withColumn("part", F.coalesce("p", "fp")).drop("p"), "parted")
+    main = own.groupBy("root", "part").agg(F.count("*").alias("n")).groupBy("root").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+    return first.unionByName(met(salted(own), everywhere(own.join(main, "root").filter("part <> main").drop("main"))))
 
 
 def similar_links(distinct: DataFrame, texts: DataFrame, words: int, seed: int, most: int) -> DataFrame:
-    """Links between texts at SIMILAR, by candidates that are all verified or already connected by verified ones.
+    """Edges that connect all texts at SIMILAR, verified on their sets of shingles.
 
-    First a spanning forest of each group's candidates is verified. Then, among the texts that have a
-    candidate, all candidates that this has not connected: a group of copies costs as many pairs as texts.
-    Groups of over `most` texts are dealt in blocks, and their texts count as having a candidate. texts has
-    __key and text; distinct has the __key of one text of each fp.
+    Texts that could be similar make groups: what candidates() connects. Of each distinct text in a group the
+    set is made where the text lies (`at` in distinct; texts have text, __path and __row), and dealt by group.
     """
-    masks_ = sampled_masks(distinct.count())
-    busy = crowded_groups(keyed_rows(distinct, masks_), most)
-    pairs = saved(candidates(distinct, masks_, busy), "candidates")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("fp"))
-    if busy is not None:
-        nodes = nodes.unionByName(keyed_rows(distinct, masks_).join(busy, ["route", "key"], "left_semi").select("fp"))
-    nodes = saved(nodes.distinct(), "nodes")
+    spark = distinct.sparkSession
+    grouped = saved(connected(candidates(distinct, 4 * most)), "candidates")
+    chosen = distinct.join(grouped.withColumnRenamed("v", "fp"), "fp").select("at.*", "fp", "root")
+    folder = noted(chosen, ["fp", "root"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        notes = Notes(folder)
         for batch in batches:
-            yield pa.record_batch([batch.column("fp"), pa.array([shingle_set(t, words, seed).tobytes() for t in batch.column("text").to_pylist()], pa.binary())], names=["fp", "shingles"])
+            at, found = notes.find(batch)
+            if not len(at):
+                continue
+            kept = batch.column("text").take(pa.array(at)).to_pylist()
+            prints = [wide_fingerprint(t, words, seed)[1] for t in kept]
+            sets = [shingle_set(t, words, seed).tobytes() for t in kept]
+            yield pa.record_batch([found.column("root"), found.column("fp"), *word_columns(prints), pa.array(sets, pa.binary())], names=["root", "fp", *WORDS, "shingles"])
 
-    chosen = distinct.join(nodes, "fp", "left_semi").select("fp", "__key")
-    arrow_batches(texts.sparkSession)
-    sets = texts.join(chosen, "__key").select("fp", "text").mapInArrow(lean(each), "fp bigint, shingles binary")
-    sets = saved(sets.dropDuplicates(["fp"]), "shingles")
-    first = saved(verified(pairs, sets), "links")
-    roots = saved(connected(first), "parts")
-    again = distinct.join(nodes, "fp", "left_semi").join(roots.select(F.col("v").alias("fp"), F.col("root").alias("part")), "fp", "left").withColumn("part", F.coalesce("part", "fp"))
-    again = saved(again, "again")
-    rest = saved(candidates(again, masks_, busy).join(pairs, ["a", "b"], "left_anti"), "candidates")
-    return first.unionByName(verified(rest, sets))
+    arrow_batches(spark)
+    schema = "root bigint, fp bigint, " + ", ".join(f"{w} bigint" for w in WORDS) + ", shingles binary"
+    members = saved(texts.mapInArrow(lean(each), schema), "shingles", "none")
+    big = saved(grouped.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > most), "big")
+    if big.isEmpty():
+        return within(members)
+    return within(members.join(big, "root", "left_anti")).unionByName(across(members, big, most))
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
-    """docs with __key, a digest of the text; of null, an empty one."""
-    return docs.withColumn("__key", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
+def word_columns(prints: list[bytes]) -> list[pa.Array]:
+    bits = np.frombuffer(b"".join(prints), ">u8").reshape(-1, len(WORDS)).astype(np.uint64).view(np.int64)
+    return [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(WORDS))]
 
 
-def similar(docs: DataFrame, words: int = 5, seed: int = 42, crowded: int = 1 << 14) -> DataFrame:
-    """doc_id, fp (a hash of the distinct shingles), component_id and __key (a digest of the text): components of texts whose sets of shingles have a similarity of 0.8 or more.
+def similar(docs: DataFrame, words: int = 5, seed: int = 42, crowded: int = 1 << 12) -> DataFrame:
+    """doc_id, fp (a hash of the distinct shingles), component_id, __key (a digest of the text), __path and __row (where the row is stored): components of texts whose sets of shingles have a similarity of 0.8 or more.
 
-    Nulls, empty texts, repeats and empty tables as for components().
+    Groups of over `crowded` candidates are dealt in blocks. docs has __path and __row, or gets them. Nulls,
+    empty texts, repeats and empty tables as for components().
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [wide_fingerprint(t, words, seed) for t in batch.column("text").to_pylist()]
-            bits = np.frombuffer(b"".join([w for _, w in found]), ">u8").reshape(-1, len(WORDS)).astype(np.uint64).view(np.int64)
             fps = pa.array(np.array([f for f, _ in found], np.uint64).view(np.int64))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("__key"), fps, *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(WORDS)))], names=["doc_id", "__key", "fp", *WORDS])
+            yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "__key", *PLACE)), fps, *word_columns([w for _, w in found])], names=["doc_id", "__key", *PLACE, "fp", *WORDS])
 
+    docs = docs if set(PLACE) <= set(docs.columns) else located(docs)
     arrow_batches(docs.sparkSession)
-    schema = "doc_id bigint, __key string, fp bigint, " + ", ".join(f"{w} bigint" for w in WORDS)
-    texts = keyed_texts(docs.select(F.col("doc_id").cast("bigint"), "text"))
-    fps = saved(texts.mapInArrow(lean(each), schema), "wide-fingerprints")
-    return labelled(fps, lambda distinct: similar_links(distinct, texts.select("__key", "text"), words, seed, crowded)).select("doc_id", "fp", "component_id", "__key")
+    schema = "doc_id bigint, __key string, __path string, __row bigint, fp bigint, " + ", ".join(f"{w} bigint" for w in WORDS)
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text", *PLACE)
+    keyed = texts.withColumn("__key", F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")))
+    fps = saved(keyed.mapInArrow(lean(each), schema), "wide-fingerprints")
+    return labelled(fps, lambda distinct: similar_links(distinct, texts.drop("doc_id"), words, seed, crowded)).select("doc_id", "fp", "component_id", "__key", *PLACE)
 
 
 def without_copies(docs: DataFrame, words: int = 5) -> DataFrame:
     """The rows of docs without those that are similar to a smaller doc_id: one document of each component stays.
 
     Each text of a doc_id is judged by itself. Rows with the doc_id that stays and the same text are reduced
-    to one. Rows with a null doc_id go if their component has another doc_id, and stay if not.
+    to one. Rows with a null doc_id go if their component has another doc_id, and stay if not. What goes is
+    noted for the files that hold the rows: no text is shuffled.
     """
+    columns, docs = docs.columns, located(docs)
     with temporary(docs.sparkSession):
         found = saved(similar(docs, words), "similar", lasting=True)
-    gone = found.filter("doc_id <> component_id or (doc_id is null and component_id is not null)")
-    gone = saved(gone.select(F.col("doc_id").alias("__gone"), F.col("__key").alias("__copy")).distinct(), "copies")
-    out = keyed_texts(docs)
-    out = out.join(gone, (out["__key"] == gone["__copy"]) & out["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
-    if not found.filter("doc_id is not null").groupBy("doc_id", "__key").count().filter("count > 1").isEmpty():
-        named = out.filter("doc_id is not null").dropDuplicates(["doc_id", "__key"])
-        out = named.unionByName(out.filter("doc_id is null"))
-    return out.drop("__key")
+    copy = F.coalesce(F.col("doc_id") != F.col("component_id"), F.col("component_id").isNotNull())
+    again = found.filter(~copy & F.col("doc_id").isNotNull()).groupBy("doc_id", "__key").agg(F.count("*").alias("n"), F.min(F.struct(*PLACE)).alias("one")).filter("n > 1")
+    again = found.join(again, ["doc_id", "__key"]).filter(F.struct(*PLACE) != F.col("one"))
+    gone = noted(found.filter(copy).select(*PLACE).unionByName(again.select(*PLACE)).distinct(), [])
+    schema = docs.schema
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        notes = Notes(gone)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[notes.find(batch)[0]] = False
+            yield batch.filter(pa.array(keep))
+
+    arrow_batches(docs.sparkSession)
+    return docs.mapInArrow(lean(stay), schema).select(*columns)
