@@ -23,12 +23,12 @@ class UrlRules:
     languages: tuple[str, ...] = ("de", "en", "fr", "it")
     generic: tuple[str, ...] = ("home", "homepage", "index", "start", "startseite")
     page_suffixes: tuple[str, ...] = PAGE_SUFFIXES
-    favor: tuple[str, ...] = ("about", "mission", "team", "contact", "projects", "the", "of", "and")
-    favor_patterns: tuple[str, ...] = ("about", "who-we", "th[aeo]")
-    penalize: tuple[str, ...] = ("news", "blog", "archive", "tag", "reouha")
-    penalize_patterns: tuple[str, ...] = ("news-", "er[a-z]+ing")
-    exclude: tuple[str, ...] = ("login", "cart", "search", "privacy", "feed", "que")
-    exclude_patterns: tuple[str, ...] = ("wp-", "page-[0-9]+", "z[a-z]{2}$")
+    favor: tuple[str, ...] = ("about", "about-us", "ueber-uns", "mission", "team", "contact", "kontakt", "projects", "projekte", "angebot", "verein", "stiftung")
+    favor_patterns: tuple[str, ...] = ("about", "who-we", "ueber-")
+    penalize: tuple[str, ...] = ("news", "blog", "archive", "archiv", "tag", "events", "aktuell")
+    penalize_patterns: tuple[str, ...] = ("news-", "event-")
+    exclude: tuple[str, ...] = ("login", "cart", "search", "privacy", "datenschutz", "feed")
+    exclude_patterns: tuple[str, ...] = ("wp-", "page-[0-9]+")
     scaffold: tuple[str, ...] = ("index", "cms", "web", "site", "pages", "home")
     technical_roots: tuple[str, ...] = ("api", "assets", "static")
     technical_pairs: tuple[tuple[str, str], ...] = (("wp", "json"), ("api", "v1"))

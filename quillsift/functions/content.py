@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import collapse, strip, text
@@ -50,41 +50,52 @@ def render_trigger(markers: Column) -> Column:
 
 
 def paragraphs(c: Column) -> Column:
-    return F.size(F.filter(F.split(c, r"\n\s*\n"), lambda x: strip(x) != ""))
+    """Of a stripped text that is not empty."""
+    return F.regexp_count(c, F.lit(r"(?U)\n\s*\n")) + 1
 
 
 def link_density(c: Column) -> Column:
     links = F.regexp_extract_all(c, F.lit(r"\[([^\]]+)\]\([^\)]+\)"), 1)
-    return F.aggregate(links, F.lit(0), lambda a, x: a + F.length(strip(x))).cast("double") / F.greatest(F.length(c), F.lit(1))
+    share = F.aggregate(links, F.lit(0), lambda a, x: a + F.length(strip(x))).cast("double") / F.greatest(F.length(c), F.lit(1))
+    return F.when(F.contains(c, F.lit("](")), share).otherwise(F.lit(0.0))
 
 
 def repeated_lines(c: Column) -> Column:
-    lines = F.filter(F.transform(F.split(c, r"\r\n|\r|\n"), strip), lambda x: x != "")
-    return F.coalesce(F.try_divide((F.size(lines) - F.size(F.array_distinct(lines))).cast("double"), F.size(lines).cast("double")), F.lit(0.0))
+    """Of a stripped text: the share of its lines that it has before. White space with a line break in it parts lines."""
+    lines = F.split(F.regexp_replace(c, r"(?U)\s*[\r\n]\s*", "\n"), "\n")
+    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("double") / F.size(lines)
 
 
 def boilerplate(c: Column, words: tuple[str, ...] = BOILERPLATE) -> Column:
-    tokens = F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
-    return F.coalesce(F.try_divide(F.size(F.filter(tokens, lambda x: x.isin(*words))).cast("double"), F.size(tokens).cast("double")), F.lit(0.0))
+    """The share of a page's furniture among the words of a text in lower case."""
+    found = F.regexp_count(c, F.lit(rf"(?<![a-z0-9])(?:{'|'.join(words)})(?![a-z0-9])"))
+    return F.coalesce(F.try_divide(found.cast("double"), F.regexp_count(c, F.lit("[a-z0-9]+")).cast("double")), F.lit(0.0))
 
 
-def quality(content: Column | str, title: Column, description: Column) -> Column:
-    """0 to 100: length, structure and metadata for it, links, repetition and boilerplate against it."""
-    c = strip(text(content))
-    n, p = F.length(c), paragraphs(c)
+def with_quality(df: DataFrame, content: Column | str, title: Column, description: Column, name: str = "score") -> DataFrame:
+    """df with a score from 0 to 100: length, structure and metadata for it, links, repetition and boilerplate against it.
+
+    The stripped text, and it in lower case, are columns of a step of their own: nothing strips it again for each part.
+    """
+    out = df.withColumn("__c", strip(text(content))).withColumn("__lower", F.lower("__c"))
+    c = F.col("__c")
+    n = F.length(c)
     add = lambda cond, points: F.when(cond, points).otherwise(0)
+    out = out.withColumn("__p", paragraphs(c))
+    p = F.col("__p")
     total = (
         F.when(n >= 2000, 35).when(n >= 1200, 25).when(n >= 600, 15).when(n >= 300, 5).otherwise(0)
         + F.when(p >= 5, 10).when(p >= 2, 5).otherwise(0)
-        + add(F.regexp_count(c, F.lit(r"(?m)^\s{0,3}#{1,6}\s+\S")) >= 1, 10)
+        + add(c.rlike(r"(?m)^\s{0,3}#{1,6}\s+\S"), 10)
         + add(F.regexp_count(c, F.lit("[.!?]+")) >= 12, 5)
         + add(strip(text(title)) != "", 5)
         + add(strip(text(description)) != "", 5)
         - add(link_density(c) > F.lit(0.45), 20)
         - add(repeated_lines(c) > F.lit(0.30), 10)
-        - add(boilerplate(c) > F.lit(0.35), 10)
+        - add(boilerplate(F.col("__lower")) > F.lit(0.35), 10)
     )
-    return F.when(c == "", 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), total)))
+    out = out.withColumn("__total", total)
+    return out.withColumn(name, F.when(c == "", 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), F.col("__total"))))).drop("__c", "__lower", "__p", "__total")
 
 
 def graded(score: Column, accepted: int = ACCEPTED, reason: Column | None = None) -> tuple[Column, Column]:

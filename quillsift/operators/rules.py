@@ -27,6 +27,7 @@ class Policy:
     action: str
     rules: tuple[Rule, ...]
     any_of: bool = False
+    reason: str = ""
 
 
 def extract_object(c: Column | str) -> Column:
@@ -75,16 +76,20 @@ def matches(rule: Rule, value: Column, kind: str) -> Column:
     return F.lit(False)
 
 
-def route(policies: list[Policy], fields: dict[str, tuple[Column, str]], otherwise: str = "needs_review") -> Column:
-    """The action of the first policy, by priority, whose rules match."""
-    out = F.lit(otherwise)
-    for p in sorted(policies, key=lambda p: p.priority, reverse=True):
-        found = [matches(r, *fields.get(r.field, (F.lit(None).cast("string"), "string"))) for r in p.rules]
-        hit = found[0] if found else F.lit(True)
-        for f in found[1:]:
-            hit = (hit | f) if p.any_of else (hit & f)
-        out = F.when(hit, p.action).otherwise(out)
-    return out
+# Fixed value: the reason where nothing matches.
+NO_RULE = "No policy rule matched; default manual review."
+
+
+def routed(policies: list[Policy], fields: dict[str, tuple[Column, str]], otherwise: str = "needs_review") -> tuple[Column, Column]:
+    """The action of the first policy, by priority, whose rules match, and its reason. Of no rules all match, and none."""
+    action, reason = F.lit(otherwise), F.lit(NO_RULE)
+    for p in sorted(policies, key=lambda p: p.priority)[::-1]:
+        hit = F.lit(not p.any_of)
+        for r in p.rules:
+            found = matches(r, *fields.get(r.field, (F.lit(None).cast("string"), "string")))
+            hit = (hit | found) if p.any_of else (hit & found)
+        action, reason = F.when(hit, p.action).otherwise(action), F.when(hit, p.reason).otherwise(reason)
+    return action, reason
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.coerce import ensure
 from ..functions.text import ascii_key, blank, name_variants, parts, strip, text
 from ..functions.urls import bare_host
 
@@ -100,19 +101,26 @@ def scrape_quality(latest: DataFrame, entity: str, status: str, detail: str, qua
     return out.withColumn("reason", reason).withColumn("flagged", F.col("reason") != "").withColumn("low_count", F.when(F.col("success_count") == 0, F.lit(0).cast("bigint")).otherwise(F.col("low_count")))
 
 
-def named(name: Column | str, content: Column | str) -> dict[str, Column]:
-    """Whether the content has the entity's name: as it is, or all its longer words."""
-    flat = ascii_key(content)
-    padded, words = F.concat(F.lit(" "), flat, F.lit(" ")), F.filter(F.split(flat, " "), lambda x: F.length(x) >= 3)
+def padded(content: Column | str) -> Column:
+    """The content's key between blanks: a column that named() and placed() look words up in."""
+    return F.concat(F.lit(" "), ascii_key(content), F.lit(" "))
+
+
+def has_words(key: Column, words: Column) -> Column:
+    return F.contains(key, F.concat(F.lit(" "), words, F.lit(" ")))
+
+
+def named(name: Column | str, key: Column) -> dict[str, Column]:
+    """Whether the content, padded(), has the entity's name: as it is, or all its longer words."""
     variants = name_variants(name)
-    has = F.exists(variants, lambda v: (F.length(v) >= 4) & F.contains(padded, F.concat(F.lit(" "), v, F.lit(" "))))
-    tokens = F.exists(variants, lambda v: (F.size(parts(v, 4)) >= 2) & (F.size(F.array_except(parts(v, 4), words)) == 0))
-    return {"name_exact": has, "name_tokens": tokens}
+    exact = F.exists(variants, lambda v: (F.length(v) >= 4) & has_words(key, v))
+    tokens = F.exists(variants, lambda v: (F.size(parts(v, 4)) >= 2) & F.forall(parts(v, 4), lambda t: has_words(key, t)))
+    return {"name_exact": exact, "name_tokens": tokens}
 
 
-def placed(location: Column | str, content: Column | str) -> Column:
+def placed(location: Column | str, key: Column) -> Column:
     target = ascii_key(location)
-    return (target != "") & F.contains(F.concat(F.lit(" "), ascii_key(content), F.lit(" ")), F.concat(F.lit(" "), target, F.lit(" ")))
+    return (target != "") & has_words(key, target)
 
 
 def domain_hint(name: Column | str, url: Column) -> Column:
@@ -158,6 +166,7 @@ def confidence(raw: Column, scope_reason: Column, segment: Column, depth: Column
 QUOTA = ("insufficient_quota", "out of credits", "credit balance", "exceeded your current quota", "quota exceeded", "usage limit reached", "billing hard limit")
 RATE = ("rate limit", "too many requests", "requests per minute", "requests per day", "rate_limited", "rate_limit_exceeded")
 BILLING = ("quota", "credit", "billing", "payment", "subscription", "plan", "insufficient_quota")
+SPENT_CODES, BARRED_CODES = ("insufficient_quota", "billing_hard_limit_reached"), ("account_deactivated", "access_terminated", "permission_denied", "invalid_api_key")
 PLAN_CODES = ("QUOTA_LIMITED", "SUBSCRIPTION_TOKEN_INVALID", "SUBSCRIPTION_NOT_FOUND", "RESOURCE_NOT_ALLOWED", "OPTION_NOT_IN_PLAN")
 
 
@@ -168,15 +177,24 @@ def mentions(c: Column, words: tuple[str, ...]) -> Column:
     return out
 
 
-def access_error(provider: Column, status: Column, body: Column, code: Column, remaining: Column) -> Column:
-    """Why a response of a service ends all further calls to it; null if it does not."""
-    p, k = low(provider), F.upper(text(code))
+def access_error(provider: Column, status: Column, body: Column, code: Column, remaining: Column, kind: Column | None = None) -> Column:
+    """Why a response of a service ends all further calls to it; null if it does not. kind: the name of the error that the service's library raised."""
+    p, k = low(provider), F.upper(strip(text(code)))
+    status = F.coalesce(status, F.lit(0))
     denied, quota, rate = status.isin(401, 403), mentions(body, QUOTA), mentions(body, RATE) & ~mentions(body, BILLING)
     none_left = F.coalesce(strip(text(remaining)).try_cast("double") == 0, F.lit(False))
     brave = F.when(denied, "unauthorized_or_forbidden").when((status == 429) & ~rate, F.when((k == "QUOTA_LIMITED") & none_left, "quota_exhausted").when(k.isin(*PLAN_CODES), "quota_or_plan_blocked").when(quota, "quota_exhausted").otherwise("unknown_429"))
     firecrawl = F.when(status == 402, "quota_exhausted").when(denied, "unauthorized_or_forbidden").when((status == 429) & ~rate, F.when(quota, "quota_exhausted").otherwise("unknown_429"))
     other = F.when(denied, "unauthorized_or_forbidden").when((status == 429) & quota, "quota_exhausted")
-    return F.when(p == "brave", brave).when(p == "firecrawl", firecrawl).otherwise(other)
+    spent, barred, name = F.lower(k).isin(*SPENT_CODES), F.lower(k).isin(*BARRED_CODES), low(kind if kind is not None else F.lit(""))
+    openai = (
+        F.when(denied, "unauthorized_or_forbidden")
+        .when(status == 429, F.when(rate, None).when(spent | barred | quota, "quota_exhausted").otherwise("unknown_429"))
+        .when(spent, "quota_exhausted")
+        .when(barred | name.rlike("authentication|permission"), "unauthorized_or_forbidden")
+        .when(F.contains(name, F.lit("rate")) & quota, "quota_exhausted")
+    )
+    return F.when(p == "brave", brave).when(p == "firecrawl", firecrawl).when(p == "openai", openai).otherwise(other)
 
 
 def lock_diff(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -184,3 +202,70 @@ def lock_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     a, b = old.select("id", F.col("ord").alias("old_ord"), F.col("fingerprint").alias("old_print")), new.select("id", F.col("ord").alias("new_ord"), F.col("fingerprint").alias("new_print"))
     change = F.when(F.col("old_ord").isNull(), "added").when(F.col("new_ord").isNull(), "removed").when(F.col("old_print") != F.col("new_print"), "fingerprint_changed").when(F.col("old_ord") != F.col("new_ord"), "reordered")
     return a.join(b, "id", "full_outer").withColumn("change", change).filter("change is not null").select("id", "change")
+
+
+def gate(counts: DataFrame) -> DataFrame:
+    """What keeps questions (their phase_counts) from being concluded: what is not asked yet, then what is not reviewed yet; and how many rows they would exclude."""
+    ask, review = F.col("ask_pending"), F.col("review_pending")
+    ready = (ask == 0) & (review == 0)
+    return counts.withColumns(
+        {
+            "ready": ready,
+            "blocked_ask_pending": ask,
+            "blocked_review_pending": F.when(ask == 0, review).otherwise(0),
+            "applied_auto_excluded": F.when(ready, F.col("concludable_exclusions") - F.col("review_excluded")).otherwise(0),
+            "applied_review_excluded": F.when(ready, F.col("review_excluded")).otherwise(0),
+            "applied_total": F.when(ready, F.col("concludable_exclusions")).otherwise(0),
+        }
+    )
+
+
+INSPECTED = ("auto_accepted", "auto_excluded", "review_accepted", "review_excluded")
+
+
+def next_phase(counts: DataFrame, question: str, order: str, phase: str = "auto", interactive: bool = True) -> DataFrame:
+    """The question to go on with and its phase, from phase_counts of all questions: at most one row. Questions are few.
+
+    auto: the first with something to ask, else to review; people may inspect the last that is done. ask and
+    review: the first with such work. conclude: the last with something to conclude, inspect, review or ask.
+    """
+    ask, review = F.col("ask_pending") > 0, F.col("review_pending") > 0
+    seen = F.lit(False)
+    for c in INSPECTED:
+        seen = seen | (F.col(c) > 0)
+    if phase == "auto":
+        found = F.when(ask, "ask").when(review, "review").when(seen & F.lit(interactive), "conclude")
+    elif phase == "conclude":
+        found = F.when((F.col("concludable_exclusions") > 0) | seen | review | ask, "conclude")
+    elif phase in ("ask", "review"):
+        found = F.when(ask if phase == "ask" else review, phase)
+    else:
+        raise ValueError(f"unknown phase {phase!r}")
+    last = F.when(found == "conclude", -F.col(order)).otherwise(F.col(order))
+    rows = counts.withColumn("phase", found).filter("phase is not null")
+    return rows.orderBy((F.col("phase") == "conclude").asc(), last).limit(1).select(question, "phase")
+
+
+# The columns that steps keep their state in, by kind, with what a missing one holds.
+STATE = {
+    "registry": {
+        "text": dict.fromkeys(("_zefix_query_name_normalized", "_zefix_match_status", "_zefix_match_uids", "_zefix_match_names", "_zefix_uid", "_zefix_legal_form", "_zefix_purpose", "_zefix_status", "_zefix_checked_at", "_zefix_error"), ""),
+        "whole": {"_zefix_match_count": 0},
+    },
+    "verify": {
+        "text": dict.fromkeys(("_discover_verify_status", "_discover_verify_confidence", "_discover_verify_reason", "_discover_verify_stage", "_discover_verify_llm_reason", "_discover_verify_llm_evidence", "_discover_verified_at"), ""),
+        "boolean": dict.fromkeys(("_discover_verify_needs_review", "_discover_verify_rule_name_match", "_discover_verify_rule_location_match", "_discover_verify_llm_belongs")),
+        "whole": dict.fromkeys(("_discover_verify_score", "_discover_verify_llm_score")),
+    },
+    "readiness": {
+        "text": dict.fromkeys(("_scrape_input_signature", "_scrape_signature_checked_at", "_scrape_readiness_status", "_scrape_readiness_reason", "_scrape_readiness_note", "_scrape_readiness_reviewed_at"), ""),
+        "boolean": {"_scrape_requires_reprepare": False},
+    },
+}
+
+
+def initialised(df: DataFrame, step: str) -> DataFrame:
+    """df with the state columns of a step (registry, verify or readiness) in their types, those missing with their defaults."""
+    for kind, columns in STATE[step].items():
+        df = ensure(df, kind, columns)
+    return df

@@ -24,13 +24,13 @@ def threshold(pages: Column, ratio: float) -> Column:
 
 
 def duplicates(segments: DataFrame, entity: str, pages: DataFrame, least_chars: int, ratio: float, retain: bool = True) -> DataFrame:
-    """Digests on so many of an entity's pages, with the page that keeps them. pages: entity and its number, page_total."""
-    one = segments.filter(F.length("normalized") >= least_chars).groupBy(entity, "digest", "page").agg(F.min("page_order").alias("page_order"), F.max("normalized").alias("normalized"))
+    """Digests on so many of an entity's pages, with the page that keeps them. pages: entity and its number, page_total. A segment's length and preview are shuffled, not its text."""
+    one = segments.filter(F.length("normalized") >= least_chars).groupBy(entity, "digest", "page").agg(F.min("page_order").alias("page_order"), F.max(F.length("normalized")).cast("bigint").alias("length"), F.max(F.substring("normalized", 1, 240)).alias("preview"))
     counted = one.groupBy(entity, "digest").agg(
         F.count("*").alias("page_count"),
         F.min_by("page", F.struct("page_order", "page")).alias("kept_page"),
-        F.length(F.max("normalized")).cast("bigint").alias("length"),
-        F.substring(F.max("normalized"), 1, 240).alias("preview"),
+        F.max("length").alias("length"),
+        F.max("preview").alias("preview"),
     )
     out = counted.join(pages, entity).filter(F.col("page_count") >= threshold(F.col("page_total"), ratio)).drop("page_total")
     return out if retain else out.withColumn("kept_page", F.lit(None).cast(segments.schema["page"].dataType))

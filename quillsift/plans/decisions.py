@@ -38,21 +38,23 @@ def payload_normalize(table):
 
 
 POLICIES = [
-    R.Policy(20, "auto_accepted", (R.Rule("kind", "in", ["click", "purchase"]), R.Rule("value", "gte", 20), R.Rule("tags", "len_gte", 1))),
-    R.Policy(10, "auto_excluded", (R.Rule("kind", "eq", "error"), R.Rule("value", "lte", 60))),
-    R.Policy(30, "needs_review", (R.Rule("value", "gte", 90), R.Rule("tags", "intersects", ["SIGNUP"])), any_of=True),
-    R.Policy(40, "waiting", (R.Rule("kind", "contains", "ie"), R.Rule("kind", "neq", "x"), R.Rule("kind", "exists"), R.Rule("tags", "len_eq", 2), R.Rule("kind", "not_in", ["y"]), R.Rule("none", "eq", None))),
+    R.Policy(20, "auto_accepted", (R.Rule("kind", "in", ["click", "purchase"]), R.Rule("value", "gte", 20), R.Rule("tags", "len_gte", 1)), reason="wanted"),
+    R.Policy(10, "auto_excluded", (R.Rule("kind", "eq", "error"), R.Rule("value", "lte", 60)), reason="an error"),
+    R.Policy(30, "needs_review", (R.Rule("value", "gte", 90), R.Rule("tags", "intersects", ["SIGNUP"])), any_of=True, reason="high"),
+    R.Policy(5, "never", (), any_of=True, reason="no rule"),
+    R.Policy(40, "waiting", (R.Rule("kind", "contains", "ie"), R.Rule("kind", "neq", "x"), R.Rule("kind", "exists"), R.Rule("tags", "len_eq", 2), R.Rule("kind", "not_in", ["y"]), R.Rule("none", "eq", None)), reason="later"),
 ]
 
 
 @query("""WITH r AS (SELECT event_id, event_type AS kind, value, CASE WHEN event_id % 3 = 0 THEN [event_type] WHEN event_id % 3 = 1 THEN [event_type, 'b'] ELSE [] END AS tags FROM events)
-SELECT event_id, CASE WHEN kind = 'error' AND value <= 60 THEN 'auto_excluded' WHEN kind IN ('click', 'purchase') AND value >= 20 AND len(tags) >= 1 THEN 'auto_accepted' WHEN value >= 90 OR list_contains(tags, 'signup') THEN 'needs_review' WHEN contains(kind, 'ie') AND len(tags) = 2 THEN 'waiting' ELSE 'needs_review' END AS route FROM r""")
+SELECT event_id, CASE WHEN kind = 'error' AND value <= 60 THEN 'auto_excluded' WHEN kind IN ('click', 'purchase') AND value >= 20 AND len(tags) >= 1 THEN 'auto_accepted' WHEN value >= 90 OR list_contains(tags, 'signup') THEN 'needs_review' WHEN contains(kind, 'ie') AND len(tags) = 2 THEN 'waiting' ELSE 'needs_review' END AS route,
+CASE WHEN kind = 'error' AND value <= 60 THEN 'an error' WHEN kind IN ('click', 'purchase') AND value >= 20 AND len(tags) >= 1 THEN 'wanted' WHEN value >= 90 OR list_contains(tags, 'signup') THEN 'high' WHEN contains(kind, 'ie') AND len(tags) = 2 THEN 'later' ELSE 'No policy rule matched; default manual review.' END AS reason FROM r""")
 def policy_route(table):
     k = F.col("event_id") % 3
     tags = F.when(k == 0, F.array("event_type")).when(k == 1, F.array(F.col("event_type"), F.lit("b"))).otherwise(F.array().cast("array<string>"))
     rows = table("events").select("event_id", F.col("event_type").alias("kind"), "value", tags.alias("tags"))
-    route = R.route(POLICIES, {"kind": (F.col("kind"), "string"), "value": (F.col("value"), "number"), "tags": (F.col("tags"), "strings")})
-    return rows.select("event_id", route.alias("route"))
+    route, reason = R.routed(POLICIES, {"kind": (F.col("kind"), "string"), "value": (F.col("value"), "number"), "tags": (F.col("tags"), "strings")})
+    return rows.select("event_id", route.alias("route"), reason.alias("reason"))
 
 
 STATE = """SELECT d.doc_id, d.source, CASE WHEN d.doc_id % 17 = 0 THEN 'OTHER' ELSE '' END AS reason, CASE WHEN d.doc_id % 5 = 0 THEN 'seen' ELSE '' END AS note, quality IS NOT NULL AS eligible,
@@ -174,20 +176,22 @@ def decision_methods(table):
     return first.unionByName(second)
 
 
-@query("""WITH r AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'Brave' WHEN 1 THEN 'firecrawl' ELSE 'other' END AS p, CASE CAST(event_id / 3 AS BIGINT) % 5 WHEN 0 THEN 401 WHEN 1 THEN 402 WHEN 2 THEN 429 WHEN 3 THEN 429 ELSE 200 END AS s,
-CASE event_type WHEN 'error' THEN 'Too many requests' WHEN 'click' THEN 'Quota exceeded for plan' WHEN 'view' THEN 'rate limit of your plan' ELSE '?' END AS b, CASE event_type WHEN 'signup' THEN 'option_not_in_plan' WHEN 'purchase' THEN 'QUOTA_LIMITED' ELSE '' END AS c, CAST(event_id % 2 AS VARCHAR) AS left_over FROM events),
+@query("""WITH r AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Brave' WHEN 1 THEN 'firecrawl' WHEN 2 THEN 'OpenAI' ELSE 'other' END AS p, CASE CAST(event_id / 3 AS BIGINT) % 5 WHEN 0 THEN 401 WHEN 1 THEN 402 WHEN 2 THEN 429 WHEN 3 THEN 429 ELSE 200 END AS s,
+CASE event_type WHEN 'error' THEN 'Too many requests' WHEN 'click' THEN 'Quota exceeded for plan' WHEN 'view' THEN 'rate limit of your plan' ELSE '?' END AS b, CASE event_type WHEN 'signup' THEN 'option_not_in_plan' WHEN 'purchase' THEN 'QUOTA_LIMITED' WHEN 'view' THEN 'invalid_api_key' WHEN 'click' THEN 'insufficient_quota' ELSE '' END AS c, CAST(CAST(event_id / 4 AS BIGINT) % 2 AS VARCHAR) AS left_over FROM events),
 m AS (SELECT *, s IN (401, 403) AS denied, lower(b) = 'quota exceeded for plan' AS quota, b = 'Too many requests' AS rate FROM r)
 SELECT event_id, CASE p WHEN 'Brave' THEN CASE WHEN denied THEN 'unauthorized_or_forbidden' WHEN s = 429 AND NOT rate THEN CASE WHEN upper(c) = 'QUOTA_LIMITED' AND left_over = '0' THEN 'quota_exhausted' WHEN upper(c) IN ('QUOTA_LIMITED', 'OPTION_NOT_IN_PLAN') THEN 'quota_or_plan_blocked' WHEN quota THEN 'quota_exhausted' ELSE 'unknown_429' END END
 WHEN 'firecrawl' THEN CASE WHEN s = 402 THEN 'quota_exhausted' WHEN denied THEN 'unauthorized_or_forbidden' WHEN s = 429 AND NOT rate THEN CASE WHEN quota THEN 'quota_exhausted' ELSE 'unknown_429' END END
+WHEN 'OpenAI' THEN CASE WHEN denied THEN 'unauthorized_or_forbidden' WHEN s = 429 AND rate THEN NULL WHEN s = 429 AND (c IN ('insufficient_quota', 'invalid_api_key') OR quota) THEN 'quota_exhausted' WHEN s = 429 THEN 'unknown_429' WHEN c = 'insufficient_quota' THEN 'quota_exhausted' WHEN c = 'invalid_api_key' THEN 'unauthorized_or_forbidden' END
 ELSE CASE WHEN denied THEN 'unauthorized_or_forbidden' WHEN s = 429 AND quota THEN 'quota_exhausted' END END AS error FROM m""")
 def api_error_classes(table):
     i, kind = F.col("event_id"), F.col("event_type")
-    provider = F.when(i % 3 == 0, "Brave").when(i % 3 == 1, "firecrawl").otherwise("other")
+    provider = F.when(i % 4 == 0, "Brave").when(i % 4 == 1, "firecrawl").when(i % 4 == 2, "OpenAI").otherwise("other")
     turn = F.round(i / 3).cast("bigint") % 5
     status = F.when(turn == 0, 401).when(turn == 1, 402).when(turn.isin(2, 3), 429).otherwise(200)
     body = F.when(kind == "error", "Too many requests").when(kind == "click", "Quota exceeded for plan").when(kind == "view", "rate limit of your plan").otherwise("?")
-    code = F.when(kind == "signup", "option_not_in_plan").when(kind == "purchase", "QUOTA_LIMITED").otherwise("")
-    return table("events").select("event_id", screening.access_error(provider, status, body, code, (i % 2).cast("string")).alias("error"))
+    code = F.when(kind == "signup", "option_not_in_plan").when(kind == "purchase", "QUOTA_LIMITED").when(kind == "view", "invalid_api_key").when(kind == "click", "insufficient_quota").otherwise("")
+    left = (F.round(i / 4).cast("bigint") % 2).cast("string")
+    return table("events").select("event_id", screening.access_error(provider, status, body, code, left).alias("error"))
 
 
 @query("""SELECT user_id, max(CASE WHEN event_type = 'click' THEN value END) AS click, max(CASE WHEN event_type = 'view' THEN value END) AS view, max(CASE WHEN event_type = 'error' THEN value END) AS error FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS r FROM events) WHERE r = 1 GROUP BY 1""")

@@ -18,9 +18,11 @@ NO_SCRIPTS = "regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script
 NO_FRAME = f"regexp_replace(regexp_replace(regexp_replace({NO_SCRIPTS}, '(?is)<nav[^>]*>.*?</nav>', ' ', 'g'), '(?is)<footer[^>]*>.*?</footer>', ' ', 'g'), '(?is)<header[^>]*>.*?</header>', ' ', 'g')"
 
 
-@query(f"SELECT page_id, {TITLE} AS title, '' AS description, '' AS canonical, {LANG} AS lang FROM pages")
+@query(f"SELECT page_id, {TITLE} AS title, CASE WHEN page_id % 3 = 0 THEN '' ELSE 'About ' || page_id END AS description, CASE WHEN page_id % 2 = 0 THEN 'https://c.example/' || page_id ELSE '' END AS canonical, {LANG} AS lang FROM pages")
 def page_metadata(table):
-    return table("pages").select("page_id", *[c.alias(k) for k, c in C.metadata("html").items()])
+    i = F.col("page_id").cast("string")
+    head = F.concat(F.when(F.expr("page_id % 3 <> 0"), F.concat(F.lit("<META name='description' x content=' About "), i, F.lit(" '>"))).otherwise(""), F.when(F.expr("page_id % 2 = 0"), F.concat(F.lit('<link rel="canonical" href="https://c.example/'), i, F.lit('">'))).otherwise('<link rel="next" href="x">'))
+    return table("pages").select("page_id", F.concat("html", head).alias("html")).select("page_id", *[c.alias(k) for k, c in C.metadata("html").items()])
 
 
 @query(f"SELECT page_id, md5({PLAIN.format(NO_FRAME)}) AS digest, length({PLAIN.format(NO_FRAME)}) AS n FROM pages")
@@ -56,7 +58,7 @@ QUALITY = f"""(CASE WHEN t = '' THEN 0 ELSE greatest(0, least(100, CASE WHEN len
 @query(f"""WITH r AS (SELECT doc_id, trim(text, E' \\n\\t\\r') AS t, CASE WHEN lang = 'en' THEN 'x' ELSE '' END AS title FROM documents), s AS (SELECT doc_id, {QUALITY} AS score FROM r)
 SELECT doc_id, CAST(score AS BIGINT) AS score, CASE WHEN score >= 35 THEN 'ok' ELSE 'low' END AS quality, CASE WHEN score >= 35 THEN '' ELSE 'score_below_threshold:' || CAST(score AS VARCHAR) || '<35' END AS reason FROM s""")
 def content_quality_score(table):
-    rows = table("documents").select("doc_id", C.quality("text", F.when(F.col("lang") == "en", "x").otherwise(""), F.lit("")).cast("bigint").alias("score"))
+    rows = C.with_quality(table("documents"), "text", F.when(F.col("lang") == "en", "x").otherwise(""), F.lit("")).select("doc_id", F.col("score").cast("bigint").alias("score"))
     grade, why = C.graded(F.col("score"))
     return rows.select("doc_id", "score", grade.alias("quality"), why.alias("reason"))
 
@@ -66,18 +68,19 @@ SELECT page_id, CASE WHEN sb >= 35 THEN 'whole' WHEN sa = greatest(sa, sb) THEN
 def best_extractor(table):
     title = C.metadata("html")["title"]
     whole = T.collapse(F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)[^>]*>.*?</\1>", " "), "(?s)<[^>]*>", " "))
-    rows = table("pages").select("page_id", C.quality(C.plain_text("html"), title, F.lit("")).alias("body"), C.quality(whole, title, F.lit("")).alias("whole"))
+    rows = table("pages").select("page_id", title.alias("title"), C.plain_text("html").alias("a"), whole.alias("b"))
+    rows = C.with_quality(C.with_quality(rows, "a", F.col("title"), F.lit(""), "body"), "b", F.col("title"), F.lit(""), "whole")
     best = C.best_extractor({"body": F.col("body"), "whole": F.col("whole")}, preferred="whole")
     return rows.select("page_id", best.alias("extractor"), F.when(best == "whole", F.col("whole")).otherwise(F.col("body")).cast("bigint").alias("score"), C.rendered_wins(F.col("body"), F.col("whole")).alias("second_wins"))
 
 
-ATTEMPTS = "SELECT user_id AS org, event_type || '-' || CAST(event_id % 4 AS VARCHAR) AS url, event_id, CASE WHEN value > 60 THEN 'failed' WHEN value > 30 THEN 'skipped' ELSE 'success' END AS status, CASE WHEN value > 45 THEN 'timeout' WHEN value > 30 THEN 'already_success' ELSE '' END AS detail, CASE WHEN event_id % 3 = 0 THEN 'low' ELSE 'ok' END AS quality FROM events"
+ATTEMPTS = "SELECT user_id AS org, event_type || '-' || CAST(event_id % 4 AS VARCHAR) AS url, event_id, CASE WHEN value > 60 THEN 'failed' WHEN value > 30 THEN 'skipped' ELSE 'success' END AS status, CASE WHEN value > 45 THEN 'timeout' WHEN value > 30 THEN 'already_success' ELSE '' END AS detail, CASE WHEN event_id % 3 = 0 OR user_id % 5 = 0 THEN 'low' ELSE 'ok' END AS quality FROM events"
 
 
 def attempts(table):
     """Events as attempts to fetch pages."""
     v = F.col("value")
-    return table("events").select(F.col("user_id").alias("org"), F.concat_ws("-", "event_type", (F.col("event_id") % 4).cast("string")).alias("url"), "event_id", F.when(v > 60, "failed").when(v > 30, "skipped").otherwise("success").alias("status"), F.when(v > 45, "timeout").when(v > 30, "already_success").otherwise("").alias("detail"), F.when(F.expr("event_id % 3 = 0"), "low").otherwise("ok").alias("quality"))
+    return table("events").select(F.col("user_id").alias("org"), F.concat_ws("-", "event_type", (F.col("event_id") % 4).cast("string")).alias("url"), "event_id", F.when(v > 60, "failed").when(v > 30, "skipped").otherwise("success").alias("status"), F.when(v > 45, "timeout").when(v > 30, "already_success").otherwise("").alias("detail"), F.when(F.expr("event_id % 3 = 0 or user_id % 5 = 0"), "low").otherwise("ok").alias("quality"))
 
 
 LATEST = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY org, url ORDER BY event_id DESC) AS r FROM ({ATTEMPTS})) WHERE r = 1"
@@ -94,10 +97,10 @@ def attempt_and_failure_counts(table):
 
 
 @query(f"""WITH g AS (SELECT org, count(*) AS total_count, count(*) FILTER (WHERE status = 'success' OR (status = 'skipped' AND detail = 'already_success')) AS success_count,
-count(*) FILTER (WHERE (status = 'success' OR (status = 'skipped' AND detail = 'already_success')) AND quality = 'low') AS low_count FROM ({LATEST}) WHERE org % 5 <> 0 OR event_id % 3 = 0 GROUP BY 1)
+count(*) FILTER (WHERE (status = 'success' OR (status = 'skipped' AND detail = 'already_success')) AND quality = 'low') AS low_count FROM ({LATEST}) GROUP BY 1)
 SELECT org, total_count, success_count, CASE WHEN success_count = 0 THEN 0 ELSE low_count END AS low_count, CASE WHEN success_count = 0 THEN 'no_success_pages' WHEN low_count >= success_count THEN 'all_success_low_quality' ELSE '' END AS reason, success_count = 0 OR low_count >= success_count AS flagged FROM g""")
 def scrape_quality_flags(table):
-    last = inc.latest(attempts(table), ["org", "url"], "event_id").filter("org % 5 <> 0 or event_id % 3 = 0")
+    last = inc.latest(attempts(table), ["org", "url"], "event_id")
     return screening.scrape_quality(last, "org", "status", "detail", "quality").select("org", "total_count", "success_count", "low_count", "reason", "flagged")
 
 
@@ -146,9 +149,9 @@ SELECT doc_id, name_exact, name_tokens, located, CAST(least(100, rule_score) AS
 CASE WHEN (name_exact AND located) OR (rule_score >= 25 AND belongs AND answer >= 80) THEN 'high' WHEN rule_score >= 25 THEN CASE WHEN answer >= 50 THEN 'medium' ELSE 'low' END WHEN rule_score >= 40 THEN 'medium' ELSE 'low' END AS confidence FROM s""")
 def verify_name_location(table):
     k = F.col("doc_id") % 3
-    rows = table("documents").select("doc_id", "text", F.when(k == 0, "thing (of) that").when(k == 1, "The with [x]").otherwise("zzzz qqqq").alias("name"), F.when(F.expr("doc_id % 2 = 0"), "the").otherwise("Nowhere").alias("place"), F.lit("https://www.thatorg.example.com/").alias("url"))
-    found = screening.named("name", "text")
-    rows = rows.select("doc_id", found["name_exact"].alias("name_exact"), found["name_tokens"].alias("name_tokens"), screening.placed("place", "text").alias("located"), screening.domain_hint("name", F.col("url")).alias("hint"))
+    rows = table("documents").select("doc_id", screening.padded("text").alias("key"), F.when(k == 0, "thing (of) that").when(k == 1, "The with [x]").otherwise("zzzz qqqq").alias("name"), F.when(F.expr("doc_id % 2 = 0"), "the").otherwise("Nowhere").alias("place"), F.lit("https://www.thatorg.example.com/").alias("url"))
+    found = screening.named("name", F.col("key"))
+    rows = rows.select("doc_id", found["name_exact"].alias("name_exact"), found["name_tokens"].alias("name_tokens"), screening.placed("place", F.col("key")).alias("located"), screening.domain_hint("name", F.col("url")).alias("hint"))
     rows = rows.withColumn("rule_score", screening.rule_score(F.col("name_exact"), F.col("name_tokens"), F.col("located"), F.col("hint")).cast("bigint"))
     out = screening.verify(F.col("name_exact"), F.col("located"), F.col("rule_score"), F.expr("doc_id % 4 = 0"), (F.col("doc_id") % 10) * 11)
     return rows.select("doc_id", "name_exact", "name_tokens", "located", "rule_score", out["status"].alias("status"), out["confidence"].alias("confidence"))
@@ -190,9 +193,11 @@ def sitemaps_and_robots(table):
     return rows
 
 
-@query("""WITH w AS (SELECT o_custkey AS page, o_orderkey, o_orderdate FROM orders) SELECT page, count(*) AS n FROM w WHERE o_orderkey % 5 = 0 GROUP BY page""")
+@query("""WITH w AS (SELECT o_custkey AS page, o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS p, count(*) FILTER (WHERE o_orderkey % 5 = 0) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS island FROM orders)
+SELECT page, CAST(max(k) FILTER (WHERE k % 5 = 0) * 10 AS BIGINT) AS line, trim(string_agg('n ' || s, ' ' ORDER BY k)) AS name, max(p) FILTER (WHERE k % 5 = 0) AS place, 'a' AS category FROM w GROUP BY page, island HAVING count(*) FILTER (WHERE k % 5 = 0) > 0""")
 def positioned_rows(table):
-    orders = table("orders").withColumn("top", F.col("o_orderkey").cast("double"))
-    name = orders.select(F.col("o_custkey").alias("page"), "top", F.lit(10.0).alias("x0"), F.col("o_orderstatus").alias("text"))
-    mark = orders.filter("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("page"), "top", F.lit(600.0).alias("x0"), F.lit("a").alias("text"))
-    return files.table_lines(name.unionByName(mark)).groupBy("page").agg(F.count("*").alias("n"))
+    orders = table("orders").select(F.col("o_custkey").alias("page"), F.col("o_orderkey").cast("double").alias("top"), "o_orderkey", "o_orderstatus", "o_orderpriority")
+    word = lambda df, x, t: df.select("page", "top", F.lit(x).alias("x0"), t.alias("text"))
+    marked = orders.filter("o_orderkey % 5 = 0")
+    words = word(orders, 10.0, F.lit("n")).unionByName(word(orders, 50.0, F.col("o_orderstatus"))).unionByName(word(marked, 460.0, F.col("o_orderpriority"))).unionByName(word(marked, 600.0, F.lit("a")))
+    return files.table_lines(words).select("page", "line", "name", "place", "category")

@@ -124,19 +124,22 @@ def scrape_outcome(table):
     return rows.select("event_id", out["status"].alias("status"), out["failure"].alias("failure"), out["mode"].alias("mode"), out["score"].cast("bigint").alias("score"))
 
 
-@query("""WITH g AS (SELECT user_id, count(*) FILTER (WHERE value > 5) AS a, count(*) FILTER (WHERE value > 5 AND value <= 60) AS s, count(*) FILTER (WHERE value > 60) AS f, count(*) FILTER (WHERE value <= 5) AS k FROM events WHERE user_id % 4 <> 0 OR value <= 5 OR value > 60 GROUP BY 1)
+@query("""WITH g AS (SELECT user_id, count(*) FILTER (WHERE value > 5) AS a, count(*) FILTER (WHERE value > 5 AND value <= 60) AS s, count(*) FILTER (WHERE value > 60) AS f, count(*) FILTER (WHERE value <= 5) AS k FROM (SELECT user_id, CASE WHEN user_id % 4 = 0 AND value <= 60 THEN 90 WHEN user_id % 16 = 1 THEN 1 ELSE value END AS value FROM events) GROUP BY 1)
 SELECT user_id, CASE WHEN a = 0 AND k > 0 THEN 'already_success' WHEN s > 0 THEN 'success:' || s || '/' || a ELSE 'failed:' || f || '/' || a END AS outcome FROM g""")
 def entity_outcomes(table):
     v = F.col("value")
-    rows = table("events").filter("user_id % 4 <> 0 or value <= 5 or value > 60").groupBy("user_id").agg(F.count_if(v > 5).alias("a"), F.count_if((v > 5) & (v <= 60)).alias("s"), F.count_if(v > 60).alias("f"), F.count_if(v <= 5).alias("k"))
+    rows = table("events").withColumn("value", F.expr("case when user_id % 4 = 0 and value <= 60 then 90 when user_id % 16 = 1 then 1 else value end")).groupBy("user_id").agg(F.count_if(v > 5).alias("a"), F.count_if((v > 5) & (v <= 60)).alias("s"), F.count_if(v > 60).alias("f"), F.count_if(v <= 5).alias("k"))
     return rows.select("user_id", S.entity_outcome(F.col("a"), F.col("s"), F.col("f"), F.col("k")).alias("outcome"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT o_custkey % 20 AS entity, o_orderkey % 500 AS a, (o_orderkey * 7 + 13) % 500 AS b FROM orders), w AS (SELECT DISTINCT entity, 'n' || a AS url, 'n' || b AS link FROM e),
+@query("""WITH RECURSIVE e AS (SELECT o_custkey AS entity, o_orderkey AS a, o_orderkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_orderkey % 40 END AS b FROM orders UNION ALL SELECT o_custkey, o_orderkey + 1, o_orderkey + 2 FROM orders), w AS (SELECT DISTINCT entity, 'n' || a AS url, 'n' || b AS link FROM e),
 s AS (SELECT entity, min(url) AS url FROM w GROUP BY 1), r AS (SELECT entity, url, 0 AS step FROM s UNION SELECT w.entity, w.link, r.step + 1 FROM r JOIN w ON r.entity = w.entity AND r.url = w.url WHERE r.step < 3)
 SELECT entity, url, CAST(min(step) AS BIGINT) AS step FROM r GROUP BY 1, 2""")
 def follow_links(table):
-    rows = table("orders").select((F.col("o_custkey") % 20).alias("entity"), F.concat(F.lit("n"), (F.col("o_orderkey") % 500).cast("string")).alias("url"), F.concat(F.lit("n"), ((F.col("o_orderkey") * 7 + 13) % 500).cast("string")).alias("link")).distinct()
+    k = F.col("o_orderkey")
+    node = lambda c: F.concat(F.lit("n"), c.cast("string"))
+    orders = table("orders").select(F.col("o_custkey").alias("entity"), "o_orderkey")
+    rows = orders.select("entity", node(k).alias("url"), node(k + F.when(k % 3 == 0, 1).otherwise(k % 40)).alias("link")).unionByName(orders.select("entity", node(k + 1).alias("url"), node(k + 2).alias("link"))).distinct()
     return S.follow(rows, rows.groupBy("entity").agg(F.min("url").alias("url")), 3).select("entity", "url", F.col("step").cast("bigint").alias("step"))
 
 

@@ -12,7 +12,17 @@ from ..operators import screening
 from ..sources.files import links
 from .base import query
 
-RULES = UrlRules(languages=("de", "en", "fr", "it", "es"), aggregators=("example.org",))
+#: Rules with words of the driver's invented languages, so that each kind of rule has something to do.
+RULES = UrlRules(
+    languages=("de", "en", "fr", "it", "es"),
+    aggregators=("example.org",),
+    favor=("about", "mission", "team", "contact", "projects", "the", "of", "and"),
+    favor_patterns=("about", "who-we", "th[aeo]"),
+    penalize=("news", "blog", "archive", "tag", "reouha"),
+    penalize_patterns=("news-", "er[a-z]+ing"),
+    exclude=("login", "cart", "search", "privacy", "feed", "que"),
+    exclude_patterns=("wp-", "page-[0-9]+", "z[a-z]{2}$"),
+)
 Q = lambda words: ", ".join(f"'{w}'" for w in words)
 SCHEME = lambda u: f"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1))"
 AUTHORITY = lambda u: f"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"

@@ -177,8 +177,11 @@ def test_state(spark):
 
 def test_quality_and_markers(spark):
     long = "# Title\n\n" + "\n\n".join(f"Sentence number {i} is here. " * 14 for i in range(6))
-    assert one(spark, content.quality(F.lit(long), F.lit("t"), F.lit("")).alias("q")).q == 35 + 10 + 10 + 5 + 5
-    assert one(spark, content.quality(F.lit(" "), F.lit("t"), F.lit("")).alias("q")).q == 0
+    score = lambda t: content.with_quality(spark.createDataFrame([(t,)], "t string"), "t", F.lit("t"), F.lit("")).first().score
+    assert score(long) == 35 + 10 + 10 + 5 + 5 and score(" ") == 0 and score(None) == 0
+    assert score("a line \n" * 200) == 25 + 5 - 10  # every line but the first is repeated
+    assert score("[a long name of a link that goes on](x) " * 20 + "w") == 15 + 5 - 20
+    assert score("home menu Kontakt. " * 60) == 15 + 5 + 5 - 10  # words of page furniture
     assert one(spark, content.best_extractor({"a": F.lit(30), "b": F.lit(30)}).alias("x")).x == "a"
     assert one(spark, content.best_extractor({"a": F.lit(90), "b": F.lit(35)}, preferred="b").alias("x")).x == "b"
     assert not one(spark, content.rendered_wins(F.lit(30), F.lit(30)).alias("x")).x
@@ -229,3 +232,65 @@ def test_conclusions_keep_notes(spark):
     df = spark.createDataFrame([(1, "", "seen", "auto_excluded", "", "", ""), (2, "", "", "needs_review", "excluded", " other ", "n"), (3, "X", "", "auto_excluded", "", "", "")], "i int, reason string, note string, auto string, review string, code string, rn string")
     out = screening.conclude(df, "q", "auto", "review", "reason", "note", F.lit(True), "code", "rn").orderBy("i").collect()
     assert [(r.reason, r.note) for r in out] == [("IRRELEVANT_PURPOSE", "seen | classify:q:auto_excluded"), ("OTHER", "classify:q:review_excluded:OTHER | n"), ("X", "")]
+
+
+def test_question_files(tmp_path):
+    from quillsift.plans.details import FILE
+    from quillsift.questions import load_prompts, load_questions, read_question
+
+    q = read_question(FILE, "q09")
+    assert (q.id, q.order, q.strict, q.attempts, [f.kind for f in q.fields]) == ("q09_kind", 9, True, 2, ["string", "number"])
+    assert [(p.priority, p.action, p.any_of, p.reason) for p in q.policies] == [(20, "auto_excluded", False, "Matched policy rule low."), (10, "auto_accepted", True, "People did something.")]
+    assert q.prompt.render(text="x") == "Text: x" and q.source.limits()["most"] == 18
+    wrong = [(b"auto_exclude", b"drop"), (b'mode = "any"', b'mode = "some"'), (b'conditions = [{ field = "value", op = "lte", value = 20 }]', b"conditions = []"), (b'required_keys = ["kind", "value"]', b'required_keys = ["none"]'), (b'{ key = "value"', b'{ key = "kind"'), (b'kind = "number"', b'kind = "what"'), (b'text = "the text"', b'other = "x"')]
+    for old, new in wrong:
+        assert old in FILE
+        with pytest.raises(ValueError):
+            read_question(FILE.replace(old, new), "q09")
+    with pytest.raises(ValueError):
+        load_questions(tmp_path)
+    (tmp_path / "classify.q09.toml").write_bytes(FILE)
+    (tmp_path / "classify.q01.toml").write_bytes(FILE.replace(b"q09_kind", b"q01").replace(b"order = 9", b"order = 1"))
+    assert [q.id for q in load_questions(tmp_path)] == ["q01", "q09_kind"]
+    (tmp_path / "classify.q02.toml").write_bytes(FILE)
+    with pytest.raises(ValueError):
+        load_questions(tmp_path)
+    folder = tmp_path / "prompts"
+    folder.mkdir()
+    (folder / "a.toml").write_text('[prompt]\nid = "a"\ntemplate = "Hi {x}"\n[prompt.placeholders]\nx = "name"\n[prompt.response]\nrequired_keys = ["url"]')
+    assert load_prompts(folder)["a"].prompt.render(x="y") == "Hi y" and load_prompts(folder)["a"].required_keys == ("url",)
+    (folder / "b.toml").write_text('[prompt]\nid = "b"\ntemplate = "Hi {x}"\n[prompt.placeholders]\nz = "name"')
+    with pytest.raises(ValueError):
+        load_prompts(folder)
+
+
+def test_access_errors(spark):
+    cases = [
+        ("OpenAI", 401, "", "", "", "unauthorized_or_forbidden"), ("openai", 429, "Rate limit reached, requests per minute", "", "", None), ("openai", 429, "You exceeded your current quota", "", "", "quota_exhausted"),
+        ("openai", 429, "?", "invalid_api_key", "", "quota_exhausted"), ("openai", 429, "?", "", "", "unknown_429"), ("openai", None, "?", "insufficient_quota", "", "quota_exhausted"), ("openai", None, "?", "account_deactivated", "", "unauthorized_or_forbidden"),
+        ("openai", None, "?", "", "AuthenticationError", "unauthorized_or_forbidden"), ("openai", None, "insufficient_quota", "", "RateLimitError", "quota_exhausted"), ("openai", None, "?", "", "RateLimitError", None), ("openai", 500, "?", "", "", None),
+        ("brave", 429, "?", "", "", "unknown_429"), ("other", 429, "?", "", "", None),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, p string, s int, b string, c string, k string, want string")
+    got = df.select("want", screening.access_error(F.col("p"), F.col("s"), F.col("b"), F.col("c"), F.lit(""), F.col("k")).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_writers(spark, tmp_path):
+    df = spark.createDataFrame([(1, "matched"), (2, "review"), (3, "matched")], "i int, bucket string")
+    files.write_json(df, str(tmp_path / "j"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "j")).collect())[0] == '{"i":1,"bucket":"matched"}'
+    files.write_buckets(df, str(tmp_path / "b"))
+    files.write_buckets(df.filter("i = 2").withColumn("i", F.lit(9)), str(tmp_path / "b"))
+    assert sorted((r.i, r.bucket) for r in spark.read.parquet(str(tmp_path / "b")).collect()) == [(1, "matched"), (3, "matched"), (9, "review")]
+
+
+def test_counts_by_window(spark, tmp_path):
+    from quillsift.streaming.latest import counts_by_window
+
+    schema = "t timestamp, k string"
+    spark.sql("select timestamp'2024-01-01 10:10:00' t, 'a' k union all select timestamp'2024-01-01 10:50:00', 'a' union all select timestamp'2024-01-01 11:05:00', 'b'").write.json(str(tmp_path / "in"))
+    out = counts_by_window(spark.readStream.schema(schema).json(str(tmp_path / "in")), "t", "k")
+    stream = out.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    assert sorted((r.k, r.n) for r in spark.table("windows").collect()) == [("a", 2), ("b", 1)]
