@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, lean, ranges, saved, utf8
+from .common import arrow_batches, lean, ranges, saved, shuffle_partitions, utf8
 
 UND = "und"
 #: Bounds of the model: documents learned from in each language, words and n-grams kept of each language.
@@ -274,7 +274,8 @@ def learn(docs: DataFrame, learned, per_language: int = DOCUMENTS, words: int =
     counted = total(sample.mapInArrow(lean(counter(own_words)), COUNTED))
     counts, totals = commonest(counted, words)
     entries, scores = log_frequencies(counts, totals, languages, 0.5)
-    counts, totals = commonest(total(counted.mapInArrow(lean(counter(own_grams)), COUNTED)), n_grams)
+    spread = counted.repartition(shuffle_partitions(docs.sparkSession), "entry")  # a small table is in few files
+    counts, totals = commonest(total(spread.mapInArrow(lean(counter(own_grams)), COUNTED)), n_grams)
     pieces, piece_scores = log_frequencies(counts, totals, languages, 0.5)
     by_order = {}
     for order in ORDERS:
