@@ -39,7 +39,7 @@ from .common import arrow_batches, lean, open_fs, ranges, saved, scratch, shuffl
 
 LEAST, ANCHOR = 50, 32
 #: Bytes of a block, and bytes that are hashed at once.
-BLOCK, STEP = 2 << 20, 1 << 18
+BLOCK, STEP = 1 << 20, 1 << 18
 #: The most strings of a stretch.
 LONGEST = 128
 #: An anchor in more blocks than this sends its strings one by one.
