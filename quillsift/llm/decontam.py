@@ -5,7 +5,7 @@ The CGK walk reads a string with a pointer: at step j it writes the byte under t
 again after each edit, so their walks differ in few coordinates: edit distance becomes Hamming distance. A
 repetition has its own walk and its own sample of coordinates; the bytes there, hashed, are the key.
 
-At 15 % of edits one walk over a whole window of an item's size differs in about half of its coordinates,
+At 15 % of edits one walk over a whole window of an item's size differs in 0.4 to 0.7 of its coordinates,
 so that no sample of a useful size stays equal in a payable number of repetitions. Therefore the walk
 begins anew at each byte of an item-sized window, and a key samples the first steps of one of these walks.
 How many steps, and in how many repetitions, follows from the item's size, the edits allowed and TARGET:
