@@ -145,7 +145,39 @@ def page_tier(name: Column) -> Column:
     return F.when(n.rlike("|".join(IDENTITY)), 0).when(n.startswith("001-"), 1).when(n.rlike("|".join(OTHER_PAGES)), 3).otherwise(2)
 
 
-def stub(title: Column, description: Column, url: Column) -> Column:
-    """A short page made of its metadata."""
-    t, d = strip(text(title)), strip(text(description))
-    return F.concat_ws("\n\n", F.when(t != "", F.concat(F.lit("# "), t)), F.when(d != "", d), F.when(url.isNotNull(), F.concat(F.lit("Source: "), url)))
+def minimal(title: Column, description: Column, canonical: Column, lang: Column, url: Column, content_type: Column, note: Column) -> Column:
+    """A page that has no text of its own: what is known of it, a line each."""
+    known = {"URL": text(url), "Content-Type": text(content_type), "Note": text(note), "Title": strip(text(title)), "Description": strip(text(description)), "Canonical": strip(text(canonical)), "Language": strip(text(lang))}
+    return F.concat_ws("\n", F.lit("# Low-content page"), *[F.when(v != "", F.concat(F.lit(f"- {k}: "), v)) for k, v in known.items()])
+
+
+#: From HTML to Markdown, in this order: what goes with all it holds, then marks of blocks and of words, then the other tags, entities and blank lines.
+MARKDOWN = (
+    (r"(?is)<!--.*?-->", ""),
+    *((rf"(?is)<{t}(?:\s[^>]*)?>.*?</{t}\s*>", "") for t in ("script", "style", "nav", "footer", "header")),
+    (r"(?i)<img\b[^>]*>", ""),
+    (r"\s+", " "),
+    *((rf"(?i)<h{k}(?:\s[^>]*)?> ?", "\n\n" + "#" * k + " ") for k in range(1, 7)),
+    (r"(?i) ?</h[1-6]\s*>", "\n\n"),
+    (r"(?i)<br\s*/?> ?", "\n"),
+    (r"(?i)<hr\b[^>]*> ?", "\n\n---\n\n"),
+    (r"(?i)<li(?:\s[^>]*)?> ?", "\n* "),
+    (r"(?i)</?(?:strong|b)(?:\s[^>]*)?>", "**"),
+    (r"(?i)</?(?:em|i)(?:\s[^>]*)?>", "*"),
+    (r"(?i)</?(?:code|kbd|samp)(?:\s[^>]*)?>", "`"),
+    (r"""(?i)<a\s[^>]*?href=["']([^"'>]*)["'][^>]*>(.*?)</a\s*>""", "[{2}]({1})"),
+    (r"(?i)</t[dh]\s*> ?<t[dh](?:\s[^>]*)?>", " | "),
+    (r"(?i) ?</?(?:p|div|section|article|main|ul|ol|table|tr|blockquote|pre|form|figure|dl|dt|dd)(?:\s[^>]*)?> ?", "\n\n"),
+    (r"<[^>]*>", ""),
+    *((k, v) for k, v in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))),
+    (r"[ \t]*\n[ \t]*", "\n"),
+    (r"\n{3,}", "\n\n"),
+)
+
+
+def markdown(html: Column | str) -> Column:
+    """The text of a page as Markdown: headings, lists, links and emphasis; no scripts, images and page furniture. By patterns alone, so tags that are never closed stay open."""
+    out = text(html)
+    for pattern, mark in MARKDOWN:
+        out = F.regexp_replace(out, pattern, mark.replace("{1}", "$1").replace("{2}", "$2"))
+    return strip(out)

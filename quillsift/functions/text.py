@@ -116,8 +116,12 @@ def key_slug(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(text(c)), r"[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
-def page_filename(order: Column, title: Column, url: Column) -> Column:
-    return F.format_string("%03d-%s-%s.md", order.cast("int"), slug(title), F.substring(F.sha1(url), 1, 8))
+def page_filename(order: Column, url: Column) -> Column:
+    """The name of a page's file: its order, host and path in words, and a digest of its address."""
+    place = F.regexp_extract(url, r"^[^:/?#]+://([^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)", 1)
+    base = F.concat(place, F.lit("-"), F.when(path == "", "/").otherwise(path))
+    return F.format_string("%03d-%s-%s.md", order.cast("int"), F.regexp_replace(F.regexp_replace(slug(base), "-+", "-"), "^-+|-+$", ""), F.substring(F.sha1(url), 1, 8))
 
 
 def snippet_id(order: Column, stem: Column) -> Column:
@@ -166,3 +170,13 @@ def tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
 def signature(*columns: str) -> Column:
     """A hash of the named columns in the order of their names: equal rows, equal signatures."""
     return F.sha2(F.to_json(F.struct(*[text(c).alias(c) for c in sorted(columns)])), 256)
+
+
+def byte_size(c: Column) -> Column:
+    """A number of bytes in the largest unit up to TB that keeps it at 1 or above; half a tenth goes to the even one."""
+    units = ("B", "KB", "MB", "GB", "TB")
+    size = lambda k: F.format_string(f"%.1f {units[k]}", F.bround(c.cast("double") / float(1 << 10 * k), 1))
+    out = size(4)
+    for k in range(3, 0, -1):
+        out = F.when(c < (1 << 10 * (k + 1)), size(k)).otherwise(out)
+    return F.when(c < 1024, F.format_string("%d B", c.cast("bigint"))).otherwise(out)

@@ -167,34 +167,67 @@ def merged_results(base: DataFrame, more: DataFrame, entity: str, most: int) ->
     return rows.filter(keep).drop("__part", "__n", "__h", "__have")
 
 
-def outcome(static_score: Column, static_text: Column, rendered_status: Column, rendered_score: Column, rendered_text: Column, http: Column, content_type: Column) -> dict[str, Column]:
-    """What a fetch came to: status, failure, mode and the score that counts. Rendering is tried where the static text is poor."""
-    ok_type = F.contains(F.lower(text(content_type)), F.lit("html")) | (text(content_type) == "")
-    poor = F.coalesce(static_score, F.lit(0)) < content.ACCEPTED
-    rendered = poor & (rendered_status == "success")
-    use = rendered & (F.coalesce(rendered_score, F.lit(0)) > F.coalesce(static_score, F.lit(0)))
-    chosen = F.when(use, rendered_text).otherwise(static_text)
-    failure = (
-        F.when(http == 403, "http_403")
-        .when(http >= 400, F.concat(F.lit("http_"), http.cast("string")))
-        .when(~ok_type, "unsupported_content_type")
-        .when(poor & (F.coalesce(rendered_status, F.lit("")) != "success") & blank(static_text), "render_failed")
-        .when(blank(chosen), "empty_content")
+def outcome(df: DataFrame, error: Column, message: Column, http: Column, content_type: Column, body: Column, body_score: Column, static_score: Column, static_text: Column, rendered_status: Column, rendered_detail: Column, rendered_score: Column, rendered_text: Column, markers: Column, stub: Column) -> DataFrame:
+    """What each fetch came to, as columns status, failure, detail, mode, score, static_score, rendered_score, quality, quality_reason, trigger, content.
+
+    error (timeout, connect, other; null for a response) and its message; body: the text of a response that is no HTML;
+    rendered_*: what rendering would give or gave, with its status and why it failed; stub: the page that stands in for one without text.
+    A failed request is rendered; a poor static text is rendered, and kept at low quality if that fails.
+    """
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("int")
+    detail = strip(text(rendered_detail))
+    refused = F.when(error.isNotNull(), content.failure(error, message)).when(http.isin(401, 403), F.format_string("http_%d", http)).when(http >= 500, "http_5xx").when(http != 200, "http_other")
+    why = F.when(error.isNotNull(), strip(text(message))).when(refused == "http_other", F.format_string("http_%d", http)).otherwise("")
+    other, reason = other_content(content_type, body)
+    rows = df.withColumns(
+        {
+            "__refused": refused, "__why": F.concat_ws("; ", F.nullif(why, F.lit("")), F.nullif(detail, F.lit(""))), "__html": F.contains(F.lower(text(content_type)), F.lit("text/html")),
+            "__other": other, "__reason": reason, "__ok": F.coalesce(rendered_status == "success", F.lit(False)), "__detail": detail, "__s": zero(static_score), "__r": zero(rendered_score), "__b": zero(body_score),
+            "__static": strip(text(static_text)), "__rendered": strip(text(rendered_text)), "__stub": stub, "__trigger": content.render_trigger(markers), "__gone": content.no_browser(rendered_detail),
+        }
     )
-    score = F.when(use, rendered_score).otherwise(static_score)
-    grade, why = content.graded(score)
-    good = failure.isNull()
-    return {"status": F.when(good, "success").otherwise("failed"), "failure": F.coalesce(failure, F.lit("")), "mode": F.when(good, F.when(use, "rendered").otherwise("static")).otherwise(""), "score": F.when(good, score), "quality": F.when(good, grade).otherwise(""), "quality_reason": F.when(good, why).otherwise("")}
+    c = F.col
+    rows = rows.withColumn("__case", F.when(c("__refused").isNotNull(), F.when(c("__ok"), "refused_rendered").otherwise("refused")).when(~c("__html"), F.when(c("__other") != "", "other").otherwise("unread")).when(c("__s") >= content.ACCEPTED, "static").when(c("__ok"), F.when(c("__r") > c("__s"), "rendered").otherwise("poor")).when(c("__static") != "", "kept").otherwise("lost"))
+    case = lambda values, otherwise=None: F.coalesce(*[F.when(c("__case").isin(*k.split()), v) for k, v in values.items()], F.lit(otherwise))
+    fallback = F.concat(F.lit("http_failure_fallback:"), c("__refused"))
+    score = case({"refused_rendered rendered": c("__r"), "other": c("__b"), "static poor kept lost": c("__s")}, 0)
+    rows = rows.withColumn("score", score)
+    base = case({"refused_rendered": fallback, "other": c("__reason"), "rendered poor": F.format_string("low_score_after_render:selected=%d", c("score"))}, "")
+    grade, low_reason = content.graded(c("score"), reason=base)
+    kept = F.concat(F.format_string("low_score_static:%d;render_", c("__s")), F.when(c("__gone"), "unavailable:").otherwise("failed:"), c("__detail"))
+    some = lambda t: F.when(t != "", t).otherwise(c("__stub"))
+    out = {
+        "status": case({"refused unread lost": F.lit("failed")}, "success"),
+        "failure": case({"refused": c("__refused"), "unread": F.lit("non_html_response"), "lost": F.lit("playwright_render_failed")}, ""),
+        "detail": case({"refused": c("__why"), "unread": c("__reason"), "lost": c("__detail")}, ""),
+        "mode": case({"refused refused_rendered rendered lost": F.lit("playwright")}, "static"),
+        "static_score": case({"refused refused_rendered unread": F.lit(0), "other": c("__b")}).cast("int"),
+        "rendered_score": case({"refused lost": F.lit(0), "refused_rendered rendered poor": c("__r")}).cast("int"),
+        "quality": case({"refused unread lost": F.lit(""), "kept": F.lit("low")}, None),
+        "quality_reason": case({"refused unread lost": F.lit(""), "kept": kept}, None),
+        "trigger": case({"refused refused_rendered": fallback, "other": c("__reason"), "rendered poor lost": c("__trigger"), "kept": F.concat(c("__trigger"), F.lit(":render_fallback="), c("__detail"))}, ""),
+        "content": case({"refused unread": F.lit(""), "refused_rendered rendered": some(c("__rendered")), "other": c("__other"), "poor": some(c("__static"))}, None),
+    }
+    out["static_score"] = F.coalesce(out["static_score"], c("__s"))
+    out["quality"], out["quality_reason"] = F.coalesce(out["quality"], grade), F.coalesce(out["quality_reason"], low_reason)
+    out["content"] = F.coalesce(out["content"], c("__static"))
+    return rows.withColumns(out).drop(*[n for n in rows.columns if n.startswith("__")])
 
 
 def entity_outcome(attempted: Column, succeeded: Column, failed: Column, skipped: Column) -> Column:
     return F.when((attempted == 0) & (skipped > 0), "already_success").when(succeeded > 0, F.format_string("success:%d/%d", succeeded, attempted)).otherwise(F.format_string("failed:%d/%d", failed, attempted))
 
 
-def other_content(content_type: Column, body: Column) -> Column:
-    """The text of a response that is no HTML; null for types that hold none."""
-    t = F.lower(text(content_type))
-    return F.when(t.rlike("text/(plain|markdown|csv)|json|xml"), strip(text(body)))
+# Types whose bodies are texts as they are.
+TEXT_TYPES = ("text/plain", "text/markdown", "text/xml", "application/json", "application/xml", "application/xhtml+xml")
+
+
+def other_content(content_type: Column, body: Column) -> tuple[Column, Column]:
+    """The text of a response that is no HTML, empty if there is none, and the reason that is noted. The body of a PDF is its text."""
+    t, own = F.lower(text(content_type)), strip(text(body))
+    pdf, like = F.contains(t, F.lit("application/pdf")), t.rlike("|".join(x.replace("+", "[+]") for x in TEXT_TYPES))
+    reason = F.when(pdf, F.when(own == "", "pdf_text_extraction_failed").otherwise("non_html:application_pdf")).when(like, F.when(own == "", "text_like_content_empty").otherwise(F.concat(F.lit("non_html:"), F.split_part(t, F.lit(";"), F.lit(1))))).otherwise(F.concat(F.lit("non_html_unsupported:"), F.when(t == "", "unknown").otherwise(t)))
+    return F.when(pdf | like, own).otherwise(""), reason
 
 
 def answer_of(raw: Column | str) -> dict[str, Column]:

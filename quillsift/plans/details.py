@@ -15,7 +15,7 @@ from .web import RULES
 
 
 @query(f"""SELECT o_orderkey, replace(format('{{:,}}', CAST(round_even(o_totalprice, 0) AS BIGINT)), ',', '''') AS price, strftime(CAST(o_orderdate AS TIMESTAMP), '%d.%m.%Y %H:%M') AS day, regexp_extract('q' || o_orderkey || '_x', '^(q\\d+)', 1) AS question,
-'https://s.example/?q=' || replace(o_orderpriority, ' ', '+') AS search, printf('%03d-%s-%s.md', CAST(o_orderkey % 1000 AS INT), replace(lower(o_orderpriority), ' ', '-'), substr(sha1('u' || o_orderkey), 1, 8)) AS filename, len(regexp_extract_all(o_orderpriority || ' x', '\\S+')) AS words,
+'https://s.example/?q=' || replace(o_orderpriority, ' ', '+') AS search, printf('%03d-%s-%s.md', CAST(o_orderkey % 1000 AS INT), 'hostexample-' || replace(lower(o_orderpriority), ' ', '-') || 'x' || o_orderkey, substr(sha1('https://Host.example/' || replace(o_orderpriority, ' ', '_') || '/x' || o_orderkey || '?q=1'), 1, 8)) AS filename, CASE WHEN o_orderkey < 1024 THEN o_orderkey || ' B' ELSE printf('%.1f', o_orderkey / 1024.0) || ' KB' END AS size, CASE WHEN o_orderkey = 0 THEN '0 B' ELSE printf('%.1f TB', CAST(o_orderkey AS DOUBLE)) END AS large, len(regexp_extract_all(o_orderpriority || ' x', '\\S+')) AS words,
 printf('s%02d_%s', CAST(o_orderkey % 100 AS INT), substr(trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g'), '_'), 1, 24)) AS snippet, trim(regexp_replace(regexp_replace('"' || o_orderpriority || '"!', '["]', '', 'g'), '[^\\w\\s-]', ' ', 'g')) AS searched, trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', ' ', 'g')) AS place FROM orders""")
 def shown_values(table):
     k, p = F.col("o_orderkey"), F.col("o_orderpriority")
@@ -25,7 +25,9 @@ def shown_values(table):
         T.shown_time(F.col("o_orderdate").cast("string")).alias("day"),
         T.question_key(F.concat(F.lit("q"), k.cast("string"), F.lit("_x"))).alias("question"),
         T.search_url(p, "https://s.example/?q=").alias("search"),
-        T.page_filename(k % 1000, p, F.concat(F.lit("u"), k.cast("string"))).alias("filename"),
+        T.page_filename(k % 1000, F.concat(F.lit("https://Host.example/"), F.replace(p, F.lit(" "), F.lit("_")), F.lit("/x"), k.cast("string"), F.lit("?q=1"))).alias("filename"),
+        T.byte_size(k).alias("size"),
+        T.byte_size(k * (1 << 40)).alias("large"),
         T.count_words(F.concat(p, F.lit(" x"))).cast("bigint").alias("words"),
         T.snippet_id(k % 100, p).alias("snippet"),
         T.sanitize_search(F.concat(F.lit('"'), p, F.lit('"!'))).alias("searched"),
@@ -44,23 +46,25 @@ def map_tiles(table):
 CASE event_id % 5 WHEN 0 THEN '001-start.md' WHEN 1 THEN '007-Kontakt.md' WHEN 2 THEN '012-news.md' ELSE '020-x.md' END AS page FROM events)
 SELECT event_id, CASE kind WHEN 'timeout' THEN 'network_timeout' WHEN 'connect' THEN CASE WHEN event_id % 3 = 0 THEN 'tls_error' ELSE 'network_dns_failure' END ELSE 'unexpected_exception' END AS failure, event_id % 3 = 1 AS no_browser,
 CASE event_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN 3 ELSE 2 END AS tier, CASE WHEN event_type = 'view' THEN 'poor_static_extraction:markers=a,b' ELSE 'poor_static_extraction' END AS trigger,
-array_to_string(list_filter([CASE WHEN event_type <> 'view' THEN '# ' || event_type END, CASE WHEN event_id % 2 = 0 THEN 'd' END, 'Source: u'], lambda x: x IS NOT NULL), chr(10) || chr(10)) AS stub,
-CASE WHEN event_id % 4 = 0 THEN 'body' WHEN event_id % 4 = 1 THEN 'body' END AS other FROM r""")
+'# Low-content page' || chr(10) || '- URL: u' || chr(10) || '- Content-Type: text/html' || CASE WHEN event_type <> 'view' THEN chr(10) || '- Title: ' || event_type ELSE '' END || CASE WHEN event_id % 2 = 0 THEN chr(10) || '- Description: d' ELSE '' END || chr(10) || '- Language: de' AS stub,
+CASE WHEN event_id % 4 <= 1 OR event_id % 8 = 6 THEN 'body' ELSE '' END AS other, CASE event_id % 4 WHEN 0 THEN 'non_html:text/plain' WHEN 1 THEN 'non_html:application/json' WHEN 3 THEN 'non_html_unsupported:unknown' ELSE CASE WHEN event_id % 8 = 2 THEN 'non_html_unsupported:image/png' ELSE 'non_html:application_pdf' END END AS reason FROM r""")
 def fetch_signs(table):
     i, kind = F.col("event_id"), F.col("event_type")
     error = F.when(kind == "error", "timeout").when(kind == "click", "connect").otherwise("other")
     message = F.when(i % 3 == 0, "SSL: bad certificate").when(i % 3 == 1, "Executable doesn't exist at /x").otherwise("refused")
     page = F.when(i % 5 == 0, "001-start.md").when(i % 5 == 1, "007-Kontakt.md").when(i % 5 == 2, "012-news.md").otherwise("020-x.md")
     marks = F.when(kind == "view", F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>"))
-    media = F.when(i % 4 == 0, "text/plain; charset=utf-8").when(i % 4 == 1, "application/json").when(i % 4 == 2, "image/png").otherwise("application/zip")
+    media = F.when(i % 4 == 0, "text/plain; charset=utf-8").when(i % 4 == 1, "application/json").when(i % 8 == 2, "image/png").when(i % 8 == 6, "application/pdf").otherwise("")
+    other, reason = S.other_content(media, F.lit(" body "))
     return table("events").select(
         "event_id",
         C.failure(error, message).alias("failure"),
         C.no_browser(message).alias("no_browser"),
         C.page_tier(page).alias("tier"),
         C.render_trigger(marks).alias("trigger"),
-        C.stub(F.when(kind != "view", kind), F.when(i % 2 == 0, " d "), F.lit("u")).alias("stub"),
-        S.other_content(media, F.lit(" body ")).alias("other"),
+        C.minimal(F.when(kind != "view", kind), F.when(i % 2 == 0, " d "), F.lit(None), F.lit("de"), F.lit("u"), F.lit("text/html"), F.lit("")).alias("stub"),
+        other.alias("other"),
+        reason.alias("reason"),
     )
 
 

@@ -112,16 +112,43 @@ def waiting_rows(table):
     return S.waiting(rows, cleaned(table), "id", "auto", "reason").select("id", "auto")
 
 
-FETCH = "SELECT event_id, CAST(value AS INT) % 60 AS ss, CASE WHEN event_id % 7 = 0 THEN '' ELSE 'text' END AS st, CASE event_id % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'error' END AS rs, CAST(value * 3 AS INT) % 70 AS sc, CASE event_id % 20 WHEN 0 THEN 403 WHEN 1 THEN 500 ELSE 200 END AS http, CASE event_id % 15 WHEN 3 THEN 'image/png' ELSE 'text/html' END AS kind FROM (SELECT event_id, floor(value) AS value FROM events)"
-
-
-@query(f"""WITH r AS ({FETCH}), u AS (SELECT *, ss < 35 AND coalesce(rs = 'success', false) AND sc > ss AS use FROM r), f AS (SELECT *, CASE WHEN http = 403 THEN 'http_403' WHEN http >= 400 THEN 'http_' || http WHEN kind <> 'text/html' THEN 'unsupported_content_type' WHEN ss < 35 AND coalesce(rs, '') <> 'success' AND st = '' THEN 'render_failed' WHEN (CASE WHEN use THEN 'rendered' ELSE st END) = '' THEN 'empty_content' ELSE '' END AS failure FROM u)
-SELECT event_id, CASE WHEN failure = '' THEN 'success' ELSE 'failed' END AS status, failure, CASE WHEN failure <> '' THEN '' WHEN use THEN 'rendered' ELSE 'static' END AS mode, CAST(CASE WHEN failure = '' THEN CASE WHEN use THEN sc ELSE ss END END AS BIGINT) AS score FROM f""")
+FETCH = """SELECT event_id, CASE event_id % 40 WHEN 0 THEN 'timeout' WHEN 1 THEN 'connect' END AS err, CASE event_id % 20 WHEN 2 THEN 403 WHEN 3 THEN 503 WHEN 4 THEN 404 WHEN 5 THEN 401 ELSE 200 END AS http, CASE event_id % 15 WHEN 3 THEN 'image/png' WHEN 4 THEN 'text/plain; charset=x' WHEN 6 THEN 'application/pdf' ELSE 'text/html' END AS kind,
+CASE WHEN event_id % 2 = 0 THEN 'body' ELSE '' END AS body, v * 2 % 70 AS bs, v % 60 AS ss, CASE WHEN event_id % 7 = 0 THEN '' ELSE 'text' END AS st, CASE event_id % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'error' END AS rs, CASE event_id % 6 WHEN 1 THEN 'Failed to launch' WHEN 2 THEN 'off' WHEN 4 THEN 'timeout' WHEN 5 THEN 'off' ELSE '' END AS rd, v * 3 % 70 AS sc,
+CASE WHEN event_id % 11 = 0 THEN '' ELSE 'rendered' END AS rt, CASE WHEN event_id % 4 = 0 THEN 'poor_static_extraction:markers=a,b' ELSE 'poor_static_extraction' END AS trig FROM (SELECT event_id, CAST(floor(value) AS INT) AS v FROM events)"""
+
+
+@query(f"""WITH r AS ({FETCH}), c AS (SELECT *, CASE WHEN err = 'timeout' THEN 'network_timeout' WHEN err = 'connect' THEN 'network_dns_failure' WHEN http IN (401, 403) THEN 'http_' || http WHEN http >= 500 THEN 'http_5xx' WHEN http <> 200 THEN 'http_other' END AS code, CASE WHEN err IS NOT NULL THEN 'broken' WHEN http = 404 THEN 'http_404' ELSE '' END AS why,
+CASE kind WHEN 'application/pdf' THEN CASE WHEN body = '' THEN 'pdf_text_extraction_failed' ELSE 'non_html:application_pdf' END WHEN 'image/png' THEN 'non_html_unsupported:image/png' ELSE CASE WHEN body = '' THEN 'text_like_content_empty' ELSE 'non_html:text/plain' END END AS nh FROM r),
+k AS (SELECT *, CASE WHEN code IS NOT NULL AND rs = 'success' THEN 'A' WHEN code IS NOT NULL THEN 'B' WHEN kind <> 'text/html' AND kind <> 'image/png' AND body <> '' THEN 'C' WHEN kind <> 'text/html' THEN 'D' WHEN ss >= 35 THEN 'E' WHEN rs = 'success' AND sc > ss THEN 'F' WHEN rs = 'success' THEN 'G' WHEN st <> '' THEN 'H' ELSE 'I' END AS k FROM c),
+s AS (SELECT *, CASE WHEN k IN ('A', 'F') THEN sc WHEN k = 'C' THEN bs WHEN k IN ('B', 'D') THEN 0 ELSE ss END AS score, CASE WHEN k IN ('A', 'B') THEN 'http_failure_fallback:' || code END AS fallback FROM k)
+SELECT event_id, CASE WHEN k IN ('B', 'D', 'I') THEN 'failed' ELSE 'success' END AS status, CASE k WHEN 'B' THEN code WHEN 'D' THEN 'non_html_response' WHEN 'I' THEN 'playwright_render_failed' ELSE '' END AS failure, CASE k WHEN 'B' THEN CASE WHEN why = '' OR rd = '' THEN why || rd ELSE why || '; ' || rd END WHEN 'D' THEN nh WHEN 'I' THEN rd ELSE '' END AS detail,
+CASE WHEN k IN ('A', 'B', 'F', 'I') THEN 'playwright' ELSE 'static' END AS mode, CAST(score AS BIGINT) AS score, CAST(CASE WHEN k IN ('A', 'B', 'D') THEN 0 WHEN k = 'C' THEN bs ELSE ss END AS BIGINT) AS static_score, CAST(CASE WHEN k IN ('A', 'F', 'G') THEN sc WHEN k IN ('B', 'I') THEN 0 END AS BIGINT) AS rendered_score,
+CASE WHEN k IN ('B', 'D', 'I') THEN '' WHEN k = 'H' OR score < 35 THEN 'low' ELSE 'ok' END AS quality,
+CASE WHEN k IN ('B', 'D', 'I') THEN '' WHEN k = 'H' THEN 'low_score_static:' || ss || ';render_' || CASE WHEN rd = 'Failed to launch' THEN 'unavailable:' ELSE 'failed:' END || rd WHEN score >= 35 THEN '' ELSE CASE k WHEN 'A' THEN fallback WHEN 'C' THEN nh ELSE 'low_score_after_render:selected=' || score END || ';score_below_threshold:' || score || '<35' END AS quality_reason,
+CASE WHEN k IN ('A', 'B') THEN fallback WHEN k = 'C' THEN nh WHEN k IN ('F', 'G', 'I') THEN trig WHEN k = 'H' THEN trig || ':render_fallback=' || rd ELSE '' END AS trigger,
+CASE WHEN k IN ('B', 'D') THEN '' WHEN k IN ('A', 'F') THEN CASE WHEN rt = '' THEN 'stub' ELSE rt END WHEN k = 'C' THEN body WHEN k = 'G' AND st = '' THEN 'stub' ELSE st END AS content FROM s""")
 def scrape_outcome(table):
     i, v = F.col("event_id"), F.floor("value").cast("int")
-    rows = table("events").select("event_id", (v % 60).alias("ss"), F.when(i % 7 == 0, "").otherwise("text").alias("st"), F.when(i % 3 == 0, "success").when(i % 3 == 1, "error").alias("rs"), ((v * 3) % 70).alias("sc"), F.when(i % 20 == 0, 403).when(i % 20 == 1, 500).otherwise(200).alias("http"), F.when(i % 15 == 3, "image/png").otherwise("text/html").alias("kind"))
-    out = S.outcome(F.col("ss"), F.col("st"), F.col("rs"), F.col("sc"), F.lit("rendered"), F.col("http"), F.col("kind"))
-    return rows.select("event_id", out["status"].alias("status"), out["failure"].alias("failure"), out["mode"].alias("mode"), out["score"].cast("bigint").alias("score"))
+    marks = F.when(i % 4 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>"))
+    out = S.outcome(
+        table("events"),
+        error=F.when(i % 40 == 0, "timeout").when(i % 40 == 1, "connect"),
+        message=F.lit("broken"),
+        http=F.when(i % 20 == 2, 403).when(i % 20 == 3, 503).when(i % 20 == 4, 404).when(i % 20 == 5, 401).otherwise(200),
+        content_type=F.when(i % 15 == 3, "image/png").when(i % 15 == 4, "text/plain; charset=x").when(i % 15 == 6, "application/pdf").otherwise("text/html"),
+        body=F.when(i % 2 == 0, "body").otherwise(""),
+        body_score=v * 2 % 70,
+        static_score=v % 60,
+        static_text=F.when(i % 7 == 0, "").otherwise("text"),
+        rendered_status=F.when(i % 3 == 0, "success").when(i % 3 == 1, "error"),
+        rendered_detail=F.when(i % 6 == 1, "Failed to launch").when(i % 6 == 4, "timeout").when(i % 3 == 2, "off").otherwise(""),
+        rendered_score=v * 3 % 70,
+        rendered_text=F.when(i % 11 == 0, "").otherwise("rendered"),
+        markers=marks,
+        stub=F.lit("stub"),
+    )
+    scores = {c: F.col(c).cast("bigint") for c in ("score", "static_score", "rendered_score")}
+    return out.withColumns(scores).select("event_id", "status", "failure", "detail", "mode", *scores, "quality", "quality_reason", "trigger", "content")
 
 
 @query("""WITH g AS (SELECT user_id, count(*) FILTER (WHERE value > 5) AS a, count(*) FILTER (WHERE value > 5 AND value <= 60) AS s, count(*) FILTER (WHERE value > 60) AS f, count(*) FILTER (WHERE value <= 5) AS k FROM (SELECT user_id, CASE WHEN user_id % 4 = 0 AND value <= 60 THEN 90 WHEN user_id % 16 = 1 THEN 1 ELSE value END AS value FROM events) GROUP BY 1)

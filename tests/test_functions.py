@@ -206,15 +206,78 @@ def test_sources(spark, tmp_path):
 
 
 def test_stream_keeps_latest(spark, tmp_path):
-    from quillsift.streaming.latest import keep_latest, read_latest
+    from quillsift.sources import folders
+    from quillsift.streaming.latest import keep_latest, listed, read_latest, versions
 
-    schema = "k int, t int, v string"
-    for n, rows in enumerate([[(1, 1, "a"), (2, 1, "b")], [(1, 2, "c"), (3, 1, "d")]]):
+    schema, out = "k int, t int, v string", str(tmp_path / "out")
+    assert read_latest(spark, out, schema).count() == 0
+
+    def batch(rows, checkpoint="cp"):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
-        keep_latest(stream, str(tmp_path / "out"), str(tmp_path / "cp"), ["k"], ["t"]).awaitTermination()
-    got = read_latest(spark, str(tmp_path / "out"), 1, spark.createDataFrame([], schema))
-    assert sorted(r.v for r in got.collect()) == ["b", "c", "d"]
+        keep_latest(stream, out, str(tmp_path / checkpoint), ["k"], ["t"], parts=4).awaitTermination()
+        return sorted(r.v for r in read_latest(spark, out, schema).collect())
+
+    assert batch([(k, 1, f"a{k}") for k in range(20)]) == sorted(f"a{k}" for k in range(20))
+    assert len(listed(spark, out)) == 4
+    got = batch([(1, 2, "c"), (30, 1, "d")])
+    assert got == sorted([f"a{k}" for k in range(20) if k != 1] + ["c", "d"])
+    assert sum(v == 1 for v in listed(spark, out).values()) <= 2  # other parts stay as they were
+    got = batch([(1, 1, "late"), (2, 3, "e")])
+    assert "late" not in got and "e" in got and "a2" not in got
+    assert len(versions(spark, out)) == 2
+    # A new checkpoint reads all batches again and forgets nothing.
+    assert batch([(40, 1, "f")], "other") == sorted([*got, "f"])
+    used = {f"version={v}" for v in listed(spark, out).values()}
+    assert used <= set(folders.names(spark, f"{out}/rows")) and len(folders.names(spark, f"{out}/rows")) <= 5
+
+
+def test_stale_stream(spark, tmp_path):
+    from quillsift.streaming.latest import stale_stream
+
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, ""), (4, "d")], "k int, s string").write.json(str(tmp_path / "in"))
+    live = spark.createDataFrame([(1, "a "), (2, "x"), (3, "c")], "k int, s string")
+    out = stale_stream(spark.readStream.schema("k int, s string").json(str(tmp_path / "in")), live, "k", "s")
+    out.writeStream.format("memory").queryName("stale").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.k, r.stale_reason) for r in spark.table("stale").collect()) == [(2, "signature_mismatch"), (3, "blank_signature"), (4, "missing_live_row")]
+
+
+def test_folders(spark, tmp_path):
+    from quillsift.sources import folders
+
+    root = str(tmp_path / "data")
+    for part in ("raw", "parsed", "orgs"):
+        (tmp_path / "data" / part).mkdir(parents=True)
+        (tmp_path / "data" / part / "x.csv").write_text("abc")
+    assert folders.sizes(spark, root) == {"orgs": 3, "parsed": 3, "raw": 3}
+    folders.export(spark, f"{root}/raw", f"{root}/copy")
+    folders.export(spark, f"{root}/raw", f"{root}/copy")
+    assert folders.names(spark, f"{root}/copy") == ["x.csv"] and folders.names(spark, f"{root}/none") == []
+    parts = ("raw", "parsed", "orgs")
+    assert folders.reset(spark, root, parts, but={"raw"}) == {"parsed": 1, "orgs": 1}
+    assert folders.sizes(spark, root) == {"copy": 3, "orgs": 0, "parsed": 0, "raw": 3}
+    assert folders.reset(spark, root, parts, only={"raw"}) == {"raw": 1}
+    with pytest.raises(ValueError):
+        folders.reset(spark, root, parts, only={"nonsense"})
+
+
+def test_artefact_files(spark, tmp_path):
+    from quillsift.sources import folders
+
+    for name, body in (("o1/q01", '{"a": 1}'), ("o2/q01", "{broken"), ("o3/q02", "[1]"), ("o4/q02", "")):
+        (tmp_path / "orgs" / name).mkdir(parents=True)
+        (tmp_path / "orgs" / name / "ask.json").write_text(body)
+    rows = folders.read_artefacts(spark, str(tmp_path / "orgs/*/*"), "a int").orderBy("entity").collect()
+    assert [(r.entity, r.question, r.name, r.artefact, r["values"].a) for r in rows][:3] == [("o1", "q01", "ask.json", '{"a": 1}', 1), ("o2", "q01", "ask.json", "{}", None), ("o3", "q02", "ask.json", "{}", None)]
+    schema, path = "question string, n int", str(tmp_path / "conclusions")
+    assert folders.read_conclusions(spark, path, schema).count() == 0
+    folders.write_conclusions(spark.createDataFrame([("q02", 2), ("q01", 1)], schema), path)
+    (tmp_path / "conclusions" / "part-bad.json").write_text("{broken\n")
+    assert sorted(tuple(r) for r in folders.read_conclusions(spark, path, schema).collect()) == [("q01", 1), ("q02", 2)]
+    df = spark.createDataFrame([(1, ""), (2, "odd")], "i int, _parse_warning string")
+    assert folders.write_parsed(df, str(tmp_path / "parsed"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "parsed/warnings")).count() == 1
+    assert not folders.write_parsed(df.filter("i = 1"), str(tmp_path / "parsed")) and not (tmp_path / "parsed/warnings").exists()
 
 
 def test_config(tmp_path):
