@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +13,16 @@ from pyspark.sql import functions as F
 from ..functions.text import blank, contains_token, folded, name_key, strip, text
 
 
+#: More terms than this are one array that is searched, not a branch each: plan and code stay small.
+BRANCHES = 100
+
+
 def first_term(c: Column, terms: list[str]) -> Column:
     """The first of the terms, in their order, that the text has between word edges; null for none."""
     t = F.lower(strip(text(c)))
+    if len(terms) > BRANCHES:
+        pairs = F.array(*[F.struct(F.lit(term).alias("term"), F.lit(term.lower()).alias("low")) for term in terms])
+        return F.try_element_at(F.filter(pairs, lambda x: F.contains(t, x["low"]) & contains_token(t, x["low"])), F.lit(1))["term"]
     return F.coalesce(*[F.when(contains_token(t, term.lower()), F.lit(term)) for term in terms], F.lit(None).cast("string"))
 
 
@@ -51,34 +59,70 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text to a window of the longer one."""
+    """The best ratio of the shorter text to a window of the longer one; of texts of one length, either way."""
     a, b = sorted((a, b), key=len)
     if not a:
         return 100.0 if not b else 0.0
-    ends = {b[max(0, i) : i + len(a)] for i in range(1 - len(a), len(b))}
-    return max(ratio(a, w) for w in ends if w)
-
-
-def similarity(a: str, b: str) -> float:
-    words = lambda t: " ".join(sorted(t.split()))
-    return max(ratio(a, b), partial_ratio(a, b), ratio(words(a), words(b)))
+    pairs = [(a, b), (b, a)] if len(a) == len(b) else [(a, b)]
+    return max(ratio(x, w) for x, y in pairs for w in {y[max(0, i) : i + len(x)] for i in range(1 - len(x), len(y))})
+
+
+def plain_words(t: str) -> str:
+    """A text's words in order of the alphabet; no marks, and no letters of Latin-1 beyond ASCII."""
+    return " ".join(sorted(re.sub(r"\W", " ", re.sub("[\x80-\xff]", "", t)).lower().split()))
+
+
+def similarity(a: str, b: str) -> int:
+    """The best of three ratios, each a whole number from 0 to 100."""
+    return max(round(ratio(a, b)), round(partial_ratio(a, b)), round(ratio(plain_words(a), plain_words(b))))
+
+
+class Terms:
+    """Terms to compare texts with. How many characters two texts share bounds their ratios: terms that cannot win are not compared."""
+
+    def __init__(self, terms: list[str], width: int = 128):
+        self.terms, self.low, self.width = terms, [t.lower() for t in terms], width
+        self.words = [plain_words(t) for t in self.low]
+        self.exact = [re.compile(rf"(?<!\w){re.escape(t)}(?!\w)") for t in self.low]
+        self.bags = [(self.counted(x), np.array([len(t) for t in x])) for x in (self.low, self.words)]
+
+    def counted(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), self.width), np.int32)
+        for i, t in enumerate(texts):
+            if t:
+                out[i] = np.bincount([ord(x) % self.width for x in t], minlength=self.width)
+        return out
+
+    def bounds(self, t: str) -> np.ndarray:
+        """No ratio of a text to a term is above this."""
+        best = np.zeros(len(self.terms))
+        for own, (bag, size) in zip((t, plain_words(t)), self.bags):
+            shared = np.minimum(bag, self.counted([own])).sum(axis=1)
+            best = np.maximum(best, np.where(np.minimum(size, len(own)) > 0, 200.0 * shared / np.maximum(1, np.minimum(size, len(own)) + shared), 100.0 * ((size == 0) & (not own))))
+        return best
+
+    def best(self, t: str) -> tuple[str | None, float]:
+        """The term that the text has between word edges, else the most similar one; the first of equals. And its ratio."""
+        for term, low, pattern in zip(self.terms, self.low, self.exact):
+            if low in t and pattern.search(t):
+                return term, 100.0
+        limit, at, score = self.bounds(t), len(self.terms), 0
+        for k in np.argsort(-limit, kind="stable"):
+            if round(limit[k]) < score or score == 0 and not limit[k]:
+                break
+            now = similarity(t, self.low[k])
+            if now > score or now == score > 0 and k < at:
+                at, score = int(k), now
+        return (self.terms[at] if score else None), float(score)
 
 
 def fuzzy(df: DataFrame, column: str, terms: list[str], threshold: float = 85) -> DataFrame:
-    """matched_term, confidence, is_match and needs_review by the best of three ratios. Distinct texts are compared once."""
-    lowered = [t.lower() for t in terms]
+    """matched_term, confidence, is_match and needs_review by the best of three ratios; a term between word edges has 100. Distinct texts are compared once."""
 
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = Terms(terms)
         for batch in batches:
-            rows = []
-            for t in batch:
-                found, score = None, 0.0
-                for term, low in zip(terms, lowered):
-                    now = 100.0 if re.search(rf"(?<!\w){re.escape(low)}(?!\w)", t) else similarity(t, low)
-                    if now > score:
-                        found, score = term, now
-                rows.append((found, score))
-            yield pd.DataFrame(rows, columns=["matched_term", "confidence"])
+            yield pd.DataFrame([known.best(t) for t in batch], columns=["matched_term", "confidence"])
 
     score = F.pandas_udf(best, "matched_term string, confidence double")
     keyed = df.withColumn("__key", F.lower(strip(text(column))))

@@ -1,6 +1,7 @@
 """Functions and operators on small tables of their own."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -357,3 +358,24 @@ def test_counts_by_window(spark, tmp_path):
     stream = out.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
     stream.awaitTermination()
     assert sorted((r.k, r.n) for r in spark.table("windows").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_fuzzy_terms_by_brute_force(spark):
+    turn = random.Random(3)
+    word = lambda: "".join(turn.choice("abcdeä ") for _ in range(turn.randrange(1, 9)))
+    terms = list(dict.fromkeys(word().strip() or "x" for _ in range(150)))
+    known = match.Terms(terms)
+    for t in [word().strip() for _ in range(200)]:
+        if not t:
+            continue
+        exact = [x for x in terms if re.search(rf"(?<!\w){re.escape(x)}(?!\w)", t)]
+        scores = [match.similarity(t, x) for x in terms]
+        want = (exact[0], 100.0) if exact else (terms[scores.index(max(scores))] if max(scores) else None, float(max(scores)))
+        assert known.best(t) == want
+    # Whole numbers; a term between word edges goes before one that is a mere part.
+    assert match.similarity("winterthur", "wintertur") == 95
+    assert match.Terms(["inter", "b c"]).best("winter b c")[0] == "b c"
+    df = spark.createDataFrame([("x " + t,) for t in terms], "t string")
+    many = [r[0] for r in df.select(match.first_term(F.col("t"), terms)).collect()]
+    few = [next((x for x in terms if re.search(rf"(?<!\w){re.escape(x)}(?!\w)", "x " + t)), None) for t in terms]
+    assert many == few and len(terms) > match.BRANCHES
