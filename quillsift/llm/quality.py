@@ -4,7 +4,9 @@ With p the trusted positives, u the unlabelled texts and c the share of positive
 scorer g is  c E_p l(g) + max(0, E_u l(-g) - c E_p l(-g)),  l the sigmoid loss: the second part is an
 unbiased estimate of the risk on negatives, and as that cannot be negative it is held at zero. When it
 falls below, a step is taken to raise it. The class prior c is estimated from the lowest ratio of u to p
-among the sets of texts that a first scorer of p against u ranks above a threshold.
+among the sets of texts that a first scorer of p against u ranks above a threshold. The scorers are fitted on
+samples of `positives` and `unlabelled` texts at most (parameters); the shares of u that the prior follows from are
+counted over all texts that may be learned from, but for those that the first scorer was fitted on.
 
 A null text counts as empty; an empty text has a score like any other. Rows with a null doc_id are scored
 but never learned from, repeated rows are scored alike. Without positives every score is 0.5. An empty table
@@ -20,12 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, lean, utf8
 
-#: Bounds of the samples that are learned from: trusted positives, and unlabelled texts.
+#: Bounds of the samples that scorers are fitted on: trusted positives, and unlabelled texts.
 POSITIVES, UNLABELLED = 8_000, 16_000
 #: Bytes that are compressed at once, over the whole text: repetition within a window.
 WINDOW = 1 << 15
@@ -72,8 +74,11 @@ class Model:
     weights: list[np.ndarray]
     prior: float
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.centre) / self.scale, -8, 8)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        z, _ = forward(self.weights, np.clip((x - self.centre) / self.scale, -8, 8))
+        z, _ = forward(self.weights, self.scaled(x))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -111,20 +116,26 @@ def descend(p: np.ndarray, u: np.ndarray, slopes, hidden: int, steps: int, decay
     return w
 
 
-def class_prior(p: np.ndarray, u: np.ndarray, least: float = 0.3) -> float:
-    """The lowest ratio of unlabelled to positive texts among the upper sets that hold a share `least` of the positives, by scores."""
-    steps = np.quantile(p, np.linspace(0.01, 1 - least, 60))
-    ratios = [np.mean(u >= t) / max(np.mean(p >= t), 1e-9) for t in steps]
-    return float(np.clip(min(ratios), 0.02, 0.98))
+def upper_sets(p: np.ndarray, least: float = 0.3) -> np.ndarray:
+    """Thresholds of sets that hold a share `least` of the positives at least, by scores."""
+    return np.quantile(p, np.linspace(0.01, 1 - least, 60))
+
+
+def class_prior(p: np.ndarray, steps: np.ndarray, shares: np.ndarray) -> float:
+    """The lowest ratio of unlabelled to positive texts among the sets above thresholds; shares are of the unlabelled in each."""
+    return float(np.clip(min(share / max(np.mean(p >= t), 1e-9) for t, share in zip(steps, shares)), 0.02, 0.98))
+
 
+def fit(p: np.ndarray, u: np.ndarray, prior_of, p_first: np.ndarray, u_first: np.ndarray, hidden: int = 16, steps: int = 900) -> Model:
+    """Non-negative risk over the features of positives and of unlabelled texts.
 
-def fit(p: np.ndarray, u: np.ndarray, hidden: int = 16, steps: int = 900) -> Model:
-    """Non-negative risk over the features of positives and of unlabelled texts."""
-    centre, scale = u.mean(0), u.std(0) + 1e-3
-    p, u = (np.clip((x - centre) / scale, -8, 8).astype(np.float32) for x in (p, u))
-    half = slice(0, None, 2), slice(1, None, 2)
-    first = descend(p[half[0]], u[half[0]], lambda zp, zu: (-sigmoid(-zp) / len(zp), sigmoid(zu) / len(zu)), hidden, steps // 3, 1e-3)
-    prior = class_prior(*(forward(first, x[half[1]])[0] for x in (p, u)))
+    A first scorer is fitted on the rows marked first; prior_of(it, scores of the other positives) gives the class prior.
+    """
+    model = Model(u.mean(0), u.std(0) + 1e-3, [], 0.5)
+    rows = {k: model.scaled(x).astype(np.float32) for k, x in (("p", p), ("u", u))}
+    part = lambda x, marks: x[marks] if marks.any() else x
+    model.weights = descend(part(rows["p"], p_first), part(rows["u"], u_first), lambda zp, zu: (-sigmoid(-zp) / len(zp), sigmoid(zu) / len(zu)), hidden, steps // 3, 1e-3)
+    prior = prior_of(model, forward(model.weights, part(rows["p"], ~p_first))[0])
 
     def slopes(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sp, su = sigmoid(zp), sigmoid(zu)
@@ -133,38 +144,69 @@ def fit(p: np.ndarray, u: np.ndarray, hidden: int = 16, steps: int = 900) -> Mod
             return dp, -du
         return -2 * dp, du
 
-    return Model(centre, scale, descend(p, u, slopes, hidden, steps, 1e-3), prior)
+    return Model(model.centre, model.scale, descend(rows["p"], rows["u"], slopes, hidden, steps, 1e-3), prior)
 
 
-def bounded(rows: DataFrame, most: int) -> DataFrame:
-    """About `most` of the rows at most, chosen by a hash of doc_id."""
+def marked_first() -> Column:
+    """Whether a first scorer is fitted on a row, if it is sampled."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2)) == 0
+
+
+def chosen(rows: DataFrame, most: int) -> Column:
+    """Whether a row is among about `most` of them at most, by a hash of doc_id."""
     n = rows.count()
-    return rows if n <= most else rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * (most / n)))
+    return F.lit(True) if n <= most else F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * (most / n))
 
 
-def sampled(rows: DataFrame) -> np.ndarray:
-    """The features of a bounded sample, on the driver."""
+def sampled(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The features of a bounded sample, on the driver; and which rows are marked first."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x = features(batch.column("text"))
-                yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary())], names=["x"])
+                yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("first")], names=["x", "first"])
+
+    found = rows.select(F.coalesce("text", F.lit("")).alias("text"), marked_first().alias("first")).mapInArrow(lean(each), "x binary, first boolean").toArrow()
+    pairs = sorted(zip(found.column("x").to_pylist(), found.column("first").to_pylist()))
+    return np.frombuffer(b"".join(x for x, _ in pairs), np.float32).reshape(len(pairs), FEATURES), np.array([f for _, f in pairs], bool)
+
+
+def shares_above(rows: DataFrame, model: Model, steps: np.ndarray) -> np.ndarray:
+    """The share of the rows' texts that a scorer puts at each threshold or above: counted where the rows are."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(steps) + 1, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                z = np.sort(forward(model.weights, model.scaled(features(batch.column("text"))))[0])
+                counts += np.append(len(z) - np.searchsorted(z, steps, side="left"), len(z))
+        yield pa.record_batch([pa.array(np.arange(len(counts))), pa.array(counts)], names=["place", "n"])
 
-    found = rows.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(each), "x binary").toArrow().column("x").to_pylist()
-    return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), FEATURES)
+    found = rows.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(each), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).orderBy("place").collect()
+    n = np.array([r.n for r in found], float)
+    return n[:-1] / n[-1] if len(n) and n[-1] else np.zeros(0)
 
 
-def learn(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0) -> Model | None:
-    """A model from the rows whose crc32(doc_id as text) mod fold is not `held`. Negative labels are not used."""
+def learn(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
+    """A model from the rows whose crc32(doc_id as text) mod fold is not `held`. Negative labels are not used; a document with several labels is trusted if all are 1."""
     learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % fold != held
     texts = docs.select("doc_id", "text").filter(learned)
     trusted = labels.filter(learned).groupBy("doc_id").agg(F.min("quality").alias("least")).filter("least = 1").select("doc_id")
-    trusted = bounded(trusted, POSITIVES)
+    trusted = trusted.filter(chosen(trusted, positives))
     arrow_batches(docs.sparkSession)
-    p = sampled(texts.join(F.broadcast(trusted), "doc_id", "left_semi"))  # at most about POSITIVES ids
-    u = sampled(bounded(texts, UNLABELLED))
-    return fit(p, u) if len(p) and len(u) else None
+    p, p_first = sampled(texts.join(F.broadcast(trusted), "doc_id", "left_semi"))  # at most about `positives` ids
+    inside = chosen(texts, unlabelled)
+    u, u_first = sampled(texts.filter(inside))
+    if not len(p) or not len(u):
+        return None
+
+    def prior_of(first: Model, scores: np.ndarray) -> float:
+        steps = upper_sets(scores)
+        shares = shares_above(texts.filter(~(inside & marked_first())), first, steps)
+        return class_prior(scores, steps, shares if len(shares) else np.ones(len(steps)))
+
+    return fit(p, u, prior_of, p_first, u_first)
 
 
 def scored(docs: DataFrame, model: Model | None, *keep: str, score: str = "score") -> DataFrame:

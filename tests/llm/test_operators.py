@@ -594,7 +594,20 @@ def test_class_prior():
     rng = np.random.default_rng(1)
     p = rng.normal(2, 1, 20_000)
     u = np.concatenate((rng.normal(2, 1, 14_000), rng.normal(-2, 1, 6_000)))
-    assert abs(quality.class_prior(p, u) - 0.7) < 0.03
+    steps = quality.upper_sets(p)
+    assert abs(quality.class_prior(p, steps, np.array([np.mean(u >= t) for t in steps])) - 0.7) < 0.03
+
+
+def test_shares_are_counted_over_all_rows(spark):
+    rows = [(i, prose(RNG.randint(1, 30)) if i % 9 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    x = quality.features(pa.array([t for _, t in rows]))
+    rng = np.random.default_rng(2)
+    model = quality.Model(x.mean(0), x.std(0) + 1e-3, [rng.normal(0, 1, (x.shape[1], 4)), np.zeros(4), rng.normal(0, 1, 4), np.zeros(1)], 0.5)
+    z = quality.forward(model.weights, model.scaled(x))[0]
+    steps = np.quantile(z, [0.05, 0.31, 0.777]) + 1e-4
+    assert np.allclose(quality.shares_above(docs, model, steps), [np.mean(z >= t) for t in steps])
+    assert not len(quality.shares_above(docs.limit(0), model, steps)) or not quality.shares_above(docs.limit(0), model, steps).any()
 
 
 @pytest.mark.parametrize(
