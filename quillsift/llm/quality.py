@@ -4,9 +4,10 @@ With p the trusted positives, u the unlabelled texts and c the share of positive
 scorer g is  c E_p l(g) + max(0, E_u l(-g) - c E_p l(-g)),  l the sigmoid loss: the second part is an
 unbiased estimate of the risk on negatives, and as that cannot be negative it is held at zero. When it
 falls below, a step is taken to raise it. The class prior c is estimated from the lowest ratio of u to p
-among the sets of texts that a first scorer of p against u ranks above a threshold. The scorers are fitted on
+among the sets of texts that a first scorer of p against u ranks above a threshold, each with its standard error. The scorers are fitted on
 samples of `positives` and `unlabelled` texts at most (parameters); the shares of u that the prior follows from are
-counted over all texts that may be learned from, but for those that the first scorer was fitted on.
+counted over all texts that may be learned from. For that there are two first scorers, each fitted on one half of
+the samples and asked about the other half of all texts.
 
 A null text counts as empty; an empty text has a score like any other. Rows with a null doc_id are scored
 but never learned from, repeated rows are scored alike. Without positives every score is 0.5. An empty table
@@ -121,21 +122,28 @@ def upper_sets(p: np.ndarray, least: float = 0.3) -> np.ndarray:
     return np.quantile(p, np.linspace(0.01, 1 - least, 60))
 
 
-def class_prior(p: np.ndarray, steps: np.ndarray, shares: np.ndarray) -> float:
-    """The lowest ratio of unlabelled to positive texts among the sets above thresholds; shares are of the unlabelled in each."""
-    return float(np.clip(min(share / max(np.mean(p >= t), 1e-9) for t, share in zip(steps, shares)), 0.02, 0.98))
+def class_prior(p: np.ndarray, steps: np.ndarray, shares: np.ndarray, n: int) -> float:
+    """The lowest ratio of unlabelled to positive texts among the sets above thresholds, by its upper bound: one standard error is added, as the least of noisy ratios is too low. shares are of n unlabelled texts."""
+    inside = np.array([np.mean(p >= t) for t in steps]).clip(1e-9)
+    error = np.sqrt((1 - inside) / (inside * len(p)) + (1 - shares) / (shares.clip(1e-9) * max(1, n)))
+    return float(np.clip(np.min(shares / inside * (1 + error)), 0.02, 0.98))
 
 
-def fit(p: np.ndarray, u: np.ndarray, prior_of, p_first: np.ndarray, u_first: np.ndarray, hidden: int = 16, steps: int = 900) -> Model:
-    """Non-negative risk over the features of positives and of unlabelled texts.
+def first_scorers(p: np.ndarray, u: np.ndarray, p_half: np.ndarray, u_half: np.ndarray, hidden: int = 16, steps: int = 300) -> list[Model]:
+    """Two scorers of p against u: one fitted on the rows that are not marked, one on those that are."""
+    centre, scale = u.mean(0), u.std(0) + 1e-3
+    out = []
+    for own in (False, True):
+        parts = [x[marks == own] if (marks == own).any() else x for x, marks in ((p, p_half), (u, u_half))]
+        model = Model(centre, scale, [], 0.5)
+        model.weights = descend(*(model.scaled(x).astype(np.float32) for x in parts), lambda zp, zu: (-sigmoid(-zp) / len(zp), sigmoid(zu) / len(zu)), hidden, steps, 1e-3)
+        out.append(model)
+    return out
+
 
-    A first scorer is fitted on the rows marked first; prior_of(it, scores of the other positives) gives the class prior.
-    """
-    model = Model(u.mean(0), u.std(0) + 1e-3, [], 0.5)
-    rows = {k: model.scaled(x).astype(np.float32) for k, x in (("p", p), ("u", u))}
-    part = lambda x, marks: x[marks] if marks.any() else x
-    model.weights = descend(part(rows["p"], p_first), part(rows["u"], u_first), lambda zp, zu: (-sigmoid(-zp) / len(zp), sigmoid(zu) / len(zu)), hidden, steps // 3, 1e-3)
-    prior = prior_of(model, forward(model.weights, part(rows["p"], ~p_first))[0])
+def fit(p: np.ndarray, u: np.ndarray, prior: float, hidden: int = 16, steps: int = 900) -> Model:
+    """Non-negative risk over the features of positives and of unlabelled texts."""
+    model = Model(u.mean(0), u.std(0) + 1e-3, [], prior)
 
     def slopes(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sp, su = sigmoid(zp), sigmoid(zu)
@@ -144,11 +152,12 @@ def fit(p: np.ndarray, u: np.ndarray, prior_of, p_first: np.ndarray, u_first: np
             return dp, -du
         return -2 * dp, du
 
-    return Model(model.centre, model.scale, descend(rows["p"], rows["u"], slopes, hidden, steps, 1e-3), prior)
+    model.weights = descend(*(model.scaled(x).astype(np.float32) for x in (p, u)), slopes, hidden, steps, 1e-3)
+    return model
 
 
-def marked_first() -> Column:
-    """Whether a first scorer is fitted on a row, if it is sampled."""
+def half() -> Column:
+    """Whether a row is of the half that is marked."""
     return F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(2)) == 0
 
 
@@ -159,33 +168,36 @@ def chosen(rows: DataFrame, most: int) -> Column:
 
 
 def sampled(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The features of a bounded sample, on the driver; and which rows are marked first."""
+    """The features of a bounded sample, on the driver; and which rows are of the marked half."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 x = features(batch.column("text"))
-                yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("first")], names=["x", "first"])
+                yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary()), batch.column("half")], names=["x", "half"])
 
-    found = rows.select(F.coalesce("text", F.lit("")).alias("text"), marked_first().alias("first")).mapInArrow(lean(each), "x binary, first boolean").toArrow()
-    pairs = sorted(zip(found.column("x").to_pylist(), found.column("first").to_pylist()))
+    found = rows.select(F.coalesce("text", F.lit("")).alias("text"), half().alias("half")).mapInArrow(lean(each), "x binary, half boolean").toArrow()
+    pairs = sorted(zip(found.column("x").to_pylist(), found.column("half").to_pylist()))
     return np.frombuffer(b"".join(x for x, _ in pairs), np.float32).reshape(len(pairs), FEATURES), np.array([f for _, f in pairs], bool)
 
 
-def shares_above(rows: DataFrame, model: Model, steps: np.ndarray) -> np.ndarray:
-    """The share of the rows' texts that a scorer puts at each threshold or above: counted where the rows are."""
+def counts_above(rows: DataFrame, models: list[Model], steps: list[np.ndarray]) -> list[np.ndarray]:
+    """How many of the rows' texts each scorer puts at each of its thresholds or above, and how many texts it is asked about: those of the half it was not fitted on. Counted where the rows are."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(steps) + 1, np.int64)
+        counts = [np.zeros(len(s) + 1, np.int64) for s in steps]
         for batch in batches:
             if batch.num_rows:
-                z = np.sort(forward(model.weights, model.scaled(features(batch.column("text"))))[0])
-                counts += np.append(len(z) - np.searchsorted(z, steps, side="left"), len(z))
-        yield pa.record_batch([pa.array(np.arange(len(counts))), pa.array(counts)], names=["place", "n"])
+                x, marks = features(batch.column("text")), batch.column("half").to_numpy(zero_copy_only=False).astype(bool)
+                for model, s, count, own in zip(models, steps, counts, (marks, ~marks)):
+                    z = np.sort(forward(model.weights, model.scaled(x[own]))[0])
+                    count += np.append(len(z) - np.searchsorted(z, s, side="left"), len(z))
+        yield pa.record_batch([pa.array(np.arange(sum(map(len, counts)))), pa.array(np.concatenate(counts))], names=["place", "n"])
 
-    found = rows.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(each), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).orderBy("place").collect()
-    n = np.array([r.n for r in found], float)
-    return n[:-1] / n[-1] if len(n) and n[-1] else np.zeros(0)
+    parts = rows.select(F.coalesce("text", F.lit("")).alias("text"), half().alias("half")).mapInArrow(lean(each), "place long, n long")
+    found = {r.place: r.n for r in parts.groupBy("place").agg(F.sum("n").alias("n")).collect()}  # a row for each threshold
+    every = np.array([found.get(k, 0) for k in range(sum(len(s) + 1 for s in steps))])
+    return np.split(every, np.cumsum([len(s) + 1 for s in steps])[:-1])
 
 
 def learn(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model | None:
@@ -195,18 +207,16 @@ def learn(docs: DataFrame, labels: DataFrame, fold: int = 5, held: int = 0, posi
     trusted = labels.filter(learned).groupBy("doc_id").agg(F.min("quality").alias("least")).filter("least = 1").select("doc_id")
     trusted = trusted.filter(chosen(trusted, positives))
     arrow_batches(docs.sparkSession)
-    p, p_first = sampled(texts.join(F.broadcast(trusted), "doc_id", "left_semi"))  # at most about `positives` ids
-    inside = chosen(texts, unlabelled)
-    u, u_first = sampled(texts.filter(inside))
+    p, p_half = sampled(texts.join(F.broadcast(trusted), "doc_id", "left_semi"))  # at most about `positives` ids
+    u, u_half = sampled(texts.filter(chosen(texts, unlabelled)))
     if not len(p) or not len(u):
         return None
-
-    def prior_of(first: Model, scores: np.ndarray) -> float:
-        steps = upper_sets(scores)
-        shares = shares_above(texts.filter(~(inside & marked_first())), first, steps)
-        return class_prior(scores, steps, shares if len(shares) else np.ones(len(steps)))
-
-    return fit(p, u, prior_of, p_first, u_first)
+    models = first_scorers(p, u, p_half, u_half)
+    scores = [forward(m.weights, m.scaled(p[own] if own.any() else p))[0] for m, own in zip(models, (p_half, ~p_half))]
+    steps = [upper_sets(z) for z in scores]
+    counts = counts_above(texts, models, steps)
+    priors = [class_prior(z, s, n[:-1] / n[-1], int(n[-1])) for z, s, n in zip(scores, steps, counts) if n[-1]]
+    return fit(p, u, float(np.mean(priors)))
 
 
 def scored(docs: DataFrame, model: Model | None, *keep: str, score: str = "score") -> DataFrame:

@@ -595,7 +595,7 @@ def test_class_prior():
     p = rng.normal(2, 1, 20_000)
     u = np.concatenate((rng.normal(2, 1, 14_000), rng.normal(-2, 1, 6_000)))
     steps = quality.upper_sets(p)
-    assert abs(quality.class_prior(p, steps, np.array([np.mean(u >= t) for t in steps])) - 0.7) < 0.03
+    assert abs(quality.class_prior(p, steps, np.array([np.mean(u >= t) for t in steps]), len(u)) - 0.7) < 0.03
 
 
 def test_shares_are_counted_over_all_rows(spark):
@@ -603,11 +603,14 @@ def test_shares_are_counted_over_all_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     x = quality.features(pa.array([t for _, t in rows]))
     rng = np.random.default_rng(2)
-    model = quality.Model(x.mean(0), x.std(0) + 1e-3, [rng.normal(0, 1, (x.shape[1], 4)), np.zeros(4), rng.normal(0, 1, 4), np.zeros(1)], 0.5)
-    z = quality.forward(model.weights, model.scaled(x))[0]
-    steps = np.quantile(z, [0.05, 0.31, 0.777]) + 1e-4
-    assert np.allclose(quality.shares_above(docs, model, steps), [np.mean(z >= t) for t in steps])
-    assert not len(quality.shares_above(docs.limit(0), model, steps)) or not quality.shares_above(docs.limit(0), model, steps).any()
+    models = [quality.Model(x.mean(0), x.std(0) + 1e-3, [rng.normal(0, 1, (x.shape[1], 4)), np.zeros(4), rng.normal(0, 1, 4), np.zeros(1)], 0.5) for _ in range(2)]
+    marked = {r.doc_id for r in docs.filter(quality.half()).collect()}
+    own = np.array([i in marked for i, _ in rows])
+    z = [quality.forward(m.weights, m.scaled(x[own == k]))[0] for m, k in zip(models, (True, False))]
+    steps = [np.quantile(a, [0.05, 0.31, 0.777][: 3 - k]) + 1e-4 for k, a in enumerate(z)]
+    want = [[*(int((a >= t).sum()) for t in s), len(a)] for a, s in zip(z, steps)]
+    assert [n.tolist() for n in quality.counts_above(docs, models, steps)] == want and sum(w[-1] for w in want) == 300
+    assert [n.tolist() for n in quality.counts_above(docs.limit(0), models, steps)] == [[0] * 4, [0] * 3]
 
 
 @pytest.mark.parametrize(
