@@ -125,8 +125,10 @@ def upper_sets(p: np.ndarray, least: float = 0.3) -> np.ndarray:
 def class_prior(p: np.ndarray, steps: np.ndarray, shares: np.ndarray, n: int) -> float:
     """The lowest ratio of unlabelled to positive texts among the sets above thresholds, by its upper bound: one standard error is added, as the least of noisy ratios is too low. shares are of n unlabelled texts."""
     inside = np.array([np.mean(p >= t) for t in steps]).clip(1e-9)
-    error = np.sqrt((1 - inside) / (inside * len(p)) + (1 - shares) / (shares.clip(1e-9) * max(1, n)))
-    return float(np.clip(np.min(shares / inside * (1 + error)), 0.02, 0.98))
+    # Shares with one more text on either side, so that few texts give no error of zero.
+    some, other = (inside * len(p) + 1) / (len(p) + 2), (shares * n + 1) / (n + 2)
+    error = np.sqrt((1 - some) / (some * len(p)) + (1 - other) / (other * max(1, n)))
+    return float(np.clip(np.min(other / some * (1 + error)), 0.02, 0.98))
 
 
 def first_scorers(p: np.ndarray, u: np.ndarray, p_half: np.ndarray, u_half: np.ndarray, hidden: int = 16, steps: int = 300) -> list[Model]:
