@@ -172,11 +172,12 @@ def signature(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*[text(c).alias(c) for c in sorted(columns)])), 256)
 
 
-def byte_size(c: Column) -> Column:
-    """A number of bytes in the largest unit up to TB that keeps it at 1 or above; half a tenth goes to the even one."""
+def byte_size(c: Column, largest: str = "TB") -> Column:
+    """A number of bytes in the largest unit, from KB to this one, that keeps it at 1 or above; half a tenth goes to the even one."""
     units = ("B", "KB", "MB", "GB", "TB")
+    top = units.index(largest)
     size = lambda k: F.format_string(f"%.1f {units[k]}", F.bround(c.cast("double") / float(1 << 10 * k), 1))
-    out = size(4)
-    for k in range(3, 0, -1):
+    out = size(top)
+    for k in range(top - 1, 0, -1):
         out = F.when(c < (1 << 10 * (k + 1)), size(k)).otherwise(out)
     return F.when(c < 1024, F.format_string("%d B", c.cast("bigint"))).otherwise(out)

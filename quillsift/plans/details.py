@@ -26,8 +26,8 @@ def shown_values(table):
         T.question_key(F.concat(F.lit("q"), k.cast("string"), F.lit("_x"))).alias("question"),
         T.search_url(p, "https://s.example/?q=").alias("search"),
         T.page_filename(k % 1000, F.concat(F.lit("https://Host.example/"), F.replace(p, F.lit(" "), F.lit("_")), F.lit("/x"), k.cast("string"), F.lit("?q=1"))).alias("filename"),
-        T.byte_size(k).alias("size"),
-        T.byte_size(k * (1 << 40)).alias("large"),
+        T.byte_size(k, largest="KB").alias("size"),
+        T.byte_size(k.cast("double") * float(1 << 40)).alias("large"),  # whole numbers end at key 2 ** 23
         T.count_words(F.concat(p, F.lit(" x"))).cast("bigint").alias("words"),
         T.snippet_id(k % 100, p).alias("snippet"),
         T.sanitize_search(F.concat(F.lit('"'), p, F.lit('"!'))).alias("searched"),

@@ -36,6 +36,14 @@ def test_text(spark):
     assert texts(spark, [" Über uns! "], T.slug) == ["über-uns"] and texts(spark, ["!"], T.slug) == ["unnamed"]
 
 
+def test_byte_size(spark):
+    sizes = ["0", "1023", "1024", "1280", "1048575", "1048576", str(3 << 30), str(1 << 50), str(1 << 63)]
+    shown = ["0 B", "1023 B", "1.0 KB", "1.2 KB", "1024.0 KB", "1.0 MB", "3.0 GB", "1024.0 TB", "8388608.0 TB"]
+    assert texts(spark, sizes, lambda c: T.byte_size(c.cast("double"))) == shown
+    assert texts(spark, sizes[:-1], lambda c: T.byte_size(c.cast("bigint"))) == shown[:-1]
+    assert texts(spark, sizes[4:7], lambda c: T.byte_size(c.cast("bigint"), largest="KB")) == ["1024.0 KB", "1024.0 KB", "3145728.0 KB"]
+
+
 def test_coerce(spark):
     df = spark.createDataFrame([("", "12.0"), ("true", "-3"), ("NO", "abc"), ("invalid", None)], "b string, n string")
     out = coerce.ensure(coerce.ensure(coerce.ensure(df, "boolean", {"b": None}), "whole", {"n": 0}), "text", {"note": ""})

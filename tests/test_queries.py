@@ -42,3 +42,14 @@ def test_same_rows(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.SQL)))
 def test_runs(spark, name):
     assert plans.QUERIES[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("first", [(1 << 20) - 500, (1 << 23) - 500, 10**12])
+def test_shown_values_of_large_keys(spark, duck, tmp_path, first):
+    duck.execute(f"copy (select o_orderkey + {first} as o_orderkey, * exclude o_orderkey from '{SF}/orders.parquet') to '{tmp_path}/orders.parquet' (format parquet)")
+    df = plans.QUERIES["shown_values"](spark, str(tmp_path))
+    own = duckdb.connect()
+    own.execute(f"create view orders as select * from '{tmp_path}/orders.parquet'")
+    result = own.execute(plans.SQL["shown_values"])
+    names = [d[0] for d in result.description]
+    assert sorted(tuple(r[c] for c in names) for r in df.collect()) == sorted(result.fetchall())
